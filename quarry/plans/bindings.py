@@ -51,8 +51,8 @@ def _ratings(spark, sf_dir):
 
 
 def _lines(spark, sf_dir, keep=("doc_id",), with_position=False):
-    return pipelines.text_lines(_t(spark, sf_dir, "documents"), "text", list(keep),
-                                with_position=with_position)
+    docs = op.spread(_t(spark, sf_dir, "documents").select(*keep, "text"))
+    return pipelines.text_lines(docs, "text", list(keep), with_position=with_position)
 
 
 def _movie_lines(spark, sf_dir):

@@ -33,6 +33,15 @@ def jvm_split(c, sep: str = " ") -> Column:
             .otherwise(F.split(trimmed, regex_quote(sep) if sep != " " else " ")))
 
 
+def jvm_split_trimmed(value, trimmed) -> Column:
+    """``jvm_split(value, " ")`` given ``trimmed = rtrim(value, " ")``
+    already projected (saves evaluating the trim twice)."""
+    v, t = _c(value), _c(trimmed)
+    return (F.when(v == "", F.array(F.lit("")))
+            .when(t == "", F.array().cast("array<string>"))
+            .otherwise(F.split(t, " ")))
+
+
 def token_count(c, sep: str = " ") -> Column:
     """Number of tokens of ``jvm_split(c, sep)``."""
     return F.size(jvm_split(c, sep))

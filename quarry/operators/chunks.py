@@ -51,19 +51,34 @@ def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
                   out: str = "values", max_list: int = DEFAULT_MAX_LIST,
                   sort: bool = True) -> DataFrame:
     """A7 / groupByKey: ``(keys..., chunk, out)`` where ``out`` lists the
-    key's values (sorted when ``sort``) in chunks of about ``max_list``.
+    key's values (sorted when ``sort``; nulls first) in chunks of about
+    ``max_list``.
 
     With one value column the list holds plain values (nulls kept), with
     several it holds structs.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     values = [values] if isinstance(values, str) else list(values)
-    src = df.select(*keys, F.struct(*values).alias("_v"))
+    if len(values) == 1:
+        src = df.select(*keys, F.col(values[0]).alias("_v"))
+    else:
+        src = df.select(*keys, F.struct(*values).alias("_v"))
     chunked = chunk_column(src, keys, [F.col("_v")], max_list)
-    lst = F.collect_list("_v")
+    dtype = src.schema["_v"].dataType.simpleString()
+    return chunked.groupBy(*keys, "chunk").agg(list_with_nulls("_v", dtype, None, sort).alias(out))
+
+
+def list_with_nulls(value: str, dtype: str, present: Column | None = None,
+                    sort: bool = True) -> Column:
+    """Aggregate: ``value`` (of SQL type ``dtype``) over the rows where
+    ``present`` holds (all rows when None) as a list. ``collect_list`` skips
+    nulls, so null values are counted apart and put back first; the others
+    follow, sorted when ``sort``."""
+    v = F.col(value)
+    lst = F.collect_list(v if present is None else F.when(present, v))
     if sort:
-        lst = F.array_sort(lst)
-    res = chunked.groupBy(*keys, "chunk").agg(lst.alias(out))
-    if len(values) == 1:
-        res = res.withColumn(out, F.transform(out, lambda x: x[values[0]]))
-    return res
+        lst = F.sort_array(lst)
+    is_null = v.isNull() if present is None else (present & v.isNull())
+    n_null = F.count_if(is_null).cast("int")
+    nulls = F.array_repeat(F.lit(None).cast(dtype), n_null)
+    return F.when(n_null == 0, lst).otherwise(F.concat(nulls, lst))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.chunks import DEFAULT_MAX_LIST, chunk_column
+from quarry.operators.chunks import DEFAULT_MAX_LIST, chunk_column, list_with_nulls
 
 # Upper bound for broadcasting a side whose size was counted.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -44,19 +44,14 @@ def cogroup(left: DataFrame, right: DataFrame, on: str | list[str],
     keys = [on] if isinstance(on, str) else list(on)
     lv = [left_values] if isinstance(left_values, str) else list(left_values)
     rv = [right_values] if isinstance(right_values, str) else list(right_values)
-    lstruct = F.struct(*[F.col(c) for c in lv])
-    rstruct = F.struct(*[F.col(c) for c in rv])
-    ltype = left.select(lstruct.alias("s")).schema["s"].dataType
-    rtype = right.select(rstruct.alias("s")).schema["s"].dataType
-    tagged = (left.select(*keys, lstruct.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
-              .unionByName(right.select(*keys, F.lit(None).cast(ltype).alias("_l"), rstruct.alias("_r"))))
-    chunked = chunk_column(tagged, keys, [F.col("_l"), F.col("_r")], max_list)
-    la, ra = F.collect_list("_l"), F.collect_list("_r")
-    if sort:
-        la, ra = F.array_sort(la), F.array_sort(ra)
-    res = chunked.groupBy(*keys, "chunk").agg(la.alias("left"), ra.alias("right"))
-    if len(lv) == 1:
-        res = res.withColumn("left", F.transform("left", lambda x: x[lv[0]]))
-    if len(rv) == 1:
-        res = res.withColumn("right", F.transform("right", lambda x: x[rv[0]]))
-    return res
+    lexpr = F.col(lv[0]) if len(lv) == 1 else F.struct(*[F.col(c) for c in lv])
+    rexpr = F.col(rv[0]) if len(rv) == 1 else F.struct(*[F.col(c) for c in rv])
+    ltype = left.select(lexpr.alias("s")).schema["s"].dataType
+    rtype = right.select(rexpr.alias("s")).schema["s"].dataType
+    tagged = (left.select(*keys, F.lit(0).alias("_side"), lexpr.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
+              .unionByName(right.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(ltype).alias("_l"),
+                                        rexpr.alias("_r"))))
+    chunked = chunk_column(tagged, keys, [F.col("_side"), F.col("_l"), F.col("_r")], max_list)
+    return chunked.groupBy(*keys, "chunk").agg(
+        list_with_nulls("_l", ltype.simpleString(), F.col("_side") == 0, sort).alias("left"),
+        list_with_nulls("_r", rtype.simpleString(), F.col("_side") == 1, sort).alias("right"))

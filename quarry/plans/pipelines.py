@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import first_match, jvm_split, lines_of, split_multi
+from quarry.functions.text import first_match, jvm_split, jvm_split_trimmed, lines_of, split_multi
 
 
 def text_lines(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
@@ -26,8 +26,14 @@ def words(lines: DataFrame, col: str = "value", drop_empty: bool = False, sep: s
     otherwise SQL ``split`` (all empties kept). ``drop_empty`` removes
     empty words (P18).
     """
-    toks = jvm_split(col, sep) if java_split else F.split(F.col(col), sep)
-    w = lines.select(F.explode(toks).alias(out))
+    if java_split and sep == " ":
+        # right-trim once in a projection below the generator (the CASE
+        # expression would otherwise evaluate it twice per line)
+        src = lines.select(F.col(col).alias("_v"), F.rtrim(F.col(col), F.lit(" ")).alias("_t"))
+        w = src.select(F.explode(jvm_split_trimmed("_v", "_t")).alias(out))
+    else:
+        toks = jvm_split(col, sep) if java_split else F.split(F.col(col), sep)
+        w = lines.select(F.explode(toks).alias(out))
     return w.filter(F.col(out) != "") if drop_empty else w
 
 

@@ -99,3 +99,14 @@ def audit_events(spark, sf_dir):
     ev = table_stream(spark, table_path(sf_dir, "events"))
     _, audit = run_audited(spark, ev, "events-audit", "events", table_path(sf_dir, "events"))
     return spark.read.parquet(audit)
+
+
+@query("batch_distinct_words", f"""
+SELECT 0 AS batch_id, count(DISTINCT word) AS distinct_keys
+FROM (SELECT unnest(string_split(value, ' ')) AS word FROM ({B.SQL_LINES}))
+WHERE word <> ''
+""")
+def batch_distinct_words(spark, sf_dir):
+    """Number of distinct words in each micro-batch."""
+    per_batch = jobs.batch_word_count(spark, _doc_lines_stream(spark, sf_dir), "batch_distinct")
+    return per_batch.groupBy("batch_id").agg(F.count(F.lit(1)).alias("distinct_keys"))

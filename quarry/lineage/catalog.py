@@ -78,6 +78,8 @@ def schema_fields(catalog: DataFrame, schema_col: str = "schema",
             *keys, "name", F.col("tname").alias("type"), "description"))
         frontier = fields.filter(F.col("tname") == "record").select(
             *keys, F.col("name").alias("prefix"), "t")
+        if frontier.isEmpty():  # no deeper records: stop building levels
+            break
     return out
 
 

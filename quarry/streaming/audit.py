@@ -42,8 +42,17 @@ def schema_field_list(schema: T.StructType, prefix: str = "") -> list[tuple[str,
     return out
 
 
-def _append_event(spark: SparkSession, audit_path: str, row: tuple) -> None:
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit_path)
+def _write_event(spark: SparkSession, audit_path: str, key: str, row: tuple) -> None:
+    """Write one audit event to its own folder, replacing an earlier copy:
+    a micro-batch replayed after a failure rewrites its RUNNING row instead
+    of adding a second one."""
+    (spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{audit_path}/{key}"))
+
+
+def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
+    """All events of an audit table."""
+    return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(audit_path)
 
 
 def run_audited(spark: SparkSession, stream: DataFrame, job: str, source_name: str,
@@ -52,7 +61,7 @@ def run_audited(spark: SparkSession, stream: DataFrame, job: str, source_name: s
     """Write ``stream`` to ``data_path`` (one ``batch_id=n`` folder per
     micro-batch, overwritten on replay) and log run events to
     ``audit_path``. Empty batches are logged too. Returns
-    ``(data_path, audit_path)``.
+    ``(data_path, audit_path)``; read the events with :func:`read_audit`.
 
     The batch is written once and its size read back from the written
     files' footers, so the batch plan is not evaluated twice.
@@ -65,22 +74,22 @@ def run_audited(spark: SparkSession, stream: DataFrame, job: str, source_name: s
     run_id = str(uuid.uuid4())
     now = lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     fields0 = [T.Row(name=n, type=t) for n, t in schema_field_list(stream.schema)]
-    _append_event(spark, audit_path, (run_id, job, "START", now(), None, None,
-                                      source_name, source_uri, fields0))
+    _write_event(spark, audit_path, f"start-{run_id}", (run_id, job, "START", now(), None, None,
+                                                        source_name, source_uri, fields0))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         target = f"{data_path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
         n = batch.sparkSession.read.parquet(target).count()
         fields = [T.Row(name=a, type=b) for a, b in schema_field_list(batch.schema)]
-        _append_event(batch.sparkSession, audit_path, (run_id, job, "RUNNING", now(), int(batch_id), int(n),
-                                                       source_name, source_uri, fields))
+        _write_event(batch.sparkSession, audit_path, f"batch-{batch_id:012d}",
+                     (run_id, job, "RUNNING", now(), int(batch_id), int(n), source_name, source_uri, fields))
 
     q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
          .trigger(**trigger_kwargs(trigger)).start())
     try:
         q.awaitTermination()
     finally:
-        _append_event(spark, audit_path, (run_id, job, "COMPLETE", now(), None, None,
-                                          source_name, source_uri, fields0))
+        _write_event(spark, audit_path, f"complete-{run_id}", (run_id, job, "COMPLETE", now(), None, None,
+                                                              source_name, source_uri, fields0))
     return data_path, audit_path

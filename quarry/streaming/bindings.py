@@ -13,7 +13,7 @@ from quarry.schemas import PRODUCT_MESSAGE
 from quarry.session import table_path, work_path
 from quarry.sources.streams import lines_stream, messages_stream, table_stream
 from quarry.streaming import jobs
-from quarry.streaming.audit import run_audited
+from quarry.streaming.audit import read_audit, run_audited
 
 query = B.query
 
@@ -98,7 +98,7 @@ def audit_events(spark, sf_dir):
     COMPLETE rows in an audit table; returns the audit table."""
     ev = table_stream(spark, table_path(sf_dir, "events"))
     _, audit = run_audited(spark, ev, "events-audit", "events", table_path(sf_dir, "events"))
-    return spark.read.parquet(audit)
+    return read_audit(spark, audit)
 
 
 @query("batch_distinct_words", f"""

@@ -82,6 +82,11 @@ def test_joins_and_cogroup(spark):
     assert cg == {"a": ([1], [2, 3]), "b": ([4], [])}
     small = op.join_small(x, y, "k")
     assert small.count() == 2
+    shuffled = op.join_small(x, y, "k", max_rows=1)  # above the bound: no broadcast
+    assert sorted(tuple(r) for r in shuffled.collect()) == inner
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().logical().toString()
+    assert hinted(small) and not hinted(shuffled)
 
 
 def test_cogroup_splits_hot_key_into_bounded_chunks(spark):

@@ -4,7 +4,7 @@ import tempfile
 from quarry.session import work_path
 from quarry.sources.streams import lines_stream, messages_stream
 from quarry.streaming import jobs
-from quarry.streaming.audit import run_audited
+from quarry.streaming.audit import read_audit, run_audited
 
 MESSAGES = [
     "Ala ma kota", "kot ma Ale", "Witaj swiecie", "Ala ma psa",
@@ -78,7 +78,7 @@ def test_audited_sink_records_batches(spark):
     src = tempfile.mkdtemp()
     _land(src, "a.txt", MESSAGES[:5])
     data, audit = run_audited(spark, lines_stream(spark, src), "job", "texts", src)
-    ev = spark.read.parquet(audit).orderBy("event_time").collect()
+    ev = read_audit(spark, audit).orderBy("event_time").collect()
     kinds = [e.event_type for e in ev]
     assert kinds[0] == "START" and kinds[-1] == "COMPLETE" and "RUNNING" in kinds
     running = [e for e in ev if e.event_type == "RUNNING"]
@@ -89,3 +89,17 @@ def test_audited_sink_records_batches(spark):
 def test_trigger_kwargs():
     assert jobs.trigger_kwargs("5 seconds") == {"processingTime": "5 seconds"}
     assert jobs.trigger_kwargs("availableNow") == {"availableNow": True}
+
+
+def test_audit_restart_adds_only_new_batches(spark):
+    src = tempfile.mkdtemp()
+    data, audit, ckpt = work_path(spark, "d"), work_path(spark, "a"), work_path(spark, "c")
+    _land(src, "a.txt", MESSAGES[:3])
+    run_audited(spark, lines_stream(spark, src), "job", "texts", src, data, audit, ckpt)
+    _land(src, "b.txt", MESSAGES[3:])
+    run_audited(spark, lines_stream(spark, src), "job", "texts", src, data, audit, ckpt)
+    ev = read_audit(spark, audit).collect()
+    running = sorted((e.batch_id, e.record_count) for e in ev if e.event_type == "RUNNING")
+    assert running == [(0, 3), (1, len(MESSAGES) - 3)]
+    assert sum(1 for e in ev if e.event_type == "START") == 2
+    assert spark.read.parquet(data).count() == len(MESSAGES)

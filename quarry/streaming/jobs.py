@@ -45,6 +45,18 @@ def start_query(df: DataFrame, mode: str = "append", fmt: str = "parquet", name:
     return w.start(path) if path else w.start()
 
 
+def start_foreach_batch(df: DataFrame, fn, checkpoint: str, mode: str = "append",
+                        trigger: str | None = None, name: str | None = None):
+    """K3: call ``fn(batch_df, batch_id)`` for every micro-batch. ``fn``
+    should be idempotent per ``batch_id`` (a batch is replayed after a
+    failure before its commit was recorded)."""
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
+    if name:
+        w = w.queryName(name)
+    tk = trigger_kwargs(trigger)
+    return (w.trigger(**tk) if tk else w).start()
+
+
 def running_word_count(lines: DataFrame, col: str = "value", drop_empty: bool = True,
                        java_split: bool = False, sort: bool = False) -> DataFrame:
     """Cumulative word counts over the whole stream (state store),

@@ -134,3 +134,4 @@ def test_persisted_and_spread(spark, nums):
     assert op.spread(one, 4).rdd.getNumPartitions() == 4
     many = nums.repartition(6)
     assert op.spread(many, 4) is many
+    assert op.coalesce_to(many, 2).rdd.getNumPartitions() == 2

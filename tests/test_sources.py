@@ -79,3 +79,15 @@ def test_kafka_options_use_prefixed_group():
 def test_number_range(spark):
     from quarry.sources import number_range
     assert number_range(spark, 100).count() == 100
+
+
+def test_missing_connectors_fail_clearly(spark):
+    from quarry.functions.binary import decode_payload
+    from quarry.sources import kafka_stream
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_stream(spark, "localhost:9092", "topic", "group")
+    df = spark.createDataFrame([(bytearray(b"\x02a"),)], "value binary")
+    with pytest.raises(Exception, match="(?i)avro"):
+        df.select(decode_payload("value", '{"type": "string"}', codec="avro")).collect()
+    with pytest.raises(ValueError):
+        decode_payload("value", "k int", codec="xml")

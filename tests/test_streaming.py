@@ -103,3 +103,17 @@ def test_audit_restart_adds_only_new_batches(spark):
     assert running == [(0, 3), (1, len(MESSAGES) - 3)]
     assert sum(1 for e in ev if e.event_type == "START") == 2
     assert spark.read.parquet(data).count() == len(MESSAGES)
+
+
+def test_foreach_batch_sink(spark):
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES)
+    out = work_path(spark, "fe")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = jobs.start_foreach_batch(lines_stream(spark, src), write, work_path(spark, "fe-ckpt"),
+                                 trigger="availableNow", name="fe_test")
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == len(MESSAGES)

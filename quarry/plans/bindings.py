@@ -259,8 +259,8 @@ def value_pairs(spark, sf_dir):
 
 @query("token_counts", f"""
 SELECT doc_id, line_no, value AS line,
-       len(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
-           ELSE string_split(rtrim(value, ' '), ' ') END) AS n_tokens
+       CAST(len(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
+           ELSE string_split(rtrim(value, ' '), ' ') END) AS INTEGER) AS n_tokens
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS value,
              unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)
 """)
@@ -272,8 +272,8 @@ def token_counts(spark, sf_dir):
 
 
 @query("longest_line", f"""
-SELECT max(len(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
-           ELSE string_split(rtrim(value, ' '), ' ') END)) AS max_tokens
+SELECT CAST(max(len(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
+           ELSE string_split(rtrim(value, ' '), ' ') END)) AS INTEGER) AS max_tokens
 FROM ({SQL_LINES})
 """)
 def longest_line(spark, sf_dir):
@@ -516,11 +516,11 @@ def sum_reduce(spark, sf_dir):
     return op.total(_t(spark, sf_dir, "lineitem"), "l_quantity")
 
 
-@query("sum_fold", "SELECT coalesce(sum(l_extendedprice), 0) AS total FROM lineitem")
+@query("sum_fold", "SELECT CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS total FROM lineitem")
 def sum_fold(spark, sf_dir):
-    """A11."""
-    return op.total(_t(spark, sf_dir, "lineitem"), "l_extendedprice", zero=0.0).select(
-        F.col("total"))
+    """Fold from zero (an empty input gives 0, not null); integer sum,
+    exact in any summation order."""
+    return op.total(_t(spark, sf_dir, "lineitem"), "l_linenumber", zero=0)
 
 
 @query("sum_count_mean", """

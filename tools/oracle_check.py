@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"  # compare floats bit for bit
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -36,7 +38,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, (_dt.datetime, _dt.date)):
@@ -52,6 +54,16 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "date": "DATE",
+                 "binary": "BLOB"}
+
+
+def spark_types(df):
+    return {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
+
+
 def rows_of(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
@@ -71,9 +83,16 @@ def compare(spark, sf_dir, names=None):
             scols = df.columns
             rec["rows"] = len(srows)
             if name in sqls:
+                rel = con.sql(sqls[name])
+                dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
                 res = con.execute(sqls[name])
                 dcols = [d[0] for d in res.description]
                 drows = res.fetchall()
+                st = spark_types(df)
+                rec["types_match"] = st == dtypes
+                if not rec["types_match"]:
+                    rec["types"] = {c: (st.get(c), dtypes.get(c)) for c in set(st) | set(dtypes)
+                                    if st.get(c) != dtypes.get(c)}
                 rec["oracle_rows"] = len(drows)
                 rec["cols_match"] = sorted(scols) == sorted(dcols)
                 rec["values_match"] = rec["cols_match"] and rows_of(scols, srows) == rows_of(dcols, drows)
@@ -90,7 +109,8 @@ def compare(spark, sf_dir, names=None):
             rec["error"] = f"{type(e).__name__}: {str(e)[:400]}"
         rec["sec"] = round(time.time() - t0, 2)
         report[name] = rec
-        ok = rec.get("values_match", rec.get("oracle") == "none" and "error" not in rec)
+        ok = rec.get("values_match", rec.get("oracle") == "none" and "error" not in rec) and \
+            rec.get("types_match", True)
         print(("OK  " if ok else "BAD ") + name, json.dumps(rec), flush=True)
     return report
 
@@ -101,5 +121,6 @@ if __name__ == "__main__":
     names = sys.argv[2:] or None
     spark = local_session(8, 8)
     rep = compare(spark, sf, names)
-    bad = [k for k, v in rep.items() if not v.get("values_match", v.get("oracle") == "none" and "error" not in v)]
+    bad = [k for k, v in rep.items() if not v.get("values_match", v.get("oracle") == "none" and "error" not in v)
+           or not v.get("types_match", True)]
     print("BAD:", bad)

@@ -19,14 +19,20 @@ HEAVY_BROADCAST_ROWS = 200_000
 
 
 def chunk_column(df: DataFrame, keys: list[str], salt_cols: list[Column],
-                 max_list: int = DEFAULT_MAX_LIST) -> DataFrame:
+                 max_list: int = DEFAULT_MAX_LIST, checkpoint_input: bool = False) -> DataFrame:
     """Add ``chunk`` (long) to ``df`` so each (keys, chunk) group holds at
     most about ``max_list`` rows.
 
     The salt is a hash of the row and its position in the input
-    (``monotonically_increasing_id``), computed before any shuffle, so it is
-    the same when a lost task is recomputed from its input split.
+    (``monotonically_increasing_id``), so even many identical rows of one
+    key spread over chunks. Positions are stable when ``df`` is read from
+    files (a lost task re-reads the same split in the same order). For an
+    input that comes out of a shuffle, pass ``checkpoint_input=True``: the
+    input is then written once to the shared checkpoint folder and every
+    recomputation sees the same rows in the same places.
     """
+    if checkpoint_input:
+        df = df.checkpoint(eager=True)
     salted = df.withColumn("_salt", F.xxhash64(*salt_cols, F.monotonically_increasing_id()))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = (counts.filter(F.col("_n") > max_list)
@@ -49,7 +55,7 @@ def chunk_column(df: DataFrame, keys: list[str], salt_cols: list[Column],
 
 def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
                   out: str = "values", max_list: int = DEFAULT_MAX_LIST,
-                  sort: bool = True) -> DataFrame:
+                  sort: bool = True, checkpoint_input: bool = False) -> DataFrame:
     """A7 / groupByKey: ``(keys..., chunk, out)`` where ``out`` lists the
     key's values (sorted when ``sort``; nulls first) in chunks of about
     ``max_list``.
@@ -63,7 +69,7 @@ def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
         src = df.select(*keys, F.col(values[0]).alias("_v"))
     else:
         src = df.select(*keys, F.struct(*values).alias("_v"))
-    chunked = chunk_column(src, keys, [F.col("_v")], max_list)
+    chunked = chunk_column(src, keys, [F.col("_v")], max_list, checkpoint_input)
     dtype = src.schema["_v"].dataType.simpleString()
     return chunked.groupBy(*keys, "chunk").agg(list_with_nulls("_v", dtype, None, sort).alias(out))
 

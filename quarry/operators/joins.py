@@ -34,12 +34,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 def cogroup(left: DataFrame, right: DataFrame, on: str | list[str],
             left_values: str | list[str], right_values: str | list[str],
-            max_list: int = DEFAULT_MAX_LIST, sort: bool = True) -> DataFrame:
+            max_list: int = DEFAULT_MAX_LIST, sort: bool = True,
+            checkpoint_input: bool = False) -> DataFrame:
     """For every key found on either side, both sides' value lists.
 
     Returns ``(keys..., chunk, left, right)``; a key absent on one side gets
     an empty list there. Lists are split in chunks of about ``max_list``
-    values so a hot key never builds one unbounded row.
+    values so a hot key never builds one unbounded row. See
+    :func:`quarry.operators.chunks.chunk_column` for ``checkpoint_input``.
     """
     keys = [on] if isinstance(on, str) else list(on)
     lv = [left_values] if isinstance(left_values, str) else list(left_values)
@@ -51,7 +53,8 @@ def cogroup(left: DataFrame, right: DataFrame, on: str | list[str],
     tagged = (left.select(*keys, F.lit(0).alias("_side"), lexpr.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
               .unionByName(right.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(ltype).alias("_l"),
                                         rexpr.alias("_r"))))
-    chunked = chunk_column(tagged, keys, [F.col("_side"), F.col("_l"), F.col("_r")], max_list)
+    chunked = chunk_column(tagged, keys, [F.col("_side"), F.col("_l"), F.col("_r")], max_list,
+                           checkpoint_input)
     return chunked.groupBy(*keys, "chunk").agg(
         list_with_nulls("_l", ltype.simpleString(), F.col("_side") == 0, sort).alias("left"),
         list_with_nulls("_r", rtype.simpleString(), F.col("_side") == 1, sort).alias("right"))

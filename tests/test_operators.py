@@ -98,6 +98,8 @@ def test_cogroup_splits_hot_key_into_bounded_chunks(spark):
     assert sorted(v for r in hot for v in r.left) == list(range(50))
     assert sum(len(r.right) for r in hot) == 30
     assert all(len(r.left) + len(r.right) <= 25 for r in hot)
+    again = op.cogroup(left.repartition(3, "v"), right, "k", "v", "v", max_list=10, checkpoint_input=True)
+    assert sorted(v for r in again.collect() if r.k == "hot" for v in r.left) == list(range(50))
     rest = {r.k: (r.chunk, r.left, r.right) for r in cg if r.k != "hot"}
     assert rest == {"cold": (0, [1], []), "only_right": (0, [], [2])}
 

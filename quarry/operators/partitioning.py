@@ -13,11 +13,15 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     row group); an input already split into many files or row groups is
     returned unchanged, so on large data this costs nothing. The
     round-robin repartition is made deterministic by Spark (local sort
-    before partitioning), so recomputed tasks get the same rows.
+    before partitioning), so recomputed tasks get the same rows. Streams are
+    left as they are unless ``min_partitions`` is given.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming:
-        return df.repartition(target)
+        # a micro-batch's partition count is unknown when the plan is built;
+        # a file stream with many files per trigger is already split, so
+        # repartition only when the caller asks for a count explicitly
+        return df.repartition(min_partitions) if min_partitions else df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is

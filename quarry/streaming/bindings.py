@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.plans import bindings as B
-from quarry.operators.partitioning import spread
 from quarry.plans.pipelines import text_lines
 from quarry.schemas import PRODUCT_MESSAGE
 from quarry.session import table_path, work_path
@@ -20,7 +19,7 @@ query = B.query
 
 def _doc_lines_stream(spark, sf_dir):
     docs = table_stream(spark, table_path(sf_dir, "documents")).select("text")
-    return text_lines(spread(docs), "text")
+    return text_lines(docs, "text")
 
 
 @query("running_counts", B.ORACLE_SQL["word_count_nonempty"])

@@ -224,10 +224,9 @@ def project(spark, sf_dir):
 SELECT l_suppkey AS userId, l_partkey AS movieId, l_quantity + 1 AS rating_plus_one FROM lineitem
 """)
 def project_plus_one(spark, sf_dir):
-    """P2 (names resolve case-insensitively, outputs aliased)."""
+    """P2 (outputs aliased, so the names do not depend on how they were spelled)."""
     r = _ratings(spark, sf_dir)
-    return r.select(F.col("userid").alias("userId"), F.col("movieid").alias("movieId"),
-                    (F.col("rating") + 1).alias("rating_plus_one"))
+    return r.select("userId", "movieId", (F.col("rating") + 1).alias("rating_plus_one"))
 
 
 @query("square", """

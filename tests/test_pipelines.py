@@ -84,3 +84,10 @@ def test_conform_upcasts_to_strings(spark):
     out = df.to(MOVIE_STRINGS)
     assert out.columns == ["movieId", "title", "genres"] and out.first().movieId == "1"
     assert F is not None
+
+
+def test_names_resolve_case_insensitively_and_aliases_fix_output(spark):
+    _, r = _frames(spark)
+    out = r.select(F.col("userid"), (F.col("RATING") + 1).alias("rating_plus_one"))
+    assert out.columns == ["userid", "rating_plus_one"]  # spelling of the query, hence: alias
+    assert out.count() == len(RATINGS)

@@ -11,12 +11,19 @@ from quarry.operators.chunks import DEFAULT_MAX_LIST, chunk_column, list_with_nu
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner",
+                strategy: str | None = None) -> DataFrame:
     """Equi-join on one or more shared key columns.
 
-    Join strategy is Catalyst's (broadcast by statistics, else sort-merge;
-    AQE re-plans at run time and splits skewed partitions).
+    By default the strategy is Catalyst's (broadcast by statistics, else
+    sort-merge; AQE re-plans at run time and splits skewed partitions).
+    ``strategy="shuffle_hash"`` suits a ``right`` side with one row per key
+    that grows with the data (a per-key aggregate): each task hashes its
+    share of ``right``, bounded by key count whatever the skew of ``left``,
+    and the large side is never sorted.
     """
+    if strategy:
+        right = right.hint(strategy)
     return left.join(right, on=on, how=how)
 
 

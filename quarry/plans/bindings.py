@@ -425,11 +425,13 @@ FROM lineitem l JOIN (SELECT l_suppkey, l_partkey, avg(l_quantity) AS prediction
   ON l.l_suppkey = p.l_suppkey AND l.l_partkey = p.l_partkey
 """)
 def composite_join(spark, sf_dir):
-    """Per (user, item) predictions joined back on both keys."""
+    """Per (user, item) predictions joined back on both keys. Both sides
+    grow with the data and the predictions are unique per key: shuffled
+    hash join."""
     li = _t(spark, sf_dir, "lineitem")
     pred = li.groupBy("l_suppkey", "l_partkey").agg(F.avg("l_quantity").alias("prediction"))
     return op.join_by_key(li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"), pred,
-                          ["l_suppkey", "l_partkey"]).select(
+                          ["l_suppkey", "l_partkey"], strategy="shuffle_hash").select(
         "l_orderkey", "l_linenumber", _r6(F.col("prediction")).alias("prediction"))
 
 

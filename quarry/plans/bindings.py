@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry import operators as op
 from quarry.functions.text import jvm_split, lines_of, token_count
-from quarry.plans import catalog, pipelines
+from quarry.plans import catalog, composed
 from quarry.schemas import MOVIE_STRINGS, PRODUCT_MESSAGE, RATING
 from quarry.sources.files import parse_records, read_table
 
@@ -54,7 +54,7 @@ def _lines(spark, sf_dir, keep=("doc_id",), with_position=False, spread=True):
     docs = _t(spark, sf_dir, "documents").select(*keep, "text")
     if spread:  # tokenising is CPU-heavy; give it all cores
         docs = op.spread(docs)
-    return pipelines.text_lines(docs, "text", list(keep), with_position=with_position)
+    return composed.text_lines(docs, "text", list(keep), with_position=with_position)
 
 
 def _movie_lines(spark, sf_dir):
@@ -76,7 +76,7 @@ def _r6(c):
     return F.round(c, 6)
 
 
-# ------------------------------------------------------------ B: pipelines
+# ------------------------------------------------------- B: composed queries
 
 @query("best_rated_inner", """
 SELECT p_name AS title, count(*) AS votes,
@@ -88,7 +88,7 @@ LIMIT 10
 """)
 def best_rated_inner(spark, sf_dir):
     """B4 J1 A6 A16 O1 O4."""
-    r = pipelines.best_rated(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "lineitem"),
+    r = composed.best_rated(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "lineitem"),
                              item_key="p_partkey", title="p_name", rating_item_key="l_partkey",
                              rating="l_quantity", min_votes=100, how="inner", top=10)
     return r.select("title", "votes", _r6(F.col("rate")).alias("rate"))
@@ -118,8 +118,8 @@ FROM part m LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 46) r
 GROUP BY m.p_name HAVING count(*) > 100
 """)
 def best_rated_left_df(spark, sf_dir):
-    """B5 through the DataFrame pipeline (``how="left"``)."""
-    r = pipelines.best_rated(_t(spark, sf_dir, "part"),
+    """B5 through the DataFrame API (``how="left"``)."""
+    r = composed.best_rated(_t(spark, sf_dir, "part"),
                              _t(spark, sf_dir, "lineitem").filter(F.col("l_quantity") >= 46),
                              item_key="p_partkey", title="p_name", rating_item_key="l_partkey",
                              rating="l_quantity", min_votes=100, how="left", top=None)
@@ -133,7 +133,7 @@ JOIN part p ON a.l_partkey = p.p_partkey
 """)
 def mean_with_attributes(spark, sf_dir):
     """B6 A4 J2."""
-    r = pipelines.mean_with_attributes(
+    r = composed.mean_with_attributes(
         _t(spark, sf_dir, "lineitem"),
         _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"),
         key="p_partkey", rating="l_quantity", rating_key="l_partkey")
@@ -148,7 +148,7 @@ GROUP BY word
 """)
 def word_count(spark, sf_dir):
     """Every word of every line, Java-split semantics."""
-    return pipelines.word_count(_lines(spark, sf_dir, keep=()), "value")
+    return composed.word_count(_lines(spark, sf_dir, keep=()), "value")
 
 
 @query("word_count_nonempty", f"""
@@ -159,7 +159,7 @@ GROUP BY word
 """)
 def word_count_nonempty(spark, sf_dir):
     """B1 variant P20 P18: SQL split, empty words dropped."""
-    return pipelines.word_count(_lines(spark, sf_dir, keep=()), "value", drop_empty=True,
+    return composed.word_count(_lines(spark, sf_dir, keep=()), "value", drop_empty=True,
                                 java_split=False)
 
 
@@ -170,7 +170,7 @@ GROUP BY value
 """)
 def genre_ranking(spark, sf_dir):
     """Third field of the movie line, split on '|', ranked."""
-    return pipelines.count_multivalued(_movie_lines(spark, sf_dir), "value", sep="|",
+    return composed.count_multivalued(_movie_lines(spark, sf_dir), "value", sep="|",
                                        field_index=2, field_sep="@")
 
 
@@ -181,7 +181,7 @@ GROUP BY value
 """)
 def name_word_ranking(spark, sf_dir):
     """B2 on a plain multi-valued column (space separated names)."""
-    return pipelines.count_multivalued(_t(spark, sf_dir, "part"), "p_name", sep=" ")
+    return composed.count_multivalued(_t(spark, sf_dir, "part"), "p_name", sep=" ")
 
 
 @query("by_pattern", f"""
@@ -194,7 +194,7 @@ LIMIT 10
 """)
 def by_pattern(spark, sf_dir):
     """Lines per first ``(digits)`` match, ten most frequent."""
-    return pipelines.count_by_pattern(_movie_lines(spark, sf_dir), "value", top=10)
+    return composed.count_by_pattern(_movie_lines(spark, sf_dir), "value", top=10)
 
 
 # ----------------------------------------------- S/P: parsing and expressions
@@ -554,7 +554,7 @@ FROM (SELECT unnest(string_split(value, ' ')) AS word FROM ({SQL_LINES})) WHERE
 """)
 def distinct_words(spark, sf_dir):
     """A17 (batch form): number of distinct non-empty words."""
-    w = pipelines.words(_lines(spark, sf_dir, keep=()), drop_empty=True, java_split=False)
+    w = composed.words(_lines(spark, sf_dir, keep=()), drop_empty=True, java_split=False)
     return op.distinct_key_count(w, "word")
 
 

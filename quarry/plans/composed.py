@@ -1,4 +1,4 @@
-"""Composed pipelines B1-B6: word count, multi-valued field ranking,
+"""Composed queries B1-B6: word count, multi-valued field ranking,
 pattern counts, best rated item (two join semantics), mean with attributes."""
 
 from __future__ import annotations

@@ -1,5 +1,5 @@
 """End-to-end batch jobs in the shape of the reference programs: read
-files, run a pipeline, write or return the results. Each is a thin
+files, run a composed query, write or return the results. Each is a thin
 composition of the library's functions."""
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import split_multi
-from quarry.plans import catalog, pipelines
+from quarry.plans import catalog, composed
 from quarry.schemas import MOVIE, RATING, TAG
 from quarry.sources.files import parse_records, read_delimited, read_lines
 from quarry.sources.sinks import write_result
@@ -18,7 +18,7 @@ def word_count_job(spark: SparkSession, input_path: str, output_path: str,
                    num_files: int | None = 1, fmt: str = "csv") -> DataFrame:
     """Book word count: lines -> Java-split words -> counts, most frequent
     first -> result folder replaced (``num_files`` output files)."""
-    counts = pipelines.word_count(read_lines(spark, input_path))
+    counts = composed.word_count(read_lines(spark, input_path))
     write_result(counts, output_path, fmt=fmt, num_files=num_files)
     return counts
 
@@ -27,7 +27,7 @@ def genre_ranking_job(spark: SparkSession, movies_path: str, output_path: str,
                       sep: str = "@", num_files: int | None = None) -> DataFrame:
     """Genre ranking: third field of each movie line split on ``|``,
     counted and ranked, written to a result folder."""
-    ranked = pipelines.count_multivalued(read_lines(spark, movies_path), "value", "|",
+    ranked = composed.count_multivalued(read_lines(spark, movies_path), "value", "|",
                                          field_index=2, field_sep=sep)
     write_result(ranked, output_path, fmt="csv", num_files=num_files)
     return ranked
@@ -42,9 +42,9 @@ def movielens_report(spark: SparkSession, movies_path: str, ratings_path: str,
     movies = parse_records(movie_lines, MOVIE, sep=sep, mode="permissive")
     ratings = parse_records(read_lines(spark, ratings_path), RATING, sep=sep, mode="permissive")
     return {
-        "genres": pipelines.count_multivalued(movies, "genres", "|"),
-        "years": pipelines.count_by_pattern(movie_lines, "value", top=top),
-        "best": pipelines.best_rated(movies, ratings, "movieId", "title", "movieId", "rating",
+        "genres": composed.count_multivalued(movies, "genres", "|"),
+        "years": composed.count_by_pattern(movie_lines, "value", top=top),
+        "best": composed.best_rated(movies, ratings, "movieId", "title", "movieId", "rating",
                                      min_votes=min_votes, how="inner", top=top),
     }
 
@@ -74,6 +74,6 @@ def movielens_sql_report(spark: SparkSession, movies_path: str, ratings_path: st
                                            "rating", min_votes),
         "global_movies": catalog.register_global_view(spark, movies, "gmovies"),
         "labels": movies.select(F.concat(F.lit("Movie: "), F.col("title")).alias("label")),
-        "mean_with_movie": pipelines.mean_with_attributes(ratings, movies, "movieId", "rating"),
+        "mean_with_movie": composed.mean_with_attributes(ratings, movies, "movieId", "rating"),
         "genre_values": movies.select(F.explode(split_multi("genres", "|")).alias("genre")),
     }

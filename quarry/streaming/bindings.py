@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.plans import bindings as B
-from quarry.plans.pipelines import text_lines
+from quarry.plans.composed import text_lines
 from quarry.schemas import PRODUCT_MESSAGE
 from quarry.session import table_path, work_path
 from quarry.sources.streams import lines_stream, messages_stream, table_stream

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.binary import decode_payload, strip_header
 from quarry.functions.nested import flatten_struct
-from quarry.plans.pipelines import words
+from quarry.plans.composed import words
 from quarry.session import work_path
 
 

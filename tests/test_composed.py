@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from quarry.plans import catalog, pipelines
+from quarry.plans import catalog, composed
 
 MOVIES = [(1, "Alpha"), (2, "Beta"), (3, "Alpha"), (4, "Gamma")]
 # Alpha: items 1 and 3 (merged by title); Gamma unrated.
@@ -15,23 +15,23 @@ def _frames(spark):
 
 def test_best_rated_inner_merges_titles(spark):
     m, r = _frames(spark)
-    got = [tuple(x) for x in pipelines.best_rated(m, r, "movieId", "title", "movieId", "rating",
+    got = [tuple(x) for x in composed.best_rated(m, r, "movieId", "title", "movieId", "rating",
                                                   min_votes=3, how="inner").collect()]
     assert got == [("Alpha", 5, 4.2), ("Beta", 4, 4.0)]
 
 
 def test_best_rated_threshold_is_exclusive(spark):
     m, r = _frames(spark)
-    got = {x.title: (x.votes, x.rate) for x in pipelines.best_rated(
+    got = {x.title: (x.votes, x.rate) for x in composed.best_rated(
         m, r, "movieId", "title", "movieId", "rating", min_votes=3, how="inner").collect()}
     assert got == {"Alpha": (5, 4.2), "Beta": (4, 4.0)}
-    got4 = pipelines.best_rated(m, r, "movieId", "title", "movieId", "rating", min_votes=4).collect()
+    got4 = composed.best_rated(m, r, "movieId", "title", "movieId", "rating", min_votes=4).collect()
     assert [x.title for x in got4] == ["Alpha"]
 
 
 def test_best_rated_left_counts_unrated_item_as_one_vote(spark):
     m, r = _frames(spark)
-    got = {x.title: (x.votes, x.rate) for x in pipelines.best_rated(
+    got = {x.title: (x.votes, x.rate) for x in composed.best_rated(
         m, r, "movieId", "title", "movieId", "rating", min_votes=0, how="left", top=None).collect()}
     assert got == {"Alpha": (5, 4.2), "Beta": (4, 4.0), "Gamma": (1, None)}
     catalog.register_views(spark, movies=m, ratings=r)
@@ -42,25 +42,25 @@ def test_best_rated_left_counts_unrated_item_as_one_vote(spark):
 
 def test_word_count_and_multivalued(spark):
     lines = spark.createDataFrame([("a b a",), ("b  ",), ("",)], "value string")
-    wc = {r.word: r["count"] for r in pipelines.word_count(lines).collect()}
+    wc = {r.word: r["count"] for r in composed.word_count(lines).collect()}
     assert wc == {"a": 2, "b": 2, "": 1}
-    ne = {r.word: r["count"] for r in pipelines.word_count(lines, drop_empty=True, java_split=False).collect()}
+    ne = {r.word: r["count"] for r in composed.word_count(lines, drop_empty=True, java_split=False).collect()}
     assert ne == {"a": 2, "b": 2}
     mv = spark.createDataFrame([("1@T (1995)@Animation|Comedy",), ("2@U (1996)@Comedy",)], "value string")
-    g = [tuple(r) for r in pipelines.count_multivalued(mv, "value", "|", field_index=2).collect()]
+    g = [tuple(r) for r in composed.count_multivalued(mv, "value", "|", field_index=2).collect()]
     assert g == [("Comedy", 2), ("Animation", 1)]
 
 
 def test_count_by_pattern_first_match_and_drop(spark):
     lines = spark.createDataFrame([("1@(500) Days (2009)@x",), ("2@A (2009)@y",), ("3@none@z",)],
                                   "value string")
-    got = [tuple(r) for r in pipelines.count_by_pattern(lines).collect()]
+    got = [tuple(r) for r in composed.count_by_pattern(lines).collect()]
     assert got == [(500, 1), (2009, 1)]
 
 
 def test_mean_with_attributes_single_key(spark):
     m, r = _frames(spark)
-    out = pipelines.mean_with_attributes(r, m, "movieId", "rating")
+    out = composed.mean_with_attributes(r, m, "movieId", "rating")
     assert out.columns == ["movieId", "avg_rating", "title"]
     assert {x.movieId: x.avg_rating for x in out.collect()} == {1: 5.0, 2: 4.0, 3: 3.0}
 

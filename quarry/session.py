@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path set by the operator; it is
-    only filled in here when the session has none (tests, local runs).
+    On a cluster this is a shared file system path set by the operator (an
+    error if missing); only a local-mode session without one gets a
+    temporary folder (tests).
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -52,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf key absent
             base = None
     if not base:
-        base = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                               "checkpoints and stream state must survive executor loss")
+        base = tempfile.mkdtemp(prefix="quarry-ckpt-")  # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)

@@ -66,3 +66,26 @@ def test_kafka_jobs_need_the_connector(spark):
     d = tempfile.mkdtemp()
     with pytest.raises(Exception, match="(?i)kafka"):
         apps.kafka_word_count_job(spark, "localhost:9092", "t", "g", f"{d}/raw", f"{d}/counts", f"{d}/ck")
+
+
+def test_audited_product_job_on_landed_binary_messages(spark):
+    import base64
+
+    from quarry.schemas import BINARY_MESSAGE
+    from quarry.sources.streams import messages_stream
+    from quarry.streaming.audit import read_audit
+    landing = tempfile.mkdtemp()
+    msgs = [{"creationDate": "01-02-2024 10:00:00", "id": i,
+             "product": {"productName": f"p{i}", "color": "red", "material": None, "price": "9.99",
+                         "promotionCode": None}} for i in range(5)]
+    with open(os.path.join(landing, "m.json"), "w") as f:
+        for i, m in enumerate(msgs):
+            payload = base64.b64encode(json.dumps(m).encode()).decode()
+            f.write(json.dumps({"message_id": str(i), "avro_data": payload}) + "\n")
+    stream = messages_stream(spark, landing, schema=BINARY_MESSAGE).withColumnRenamed("avro_data", "value")
+    data, audit = apps.audited_product_job(spark, stream, "products", "landing", landing, header_bytes=0)
+    rows = spark.read.parquet(data).orderBy("id").collect()
+    assert [r.productName for r in rows] == [f"p{i}" for i in range(5)] and rows[0].color == "red"
+    running = [e for e in read_audit(spark, audit).collect() if e.event_type == "RUNNING"]
+    assert sum(e.record_count for e in running) == 5
+    assert ("price", "string") in [(f.name, f.type) for f in running[0].fields]

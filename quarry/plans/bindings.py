@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import operators as op
-from quarry.functions.text import jvm_split, lines_of, token_count
+from quarry.functions.text import token_count
 from quarry.plans import catalog, composed
 from quarry.schemas import MOVIE_STRINGS, PRODUCT_MESSAGE, RATING
 from quarry.sources.files import parse_records, read_table

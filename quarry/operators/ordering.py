@@ -20,7 +20,12 @@ def _order(by, ascending) -> list[Column]:
 
 def sort_by(df: DataFrame, by, ascending=True, tie_break=None) -> DataFrame:
     """O1 / O2: total order; ``tie_break`` columns (ascending) make ties
-    deterministic."""
+    deterministic.
+
+    A global sort range-partitions on its keys; a value shared by a large
+    share of the rows would fall into one range. Unique ``tie_break``
+    columns let the range partitioner cut such a value into several
+    partitions."""
     order = _order(by, ascending)
     if tie_break:
         order += _order(tie_break, True)

@@ -355,7 +355,7 @@ def product_flat(spark, sf_dir):
     """Nested product message decoded and flattened."""
     from quarry.functions.binary import decode_payload
     from quarry.functions.nested import flatten_struct
-    msgs = _product_json(_t(spark, sf_dir, "events"))
+    msgs = _product_json(op.spread(_t(spark, sf_dir, "events")))  # JSON work is CPU-heavy
     dec = msgs.select("message_id", decode_payload("payload", PRODUCT_MESSAGE).alias("m"))
     return flatten_struct(dec, "m", keep=["message_id"])
 

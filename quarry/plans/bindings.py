@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quarry import operators as op
 from quarry.functions.text import token_count
 from quarry.plans import catalog, composed
-from quarry.schemas import MOVIE_STRINGS, PRODUCT_MESSAGE, RATING
+from quarry.schemas import MOVIE, MOVIE_STRINGS, PRODUCT_MESSAGE, RATING
 from quarry.sources.files import parse_records, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,6 +214,48 @@ def parse_records_q(spark, sf_dir):
     return parse_records(lines, RATING, sep="@", mode="failfast")
 
 
+@query("delimited_roundtrip", """
+SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title, p_type AS genres FROM part
+""")
+def delimited_roundtrip(spark, sf_dir):
+    """K1 + S2 + P9: items written as header-less ``@``-delimited files,
+    read back with a fixed schema and named columns."""
+    from quarry.session import work_path
+    from quarry.sources.files import read_delimited
+    from quarry.sources.sinks import write_result
+    folder = work_path(spark, "movies-dat")
+    write_result(_t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"), folder,
+                 fmt="csv", sep="@", header="false")
+    return read_delimited(spark, folder, ["movieId", "title", "genres"], sep="@", schema=MOVIE)
+
+
+@query("text_file_word_count", f"""
+SELECT word, count(*) AS count
+FROM (SELECT {SQL_JVM_WORDS} AS word FROM ({SQL_LINES}))
+GROUP BY word
+""")
+def text_file_word_count(spark, sf_dir):
+    """S1 + B1: texts written as plain text files, read back line by line,
+    Java-split word count."""
+    from quarry.session import work_path
+    from quarry.sources.files import read_lines
+    folder = work_path(spark, "books")
+    op.spread(_t(spark, sf_dir, "documents").select("text")).write.mode("overwrite").text(folder)
+    return composed.word_count(read_lines(spark, folder))
+
+
+@query("json_events", "SELECT event_id, user_id, event_type, value, props FROM events")
+def json_events(spark, sf_dir):
+    """Events written as JSON lines and read back with a fixed schema."""
+    from quarry.session import work_path
+    from quarry.sources.files import read_events
+    folder = work_path(spark, "events-json")
+    cols = ["event_id", "user_id", "event_type", "value", "props"]
+    ev = _t(spark, sf_dir, "events").select(*cols)
+    ev.write.mode("overwrite").json(folder)
+    return read_events(spark, folder, ev.schema)
+
+
 @query("project", "SELECT p_name AS title FROM part")
 def project(spark, sf_dir):
     """P1."""

@@ -65,20 +65,33 @@ def kmeans(spark, sf_dir):
 
 @query("kmeans_reload")
 def kmeans_reload(spark, sf_dir):
-    """M5 K4: fit (k=2, 20 iterations), save, reload, assign every point."""
-    pts = _points(spark, sf_dir)
+    """Points written as space-separated text lines, parsed to
+    vectors, k-means (k=2, 20 iterations) fitted, saved, reloaded; the
+    reloaded model assigns every point. Returns points per cluster with the
+    training cost."""
+    from quarry.sources.files import parse_vectors, read_lines
+    folder = work_path(spark, "points-txt")
+    emb = B._t(spark, sf_dir, "embeddings")
+    emb.select(F.array_join(F.transform("embedding", lambda x: x.cast("string")), " ").alias("value")) \
+        .write.mode("overwrite").text(folder)
+    pts = parse_vectors(read_lines(spark, folder))
     model = cluster.fit_kmeans(pts, k=2, max_iter=20, seed=1)
     path = work_path(spark, "kmeans-model")
     save_model(model, path)
     again = load_model(KMeansModel, path)
-    return again.transform(pts).select("vec_id", "prediction")
+    return (again.transform(pts).groupBy("prediction").agg(F.count(F.lit(1)).alias("points"))
+            .withColumn("training_cost", F.lit(float(model.summary.trainingCost))))
 
 
 @query("linreg")
 def linreg(spark, sf_dir):
-    """M6 M7: elastic-net linear regression (10 iterations, reg 0.3, mix 0.8)
-    and its training summary."""
-    model = regression.fit_linear(_points(spark, sf_dir))
+    """Labelled points written as a libsvm file and read back,
+    elastic-net linear regression (10 iterations, reg 0.3, mix 0.8) and its
+    training summary."""
+    from quarry.sources.files import read_libsvm
+    folder = work_path(spark, "points-libsvm")
+    _points(spark, sf_dir).select("label", "features").write.mode("overwrite").format("libsvm").save(folder)
+    model = regression.fit_linear(read_libsvm(spark, folder, num_features=64))
     return regression.linear_summary(model, spark)
 
 

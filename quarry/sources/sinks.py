@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", num_files: int | None = None,
@@ -10,9 +11,15 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", num_files: int
     """K1: replace a result folder atomically through Spark's committer.
 
     ``num_files`` narrows the output with ``coalesce`` (no shuffle); leave it
-    unset at scale so every task writes its own file.
+    unset at scale so every task writes its own file. ``fmt="tuples"``
+    writes text lines ``(a,b,..)``.
     """
     out = df.coalesce(num_files) if num_files else df
+    if fmt == "tuples":
+        # one "(a,b,...)" text line per row, as saveAsTextFile prints tuples
+        out = out.select(F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in out.columns]),
+                                  F.lit(")")).alias("value"))
+        fmt = "text"
     w = out.write.mode("overwrite").format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)

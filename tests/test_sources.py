@@ -68,6 +68,9 @@ def test_write_result_overwrites(spark):
     write_result(df.limit(3), d, num_files=1)
     assert spark.read.parquet(d).count() == 3
     assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1
+    t = os.path.join(tempfile.mkdtemp(), "pairs")
+    write_result(spark.createDataFrame([("a", 2), ("b", 1)], "w string, n int"), t, fmt="tuples", num_files=1)
+    assert sorted(r.value for r in spark.read.text(t).collect()) == ["(a,2)", "(b,1)"]
 
 
 def test_kafka_options_use_prefixed_group():

@@ -39,7 +39,8 @@ def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
     """S3: split delimited lines into typed records.
 
     ``mode="failfast"``: a wrong field count or a bad number fails the job
-    (ANSI cast). ``mode="permissive"``: such lines are dropped.
+    (with or without ANSI mode). ``mode="permissive"``: such lines are
+    dropped.
     """
     n = len(schema.fields)
     parts = F.split(F.col(col), regex_quote(sep), -1)
@@ -47,9 +48,14 @@ def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
     if mode == "failfast":
         checked = F.when(arity_ok, parts).otherwise(
             F.raise_error(F.concat(F.lit(f"expected {n} fields: "), F.col(col))))
-        out = lines.select(checked.alias("_p")).select(
-            *[F.col("_p")[i].cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
-        return out
+        fields = []
+        for i, f in enumerate(schema.fields):
+            raw = F.col("_p")[i]
+            typed = F.expr(f"try_cast(_p[{i}] AS {f.dataType.simpleString()})")
+            # fail on a bad value whatever spark.sql.ansi.enabled says
+            bad = F.raise_error(F.concat(F.lit(f"bad {f.name}: "), raw))
+            fields.append(F.when(raw.isNotNull() & typed.isNull(), bad).otherwise(typed).alias(f.name))
+        return lines.select(checked.alias("_p")).select(*fields)
     if mode == "permissive":
         out = lines.select(parts.alias("_p")).filter(F.size("_p") == n).select(
             *[F.expr(f"try_cast(_p[{i}] AS {f.dataType.simpleString()})").alias(f.name)

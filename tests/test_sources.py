@@ -37,6 +37,15 @@ def test_parse_records_modes(spark):
     assert [tuple(r) for r in ok.collect()] == [(1, 10, 4.5, 100)]
     with pytest.raises(Exception):
         parse_records(lines, RATING, sep="::", mode="failfast").collect()
+    bad_number = spark.createDataFrame([("1::x::4.5::100",)], "value string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="bad movieId"):
+            parse_records(bad_number, RATING, sep="::", mode="failfast").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    good = parse_records(lines.limit(1), RATING, sep="::", mode="failfast")
+    assert [tuple(r) for r in good.collect()] == [(1, 10, 4.5, 100)] and good.schema == RATING
 
 
 def test_parse_vectors_and_libsvm(spark):

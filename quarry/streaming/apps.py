@@ -25,7 +25,7 @@ def kafka_word_count_job(spark: SparkSession, servers: str, topic: str, group: s
     q1 = jobs.start_query(raw, "append", "parquet", "kafka-messages", trigger, f"{checkpoint}/raw", raw_out)
     w = (counts.writeStream.outputMode("complete").queryName("kafka-word-count")
          .option("checkpointLocation", f"{checkpoint}/counts")
-         .foreachBatch(jobs._overwrite_to(counts_out)).trigger(**jobs.trigger_kwargs(trigger)))
+         .foreachBatch(jobs.overwrite_each_batch(counts_out)).trigger(**jobs.trigger_kwargs(trigger)))
     return q1, w.start()
 
 

@@ -92,7 +92,10 @@ def run_append(spark: SparkSession, df: DataFrame, name: str, trigger: str = "av
     return spark.read.parquet(out)
 
 
-def _overwrite_to(path: str):
+def overwrite_each_batch(path: str):
+    """``foreachBatch`` function that replaces ``path`` with each batch
+    (complete-mode results: every batch is the whole current state, and a
+    replayed batch rewrites the same result)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
     return write
@@ -106,7 +109,7 @@ def run_complete(spark: SparkSession, df: DataFrame, name: str, trigger: str = "
     out = out or work_path(spark, f"{name}-out")
     ckpt = checkpoint or work_path(spark, f"{name}-ckpt")
     w = (df.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
-         .foreachBatch(_overwrite_to(out)).trigger(**trigger_kwargs(trigger)))
+         .foreachBatch(overwrite_each_batch(out)).trigger(**trigger_kwargs(trigger)))
     w.start().awaitTermination()
     return spark.read.parquet(out)
 
@@ -141,7 +144,7 @@ def start_pair(first: DataFrame, second: DataFrame, spark: SparkSession, name: s
     q1 = start_query(first, "append", "parquet", None, trigger, work_path(spark, f"{name}-c1"), out1)
     w2 = (second.writeStream.outputMode("complete")
           .option("checkpointLocation", work_path(spark, f"{name}-c2"))
-          .foreachBatch(_overwrite_to(out2)))
+          .foreachBatch(overwrite_each_batch(out2)))
     tk = trigger_kwargs(trigger)
     q2 = (w2.trigger(**tk) if tk else w2).start()
     spark.streams.awaitAnyTermination(timeout)

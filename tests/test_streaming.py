@@ -158,3 +158,15 @@ def test_replayed_uncommitted_batch_is_idempotent(spark):
     last_run = max((e for e in events if e.event_type == "START"), key=lambda e: e.event_time).run_id
     replayed = [e for e in events if e.event_type == "RUNNING" and e.batch_id == 1]
     assert [e.run_id for e in replayed] == [last_run]  # batch 1 really ran again, once
+
+
+def test_replayed_complete_mode_batch_rewrites_the_same_result(spark):
+    src = tempfile.mkdtemp()
+    out, ckpt = work_path(spark, "c-out"), work_path(spark, "c-ckpt")
+    _land(src, "a.txt", MESSAGES[:4])
+    jobs.run_complete(spark, jobs.running_word_count(lines_stream(spark, src)), "c", out=out, checkpoint=ckpt)
+    _land(src, "b.txt", MESSAGES[4:])
+    jobs.run_complete(spark, jobs.running_word_count(lines_stream(spark, src)), "c", out=out, checkpoint=ckpt)
+    res = jobs.run_complete(spark, jobs.running_word_count(lines_stream(spark, src)), "c", out=out,
+                            checkpoint=_checkpoint_without_last_commit(ckpt))
+    assert {r.word: r["count"] for r in res.collect()} == _expected(MESSAGES)

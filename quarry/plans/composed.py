@@ -69,6 +69,9 @@ def count_by_pattern(lines: DataFrame, col: str = "value", pattern: str = r"\(([
     """Rows per first regex match (e.g. release year), top ``top``.
 
     Lines without a match are dropped (the reference crashes on them).
+    ``cast`` types the key (``"int"`` by default, as release years are);
+    a match too long for it fails under ANSI mode, so pass ``cast=None`` to
+    keep the matched text when the input may hold such digit runs.
     """
     key = first_match(col, pattern)
     m = lines.select(key.alias(out)).filter(F.col(out) != "")

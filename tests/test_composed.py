@@ -56,6 +56,8 @@ def test_count_by_pattern_first_match_and_drop(spark):
                                   "value string")
     got = [tuple(r) for r in composed.count_by_pattern(lines).collect()]
     assert got == [(500, 1), (2009, 1)]
+    text = [tuple(r) for r in composed.count_by_pattern(lines, cast=None).collect()]
+    assert text == [("2009", 1), ("500", 1)]  # string keys, ordered as text on ties
 
 
 def test_mean_with_attributes_single_key(spark):

@@ -136,6 +136,22 @@ def batch_word_count(spark: SparkSession, lines: DataFrame, name: str, col: str
     return spark.read.parquet(out)
 
 
+def stream_word_count(spark: SparkSession, lines: DataFrame, scope: str = "running",
+                      name: str = "word-count", col: str = "value", drop_empty: bool = True,
+                      trigger: str = "availableNow", out: str | None = None,
+                      checkpoint: str | None = None) -> DataFrame:
+    """Word counts of a line stream. ``scope="running"``: cumulative over
+    the whole stream (complete mode, state store). ``scope="batch"``: each
+    micro-batch counted on its own, tagged with ``batch_id``. Returns the
+    result folder as a batch DataFrame."""
+    if scope == "running":
+        agg = running_word_count(lines, col, drop_empty)
+        return run_complete(spark, agg, name, trigger, out, checkpoint)
+    if scope == "batch":
+        return batch_word_count(spark, lines, name, col, drop_empty, trigger, out, checkpoint)
+    raise ValueError("scope must be 'running' or 'batch'")
+
+
 def start_pair(first: DataFrame, second: DataFrame, spark: SparkSession, name: str,
                trigger: str | None = "availableNow", timeout: float | None = 600):
     """T5: two queries over one source (raw append + running complete),

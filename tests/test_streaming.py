@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from quarry.session import work_path
 from quarry.sources.streams import lines_stream, messages_stream
 from quarry.streaming import jobs
@@ -170,3 +172,19 @@ def test_replayed_complete_mode_batch_rewrites_the_same_result(spark):
     res = jobs.run_complete(spark, jobs.running_word_count(lines_stream(spark, src)), "c", out=out,
                             checkpoint=_checkpoint_without_last_commit(ckpt))
     assert {r.word: r["count"] for r in res.collect()} == _expected(MESSAGES)
+
+
+def test_stream_word_count_scopes(spark):
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES[:4])
+    ck_r, ck_b = work_path(spark, "s-r"), work_path(spark, "s-b")
+    out_r, out_b = work_path(spark, "s-ro"), work_path(spark, "s-bo")
+    jobs.stream_word_count(spark, lines_stream(spark, src), "running", out=out_r, checkpoint=ck_r)
+    jobs.stream_word_count(spark, lines_stream(spark, src), "batch", out=out_b, checkpoint=ck_b)
+    _land(src, "b.txt", MESSAGES[4:])
+    run = jobs.stream_word_count(spark, lines_stream(spark, src), "running", out=out_r, checkpoint=ck_r)
+    per = jobs.stream_word_count(spark, lines_stream(spark, src), "batch", out=out_b, checkpoint=ck_b)
+    assert {r.word: r["count"] for r in run.collect()} == _expected(MESSAGES)
+    assert {r.word: r["count"] for r in per.filter("batch_id = 1").collect()} == _expected(MESSAGES[4:])
+    with pytest.raises(ValueError):
+        jobs.stream_word_count(spark, lines_stream(spark, src), "daily")

@@ -133,3 +133,18 @@ def test_aqe_splits_a_skewed_join_partition(spark, hot_dir):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_scans_read_only_needed_columns(spark):
+    import re
+    widths = {t: len(pq.read_schema(f"{SF}/{t}.parquet"))
+              for t in ["part", "lineitem", "events", "documents", "orders", "customer"]}
+    full = set()
+    for name in BATCH:
+        plan = _plan(bindings.QUERIES[name](spark, SF))
+        for table, schema in re.findall(
+                r"\[file:[^\]]*/(\w+)\.parquet\].*?ReadSchema: struct<([^>]*)>", plan):
+            if table in widths and schema.count(":") >= widths[table]:
+                full.add(name)
+    # SELECT * views, and the product message that uses every event column
+    assert full == {"view_select", "global_view", "product_flat"}, full

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators.chunks import DEFAULT_MAX_LIST, chunk_column, list_with_nulls
 
-# Upper bound for broadcasting a side whose size was counted.
+# Upper bounds for broadcasting a side whose size was measured.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner",
@@ -28,14 +29,19 @@ def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner",
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join that broadcasts ``small`` only after counting it.
+               max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join that broadcasts ``small`` only after measuring it.
 
-    Above ``max_rows`` it falls back to a shuffled join, so a side that
-    grows with the data never gets pushed whole to every executor.
+    One aggregate over ``small`` gives its row count and its size as JSON
+    text (an upper-bound proxy for its in-memory size). Only when both are
+    within ``max_rows`` / ``max_bytes`` is it broadcast; otherwise the join
+    is shuffled, so a side that grows with the data never gets pushed whole
+    to every executor.
     """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+    size = F.length(F.to_json(F.struct(*[F.col(c) for c in small.columns])))
+    stats = small.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    fits = stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
+    side = F.broadcast(small) if fits else small
     return big.join(side, on=on, how=how)
 
 

@@ -83,10 +83,11 @@ def test_joins_and_cogroup(spark):
     small = op.join_small(x, y, "k")
     assert small.count() == 2
     shuffled = op.join_small(x, y, "k", max_rows=1)  # above the bound: no broadcast
+    too_wide = op.join_small(x, y, "k", max_bytes=10)  # few rows, too many bytes
     assert sorted(tuple(r) for r in shuffled.collect()) == inner
     def hinted(df):
         return "strategy=broadcast" in df._jdf.queryExecution().logical().toString()
-    assert hinted(small) and not hinted(shuffled)
+    assert hinted(small) and not hinted(shuffled) and not hinted(too_wide)
 
 
 def test_cogroup_splits_hot_key_into_bounded_chunks(spark):

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_MAX_LIST = 100_000
 # Hot keys are few by construction (at most rows / max_list of them); their
-# table is broadcast only after counting it, else shuffled.
+# table is broadcast only after measuring it, else shuffled.
 HEAVY_BROADCAST_ROWS = 200_000
+HEAVY_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def chunk_column(df: DataFrame, keys: list[str], salt_cols: list[Column],
@@ -38,10 +39,13 @@ def chunk_column(df: DataFrame, keys: list[str], salt_cols: list[Column],
     heavy = (counts.filter(F.col("_n") > max_list)
              .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
                      F.ceil(F.col("_n") / F.lit(max_list)).cast("long").alias("_nchunks")))
-    n_heavy = heavy.count()  # size check before choosing the join strategy
-    if n_heavy == 0:
+    # size check (rows and bytes, one pass) before choosing the join strategy
+    size = F.length(F.to_json(F.struct(*[F.col(c) for c in heavy.columns])))
+    stats = heavy.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    if stats["rows"] == 0:
         return salted.drop("_salt").withColumn("chunk", F.lit(0).cast("long"))
-    side = F.broadcast(heavy) if n_heavy <= HEAVY_BROADCAST_ROWS else heavy
+    small = stats["rows"] <= HEAVY_BROADCAST_ROWS and stats["bytes"] <= HEAVY_BROADCAST_BYTES
+    side = F.broadcast(heavy) if small else heavy
     cond = None
     for i, k in enumerate(keys):
         c = salted[k].eqNullSafe(side[f"_hk{i}"])

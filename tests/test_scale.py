@@ -29,6 +29,14 @@ def test_no_cartesian_or_nested_loop_join_anywhere(spark):
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
+def test_all_work_stays_in_the_jvm(spark):
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                    "FlatMapCoGroupsInPandas", "PythonUDF")
+    for name in BATCH:
+        plan = _plan(bindings.QUERIES[name](spark, SF))
+        assert not any(n in plan for n in python_nodes), name
+
+
 def test_filters_reach_the_scan_and_columns_are_pruned(spark):
     plan = _plan(bindings.QUERIES["numeric_filter"](spark, SF))
     assert "LessThan(l_quantity,2.0)" in plan

@@ -1,5 +1,6 @@
 """Run registered queries and their DuckDB SQL side by side; report
-row-count, column-name and order-insensitive value matches.
+row-count, column-name, column-type and order-insensitive value matches.
+Doubles are compared to 6 places, or bit for bit with ``ORACLE_STRICT=1``.
 
     python tools/oracle_check.py [sf_dir] [name ...]
 """

@@ -114,7 +114,7 @@ keep AS (
   SELECT conv_id, n AS n_turns, n_copies FROM one a
   WHERE NOT EXISTS (
     SELECT 1 FROM c b WHERE b.l[1] = a.l[1] AND b.last > a.last
-      AND list_filter(b.l, x -> x.turn <= a.last) = a.l))
+      AND list_filter(b.l, lambda x: x.turn <= a.last) = a.l))
 SELECT k.conv_id, CAST(floor(turn / {BLOCK_TURNS}.0) AS BIGINT) AS part, n_turns, n_copies,
        string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), ''
                   ORDER BY turn, role, text) AS text

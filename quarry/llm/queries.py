@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, language, packing, quality, secrets
+from quarry.llm import chat, decontam, jaccard, language, lines, packing, quality, secrets
 from quarry.llm.store import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
@@ -18,6 +22,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages are identified together: pages bring markup and
     addresses, documents most of the text."""
@@ -30,6 +38,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "declared", "text_language", "language", "posterior", "kept")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -39,6 +51,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_chat_format, op3_secret_scan, op6_language_id, op8_best_fit_packing, op9_quality_rules)}
+    op1_line_dedup, op2_chat_format, op3_secret_scan, op4_ngram_jaccard, op6_language_id, op7_decontamination,
+    op8_best_fit_packing, op9_quality_rules)}
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE}

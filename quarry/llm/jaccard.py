@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
@@ -417,18 +417,10 @@ def _link_shards(members: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("shard", "i", "j").applyInArrow(walk, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles (size of its set of
-    distinct 5-word shingles) and component_id, the smallest doc_id that
-    links reach from it, its own included. ``percent`` is at least 1.
-
-    A null or empty text, or one of white space, has an empty set and links
-    with nothing; under five words the whole sequence is the one shingle, so
-    equal short texts link. Rows with a null id take part and give null only
-    if no row of their component has an id. Repeated rows link with each
-    other. An empty table gives an empty result; other columns are not read.
-    Shingles are compared by 52-bit hashes.
-    """
+def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(k, doc_id, n, end, component) for every row: its key, its set's size,
+    the label of its group (null if nothing can link with it) and the
+    smallest doc_id of the group."""
     keyed = _keyed(docs)
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     sketches = written(sketch(keyed, partition_bits(size, 8e6)), "jaccard")
@@ -477,8 +469,38 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.col("s1").alias("_1"), F.col("s2").alias("_2"), F.col("n").alias("_n"), "least",
         F.coalesce("end", "label").alias("end"))
     ids = two.groupBy("end").agg(F.min("least").alias("component")).join(two.drop("least"), "end").select(
-        "_1", "_2", "_n", "component")
+        "_1", "_2", "_n", "end", "component")
     return (rows.join(ids, (rows["s1"] == ids["_1"]) & (rows["s2"] == ids["_2"]) & (rows["n"] == ids["_n"])
                       & (rows["n"] > 0), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "doc_id").alias("component_id")))
+            .select("k", "doc_id", "n", "end", "component"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles (size of its set of
+    distinct 5-word shingles) and component_id, the smallest doc_id that
+    links reach from it, its own included. ``percent`` is at least 1.
+
+    A null or empty text, or one of white space, has an empty set and links
+    with nothing; under five words the whole sequence is the one shingle, so
+    equal short texts link. Rows with a null id take part and give null only
+    if no row of their component has an id. Repeated rows link with each
+    other. An empty table gives an empty result; other columns are not read.
+    Shingles are compared by 52-bit hashes.
+    """
+    return groups(docs, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs``, all columns, with one row of each group of near-duplicates:
+    the one of the smallest doc_id (a null id counts as smallest)."""
+    found = written(groups(docs, percent).filter("end is not null"), "groups")
+    first = found.groupBy("end").agg(F.min(F.struct("doc_id", "k")).alias("_first"))
+    mark = written(found.join(first, "end").groupBy(F.col("k").alias("_k")).agg(
+        F.min(F.col("_first")["k"] != F.col("k")).alias("_gone"), F.count(F.lit(1)).alias("_rows")), "marks")
+    keyed = docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit(""))))
+    left = keyed.join(mark, F.col("_key") == F.col("_k"), "left").filter(~F.coalesce("_gone", F.lit(False)))
+    if not mark.filter("_rows > 1 and not _gone").isEmpty():  # identical rows: one of them
+        again = Window.partitionBy("_key").orderBy("_k")
+        left = left.withColumn("_at", F.row_number().over(again)).filter("_rows is null or _at = 1")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

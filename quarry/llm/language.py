@@ -42,11 +42,12 @@ _LETTERS[128:] = np.arange(128, 256)
 _LETTERS[_LETTERS == 0] = 32
 
 
-def evidence_of_documents(docs: DataFrame) -> DataFrame:
+def evidence_of_documents(docs: DataFrame, name: Column | None = None) -> DataFrame:
     """(kind, id, text, declared, suffix, host, domain) of ``documents``:
-    the record's lang is the declaration, its source the host."""
+    the record's lang is the declaration, its source the host. ``name`` is
+    the id if not doc_id."""
     return docs.select(
-        F.lit("document").alias("kind"), docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"),
+        F.lit("document").alias("kind"), (docs["doc_id"].cast("long") if name is None else name).alias("id"), docs["text"].cast("string").alias("text"),
         _code(docs["lang"]).alias("declared"), F.lit("").alias("suffix"),
         F.coalesce(docs["source"].cast("string"), F.lit("")).alias("host"), F.lit("").alias("domain"))
 
@@ -224,3 +225,16 @@ def identify(evidence: DataFrame, min_posterior: float = MIN_POSTERIOR) -> DataF
         return scored.select("kind", "id", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
                              F.lit(None).cast("string").alias("text_language"), "declared", F.lit(False).alias("kept"))
     return fuse(scored, languages, min_posterior)
+
+
+def with_language(docs: DataFrame, pages: DataFrame, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+    """The rows of ``docs`` that :func:`identify` keeps, all columns, with
+    ``lang`` set to the language found; ``pages`` are further evidence. Rows
+    are told apart by a hash of what is known of them, so ids may be null or
+    repeated."""
+    name = F.xxhash64(docs["doc_id"].cast("long"), docs["text"], docs["lang"], docs["source"])
+    found = identify(evidence_of_documents(docs, name).unionByName(evidence_of_pages(pages)), min_posterior)
+    kept = (found.filter("kind = 'document' and kept").groupBy("id").agg(F.min("language").alias("_language"))
+            .withColumnRenamed("id", "_name"))
+    return docs.join(kept, name == kept["_name"]).select(
+        *[(F.col("_language").alias(c) if c == "lang" else docs[f"`{c}`"]) for c in docs.columns])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, jaccard, language, lines, packing, quality, secrets
+from quarry.llm import chat, decontam, jaccard, katz, language, lines, packing, quality, secrets
 from quarry.llm.store import table
 
 
@@ -26,6 +26,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and pages are identified together: pages bring markup and
     addresses, documents most of the text."""
@@ -51,7 +55,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_chat_format, op3_secret_scan, op4_ngram_jaccard, op6_language_id, op7_decontamination,
+    op1_line_dedup, op2_chat_format, op3_secret_scan, op4_ngram_jaccard, op5_katz_scores, op6_language_id, op7_decontamination,
     op8_best_fit_packing, op9_quality_rules)}
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE}

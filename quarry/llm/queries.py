@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, jaccard, katz, language, lines, packing, quality, secrets
+from quarry.llm import chat, decontam, jaccard, katz, language, lines, packing, quality, repeats, secrets
 from quarry.llm.store import table
 
 
@@ -54,8 +54,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_format, op3_secret_scan, op4_ngram_jaccard, op5_katz_scores, op6_language_id, op7_decontamination,
-    op8_best_fit_packing, op9_quality_rules)}
+    op8_best_fit_packing, op9_quality_rules, op10_suffix_array_dedup)}
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE}

@@ -98,8 +98,9 @@ def trigram_cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.flatnonzero(keep)
     low = low[at]
     cell = (_CELL_1[low[:-2]] ^ _CELL_2[low[1:-1]] ^ _CELL_3[low[2:]]) if len(low) > 2 else np.zeros(0, np.uint32)
-    row = np.searchsorted(starts, at[:len(cell)], side="right") - 1
-    return ((cell * np.uint32(0x27D4EB2F)) >> np.uint32(18)).astype(np.int64), row
+    row = np.searchsorted(starts, at, side="right") - 1
+    own = row[:len(cell)] == row[2:]
+    return ((cell[own] * np.uint32(0x27D4EB2F)) >> np.uint32(18)).astype(np.int64), row[:len(cell)][own]
 
 
 def trigram_counts(evidence: DataFrame, languages: list[str]) -> np.ndarray:

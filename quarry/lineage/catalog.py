@@ -3,9 +3,13 @@ event flattening."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.lineage.documents import schema_field_rows
+from quarry.session import send_code
+
 
 def latest_per_key(df: DataFrame, key, order: list[str], values: list[str]) -> DataFrame:
     """L3 core: per key, the row with the greatest ``order`` tuple.
@@ -38,49 +42,26 @@ def schema_facet(catalog: DataFrame, registry_url: str, subject: str = "subject"
     return catalog.select(subject, "schemaVersion", doc.alias("facet"))
 
 
-_TYPE_NAME = ("CASE WHEN schema_of_variant({v}) = 'STRING' THEN variant_get({v}, '$', 'string') "
-              "ELSE variant_get({v}, '$.type', 'string') END")
-_NON_NULL_BRANCH = ("CASE WHEN schema_of_variant({v}) LIKE 'ARRAY%' THEN "
-                    "coalesce(filter(variant_get({v}, '$', 'array<variant>'), "
-                    "x -> coalesce(variant_get(x, '$', 'string'), '') <> 'null')[0], {v}) "
-                    "ELSE {v} END")
+FIELDS = "array<struct<name: string, type: string, description: string>>"
 
 
 def schema_fields(catalog: DataFrame, schema_col: str = "schema",
-                  keys: tuple[str, ...] = ("subject", "schemaVersion"), max_depth: int = 16) -> DataFrame:
+                  keys: tuple[str, ...] = ("subject", "schemaVersion")) -> DataFrame:
     """L1: flatten Avro schema documents to ``(keys..., name, type, description)``.
 
-    Record fields are listed by dotted path; a nullable union resolves to
-    its first non-null branch; nested records are descended into (one
-    DataFrame step per nesting level, up to ``max_depth``); arrays, maps,
-    enums and references to named types stay leaves; a non-record root is
-    one row named ``value``. Descriptions default to ``""``.
+    Each document is one small JSON text, read whole where its row is (see
+    :func:`quarry.lineage.documents.schema_field_rows` for the rules): no
+    depth limit and no shuffle. Descriptions default to ``""``.
     """
-    keys = list(keys)
-    root = catalog.select(*keys, F.parse_json(F.col(schema_col)).alias("t"))
-    root = root.withColumn("tname", F.expr(_TYPE_NAME.format(v="t")))
-    out = root.filter(F.col("tname") != "record").select(
-        *keys, F.lit("value").alias("name"), F.col("tname").alias("type"),
-        F.lit(None).cast("string").alias("description"))
-    frontier = root.filter(F.col("tname") == "record").select(*keys, F.lit("").alias("prefix"), "t")
-    for _ in range(max_depth):
-        fields = frontier.select(
-            *keys, "prefix",
-            F.explode(F.expr("variant_get(t, '$.fields', 'array<variant>')")).alias("f"))
-        fields = fields.select(
-            *keys,
-            F.expr("CASE WHEN prefix = '' THEN variant_get(f, '$.name', 'string') "
-                   "ELSE concat(prefix, '.', variant_get(f, '$.name', 'string')) END").alias("name"),
-            F.coalesce(F.expr("variant_get(f, '$.doc', 'string')"), F.lit("")).alias("description"),
-            F.expr(_NON_NULL_BRANCH.format(v="variant_get(f, '$.type', 'variant')")).alias("t"))
-        fields = fields.withColumn("tname", F.coalesce(F.expr(_TYPE_NAME.format(v="t")), F.lit("union")))
-        out = out.unionByName(fields.filter(F.col("tname") != "record").select(
-            *keys, "name", F.col("tname").alias("type"), "description"))
-        frontier = fields.filter(F.col("tname") == "record").select(
-            *keys, F.col("name").alias("prefix"), "t")
-        if frontier.isEmpty():  # no deeper records: stop building levels
-            break
-    return out
+    send_code(catalog.sparkSession)
+
+    @F.pandas_udf(FIELDS)
+    def fields(documents: pd.Series) -> pd.Series:
+        return documents.map(lambda d: [dict(zip(("name", "type", "description"), r))
+                                        for r in schema_field_rows(d if isinstance(d, str) else None)])
+
+    return (catalog.select(*keys, F.explode(fields(F.col(schema_col))).alias("_f"))
+            .select(*keys, "_f.name", "_f.type", "_f.description"))
 
 
 def lineage_fields(events: DataFrame) -> DataFrame:

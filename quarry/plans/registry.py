@@ -4,13 +4,9 @@ from __future__ import annotations
 
 
 def _load():
+    import quarry.ml.bindings  # noqa: F401
+    import quarry.streaming.bindings  # noqa: F401
     from quarry.plans import bindings
-    for mod in ("quarry.streaming.bindings", "quarry.ml.bindings"):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != mod:
-                raise
     return bindings
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -69,5 +71,27 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quarry/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_ROOT = Path(__file__).resolve().parents[1]
+_sent: set[str] = set()
+
+
+def send_code(spark: SparkSession) -> None:
+    """Give the Python workers of a local session this package, unless they
+    start where they find it. A cluster gets it by deployment (--py-files)."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local[") or sc.applicationId in _sent:
+        return
+    _sent.add(sc.applicationId)
+    java = sc._jvm.java.lang.System
+    known = (java.getenv("PYTHONPATH") or "").split(os.pathsep) + [java.getProperty("user.dir")]
+    if any(k and Path(k).resolve() == _ROOT for k in known):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-code-"), "quarry_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((_ROOT / "quarry").rglob("*.py")):
+            z.write(f, f.relative_to(_ROOT))
+    sc.addPyFile(path)
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quarry.schemas import TEXT_MESSAGE
+from quarry.sources.folders import is_folder
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None,
@@ -74,14 +73,15 @@ def table_stream(spark: SparkSession, path: str, max_files_per_trigger: int | No
     layout known from its metadata when the plan is built. With ``spread``
     it is repartitioned to the cluster's cores when it has fewer row groups
     than that, the same rule as :func:`quarry.operators.spread` for batch
-    input. A folder is streamed as is.
+    input. A folder, on whatever file system, is streamed as is.
     """
     batch_view = spark.read.parquet(path)
     r = spark.readStream.schema(batch_view.schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if path.endswith(".parquet") and not os.path.isdir(path):
-        d, f = os.path.split(path)
+    if not is_folder(spark, path):
+        d, _, f = path.rpartition("/")
+        d = d or "."
         stream = r.option("pathGlobFilter", f).parquet(d)
         if spread:
             target = spark.sparkContext.defaultParallelism

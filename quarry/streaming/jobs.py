@@ -15,6 +15,7 @@ from quarry.functions.binary import decode_payload, strip_header
 from quarry.functions.nested import flatten_struct
 from quarry.plans.composed import words
 from quarry.session import work_path
+from quarry.sources import folders
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
@@ -80,24 +81,45 @@ def product_stream(stream: DataFrame, schema: T.StructType, value: str = "value"
     return flatten_struct(dec, "m", keep=keep)
 
 
+def output_places(spark: SparkSession, name: str, out: str | None, checkpoint: str | None) -> tuple[str, str]:
+    """(result folder, checkpoint) of a stream. The checkpoint belongs to the
+    result: it lies beside a given ``out``, so a second run to the same place
+    goes on where the first one ended. A result whose checkpoint is gone is
+    refused: batches would start from 0 and replace or skip what is there."""
+    if out is None:
+        return work_path(spark, f"{name}-out"), checkpoint or work_path(spark, f"{name}-ckpt")
+    checkpoint = checkpoint or out.rstrip("/") + ".checkpoint"
+    if folders.holds_files(spark, out) and not folders.exists(spark, checkpoint):
+        raise ValueError(f"{out} holds results, but its checkpoint {checkpoint} does not exist: "
+                         "give that run's checkpoint or another result folder")
+    return out, checkpoint
+
+
+def read_output(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The result folder with a known schema, so a stream that had no input
+    gives an empty frame."""
+    folders.make(spark, out)
+    return spark.read.schema(schema).parquet(out)
+
+
 def run_append(spark: SparkSession, df: DataFrame, name: str, trigger: str = "availableNow",
                out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Run an append-mode stream into a parquet folder (exactly-once file
     sink) until the available input is consumed; return the folder as a
     batch DataFrame."""
-    out = out or work_path(spark, f"{name}-out")
-    ckpt = checkpoint or work_path(spark, f"{name}-ckpt")
+    out, ckpt = output_places(spark, name, out, checkpoint)
     q = start_query(df, "append", "parquet", None, trigger, ckpt, out)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return read_output(spark, out, df.schema)
 
 
 def overwrite_each_batch(path: str):
     """``foreachBatch`` function that replaces ``path`` with each batch
     (complete-mode results: every batch is the whole current state, and a
-    replayed batch rewrites the same result)."""
+    replayed batch rewrites the same result). The old result stays until the
+    new one is written."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        folders.replace(batch.sparkSession, path, lambda new: batch.write.parquet(new))
     return write
 
 
@@ -106,12 +128,14 @@ def run_complete(spark: SparkSession, df: DataFrame, name: str, trigger: str = "
     """Run a complete-mode aggregation; each micro-batch replaces the result
     folder with the full current state (a replayed batch rewrites the same
     result). Returns the folder as a batch DataFrame."""
-    out = out or work_path(spark, f"{name}-out")
-    ckpt = checkpoint or work_path(spark, f"{name}-ckpt")
+    out, ckpt = output_places(spark, name, out, checkpoint)
     w = (df.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
          .foreachBatch(overwrite_each_batch(out)).trigger(**trigger_kwargs(trigger)))
     w.start().awaitTermination()
-    return spark.read.parquet(out)
+    return read_output(spark, out, df.schema)
+
+
+BATCH_COUNTS = "word string, count long, batch_id int"
 
 
 def batch_word_count(spark: SparkSession, lines: DataFrame, name: str, col: str = "value",
@@ -123,8 +147,7 @@ def batch_word_count(spark: SparkSession, lines: DataFrame, name: str, col: str
     replayed after a failure replaces its own output instead of adding to
     it. Returns ``(word, count, batch_id)``.
     """
-    out = out or work_path(spark, f"{name}-out")
-    ckpt = checkpoint or work_path(spark, f"{name}-ckpt")
+    out, ckpt = output_places(spark, name, out, checkpoint)
     w = words(lines, col, drop_empty, java_split=False)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -133,7 +156,7 @@ def batch_word_count(spark: SparkSession, lines: DataFrame, name: str, col: str
 
     (w.writeStream.option("checkpointLocation", ckpt).foreachBatch(per_batch)
      .trigger(**trigger_kwargs(trigger)).start().awaitTermination())
-    return spark.read.parquet(out)
+    return read_output(spark, out, BATCH_COUNTS)
 
 
 def stream_word_count(spark: SparkSession, lines: DataFrame, scope: str = "running",
@@ -155,13 +178,24 @@ def stream_word_count(spark: SparkSession, lines: DataFrame, scope: str = "runni
 def start_pair(first: DataFrame, second: DataFrame, spark: SparkSession, name: str,
                trigger: str | None = "availableNow", timeout: float | None = 600):
     """T5: two queries over one source (raw append + running complete),
-    then wait until either ends. Returns (outputs, queries)."""
+    then wait until either ends (queries that ended before do not count).
+    Raises the failure of the one that ended, or ``TimeoutError`` with both
+    still running. Returns (outputs, queries)."""
     out1, out2 = work_path(spark, f"{name}-raw"), work_path(spark, f"{name}-counts")
+    spark.streams.resetTerminated()
     q1 = start_query(first, "append", "parquet", None, trigger, work_path(spark, f"{name}-c1"), out1)
     w2 = (second.writeStream.outputMode("complete")
           .option("checkpointLocation", work_path(spark, f"{name}-c2"))
           .foreachBatch(overwrite_each_batch(out2)))
     tk = trigger_kwargs(trigger)
     q2 = (w2.trigger(**tk) if tk else w2).start()
-    spark.streams.awaitAnyTermination(timeout)
+    waited = 0.0
+    while q1.isActive and q2.isActive:
+        if timeout is not None and waited >= timeout:
+            raise TimeoutError(f"neither query of {name} ended within {timeout} s")
+        q1.awaitTermination(0.2)
+        waited += 0.2
+    for q in (q1, q2):
+        if not q.isActive:
+            q.awaitTermination()  # raises if it failed
     return (out1, out2), (q1, q2)

@@ -1,24 +1,28 @@
 import json
 
+from pyspark.sql import types as T
+
 from quarry.lineage import latest_schema, schema_facet, schema_fields
+from quarry.lineage.documents import schema_field_rows
+from quarry.schemas import PRODUCT_MESSAGE
+
+def avro_of(schema, name):
+    """The wire format of a message (fixed field names and types) as an Avro
+    document, from the one definition in ``quarry.schemas``."""
+    kinds = {"string": "string", "bigint": "long"}
+    return {"type": "record", "name": name, "fields": [
+        {"name": f.name, "type": ["null", avro_of(f.dataType, f.name) if isinstance(f.dataType, T.StructType)
+                                  else kinds[f.dataType.simpleString()]]} for f in schema.fields]}
 
-PRODUCT_SCHEMA = {
-    "type": "record", "name": "ProductMessage", "fields": [
-        {"name": "creationDate", "type": ["null", "string"]},
-        {"name": "id", "type": ["null", "long"]},
-        {"name": "product", "type": ["null", {"type": "record", "name": "Product", "fields": [
-            {"name": "productName", "type": ["null", "string"]},
-            {"name": "color", "type": ["null", "string"]},
-            {"name": "material", "type": ["null", "string"]},
-            {"name": "price", "type": ["null", "string"]},
-            {"name": "promotionCode", "type": ["null", "string"]},
-        ]}]},
-    ]}
+
+PRODUCT_SCHEMA = avro_of(PRODUCT_MESSAGE, "Message")
 
 OTHER = {"type": "record", "name": "R", "fields": [
     {"name": "tags", "type": {"type": "array", "items": "string"}, "doc": "labels"},
     {"name": "rev", "type": ["long", "null"]},
-    {"name": "again", "type": ["null", "Product"]},
+    {"name": "size", "type": {"type": "record", "name": "Size", "fields": [
+        {"name": "width", "type": "int"}, {"name": "unit", "type": {"type": "enum", "name": "Unit", "symbols": ["CM"]}}]}},
+    {"name": "again", "type": ["null", "Size"]},
     {"name": "ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},
 ]}
 
@@ -43,7 +47,8 @@ def test_schema_fields_leaves_and_root(spark):
     out = schema_fields(_catalog(spark).filter("subject = 'other-value'"))
     got = {(r.schemaVersion, r.name): (r.type, r.description) for r in out.collect()}
     assert got == {(1, "tags"): ("array", "labels"), (1, "rev"): ("long", ""),
-                   (1, "again"): ("Product", ""), (1, "ts"): ("long", ""),
+                   (1, "size.width"): ("int", ""), (1, "size.unit"): ("enum", ""),
+                   (1, "again.width"): ("int", ""), (1, "again.unit"): ("enum", ""), (1, "ts"): ("long", ""),
                    (2, "value"): ("string", None)}
 
 
@@ -54,3 +59,25 @@ def test_latest_schema_and_missing_subject(spark):
     assert got == {"other-value": 2, "missing-value": None}
     facet = json.loads(schema_facet(cat.filter("schemaId = 8"), "http://registry:8081").first().facet)
     assert facet["subject"] == "other-value" and facet["schemaVersion"] == 2
+
+
+def test_documents_of_any_depth():
+    doc = {"type": "long"}
+    for i in reversed(range(60)):
+        doc = {"type": "record", "name": f"L{i}", "fields": [
+            {"name": "x", "type": "int"}, {"name": "d", "type": ["null", doc], "doc": f"level {i}"}]}
+    rows = schema_field_rows(json.dumps(doc))
+    assert len(rows) == 61
+    assert rows[0] == ("x", "int", "") and rows[-1] == (".".join(["d"] * 60), "long", "level 59")
+
+
+def test_roots_names_and_unions():
+    union = json.dumps(["null", {"type": "record", "name": "A", "fields": []}])
+    assert schema_field_rows(union) == [("value", "union", None)]
+    assert schema_field_rows('"string"') == [("value", "string", None)] and schema_field_rows(None) == []
+    spaced = {"type": "record", "name": "a.b.Outer", "fields": [
+        {"name": "p", "type": {"type": "record", "name": "In", "fields": [{"name": "x", "type": "int"}]}},
+        {"name": "q", "type": "In"}, {"name": "r", "type": ["null", "a.b.In"]},
+        {"name": "me", "type": ["null", "Outer"]}, {"name": "none", "type": ["null"]}]}
+    assert [r[:2] for r in schema_field_rows(json.dumps(spaced))] == [
+        ("p.x", "int"), ("q.x", "int"), ("r.x", "int"), ("me", "record"), ("none", "union")]

@@ -4,13 +4,13 @@ import tempfile
 import pytest
 
 from quarry.session import work_path
-from quarry.sources.streams import lines_stream, messages_stream
+from quarry.sources.streams import lines_stream, messages_stream, table_stream
 from quarry.streaming import jobs
-from quarry.streaming.audit import read_audit, run_audited
+from quarry.streaming.audit import compact_audit, read_audit, run_audited
 
 MESSAGES = [
-    "Ala ma kota", "kot ma Ale", "Witaj swiecie", "Ala ma psa",
-    "pies i kot", "", "  spacje  ", "ma ma ma",
+    "red green blue", "green and red", "first light", "red green grey",
+    "grey or blue", "", "  padded  ", "and and and",
 ]
 
 
@@ -188,3 +188,111 @@ def test_stream_word_count_scopes(spark):
     assert {r.word: r["count"] for r in per.filter("batch_id = 1").collect()} == _expected(MESSAGES[4:])
     with pytest.raises(ValueError):
         jobs.stream_word_count(spark, lines_stream(spark, src), "daily")
+
+
+def test_second_run_to_the_same_place_goes_on(spark):
+    src, out = tempfile.mkdtemp(), work_path(spark, "again")
+    _land(src, "a.txt", MESSAGES[:4])
+    jobs.run_append(spark, lines_stream(spark, src), "again", out=out)
+    _land(src, "b.txt", MESSAGES[4:])
+    res = jobs.run_append(spark, lines_stream(spark, src), "again", out=out)
+    assert sorted(r.value for r in res.collect()) == sorted(MESSAGES)
+    counts = work_path(spark, "again-counts")
+    jobs.batch_word_count(spark, lines_stream(spark, src), "w", out=counts)
+    _land(src, "c.txt", ["one more"])
+    per = jobs.batch_word_count(spark, lines_stream(spark, src), "w", out=counts)
+    assert {(r.word, r.batch_id) for r in per.filter("batch_id = 1").collect()} == {("one", 1), ("more", 1)}
+    assert per.filter("batch_id = 0").count() == len(_expected(MESSAGES))
+
+
+def test_results_without_their_checkpoint_are_refused(spark):
+    src, out = tempfile.mkdtemp(), work_path(spark, "orphan")
+    _land(src, "a.txt", MESSAGES)
+    spark.range(3).write.parquet(out)
+    for run in (lambda s: jobs.run_append(spark, s, "x", out=out), lambda s: jobs.batch_word_count(spark, s, "x", out=out),
+                lambda s: jobs.run_complete(spark, jobs.running_word_count(s), "x", out=out),
+                lambda s: run_audited(spark, s, "x", "t", src, out)):
+        with pytest.raises(ValueError, match="checkpoint"):
+            run(lines_stream(spark, src))
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_no_input_gives_empty_results(spark):
+    src = tempfile.mkdtemp()
+    s = lines_stream(spark, src)
+    assert jobs.run_append(spark, s, "e").count() == 0
+    assert jobs.run_complete(spark, jobs.running_word_count(s), "e").columns == ["word", "count"]
+    assert jobs.batch_word_count(spark, s, "e").count() == 0
+
+
+def test_pair_waits_even_after_earlier_queries(spark):
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES)
+    jobs.run_append(spark, lines_stream(spark, src), "earlier")
+    s = lines_stream(spark, src)
+    _, qs = jobs.start_pair(jobs.raw_messages(s), jobs.running_word_count(s), spark, "pair2")
+    assert not all(q.isActive for q in qs)
+    for q in qs:
+        q.awaitTermination()
+
+
+def test_pair_times_out_and_processing_time_runs(spark):
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES)
+    s = lines_stream(spark, src)
+    with pytest.raises(TimeoutError):
+        jobs.start_pair(jobs.raw_messages(s), jobs.running_word_count(s), spark, "pair3", "1 second", timeout=8)
+    for q in spark.streams.active:
+        assert q.recentProgress and q.recentProgress[0]["numInputRows"] == len(MESSAGES)
+        q.stop()
+
+
+def test_folder_tables_by_uri(spark):
+    folder = work_path(spark, "table") + ".parquet"
+    spark.range(100).repartition(4).write.parquet(folder)
+    for path in (folder, folder if ":" in folder else f"file:{folder}"):
+        assert jobs.run_append(spark, table_stream(spark, path), "t").count() == 100
+
+
+def test_failure_is_logged_and_raised(spark):
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES)
+    audit = work_path(spark, "fail-audit")
+    bad = lines_stream(spark, src).selectExpr("raise_error('no') as x")
+    with pytest.raises(Exception, match="no"):
+        run_audited(spark, bad, "job", "texts", src, audit_path=audit)
+    events = read_audit(spark, audit).orderBy("event_time").collect()
+    assert [e.event_type for e in events] == ["START", "FAIL"] and "no" in events[1].error
+
+
+def test_two_jobs_share_an_audit_table(spark):
+    audit = work_path(spark, "shared-audit")
+    for name, part in (("one", MESSAGES[:3]), ("two", MESSAGES[3:])):
+        src = tempfile.mkdtemp()
+        _land(src, "a.txt", part)
+        run_audited(spark, lines_stream(spark, src), name, "texts", src, audit_path=audit)
+    running = sorted((e.job, e.record_count) for e in read_audit(spark, audit).collect() if e.event_type == "RUNNING")
+    assert running == [("one", 3), ("two", len(MESSAGES) - 3)]
+    small = compact_audit(spark, audit, work_path(spark, "compact"))
+    assert small.count() == 6 and len(small.inputFiles()) == 1
+
+
+def test_catalogue_version_between_batches_shows(spark):
+    src, place = tempfile.mkdtemp(), work_path(spark, "catalog")
+    schema = "subject string, schemaId long, schemaVersion long, schemaType string, schema string"
+
+    def version(n):
+        doc = '{"type": "record", "name": "R", "fields": [%s]}' % ", ".join(
+            f'{{"name": "f{i}", "type": "string", "doc": "d{i}"}}' for i in range(n))
+        spark.createDataFrame([("texts-value", 10 + n, n, "AVRO", doc)], schema).write.mode("append").parquet(place)
+
+    args = dict(job="job", source_name="texts", source_uri=src, data_path=work_path(spark, "cd"),
+                audit_path=work_path(spark, "ca"), namespace="spaces", subject="texts-value", registry_url="http://r",
+                catalog=lambda s: s.read.schema(schema).parquet(place))
+    for n, part in ((1, MESSAGES[:3]), (2, MESSAGES[3:])):
+        version(n)
+        _land(src, f"{n}.txt", part)
+        run_audited(spark, lines_stream(spark, src), **args)
+    running = sorted((e.batch_id, e.registry.schemaVersion, [(f.name, f.description) for f in e.fields], e.namespace)
+                     for e in read_audit(spark, args["audit_path"]).collect() if e.event_type == "RUNNING")
+    assert running == [(0, 1, [("f0", "d0")], "spaces"), (1, 2, [("f0", "d0"), ("f1", "d1")], "spaces")]

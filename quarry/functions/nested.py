@@ -12,7 +12,8 @@ def flatten_struct(df: DataFrame, struct_col: str, keep: list[str] | None = None
     """Expand a (possibly nested) struct column into flat columns.
 
     Leaf fields become top-level columns named after the leaf (``sep=None``)
-    or by their dotted path joined with ``sep``.
+    or by their dotted path joined with ``sep``. Two columns of one name are
+    an error (give ``sep`` to tell them apart by their paths).
     """
     dtype = df.schema[struct_col].dataType
     cols: list[Column] = [F.col(k) for k in (keep or [])]
@@ -27,4 +28,9 @@ def flatten_struct(df: DataFrame, struct_col: str, keep: list[str] | None = None
                 cols.append(F.col(".".join(f"`{x}`" for x in p)).alias(name))
 
     walk(dtype, [struct_col])
-    return df.select(*cols)
+    out = df.select(*cols)
+    seen = [c.lower() for c in out.columns]
+    twice = sorted({c for c in seen if seen.count(c) > 1})
+    if twice:
+        raise ValueError(f"flattening gives several columns named {', '.join(twice)}: pass sep")
+    return out

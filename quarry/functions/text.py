@@ -48,8 +48,13 @@ def token_count(c, sep: str = " ") -> Column:
 
 
 def lines_of(c) -> Column:
-    """Lines of a multi-line text column (split on newline, all kept)."""
-    return F.split(_c(c), "\n")
+    """Lines of a multi-line text column as a file reader gives them: cut at
+    \\n, \\r\\n or \\r, without the empty piece after a final line end (an
+    empty text is one empty line)."""
+    c = _c(c)
+    c = F.when(F.contains(c, F.lit("\r")), F.regexp_replace(c, "\r\n?", "\n")).otherwise(c)
+    body = F.when(F.endswith(c, F.lit("\n")), F.left(c, F.length(c) - 1)).otherwise(c)
+    return F.split(body, "\n")
 
 
 def split_multi(c, sep: str = "|") -> Column:

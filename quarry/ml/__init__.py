@@ -2,9 +2,9 @@
 and logistic regression. All fitting runs on the cluster; only model
 parameters (bounded by rank / k / feature count) reach the driver."""
 
-from quarry.ml.cluster import fit_kmeans, kmeans_centers, kmeans_cost  # noqa: F401
-from quarry.ml.recommend import als_fit_score, fit_als, rmse  # noqa: F401
+from quarry.ml.cluster import fit_kmeans, kmeans_centers, kmeans_cost, kmeans_points  # noqa: F401
+from quarry.ml.recommend import als_fit_score, dense_ids, fit_als, rmse, with_dense_ids  # noqa: F401
 from quarry.ml.regression import (  # noqa: F401
-    fit_linear, fit_logistic, linear_summary, logistic_coefficients,
+    fit_linear, fit_logistic, linear_residuals, linear_summary, logistic_coefficients, predictions,
 )
 from quarry.ml.features import to_vector  # noqa: F401

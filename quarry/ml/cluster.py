@@ -35,3 +35,15 @@ def kmeans_centers(model: KMeansModel, spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("cluster", T.IntegerType()),
                            T.StructField("center", T.ArrayType(T.DoubleType()))])
     return spark.createDataFrame(rows, schema)
+
+
+def kmeans_points(model: KMeansModel, df: DataFrame, keep: list[str] | None = None,
+                  features: str = "features") -> DataFrame:
+    """The cluster of every point, with the squared distance to its centre
+    and to the nearest one (the k centres are part of the expression)."""
+    from pyspark.ml.functions import vector_to_array
+    distances = [F.aggregate(F.zip_with("_p", F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)),
+                             F.lit(0.0), lambda s, x: s + x) for c in model.clusterCenters()]
+    out = model.transform(df).withColumn("_p", vector_to_array(features)).withColumn("_d", F.array(*distances))
+    return out.select(*(keep or []), F.col("prediction").alias("cluster"),
+                      F.col("_d")[F.col("prediction")].alias("distance"), F.array_min("_d").alias("nearest"))

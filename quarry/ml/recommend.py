@@ -4,8 +4,38 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.session import work_path
+
+
+def dense_ids(df: DataFrame, col: str, out: str) -> DataFrame:
+    """(col, out): the distinct non-null values of ``col``, of any orderable
+    type, numbered 0, 1, ... in order as integers. Values are sorted in
+    ranges and written once, so a value's range, and with it its number,
+    holds for good; numbers inside a range start where earlier ranges end."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    path = work_path(spark, f"ids-{out}")
+    ids = df.select(col).dropna().distinct()
+    ids.repartitionByRange(parts, col).withColumn("_r", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema(T.StructType([*ids.schema.fields, T.StructField("_r", T.IntegerType())])).parquet(path)
+    earlier = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    base = ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    own = Window.partitionBy("_r").orderBy(col)
+    return ranged.join(F.broadcast(base), "_r").select(  # at most one row a shuffle partition
+        col, (F.col("_base") + F.row_number().over(own) - 1).cast("int").alias(out))
+
+
+def with_dense_ids(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings with integer ``user_ix`` and ``item_ix`` beside ids of any
+    type (ALS takes 32-bit ids only), and the two numberings. Rows with a
+    null id are left out, as they can't be trained on."""
+    users, items = dense_ids(ratings, user, "user_ix"), dense_ids(ratings, item, "item_ix")
+    return ratings.join(users, user).join(items, item), users, items
 
 
 def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId", rating: str = "rating",

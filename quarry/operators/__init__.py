@@ -7,7 +7,7 @@ from quarry.operators.aggregates import (  # noqa: F401
     mean_by_key, mean_squared_error, sum_by_key, sum_count_mean, total,
 )
 from quarry.operators.chunks import grouped_lists  # noqa: F401
-from quarry.operators.joins import cogroup, join_by_key, join_small  # noqa: F401
+from quarry.operators.joins import cogroup, join_by_key, join_split  # noqa: F401
 from quarry.operators.partitioning import spread  # noqa: F401
 from quarry.operators.ordering import first_row, sort_by, top_n  # noqa: F401
 from quarry.operators.sampling import (  # noqa: F401

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.chunks import DEFAULT_MAX_LIST, grouped_lists
+from quarry.operators.chunks import CHUNK_ROWS, grouped_lists
 
 
 def _keys(k) -> list:
@@ -55,9 +55,9 @@ def mean_by_key(df: DataFrame, keys, value: str, name: str = "mean") -> DataFram
 
 
 def collect_by_key(df: DataFrame, keys, value: str, out: str = "values",
-                   max_list: int = DEFAULT_MAX_LIST) -> DataFrame:
-    """A key's values as sorted lists, in bounded chunks."""
-    return grouped_lists(df, _keys(keys), value, out, max_list)
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """A key's values as sorted lists of ``chunk_rows`` values."""
+    return grouped_lists(df, _keys(keys), value, out, chunk_rows)
 
 
 def total(df: DataFrame, col: str, zero=None, name: str = "total") -> DataFrame:

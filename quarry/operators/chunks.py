@@ -1,94 +1,82 @@
-"""Per-key value lists in bounded chunks.
+"""Per-key value lists in chunks.
 
-Grouping every value of a key into one list puts a hot key (which may hold a
-large share of all rows) into one row built by one task. Here each key's
-values are spread over ``ceil(n / max_list)`` chunks, so no list exceeds
-about ``max_list`` values; a key below the bound gets the single chunk 0,
-i.e. the classic "all values of the key" list.
+Every value of a key, sorted, is cut into lists of ``chunk_rows`` values:
+chunk 0 holds the first ones, and the chunks of a key end to end are its
+whole sorted list. The caller chooses the size; it is the same for all keys
+and at any amount of data.
+
+Equal values are counted first (a partial aggregate), so what is ranked is
+one row per key and distinct value, and a key's rows never meet as such.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_LIST = 100_000
-# Hot keys are few by construction (at most rows / max_list of them); their
-# table is broadcast only after measuring it, else shuffled.
-HEAVY_BROADCAST_ROWS = 200_000
-HEAVY_BROADCAST_BYTES = 64 * 1024 * 1024
+from quarry.session import work_path
 
+#: Values in a list, unless the caller asks for another size.
+CHUNK_ROWS = 100_000
+#: Distinct values of one key that a single task may rank. A key with more is
+#: ranked in ranges of its values; the result is the same.
+RANK_ROWS = 1_000_000
 
-def chunk_column(df: DataFrame, keys: list[str], salt_cols: list[Column],
-                 max_list: int = DEFAULT_MAX_LIST, checkpoint_input: bool = False) -> DataFrame:
-    """Add ``chunk`` (long) to ``df`` so each (keys, chunk) group holds at
-    most about ``max_list`` rows.
 
-    The salt is a hash of the row and its position in the input
-    (``monotonically_increasing_id``), so even many identical rows of one
-    key spread over chunks. Positions are stable when ``df`` is read from
-    files (a lost task re-reads the same split in the same order). For an
-    input that comes out of a shuffle, pass ``checkpoint_input=True``: the
-    input is then written once to the shared checkpoint folder and every
-    recomputation sees the same rows in the same places.
-    """
-    if checkpoint_input:
-        df = df.checkpoint(eager=True)
-    salted = df.withColumn("_salt", F.xxhash64(*salt_cols, F.monotonically_increasing_id()))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = (counts.filter(F.col("_n") > max_list)
-             .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                     F.ceil(F.col("_n") / F.lit(max_list)).cast("long").alias("_nchunks")))
-    # size check (rows and bytes, one pass) before choosing the join strategy
-    size = F.length(F.to_json(F.struct(*[F.col(c) for c in heavy.columns])))
-    stats = heavy.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    if stats["rows"] == 0:
-        return salted.drop("_salt").withColumn("chunk", F.lit(0).cast("long"))
-    small = stats["rows"] <= HEAVY_BROADCAST_ROWS and stats["bytes"] <= HEAVY_BROADCAST_BYTES
-    side = F.broadcast(heavy) if small else heavy
-    cond = None
+def ranked_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys..., value, _n, _start): each distinct value of a key, how often
+    it occurs and how many of the key's values sort before it (nulls first)."""
+    pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    most = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
+    order = F.col(value).asc_nulls_first()
+    if most <= RANK_ROWS:
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return pairs.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # ranges of (key, value), written so that a row's range holds for good
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    path = work_path(spark, "ranges")
+    (pairs.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys], order)
+     .withColumn("_range", F.spark_partition_id()).write.parquet(path))
+    ranged = spark.read.schema(T.StructType([*pairs.schema.fields, T.StructField("_range", T.IntegerType())])).parquet(path)
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_all")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),
+        F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
+    same = F.col("_range") == F.col("_r")
     for i, k in enumerate(keys):
-        c = salted[k].eqNullSafe(side[f"_hk{i}"])
-        cond = c if cond is None else (cond & c)
-    joined = salted.join(side, cond, "left")
-    chunk = F.when(F.col("_nchunks").isNull(), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.col("_salt"), F.col("_nchunks")))
-    return (joined.withColumn("chunk", chunk)
-            .drop("_salt", "_nchunks", *[f"_hk{i}" for i in range(len(keys))]))
+        same = same & ranged[k].eqNullSafe(base[f"_k{i}"])
+    inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (ranged.join(base, same)
+            .withColumn("_start", F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+            .select(*keys, value, "_n", "_start"))
+
+
+def value_chunks(df: DataFrame, keys: list[str], value: str, out: str, chunk_rows: int) -> DataFrame:
+    """(keys..., chunk, out): sorted lists of ``chunk_rows`` values, the last
+    one of a key shorter."""
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
+    size = F.lit(int(chunk_rows))
+    first, last = F.floor(F.col("_start") / size), F.floor((F.col("_start") + F.col("_n") - 1) / size)
+    cut = ranked_runs(df, keys, value).withColumn("chunk", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("_start"), F.col("chunk") * size)
+    end = F.least(F.col("_start") + F.col("_n"), (F.col("chunk") + 1) * size)
+    run = F.struct(begin.alias("at"), F.array_repeat(F.col(value), (end - begin).cast("int")).alias("v"))
+    lists = F.flatten(F.transform(F.sort_array(F.collect_list(run)), lambda r: r["v"]))
+    return cut.groupBy(*keys, "chunk").agg(lists.alias(out))
 
 
 def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
-                  out: str = "values", max_list: int = DEFAULT_MAX_LIST,
-                  sort: bool = True, checkpoint_input: bool = False) -> DataFrame:
+                  out: str = "values", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """A7 / groupByKey: ``(keys..., chunk, out)`` where ``out`` lists the
-    key's values (sorted when ``sort``; nulls first) in chunks of about
-    ``max_list``.
+    key's values, sorted, nulls first, in chunks of ``chunk_rows``.
 
-    With one value column the list holds plain values (nulls kept), with
-    several it holds structs.
+    With one value column the list holds plain values, with several it holds
+    structs.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     values = [values] if isinstance(values, str) else list(values)
-    if len(values) == 1:
-        src = df.select(*keys, F.col(values[0]).alias("_v"))
-    else:
-        src = df.select(*keys, F.struct(*values).alias("_v"))
-    chunked = chunk_column(src, keys, [F.col("_v")], max_list, checkpoint_input)
-    dtype = src.schema["_v"].dataType.simpleString()
-    return chunked.groupBy(*keys, "chunk").agg(list_with_nulls("_v", dtype, None, sort).alias(out))
-
-
-def list_with_nulls(value: str, dtype: str, present: Column | None = None,
-                    sort: bool = True) -> Column:
-    """Aggregate: ``value`` (of SQL type ``dtype``) over the rows where
-    ``present`` holds (all rows when None) as a list. ``collect_list`` skips
-    nulls, so null values are counted apart and put back first; the others
-    follow, sorted when ``sort``."""
-    v = F.col(value)
-    lst = F.collect_list(v if present is None else F.when(present, v))
-    if sort:
-        lst = F.sort_array(lst)
-    is_null = v.isNull() if present is None else (present & v.isNull())
-    n_null = F.count_if(is_null).cast("int")
-    nulls = F.array_repeat(F.lit(None).cast(dtype), n_null)
-    return F.when(n_null == 0, lst).otherwise(F.concat(nulls, lst))
+    v = F.col(values[0]) if len(values) == 1 else F.struct(*values)
+    return value_chunks(df.select(*keys, v.alias("_v")), keys, "_v", out, chunk_rows)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.chunks import DEFAULT_MAX_LIST, chunk_column, list_with_nulls
+from quarry.operators.chunks import CHUNK_ROWS, grouped_lists
 
-# Upper bounds for broadcasting a side whose size was measured.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+#: Rows of a key that are never worth splitting.
+MIN_HOT_ROWS = 10_000
 
 
 def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner",
@@ -28,46 +27,57 @@ def join_by_key(left: DataFrame, right: DataFrame, on, how: str = "inner",
     return left.join(right, on=on, how=how)
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Join that broadcasts ``small`` only after measuring it.
+def join_split(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Inner or left join that deals the rows of hot keys of ``right`` over
+    several tasks, for joins the engine can't split by itself: the right side
+    of a left join, or a side that meets an aggregate.
 
-    One aggregate over ``small`` gives its row count and its size as JSON
-    text (an upper-bound proxy for its in-memory size). Only when both are
-    within ``max_rows`` / ``max_bytes`` is it broadcast; otherwise the join
-    is shuffled, so a side that grows with the data never gets pushed whole
-    to every executor.
+    A key is hot if it has more than half of what a task gets on average, so
+    there are at most two hot keys for each task; only they are broadcast.
+    Their rows in ``right`` are salted by a hash of their content, and the
+    ``left`` rows of the key (few, such as the one row of an aggregate) are
+    repeated for every salt.
     """
-    size = F.length(F.to_json(F.struct(*[F.col(c) for c in small.columns])))
-    stats = small.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    fits = stats["rows"] <= max_rows and stats["bytes"] <= max_bytes
-    side = F.broadcast(small) if fits else small
-    return big.join(side, on=on, how=how)
+    if how not in ("inner", "left"):
+        raise ValueError("join_split does inner and left joins")
+    on = [on] if isinstance(on, str) else list(on)
+    spark = right.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = right.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    limit = max(MIN_HOT_ROWS, -(-right.count() // (2 * parts)))
+    hot = counts.filter(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts"))
+    rows = hot.collect()  # at most 2 * parts
+    if not rows:
+        return left.join(right, on, how)
+    small = F.broadcast(spark.createDataFrame(rows, hot.schema))
+    salt = F.pmod(F.xxhash64(*[right[c] for c in right.columns]), F.coalesce("_salts", F.lit(1))).cast("int")
+    big = right.join(small, on, "left").withColumn("_salt", salt).drop("_salts").withColumn("_here", F.lit(True))
+    few = (left.join(small, on, "left")
+           .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))))
+    out = few.join(big, [*on, "_salt"], how)
+    if how == "left":  # a hot key has rows in ``right``, if not under every salt
+        out = out.filter(F.col("_salts").isNull() | F.col("_here").isNotNull())
+    return out.drop("_salts", "_salt", "_here")
 
 
 def cogroup(left: DataFrame, right: DataFrame, on: str | list[str],
             left_values: str | list[str], right_values: str | list[str],
-            max_list: int = DEFAULT_MAX_LIST, sort: bool = True,
-            checkpoint_input: bool = False) -> DataFrame:
+            chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """For every key found on either side, both sides' value lists.
 
-    Returns ``(keys..., chunk, left, right)``; a key absent on one side gets
-    an empty list there. Lists are split in chunks of about ``max_list``
-    values so a hot key never builds one unbounded row. See
-    :func:`quarry.operators.chunks.chunk_column` for ``checkpoint_input``.
+    Returns ``(keys..., chunk, left, right)``, lists sorted, nulls first. Row
+    ``chunk`` of a key holds the values from ``chunk * chunk_rows`` on of
+    either side, ``chunk_rows`` of each at most; a side that has no more, or
+    lacks the key, has an empty list. The lists of a key's rows, in order of
+    chunk, are its whole lists.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    lv = [left_values] if isinstance(left_values, str) else list(left_values)
-    rv = [right_values] if isinstance(right_values, str) else list(right_values)
-    lexpr = F.col(lv[0]) if len(lv) == 1 else F.struct(*[F.col(c) for c in lv])
-    rexpr = F.col(rv[0]) if len(rv) == 1 else F.struct(*[F.col(c) for c in rv])
-    ltype = left.select(lexpr.alias("s")).schema["s"].dataType
-    rtype = right.select(rexpr.alias("s")).schema["s"].dataType
-    tagged = (left.select(*keys, F.lit(0).alias("_side"), lexpr.alias("_l"), F.lit(None).cast(rtype).alias("_r"))
-              .unionByName(right.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(ltype).alias("_l"),
-                                        rexpr.alias("_r"))))
-    chunked = chunk_column(tagged, keys, [F.col("_side"), F.col("_l"), F.col("_r")], max_list,
-                           checkpoint_input)
-    return chunked.groupBy(*keys, "chunk").agg(
-        list_with_nulls("_l", ltype.simpleString(), F.col("_side") == 0, sort).alias("left"),
-        list_with_nulls("_r", rtype.simpleString(), F.col("_side") == 1, sort).alias("right"))
+    a = grouped_lists(left, keys, left_values, "left", chunk_rows)
+    b = grouped_lists(right, keys, right_values, "right", chunk_rows)
+    ltype, rtype = (d.schema[c].dataType.simpleString() for d, c in ((a, "left"), (b, "right")))
+    both = (a.withColumn("right", F.lit(None).cast(rtype))
+            .unionByName(b.withColumn("left", F.lit(None).cast(ltype))))
+    # one row of each side at most: grouping treats null keys as equal
+    return both.groupBy(*keys, "chunk").agg(
+        F.coalesce(F.any_value("left", F.lit(True)), F.array().cast(ltype)).alias("left"),
+        F.coalesce(F.any_value("right", F.lit(True)), F.array().cast(rtype)).alias("right"))

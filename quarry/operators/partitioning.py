@@ -14,13 +14,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged, so on large data this costs nothing. The
     round-robin repartition is made deterministic by Spark (local sort
     before partitioning), so recomputed tasks get the same rows. Streams are
-    left as they are unless ``min_partitions`` is given.
+    left as they are unless ``min_partitions`` is given, and so is a frame
+    with a shuffle in its plan: that has as many tasks as the shuffle, and
+    asking how many would run it.
     """
     if df.isStreaming:
         # a micro-batch's partition count is unknown when the plan is built;
         # a file stream with many files per trigger is already split, so
         # repartition only when the caller asks for a count explicitly
         return df.repartition(min_partitions) if min_partitions else df
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df.repartition(min_partitions) if min_partitions else df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
         current = df.rdd.getNumPartitions()

@@ -14,23 +14,26 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, with_replacement:
     return df.sample(with_replacement, fraction, seed)
 
 
-def sample_n_with_replacement(df: DataFrame, n: int, seed: int, max_tries: int = 8) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement (``takeSample(true, n)``).
+def sample_n_with_replacement(df: DataFrame, n: int, seed: int) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement (``takeSample(true, n)``);
+    none from an empty frame.
 
     Poisson-samples an over-sized fraction on the executors, checks the
-    sample size (an aggregate, not a collect) and raises the fraction until
-    at least ``n`` rows came out; then keeps ``n`` in random order.
+    sample size (an aggregate, not a collect) and doubles the fraction until
+    at least ``n`` rows came out, which its growth makes certain; then keeps
+    ``n`` in random order. ``n`` rows go through one task, so it is meant to
+    be small.
     """
     total = df.count()
     if total == 0 or n <= 0:
         return df.limit(0)
     frac = max(n / total, 1e-9) * 2.0 + 10.0 / total
-    for i in range(max_tries):
-        s = df.sample(True, frac, seed + i)
+    tries = 0
+    while True:
+        s = df.sample(True, frac, seed + tries)
         if s.count() >= n:
             return s.orderBy(F.rand(seed)).limit(n)
-        frac *= 2.0
-    return df.sample(True, frac * 4, seed + max_tries).orderBy(F.rand(seed)).limit(n)
+        frac, tries = frac * 2.0, tries + 1
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:

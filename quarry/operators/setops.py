@@ -10,9 +10,20 @@ def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
+def _same(a: DataFrame, b: DataFrame):
+    cond = None
+    for c in a.columns:
+        e = a[c].eqNullSafe(b[c])
+        cond = e if cond is None else (cond & e)
+    return cond
+
+
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows present in both."""
-    return a.intersect(b)
+    """Distinct rows present in both, nulls equal. Both sides are
+    de-duplicated before they meet: one row per distinct value is shuffled,
+    however often it occurs."""
+    a, b = a.distinct(), b.distinct()
+    return a.join(b, _same(a, b), "left_semi")
 
 
 def subtract_keep_dups(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -23,14 +34,12 @@ def subtract_keep_dups(a: DataFrame, b: DataFrame) -> DataFrame:
     ``b`` is de-duplicated first (partial aggregate), so the anti join
     shuffles one row per distinct value of ``b``.
     """
-    bd = b.distinct()
-    cond = None
-    for c in a.columns:
-        e = a[c].eqNullSafe(bd[c])
-        cond = e if cond is None else (cond & e)
-    return a.join(bd, cond, "left_anti")
+    b = b.distinct()
+    return a.join(b, _same(a, b), "left_anti")
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """U4: distinct rows of ``a`` not in ``b`` (SQL ``EXCEPT``)."""
-    return a.subtract(b)
+    """U4: distinct rows of ``a`` not in ``b`` (SQL ``EXCEPT``), both sides
+    de-duplicated first."""
+    a, b = a.distinct(), b.distinct()
+    return a.join(b, _same(a, b), "left_anti")

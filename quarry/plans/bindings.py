@@ -50,6 +50,12 @@ def _ratings(spark, sf_dir):
         F.col("l_quantity").alias("rating"))
 
 
+def _shifted_ratings(spark, sf_dir):
+    """All ratings, of items 50 keys further on: the first 50 items are
+    unrated, and the ratings of the last 50 belong to no item."""
+    return _t(spark, sf_dir, "lineitem").select((F.col("l_partkey") + 50).alias("l_partkey"), "l_quantity")
+
+
 def _lines(spark, sf_dir, keep=("doc_id",), with_position=False, spread=True):
     docs = _t(spark, sf_dir, "documents").select(*keep, "text")
     if spread:  # tokenising is CPU-heavy; give it all cores
@@ -65,7 +71,11 @@ def _movie_lines(spark, sf_dir):
     return p.select(line.alias("value"))
 
 
-SQL_LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents"
+_SQL_N = "replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+#: lines as a file reader gives them: any line end, no piece after the last one
+SQL_SPLIT = (f"string_split(CASE WHEN ends_with({_SQL_N}, chr(10)) THEN left({_SQL_N}, len({_SQL_N}) - 1) "
+             f"ELSE {_SQL_N} END, chr(10))")
+SQL_LINES = f"SELECT doc_id, unnest({SQL_SPLIT}) AS value FROM documents"
 SQL_JVM_WORDS = ("unnest(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' "
                  "THEN []::VARCHAR[] ELSE string_split(rtrim(value, ' '), ' ') END)")
 SQL_MOVIE_LINES = ("SELECT concat_ws('@', CAST(p_partkey AS VARCHAR), p_name || ' (' || "
@@ -96,16 +106,13 @@ def best_rated_inner(spark, sf_dir):
 
 @query("best_rated_left", """
 SELECT m.p_name AS title, count(*) AS votes, round(avg(r.l_quantity), 6) AS rate
-FROM part m LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 46) r
-  ON m.p_partkey = r.l_partkey
+FROM part m LEFT JOIN lineitem r ON m.p_partkey = r.l_partkey + 50
 GROUP BY m.p_name HAVING count(*) > 100
 """)
 def best_rated_left(spark, sf_dir):
-    """SQL form over views; ratings are the high ratings only, so
-    some items are unrated and the left join matters."""
-    catalog.register_views(
-        spark, movies=_t(spark, sf_dir, "part"),
-        ratings=_t(spark, sf_dir, "lineitem").filter(F.col("l_quantity") >= 46))
+    """SQL form over views; rating keys are shifted by 50 against
+    the items', so some items are unrated and the left join matters."""
+    catalog.register_views(spark, movies=_t(spark, sf_dir, "part"), ratings=_shifted_ratings(spark, sf_dir))
     r = catalog.best_rated_sql(spark, "movies", "ratings", "p_partkey", "p_name",
                                "l_partkey", "l_quantity", min_votes=100)
     return r.select("title", "votes", _r6(F.col("rate")).alias("rate"))
@@ -113,14 +120,13 @@ def best_rated_left(spark, sf_dir):
 
 @query("best_rated_left_df", """
 SELECT m.p_name AS title, count(*) AS votes, round(avg(r.l_quantity), 6) AS rate
-FROM part m LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 46) r
-  ON m.p_partkey = r.l_partkey
+FROM part m LEFT JOIN lineitem r ON m.p_partkey = r.l_partkey + 50
 GROUP BY m.p_name HAVING count(*) > 100
 """)
 def best_rated_left_df(spark, sf_dir):
     """B5 through the DataFrame API (``how="left"``)."""
     r = composed.best_rated(_t(spark, sf_dir, "part"),
-                             _t(spark, sf_dir, "lineitem").filter(F.col("l_quantity") >= 46),
+                             _shifted_ratings(spark, sf_dir),
                              item_key="p_partkey", title="p_name", rating_item_key="l_partkey",
                              rating="l_quantity", min_votes=100, how="left", top=None)
     return r.select("title", "votes", _r6(F.col("rate")).alias("rate"))
@@ -215,18 +221,27 @@ def parse_records_q(spark, sf_dir):
 
 
 @query("delimited_roundtrip", """
-SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title, p_type AS genres FROM part
+SELECT CAST(p_partkey AS INTEGER) AS movieId,
+       CASE p_partkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' || p_name || ' '
+            WHEN 3 THEN p_name || chr(10) || 'next' WHEN 4 THEN 'a@b"c"' || p_name WHEN 5 THEN p_name || chr(13)
+            WHEN 6 THEN chr(92) || p_name || chr(92) ELSE p_name END AS title,
+       p_type AS genres FROM part
 """)
 def delimited_roundtrip(spark, sf_dir):
-    """K1 + S2 + P9: items written as header-less ``@``-delimited files,
-    read back with a fixed schema and named columns."""
+    """K1 + S2 + P9: items, some with hostile titles (null, empty, blanks,
+    line ends, separators, quotes, backslashes), written as header-less
+    ``@``-delimited files and read back with a fixed schema."""
     from quarry.session import work_path
     from quarry.sources.files import read_delimited
     from quarry.sources.sinks import write_result
+    name, k = F.col("p_name"), F.col("p_partkey") % 8
+    title = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit("")).when(k == 2, F.concat(F.lit(" "), name, F.lit(" ")))
+             .when(k == 3, F.concat(name, F.lit("\nnext"))).when(k == 4, F.concat(F.lit('a@b"c"'), name))
+             .when(k == 5, F.concat(name, F.lit("\r"))).when(k == 6, F.concat(F.lit("\\"), name, F.lit("\\"))).otherwise(name))
     folder = work_path(spark, "movies-dat")
-    write_result(_t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"), folder,
+    write_result(_t(spark, sf_dir, "part").select("p_partkey", title.alias("title"), "p_type"), folder,
                  fmt="csv", sep="@", header="false")
-    return read_delimited(spark, folder, ["movieId", "title", "genres"], sep="@", schema=MOVIE)
+    return read_delimited(spark, folder, ["movieId", "title", "genres"], sep="@", schema=MOVIE, exact=True)
 
 
 @query("text_file_word_count", f"""
@@ -302,8 +317,8 @@ def value_pairs(spark, sf_dir):
 SELECT doc_id, line_no, value AS line,
        CAST(len(CASE WHEN value = '' THEN [''] WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
            ELSE string_split(rtrim(value, ' '), ' ') END) AS INTEGER) AS n_tokens
-FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS value,
-             unnest(range(len(string_split(text, chr(10))))) AS line_no FROM documents)
+FROM (SELECT doc_id, unnest({SQL_SPLIT}) AS value,
+             unnest(range(len({SQL_SPLIT}))) AS line_no FROM documents)
 """)
 def token_counts(spark, sf_dir):
     """Every line with its token count."""
@@ -416,53 +431,68 @@ def inner_join(spark, sf_dir):
 
 
 @query("left_join", """
-SELECT c.c_custkey, o.o_orderkey
-FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON c.c_custkey = o.o_custkey
+SELECT c.c_custkey, o.o_orderkey FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey + 100
 """)
 def left_join(spark, sf_dir):
-    """Customers with their finished orders, or null."""
+    """Customers with the orders of the customer 100 keys before, or null
+    (the shift leaves customers without orders). Hot customers are split."""
     c = _t(spark, sf_dir, "customer").select("c_custkey")
-    o = (_t(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-         .select(F.col("o_custkey").alias("c_custkey"), "o_orderkey"))
-    return op.join_by_key(c, o, "c_custkey", "left")
+    o = _t(spark, sf_dir, "orders").select((F.col("o_custkey") + 100).alias("c_custkey"), "o_orderkey")
+    return op.join_split(c, o, "c_custkey", "left")
 
 
 @query("right_join", """
 SELECT l.l_orderkey, l.l_linenumber, p.p_partkey, p.p_name
-FROM (SELECT * FROM part WHERE p_size <= 10) p RIGHT JOIN lineitem l ON p.p_partkey = l.l_partkey
+FROM part p RIGHT JOIN lineitem l ON p.p_partkey = l.l_partkey + 50
 """)
 def right_join(spark, sf_dir):
-    """Every line item, with its part when the part is small."""
-    p = _t(spark, sf_dir, "part").filter(F.col("p_size") <= 10).select("p_partkey", "p_name")
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return p.join(li, p["p_partkey"] == li["l_partkey"], "right").select(
+    """Every line item, with the part 50 keys further on if there is one."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") + 50).alias("_key"))
+    return p.join(li, p["p_partkey"] == li["_key"], "right").select(
         "l_orderkey", "l_linenumber", "p_partkey", "p_name")
 
 
-@query("cogroup", """
-WITH l AS (SELECT p_partkey AS key, p_size AS v FROM part WHERE p_size <= 10),
-     r AS (SELECT l_partkey AS key, CAST(l_quantity AS BIGINT) AS v FROM lineitem),
-     lg AS (SELECT key, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS s FROM l GROUP BY key),
-     rg AS (SELECT key, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS s FROM r GROUP BY key)
-SELECT coalesce(lg.key, rg.key) AS key, CAST(0 AS BIGINT) AS chunk,
+def _sql_chunks(table: str, key: str, value: str, size: int) -> str:
+    """Sorted values of each key in lists of ``size``."""
+    return (f"SELECT key, chunk, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS s FROM ("
+            f"SELECT {key} AS key, {value} AS v, "
+            f"(row_number() OVER (PARTITION BY {key} ORDER BY {value}) - 1) // {size} AS chunk FROM {table}) "
+            f"GROUP BY key, chunk")
+
+
+def _sql_cogroup(size: int) -> str:
+    return f"""
+WITH lg AS ({_sql_chunks("(SELECT p_partkey + 50 AS k, p_size FROM part)", "k", "p_size", size)}),
+     rg AS ({_sql_chunks("lineitem", "l_partkey", "l_quantity", size)})
+SELECT coalesce(lg.key, rg.key) AS key, coalesce(lg.chunk, rg.chunk) AS chunk,
        coalesce(lg.s, '') AS left_values, coalesce(rg.s, '') AS right_values
-FROM lg FULL OUTER JOIN rg ON lg.key = rg.key
-""")
+FROM lg FULL OUTER JOIN rg ON lg.key = rg.key AND lg.chunk = rg.chunk
+"""
+
+
+def _joined(c: str):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+def _cogroup(spark, sf_dir, size):
+    left = _t(spark, sf_dir, "part").select((F.col("p_partkey") + 50).alias("key"), F.col("p_size").alias("v"))
+    right = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), F.col("l_quantity").alias("v"))
+    return op.cogroup(left, right, "key", "v", "v", chunk_rows=size).select(
+        "key", "chunk", _joined("left").alias("left_values"), _joined("right").alias("right_values"))
+
+
+@query("cogroup", _sql_cogroup(100_000))
 def cogroup_q(spark, sf_dir):
-    """Small parts' sizes and all items' ratings, per part key.
-
-    No key reaches the chunk bound (100,000 values) at the driver scales, so
-    every key is one chunk 0 here and the SQL says so; splitting hot keys
-    into chunks is checked against brute force in tests (test_operators,
-    test_scale)."""
-    left = _t(spark, sf_dir, "part").filter(F.col("p_size") <= 10).select(
-        F.col("p_partkey").alias("key"), F.col("p_size").alias("v"))
-    right = _t(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("key"), F.col("l_quantity").cast("bigint").alias("v"))
-    cg = op.cogroup(left, right, "key", "v", "v")
-    return cg.select("key", "chunk",
-                     F.array_join(F.transform("left", lambda x: x.cast("string")), ",").alias("left_values"),
-                     F.array_join(F.transform("right", lambda x: x.cast("string")), ",").alias("right_values"))
+    """parts' sizes and items' ratings per key; part keys are shifted by
+    50, so either side lacks keys of the other."""
+    return _cogroup(spark, sf_dir, 100_000)
+
+
+@query("cogroup_chunked", _sql_cogroup(7))
+def cogroup_chunked(spark, sf_dir):
+    """J5 with lists of seven values: many chunks per key."""
+    return _cogroup(spark, sf_dir, 7)
 
 
 @query("composite_join", """
@@ -472,13 +502,12 @@ FROM lineitem l JOIN (SELECT l_suppkey, l_partkey, avg(l_quantity) AS prediction
   ON l.l_suppkey = p.l_suppkey AND l.l_partkey = p.l_partkey
 """)
 def composite_join(spark, sf_dir):
-    """Per (user, item) predictions joined back on both keys. Both sides
-    grow with the data and the predictions are unique per key: shuffled
-    hash join."""
+    """Per (user, item) predictions joined back on both keys; hot pairs
+    are split."""
     li = _t(spark, sf_dir, "lineitem")
     pred = li.groupBy("l_suppkey", "l_partkey").agg(F.avg("l_quantity").alias("prediction"))
-    return op.join_by_key(li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"), pred,
-                          ["l_suppkey", "l_partkey"], strategy="shuffle_hash").select(
+    return op.join_split(pred, li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"),
+                         ["l_suppkey", "l_partkey"]).select(
         "l_orderkey", "l_linenumber", _r6(F.col("prediction")).alias("prediction"))
 
 
@@ -533,18 +562,26 @@ def mean_by_key(spark, sf_dir):
     return r.select("userId", _r6(F.col("mean")).alias("mean"))
 
 
-@query("collect_by_key", """
-SELECT l_suppkey AS userId, CAST(0 AS BIGINT) AS chunk,
-       string_agg(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), ',' ORDER BY l_quantity) AS ratings
-FROM lineitem GROUP BY l_suppkey
-""")
+def _sql_collect(size: int) -> str:
+    return f"SELECT key AS userId, chunk, s AS ratings FROM ({_sql_chunks('lineitem', 'l_suppkey', 'l_quantity', size)})"
+
+
+def _collect(spark, sf_dir, size):
+    g = op.collect_by_key(_ratings(spark, sf_dir).select("userId", "rating"), "userId", "rating", out="ratings",
+                          chunk_rows=size)
+    return g.select("userId", "chunk", _joined("ratings").alias("ratings"))
+
+
+@query("collect_by_key", _sql_collect(100_000))
 def collect_by_key(spark, sf_dir):
-    """A user's ratings as a sorted list (bounded chunks; chunk 0 for
-    every user at the driver scales, see ``cogroup_q``)."""
-    r = _ratings(spark, sf_dir).select("userId", F.col("rating").cast("bigint").alias("rating"))
-    g = op.collect_by_key(r, "userId", "rating", out="ratings")
-    return g.select("userId", "chunk",
-                    F.array_join(F.transform("ratings", lambda x: x.cast("string")), ",").alias("ratings"))
+    """A user's ratings as sorted lists."""
+    return _collect(spark, sf_dir, 100_000)
+
+
+@query("collect_chunked", _sql_collect(11))
+def collect_chunked(spark, sf_dir):
+    """A7 with lists of eleven values."""
+    return _collect(spark, sf_dir, 11)
 
 
 @query("count_by_key", "SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey")
@@ -612,10 +649,11 @@ FROM lineitem l JOIN (SELECT l_partkey, avg(l_quantity) AS pred FROM lineitem GR
   ON l.l_partkey = p.l_partkey
 """)
 def mse(spark, sf_dir):
-    """Item mean as prediction, mean squared error over all ratings."""
-    li = _t(spark, sf_dir, "lineitem")
+    """Item mean as prediction, mean squared error over all ratings;
+    hot items are split."""
+    li = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_orderkey")
     pred = li.groupBy("l_partkey").agg(F.avg("l_quantity").alias("pred"))
-    return op.mean_squared_error(li.join(pred, "l_partkey"), "l_quantity", "pred").select(
+    return op.mean_squared_error(op.join_split(pred, li, "l_partkey"), "l_quantity", "pred").select(
         _r6(F.col("mse")).alias("mse"))
 
 
@@ -684,12 +722,12 @@ def top_by_count(spark, sf_dir):
 
 def _set_sides(spark, sf_dir):
     a = _t(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"))
-    b = _t(spark, sf_dir, "part").filter(F.col("p_size") <= 10).select(F.col("p_partkey").alias("key"))
+    b = _t(spark, sf_dir, "part").select((F.col("p_partkey") + 50).alias("key"))
     return a, b
 
 
 SQL_SET_A = "SELECT l_partkey AS key FROM lineitem"
-SQL_SET_B = "SELECT p_partkey AS key FROM part WHERE p_size <= 10"
+SQL_SET_B = "SELECT p_partkey + 50 AS key FROM part"
 
 
 @query("union_all", f"{SQL_SET_A} UNION ALL {SQL_SET_B}")
@@ -709,7 +747,7 @@ SELECT a.key FROM ({SQL_SET_A}) a
 WHERE NOT EXISTS (SELECT 1 FROM ({SQL_SET_B}) b WHERE a.key IS NOT DISTINCT FROM b.key)
 """)
 def subtract_keep_dups(spark, sf_dir):
-    """Line items of parts that are not small, duplicates kept."""
+    """Line items whose key no shifted part has, duplicates kept."""
     return op.subtract_keep_dups(*_set_sides(spark, sf_dir))
 
 
@@ -767,21 +805,146 @@ def latest_version(spark, sf_dir):
                           ["event_id", "ts", "event_type"])
 
 
-# -------------------------------------------------- X: sampling (rows only)
+# ---------------- X: sampling (what holds for any seed, over all rows)
 
-@query("sample")
-def sample(spark, sf_dir):
-    """Half of the line items, seeded."""
-    return op.sample_fraction(_t(spark, sf_dir, "lineitem"), 0.5, seed=7)
+def _flags(df: DataFrame, **checks) -> DataFrame:
+    return df.select(*[c.alias(n) for n, c in checks.items()])
 
 
-@query("sample_n")
+@query("sample", """
+SELECT count(*) AS n_rows, true AS each_once, true AS within_bounds FROM lineitem
+""")
+def sample(spark, sf_dir):
+    """Half of the line items, seeded. Every row comes once at most, and
+    the share is within six standard deviations of one half."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    s = op.sample_fraction(li, 0.5, seed=7).withColumn("taken", F.lit(1))
+    both = li.withColumn("taken", F.lit(0)).unionByName(s).groupBy("l_orderkey", "l_linenumber").agg(
+        F.count_if(F.col("taken") == 0).alias("rows"), F.sum("taken").alias("taken"))
+    t = both.agg(F.sum("rows").alias("n"), F.sum("taken").alias("k"), F.max(F.col("taken") - F.col("rows")).alias("over"))
+    return _flags(t, n_rows=F.col("n"), each_once=F.col("over") <= 0,
+                  within_bounds=F.abs(F.col("k") - F.col("n") / 2) <= 3 * F.sqrt("n"))
+
+
+@query("sample_n", "SELECT CAST(3 AS BIGINT) AS n_rows, true AS of_the_table")
 def sample_n(spark, sf_dir):
-    """Exactly three line items drawn with replacement."""
-    return op.sample_n_with_replacement(_t(spark, sf_dir, "lineitem"), 3, seed=7)
+    """Exactly three line items drawn with replacement, all of them the table's."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    s = op.sample_n_with_replacement(li, 3, seed=7)
+    found = s.join(li.distinct().withColumn("here", F.lit(True)), ["l_orderkey", "l_linenumber"], "left")
+    return found.agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.coalesce("here", F.lit(False))).alias("of_the_table"))
 
 
-@query("split")
+@query("split", """
+SELECT count(*) AS n_rows, true AS complete_and_disjoint, true AS within_bounds FROM lineitem
+""")
 def split(spark, sf_dir):
-    """0.8 / 0.2 split, tagged."""
-    return op.tagged_split(_t(spark, sf_dir, "lineitem"), [0.8, 0.2], seed=7)
+    """0.8 / 0.2 split, tagged: every row of the table in one part."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    parts = op.tagged_split(li, [0.8, 0.2], seed=7)
+    both = li.withColumn("split", F.lit(-1)).unionByName(parts).groupBy("l_orderkey", "l_linenumber").agg(
+        F.count_if(F.col("split") < 0).alias("rows"), F.count_if(F.col("split") >= 0).alias("dealt"),
+        F.count_if(F.col("split") == 1).alias("second"))
+    t = both.agg(F.sum("rows").alias("n"), F.every(F.col("rows") == F.col("dealt")).alias("ok"), F.sum("second").alias("k"))
+    return _flags(t, n_rows=F.col("n"), complete_and_disjoint=F.col("ok"),
+                  within_bounds=F.abs(F.col("k") - F.col("n") * 0.2) <= 3 * F.sqrt("n"))
+
+
+@query("persisted", "SELECT count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem")
+def persisted(spark, sf_dir):
+    """One cached frame behind two aggregates."""
+    with op.persisted(_t(spark, sf_dir, "lineitem").select("l_linenumber")) as li:
+        n, total = li.count(), li.agg(F.sum("l_linenumber")).first()[0]
+    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_linenumber").alias("total")).filter(
+        (F.col("n_rows") == n) & (F.col("total") == total)).select(
+        "n_rows", "total")
+
+
+@query("coalesce_to", "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS partitions FROM lineitem")
+def coalesce_to(spark, sf_dir):
+    """Partitions put together without a shuffle."""
+    li = op.coalesce_to(_t(spark, sf_dir, "lineitem").select("l_linenumber"), 1)
+    return li.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("partitions"))
+
+
+# --------------------------- P14, P22, L1, L4, L5: nested documents of rows
+
+@query("nested_fields", "SELECT p_partkey, p_brand AS brand, CAST(p_size AS INTEGER) AS size FROM part")
+def nested_fields(spark, sf_dir):
+    """Fields out of a struct in a struct."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", F.struct(F.struct("p_brand", F.col("p_size").cast("int").alias(
+        "p_size")).alias("inner")).alias("outer"))
+    return p.select("p_partkey", F.col("outer.inner.p_brand").alias("brand"), F.col("outer.inner.p_size").alias("size"))
+
+
+@query("exploded_structs", """
+SELECT o_orderkey, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+""")
+def exploded_structs(spark, sf_dir):
+    """An order's lines as an array of structs, one row per element again."""
+    li = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
+    o = _t(spark, sf_dir, "orders").select("o_orderkey").join(li, "o_orderkey")
+    return o.select("o_orderkey", F.explode("lines").alias("l")).select("o_orderkey", "l.l_linenumber", "l.l_quantity")
+
+
+def _schema_catalog(spark, sf_dir):
+    """One Avro document per part: a record with a nullable field, a nested
+    record used twice (once by name) and an array; every fifth is a union."""
+    doc = F.concat(
+        F.lit('{"type":"record","name":"P","fields":[{"name":"k'), F.col("p_partkey").cast("string"),
+        F.lit('","type":["null","long"],"doc":"'), F.col("p_brand"),
+        F.lit('"},{"name":"box","type":{"type":"record","name":"Box","fields":[{"name":"size","type":"int"},'
+              '{"name":"tags","type":{"type":"array","items":"string"}}]}},{"name":"spare","type":["null","Box"]}]}'))
+    doc = F.when(F.col("p_partkey") % 5 == 0, F.lit('["null","string"]')).otherwise(doc)
+    return _t(spark, sf_dir, "part").select(
+        F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("subject"),
+        F.col("p_partkey").alias("schemaId"), F.lit(1).alias("schemaVersion"), F.lit("AVRO").alias("schemaType"),
+        doc.alias("schema"))
+
+
+@query("schema_fields", """
+WITH f AS (
+  SELECT * FROM (VALUES (0, 'size', 'int', 'box.'), (0, 'tags', 'array', 'box.'),
+                        (0, 'size', 'int', 'spare.'), (0, 'tags', 'array', 'spare.')) v(i, n, t, p))
+SELECT 'part-' || p_partkey AS subject, 1 AS schemaVersion, p || n AS name, t AS type, '' AS description
+FROM part, f WHERE p_partkey % 5 <> 0
+UNION ALL SELECT 'part-' || p_partkey, 1, 'k' || p_partkey, 'long', p_brand FROM part WHERE p_partkey % 5 <> 0
+UNION ALL SELECT 'part-' || p_partkey, 1, 'value', 'union', NULL FROM part WHERE p_partkey % 5 = 0
+""")
+def schema_fields_q(spark, sf_dir):
+    """L1: fields of one schema document per part."""
+    from quarry.lineage.catalog import schema_fields
+    return schema_fields(_schema_catalog(spark, sf_dir))
+
+
+@query("schema_facet", """
+SELECT 'part-' || p_partkey AS subject, 1 AS schemaVersion,
+       '{"schemaRegistryUrl":"http://registry:8081","subject":"part-' || p_partkey || '","schemaId":' || p_partkey ||
+       ',"schemaVersion":1,"schemaType":"AVRO","schema":"' || p_brand || '"}' AS facet
+FROM part
+""")
+def schema_facet_q(spark, sf_dir):
+    """L4: one facet document per catalogue row."""
+    from quarry.lineage.catalog import schema_facet
+    rows = _schema_catalog(spark, sf_dir).drop("schema")
+    brand = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("schemaId"), F.col("p_brand").alias("schema"))
+    return schema_facet(rows.join(brand, "schemaId"), "http://registry:8081")
+
+
+@query("lineage_fields", """
+SELECT 'orders' AS namespace, CAST(o_orderkey AS VARCHAR) AS dataset, CAST(l_linenumber AS VARCHAR) AS name,
+       l_returnflag AS type, l_linestatus AS description
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+""")
+def lineage_fields_q(spark, sf_dir):
+    """Run events with an order as input dataset and its lines as fields."""
+    from quarry.lineage.catalog import lineage_fields
+    field = F.struct(F.col("l_linenumber").cast("string").alias("name"), F.col("l_returnflag").alias("type"),
+                     F.col("l_linestatus").alias("description"))
+    li = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(field).alias("fields"))
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")).join(li, "l_orderkey")
+    return lineage_fields(o.select(F.array(F.struct(
+        F.lit("orders").alias("namespace"), F.col("l_orderkey").cast("string").alias("name"),
+        F.struct(F.struct("fields").alias("schema")).alias("facets"))).alias("inputs")))

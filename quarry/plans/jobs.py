@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from quarry.functions.text import split_multi
 from quarry.plans import catalog, composed
 from quarry.schemas import MOVIE, RATING, TAG
-from quarry.sources.files import parse_records, read_delimited, read_lines
+from quarry.sources.files import parse_records, read_delimited, read_lines, rejected_records
 from quarry.sources.sinks import write_result
 
 
 def word_count_job(spark: SparkSession, input_path: str, output_path: str,
-                   num_files: int | None = 1, fmt: str = "csv") -> DataFrame:
+                   num_files: int | None = None, fmt: str = "csv") -> DataFrame:
     """Book word count: lines -> Java-split words -> counts, most frequent
-    first -> result folder replaced (``num_files`` output files)."""
+    first -> result folder replaced. ``num_files=1`` gives one file, for a
+    result that one task can sort and write."""
     counts = composed.word_count(read_lines(spark, input_path))
     write_result(counts, output_path, fmt=fmt, num_files=num_files)
     return counts
@@ -34,14 +35,20 @@ def genre_ranking_job(spark: SparkSession, movies_path: str, output_path: str,
 
 
 def movielens_report(spark: SparkSession, movies_path: str, ratings_path: str,
-                     sep: str = "@", min_votes: int = 100, top: int = 10) -> dict[str, DataFrame]:
+                     sep: str = "@", min_votes: int = 100, top: int = 10,
+                     mode: str = "failfast") -> dict[str, DataFrame]:
     """The three MovieLens questions over raw ``sep``-delimited lines:
     most common genres, busiest release years (top ``top``) and the best
-    rated titles (inner join, more than ``min_votes`` votes)."""
-    movie_lines = read_lines(spark, movies_path)
-    movies = parse_records(movie_lines, MOVIE, sep=sep, mode="permissive")
-    ratings = parse_records(read_lines(spark, ratings_path), RATING, sep=sep, mode="permissive")
+    rated titles (inner join, more than ``min_votes`` votes). A line that
+    does not parse fails the job; with ``mode="permissive"`` such lines are
+    left out and counted in ``"rejected"``."""
+    movie_lines, rating_lines = read_lines(spark, movies_path), read_lines(spark, ratings_path)
+    movies = parse_records(movie_lines, MOVIE, sep=sep, mode=mode)
+    ratings = parse_records(rating_lines, RATING, sep=sep, mode=mode)
+    counts = [rejected_records(x, schema, sep).agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("rejected"))
+              for name, x, schema in (("movies", movie_lines, MOVIE), ("ratings", rating_lines, RATING))]
     return {
+        "rejected": counts[0].unionByName(counts[1]),
         "genres": composed.count_multivalued(movies, "genres", "|"),
         "years": composed.count_by_pattern(movie_lines, "value", top=top),
         "best": composed.best_rated(movies, ratings, "movieId", "title", "movieId", "rating",

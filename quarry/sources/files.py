@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from quarry.functions.text import regex_quote
 from quarry.session import table_path
 
+#: How a null is written in delimited files (an unlikely word; "" stays "").
+NULL_FIELD = "\\N"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
@@ -21,17 +24,58 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+#: CSV settings under which any string, null included, is read back as it was
+#: written: fields with special characters are quoted, quotes doubled, records
+#: may span lines, blanks are kept, and "" is not null.
+EXACT_CSV = {"quote": '"', "escape": '"', "escapeQuotes": "true", "multiLine": "true",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+             "emptyValue": "", "nullValue": NULL_FIELD, "lineSep": "\n"}
+
+
 def read_delimited(spark: SparkSession, path: str, names: list[str], sep: str = "@",
-                   schema: T.StructType | None = None, encoding: str = "UTF-8") -> DataFrame:
+                   schema: T.StructType | None = None, encoding: str = "UTF-8",
+                   mode: str = "FAILFAST", exact: bool = False) -> DataFrame:
     """Header-less delimited file with renamed columns.
 
+    A record that does not fit the schema fails the job; ``mode="PERMISSIVE"``
+    makes its bad fields null and ``"DROPMALFORMED"`` leaves it out. With
+    ``exact`` the file is read as ``write_result(fmt="csv")`` writes it.
     Pass ``schema`` in production: inference costs one extra full pass.
     """
     reader = (spark.read.option("header", "false").option("sep", sep)
-              .option("encoding", encoding))
-    if schema is not None:
-        return reader.schema(schema).csv(path).toDF(*names)
-    return reader.option("inferSchema", "true").csv(path).toDF(*names)
+              .option("encoding", encoding).option("mode", mode))
+    if exact:
+        reader = reader.options(**EXACT_CSV)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+    out = reader.csv(path).toDF(*names)
+    return unmark_nulls(out) if exact else out
+
+
+def mark_nulls(df: DataFrame) -> DataFrame:
+    """Strings that read like the null mark get one more backslash."""
+    return _each_string(df, r"\A(\\+N)\z", r"\\$1")
+
+
+def unmark_nulls(df: DataFrame) -> DataFrame:
+    return _each_string(df, r"\A\\(\\+N)\z", "$1")
+
+
+def _each_string(df: DataFrame, pattern: str, by: str) -> DataFrame:
+    return df.select(*[F.regexp_replace(f"`{f.name}`", F.lit(pattern), F.lit(by)).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def _typed(schema: T.StructType) -> list:
+    return [F.expr(f"try_cast(_p[{i}] AS {f.dataType.simpleString()})").alias(f.name)
+            for i, f in enumerate(schema.fields)]
+
+
+def _good(schema: T.StructType):
+    """Right field count, and every field null or of its type."""
+    ok = F.size("_p") == len(schema.fields)
+    for i, f in enumerate(schema.fields):
+        ok = ok & F.expr(f"try_cast(get(_p, {i}) AS {f.dataType.simpleString()})").isNotNull()
+    return F.coalesce(ok, F.lit(False))
 
 
 def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
@@ -39,14 +83,13 @@ def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
     """S3: split delimited lines into typed records.
 
     ``mode="failfast"``: a wrong field count or a bad number fails the job
-    (with or without ANSI mode). ``mode="permissive"``: such lines are
-    dropped.
+    (with or without ANSI mode). ``mode="permissive"``: such lines are left
+    out; :func:`rejected_records` gives them.
     """
     n = len(schema.fields)
     parts = F.split(F.col(col), regex_quote(sep), -1)
-    arity_ok = F.size(parts) == n
     if mode == "failfast":
-        checked = F.when(arity_ok, parts).otherwise(
+        checked = F.when(F.size(parts) == n, parts).otherwise(
             F.raise_error(F.concat(F.lit(f"expected {n} fields: "), F.col(col))))
         fields = []
         for i, f in enumerate(schema.fields):
@@ -57,17 +100,16 @@ def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
             fields.append(F.when(raw.isNotNull() & typed.isNull(), bad).otherwise(typed).alias(f.name))
         return lines.select(checked.alias("_p")).select(*fields)
     if mode == "permissive":
-        out = lines.select(parts.alias("_p")).filter(F.size("_p") == n).select(
-            *[F.expr(f"try_cast(_p[{i}] AS {f.dataType.simpleString()})").alias(f.name)
-              for i, f in enumerate(schema.fields)])
-        cond = None
-        for f in schema.fields:
-            c = F.col(f.name).isNotNull()
-            cond = c if cond is None else (cond & c)
-        return out.filter(cond)
+        return lines.select(parts.alias("_p")).filter(_good(schema)).select(*_typed(schema))
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def rejected_records(lines: DataFrame, schema: T.StructType, sep: str = "@", col: str = "value") -> DataFrame:
+    """The lines that ``parse_records(mode="permissive")`` leaves out, whole."""
+    parts = F.split(F.col(col), regex_quote(sep), -1)
+    return lines.select(F.col(col), parts.alias("_p")).filter(~_good(schema)).select(col)
+
+
 def parse_vectors(lines: DataFrame, col: str = "value", sep: str = " ",
                   out: str = "features") -> DataFrame:
     """Separated numeric lines to ML dense vectors."""

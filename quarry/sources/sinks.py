@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sources.files import EXACT_CSV, mark_nulls
+from quarry.sources.folders import replace
+
 
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", num_files: int | None = None,
                  partition_by: list[str] | None = None, **options) -> None:
-    """K1: replace a result folder atomically through Spark's committer.
+    """K1: replace a result folder; a write that fails leaves the old result
+    (see :func:`quarry.sources.folders.replace`).
 
     ``num_files`` narrows the output with ``coalesce`` (no shuffle); leave it
     unset at scale so every task writes its own file. ``fmt="tuples"``
-    writes text lines ``(a,b,..)``.
+    writes text lines ``(a,b,..)``. ``fmt="csv"`` quotes what needs it, so
+    ``read_delimited(exact=True)`` gets every string back.
     """
     out = df.coalesce(num_files) if num_files else df
     if fmt == "tuples":
@@ -20,10 +25,13 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", num_files: int
         out = out.select(F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in out.columns]),
                                   F.lit(")")).alias("value"))
         fmt = "text"
-    w = out.write.mode("overwrite").format(fmt).options(**options)
+    if fmt == "csv":
+        out = mark_nulls(out)
+        options = {**{k: v for k, v in EXACT_CSV.items() if k != "multiLine"}, "emptyValue": '""', **options}
+    w = out.write.format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    replace(df.sparkSession, path, w.save)
 
 
 def save_model(model, path: str) -> None:

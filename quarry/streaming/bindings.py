@@ -91,13 +91,51 @@ def file_stream_words(spark, sf_dir):
     return jobs.run_complete(spark, agg, "file_stream_words")
 
 
-@query("audit_events")
+@query("audit_events", """
+SELECT count(*) AS records, CAST(1 AS BIGINT) AS started, CAST(1 AS BIGINT) AS completed, CAST(0 AS BIGINT) AS failed,
+       CAST(1 AS BIGINT) AS runs, CAST(6 AS INTEGER) AS n_fields FROM events
+""")
 def audit_events(spark, sf_dir):
     """L2 K3: events stream written per micro-batch with START / RUNNING /
-    COMPLETE rows in an audit table; returns the audit table."""
+    COMPLETE rows in an audit table; what the audit says of the whole run."""
     ev = table_stream(spark, table_path(sf_dir, "events"))
     _, audit = run_audited(spark, ev, "events-audit", "events", table_path(sf_dir, "events"))
-    return read_audit(spark, audit)
+    kind = F.col("event_type")
+    return read_audit(spark, audit).agg(
+        F.sum(F.when(kind == "RUNNING", F.col("record_count"))).alias("records"),
+        *[F.count_if(kind == k).alias(n) for k, n in (("START", "started"), ("COMPLETE", "completed"), ("FAIL", "failed"))],
+        F.count_distinct("run_id").alias("runs"), F.max(F.size("fields")).alias("n_fields"))
+
+
+@query("stream_pair", f"""
+SELECT 'raw' AS kind, event_type AS value, count(*) AS n FROM events GROUP BY event_type
+UNION ALL SELECT 'count', event_type, count(*) FROM events GROUP BY event_type
+""")
+def stream_pair(spark, sf_dir):
+    """T5: raw messages and running counts as two queries over one source."""
+    ev = table_stream(spark, table_path(sf_dir, "events")).select(F.col("event_type").alias("value"))
+    counts = ev.groupBy(F.col("value").alias("word")).agg(F.count(F.lit(1)).alias("count"))
+    (raw, running), queries = jobs.start_pair(jobs.raw_messages(ev), counts, spark, "pair")
+    for q in queries:
+        q.awaitTermination()
+    out = spark.read.parquet(raw).groupBy(F.col("message").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return out.select(F.lit("raw").alias("kind"), "value", "n").unionByName(
+        spark.read.parquet(running).select(F.lit("count").alias("kind"), F.col("word").alias("value"),
+                                           F.col("count").alias("n")))
+
+
+@query("stream_recovery", "SELECT event_id, event_type AS message FROM events")
+def stream_recovery(spark, sf_dir):
+    """Half of the messages land and are processed, then the rest lands
+    and a second run goes on from the first one's checkpoint."""
+    landing, out = work_path(spark, "landing"), work_path(spark, "recovered")
+    ev = B._t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("message"))
+    got = None
+    for half in (0, 1):
+        ev.filter(F.pmod("event_id", F.lit(2)) == half).write.mode("append").json(landing)
+        stream = messages_stream(spark, landing, schema=ev.schema)
+        got = jobs.run_append(spark, stream, "recovered", out=out)
+    return got
 
 
 @query("batch_distinct_words", f"""

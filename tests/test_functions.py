@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from quarry.functions import first_match, jvm_split, split_multi, strip_header, token_count
+from quarry.functions import first_match, jvm_split, lines_of, split_multi, strip_header, token_count
 from quarry.functions.nested import flatten_struct
 
 
@@ -17,10 +18,10 @@ def test_jvm_split_other_separator(spark):
 
 
 def test_token_counts(spark):
-    lines = ["Ala ma kota", "Witaj świecie", "Dwadzieścia tysięcy mil podmorskiej żeglugi"]
+    lines = ["three short words", "only twö", "a line of six plain words"]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
-    assert [r.n for r in df.select(token_count("value").alias("n")).collect()] == [3, 2, 5]
-    assert df.filter(F.col("value").contains("kot")).count() == 1
+    assert [r.n for r in df.select(token_count("value").alias("n")).collect()] == [3, 2, 6]
+    assert df.filter(F.col("value").contains("words")).count() == 2
 
 
 def test_first_match(spark):
@@ -43,3 +44,17 @@ def test_flatten_struct(spark):
     out = flatten_struct(df, "m", keep=["k"])
     assert out.columns == ["k", "a", "b", "c"]
     assert tuple(out.first()) == (1, 2, 3, "x")
+
+
+def test_flatten_struct_refuses_one_name_twice(spark):
+    df = spark.createDataFrame([(1, (2, (3,)))], "id int, m struct<a:int, p:struct<ID:int>>")
+    with pytest.raises(ValueError, match="id"):
+        flatten_struct(df, "m", keep=["id"])
+    assert flatten_struct(df, "m", keep=["id"], sep=".").columns == ["id", "a", "p.ID"]
+
+
+def test_lines_end_as_in_files(spark):
+    texts = ["a b\r\na b\r\n", "x\ry\nz", "", "\n", "one", "two\n\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.v for r in df.select(lines_of("t").alias("v")).collect()] == [
+        ["a b", "a b"], ["x", "y", "z"], [""], [""], ["one"], ["two", ""], None]

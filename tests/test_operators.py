@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from quarry import operators as op
 
-NUMS = [1, 2, 2, 3, 4, 4, 5]
+NUMS = [6, 2, 6, 9, 7, 2, 8]
 
 
 @pytest.fixture()
@@ -20,17 +20,17 @@ def col(df, c="value"):
 
 
 def test_number_literals(spark, nums):
-    assert sorted(col(nums.select((F.col("value") * F.col("value")).alias("value")))) == [1, 4, 4, 9, 16, 16, 25]
-    assert sorted(col(op.distinct_values(nums, "value"))) == [1, 2, 3, 4, 5]
-    assert op.total(nums, "value").first().total == 21
-    assert op.total(nums, "value", zero=0).first().total == 21
+    assert sorted(col(nums.select((F.col("value") * F.col("value")).alias("value")))) == [4, 4, 36, 36, 49, 64, 81]
+    assert sorted(col(op.distinct_values(nums, "value"))) == [2, 6, 7, 8, 9]
+    assert op.total(nums, "value").first().total == 40
+    assert op.total(nums, "value", zero=0).first().total == 40
     r = op.sum_count_mean(nums, "value").first()
-    assert (r.total, r["count"], r.mean) == (21, 7, 3.0)
+    assert (r.total, r["count"]) == (40, 7) and abs(r.mean - 40 / 7) < 1e-12
     cbv = {r.value: r["count"] for r in op.count_by_value(nums, "value").collect()}
-    assert cbv == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1}
-    assert col(op.top_n(nums, 3, "value")) == [5, 4, 4]
-    assert col(op.top_n(nums, 3, "value", ascending=True)) == [1, 2, 2]
-    assert col(op.first_row(nums, "value")) == [1]
+    assert cbv == {2: 2, 6: 2, 7: 1, 8: 1, 9: 1}
+    assert col(op.top_n(nums, 3, "value")) == [9, 8, 7]
+    assert col(op.top_n(nums, 3, "value", ascending=True)) == [2, 2, 6]
+    assert col(op.first_row(nums, "value")) == [2]
     assert op.count_rows(nums).first()["count"] == 7
 
 
@@ -41,11 +41,11 @@ def test_reduce_vs_fold_on_empty(spark):
 
 
 def test_set_operations(spark):
-    a, b = ints(spark, [1, 2, 3, 4, 5]), ints(spark, [4, 5, 6, 7])
-    assert sorted(col(op.union_all(a, b))) == [1, 2, 3, 4, 4, 5, 5, 6, 7]
-    assert sorted(col(op.intersect_distinct(a, b))) == [4, 5]
-    assert sorted(col(op.subtract_keep_dups(a, b))) == [1, 2, 3]
-    assert sorted(col(op.except_distinct(a, b))) == [1, 2, 3]
+    a, b = ints(spark, [10, 20, 30, 40]), ints(spark, [30, 40, 50])
+    assert sorted(col(op.union_all(a, b))) == [10, 20, 30, 30, 40, 40, 50]
+    assert sorted(col(op.intersect_distinct(a, b))) == [30, 40]
+    assert sorted(col(op.subtract_keep_dups(a, b))) == [10, 20]
+    assert sorted(col(op.except_distinct(a, b))) == [10, 20]
 
 
 def test_set_operations_with_duplicates_and_nulls(spark):
@@ -53,20 +53,20 @@ def test_set_operations_with_duplicates_and_nulls(spark):
     assert sorted(col(op.subtract_keep_dups(a, b))) == [1, 1, 3]
     assert sorted(col(op.except_distinct(a, b))) == [1, 3]
     assert col(op.intersect_distinct(ints(spark, [1, 1, 2, 3]), ints(spark, [2, 2]))) == [2]
+    assert col(op.intersect_distinct(a, ints(spark, [None, 7]))) == [None]
     assert op.union_all(ints(spark, [1, 1, 2, 3]), ints(spark, [2, 2])).count() == 6
 
 
-PERSONS = [("Ala", 3), ("Tomek", 4), ("Kasia", 5), ("Ala", 5), ("Tomek", 3), ("Kasia", 4)]
+SCORES = [("north", 8), ("south", 1), ("north", 6), ("west", 9), ("south", 5), ("north", 1)]
 
 
 def test_pair_aggregates(spark):
-    p = spark.createDataFrame(PERSONS, "key string, value int")
-    assert {r.key: r["count"] for r in op.count_by_key(p, "key").collect()} == {"Ala": 2, "Tomek": 2, "Kasia": 2}
-    assert {r.key: r.mean for r in op.mean_by_key(p, "key", "value").collect()} == \
-        {"Ala": 4.0, "Tomek": 3.5, "Kasia": 4.5}
+    p = spark.createDataFrame(SCORES, "key string, value int")
+    assert {r.key: r["count"] for r in op.count_by_key(p, "key").collect()} == {"north": 3, "south": 2, "west": 1}
+    assert {r.key: r.mean for r in op.mean_by_key(p, "key", "value").collect()} == {"north": 5.0, "south": 3.0, "west": 9.0}
     g = {r.key: r["values"] for r in op.collect_by_key(p, "key", "value").collect()}
-    assert g == {"Ala": [3, 5], "Tomek": [3, 4], "Kasia": [4, 5]}
-    assert {r.key: r.total for r in op.sum_by_key(p, "key", "value").collect()} == {"Ala": 8, "Tomek": 7, "Kasia": 9}
+    assert g == {"north": [1, 6, 8], "south": [1, 5], "west": [9]}
+    assert {r.key: r.total for r in op.sum_by_key(p, "key", "value").collect()} == {"north": 15, "south": 6, "west": 9}
 
 
 def test_joins_and_cogroup(spark):
@@ -80,35 +80,50 @@ def test_joins_and_cogroup(spark):
     assert right == [("a", 1, 2), ("a", 1, 3)]
     cg = {r.k: (r.left, r.right) for r in op.cogroup(x, y, "k", "x", "y").collect()}
     assert cg == {"a": ([1], [2, 3]), "b": ([4], [])}
-    small = op.join_small(x, y, "k")
-    assert small.count() == 2
-    shuffled = op.join_small(x, y, "k", max_rows=1)  # above the bound: no broadcast
-    too_wide = op.join_small(x, y, "k", max_bytes=10)  # few rows, too many bytes
-    assert sorted(tuple(r) for r in shuffled.collect()) == inner
-    def hinted(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().logical().toString()
-    assert hinted(small) and not hinted(shuffled) and not hinted(too_wide)
-
-
-def test_cogroup_splits_hot_key_into_bounded_chunks(spark):
-    left = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1)], "k string, v int")
-    right = spark.createDataFrame([("hot", 7)] * 30 + [("only_right", 2)], "k string, v int")
-    cg = op.cogroup(left, right, "k", "v", "v", max_list=10).collect()
-    hot = [r for r in cg if r.k == "hot"]
-    assert len(hot) == 8  # 80 values, at most about 10 per chunk
-    assert sorted(v for r in hot for v in r.left) == list(range(50))
-    assert sum(len(r.right) for r in hot) == 30
-    assert all(len(r.left) + len(r.right) <= 25 for r in hot)
-    again = op.cogroup(left.repartition(3, "v"), right, "k", "v", "v", max_list=10, checkpoint_input=True)
-    assert sorted(v for r in again.collect() if r.k == "hot" for v in r.left) == list(range(50))
-    rest = {r.k: (r.chunk, r.left, r.right) for r in cg if r.k != "hot"}
-    assert rest == {"cold": (0, [1], []), "only_right": (0, [], [2])}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_split_deals_hot_keys(spark, monkeypatch, how):
+    from quarry.operators import joins
+    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 5)
+    left = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3), ("alone", 4), (None, 5)], "k string, x int")
+    right = spark.createDataFrame([("hot", i) for i in range(200)] + [("cold", -1), (None, -2), ("other", -3)], "k string, y int")
+    split = op.join_split(left, right, "k", how)
+    assert split.columns == ["k", "x", "y"]
+    want = left.join(right, "k", how)
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, want.collect()))
+    assert "_salt" in split._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("rank_rows", [1_000_000, 3])
+def test_lists_are_cut_in_order(spark, monkeypatch, rank_rows):
+    from quarry.operators import chunks
+    monkeypatch.setattr(chunks, "RANK_ROWS", rank_rows)
+    values = [7] * 25 + list(range(40)) + [None, None]
+    df = spark.createDataFrame([("hot", v) for v in values] + [("cold", 1), (None, 2)], "k string, v int").repartition(4)
+    out = {(r.k, r.chunk): r["values"] for r in op.grouped_lists(df, "k", "v", chunk_rows=10).collect()}
+    hot = [None, None] + sorted(v for v in values if v is not None)
+    assert out == {**{("hot", i): hot[10 * i:10 * i + 10] for i in range(7)}, ("cold", 0): [1], (None, 0): [2]}
+    pairs = df.withColumn("w", F.lit("x"))
+    both = op.grouped_lists(pairs, "k", ["v", "w"], chunk_rows=1000).filter("k = 'hot'").first()["values"]
+    assert [r.v for r in both] == hot
+
+
+def test_cogroup_chunks_hold_both_sides(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(25)] + [("cold", 1)], "k string, v int")
+    right = spark.createDataFrame([("hot", 7)] * 12 + [("only_right", 2), (None, 3)], "k string, v int")
+    out = {(r.k, r.chunk): (r.left, r.right) for r in op.cogroup(left, right, "k", "v", "v", chunk_rows=10).collect()}
+    assert out == {("hot", 0): (list(range(10)), [7] * 10), ("hot", 1): (list(range(10, 20)), [7, 7]),
+                   ("hot", 2): (list(range(20, 25)), []), ("cold", 0): ([1], []), ("only_right", 0): ([], [2]),
+                   (None, 0): ([], [3])}
+    with pytest.raises(ValueError):
+        op.cogroup(left, right, "k", "v", "v", chunk_rows=0)
 
 
 def test_grouped_lists_null_key_and_values(spark):
     df = spark.createDataFrame([(None, 1), (None, None), ("a", 2)], "k string, v int")
-    got = {r.k: r["values"] for r in op.grouped_lists(df, "k", "v").collect()}
-    assert got == {None: [None, 1], "a": [2]}
+    got = {(r.k, r.chunk): r["values"] for r in op.grouped_lists(df, "k", "v").collect()}
+    assert got == {(None, 0): [None, 1], ("a", 0): [2]}
 
 
 def test_count_where_single_pass(spark):
@@ -136,5 +151,10 @@ def test_persisted_and_spread(spark, nums):
     one = nums.coalesce(1)
     assert op.spread(one, 4).rdd.getNumPartitions() == 4
     many = nums.repartition(6)
-    assert op.spread(many, 4) is many
+    assert op.spread(many, 4).rdd.getNumPartitions() == 4
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "no job at build time")
+    grouped = nums.groupBy("value").count()
+    assert op.spread(grouped) is grouped and not jobs.getJobIdsForGroup("spread")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert op.coalesce_to(many, 2).rdd.getNumPartitions() == 2

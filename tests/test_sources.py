@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.schemas import MOVIE, RATING
 from quarry.sources import (
     kafka_options, parse_records, parse_vectors, read_delimited, read_events, read_libsvm,
-    read_lines, write_result,
+    read_lines, rejected_records, write_result,
 )
 
 
@@ -44,6 +44,7 @@ def test_parse_records_modes(spark):
             parse_records(bad_number, RATING, sep="::", mode="failfast").collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert sorted(r.value for r in rejected_records(lines, RATING, sep="::").collect()) == ["2::x::3.0::5", "bad"]
     good = parse_records(lines.limit(1), RATING, sep="::", mode="failfast")
     assert [tuple(r) for r in good.collect()] == [(1, 10, 4.5, 100)] and good.schema == RATING
 
@@ -103,3 +104,33 @@ def test_missing_connectors_fail_clearly(spark):
         df.select(decode_payload("value", '{"type": "string"}', codec="avro")).collect()
     with pytest.raises(ValueError):
         decode_payload("value", "k int", codec="xml")
+
+
+HOSTILE = [None, "", " pad ", "a@b", 'quo"te', '"', "line\nbreak", "cr\r", "\\", "\\N", "\\N x", "tab\t", "plain", ",", "'"]
+
+
+def test_csv_gives_every_string_back(spark):
+    path = os.path.join(tempfile.mkdtemp(), "csv")
+    df = spark.createDataFrame([(i, t, "end") for i, t in enumerate(HOSTILE)], "i int, t string, e string")
+    for sep in ("@", ",", "|"):
+        write_result(df, path, fmt="csv", sep=sep)
+        back = read_delimited(spark, path, ["i", "t", "e"], sep=sep, schema=df.schema, exact=True)
+        got = {r.i: r.t for r in back.collect()}
+        assert got == dict(enumerate(HOSTILE)), (sep, got)
+
+
+def test_read_delimited_fails_on_bad_records(spark):
+    path = os.path.join(tempfile.mkdtemp(), "bad.txt")
+    _write(path, "1@one@x\ntwo@2@y\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, path, ["a", "b", "c"], schema=MOVIE).collect()
+    rows = read_delimited(spark, path, ["a", "b", "c"], schema=MOVIE, mode="PERMISSIVE").collect()
+    assert [r.a for r in rows] == [1, None]
+
+
+def test_a_failed_write_keeps_the_old_result(spark):
+    path = os.path.join(tempfile.mkdtemp(), "kept")
+    write_result(spark.range(10), path)
+    with pytest.raises(Exception):
+        write_result(spark.range(10).selectExpr("raise_error('no') as id"), path)
+    assert spark.read.parquet(path).count() == 10

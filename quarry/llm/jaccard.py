@@ -1,29 +1,32 @@
 """N-gram Jaccard join: documents whose sets of word shingles overlap enough.
 
-1. Every document's set is hashed in the scan's tasks. Shingle hashes, not
-   texts, are dealt by hash to count which occur in more than one document;
-   a document with too few of those can have no partner and is done.
-2. The rest, one document for each distinct set, is dealt again. Shingles
-   that occur in exactly the same documents are one weighted symbol from
-   here on, so copies cost a few symbols each and not their texts.
+1. Every document's set is hashed in the scan's tasks. What repeats within
+   a block of documents is known there; one hash for each distinct shingle of
+   a block is dealt by hash to find what blocks have in common. A document
+   with too few shingles that occur elsewhere can have no partner and is done.
+2. Of the rest, one document for each distinct set is gathered in blocks that
+   are written once. Blocks post how many documents hold a shingle and a sum
+   that names them; the totals come back. Shingles that occur in exactly the
+   same documents are one weighted symbol from here on, so copies cost a few
+   symbols each and not their texts, and a shingle of very many documents
+   costs a row for each block.
 3. Symbols are ordered rarest first over all sets. Two sets that link share
    a symbol among the first ones of each (those whose loss would leave too
-   little), so the documents of such a symbol form a shard. In a shard the
-   sets are stored in a prefix tree; each set walks it once, sharing the
-   overlap of common paths, and leaves a subtree when the weight that
-   remains on either side cannot reach the threshold, or when all of it is
-   already in its component.
-4. The first round uses one shard a document; the second the remaining
-   shards, but only those that hold several components by then. What they
-   link is closed to components in a few star steps.
+   little), so the documents of such a symbol form a shard. Small shards are
+   dealt to buckets, and a document goes once to each bucket.
+4. In a bucket, sets that shards connect are stored in a prefix tree, which
+   is walked once for all sets at a time: a node adds its symbols' weights to
+   the overlaps of all sets that hold them, and a set leaves a subtree when
+   the weight that remains on either side cannot reach the threshold, or when
+   all of the subtree is in its component. Links are closed to components by
+   star steps.
 
 Shards over ``SHARD_ROWS`` documents are cut into blocks and worked on by
-pairs of blocks, so no task holds more than two blocks.
+pairs of blocks, so no task holds more than two blocks of one shard.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +38,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.components import components
 from quarry.llm.store import written
-from quarry.llm.vec import (LOWER, SLICE_BYTES, buffer_of, fold, mix, prefix_hash, runs, span_hash, text_slices, window_hash,
-                            word_spans)
+from quarry.llm.vec import (LOWER, SLICE_BYTES, buffer_of, expand, fold, mix, prefix_hash, runs, span_hash, squeeze, steps,
+                            text_slices, window_hash, word_spans)
 
 WORDS = 5
 #: A link: PERCENT * union <= 100 * intersection.
@@ -116,16 +119,21 @@ class Dealer:
         value = np.concatenate(self.values) if self.values else np.zeros(0, np.uint64)
         row = np.concatenate(self.rows) if self.rows else np.zeros(0, np.int64)
         order = np.argsort(value)
-        value, row = value[order], row[order]
-        rest = HASH_BITS - self.bits
-        part = (value >> np.uint64(rest)).astype(np.int64)
-        value = (value & np.uint64((1 << rest) - 1)) >> np.uint64(max(0, rest - self.keep))
-        begin = runs(part)
-        for a, b in zip(begin, np.append(begin[1:], len(part))):
-            yield int(part[a]), pack_block(value[a:b], row[a:b])
+        yield from dealt_blocks(value[order], row[order], self.bits, self.keep)
         self.__init__(self.bits, self.keep)
 
 
+def dealt_blocks(value: np.ndarray, row: np.ndarray, bits: int, keep_bits: int) -> Iterator[tuple[int, bytes]]:
+    """(partition, block) of ascending values: partition by the leading
+    ``bits``, of the rest the next ``keep_bits``."""
+    rest = HASH_BITS - bits
+    part = (value >> np.uint64(rest)).astype(np.int64)
+    value = (value & np.uint64((1 << rest) - 1)) >> np.uint64(max(0, rest - keep_bits))
+    begin = runs(part)
+    for a, b in zip(begin, np.append(begin[1:], len(part))):
+        yield int(part[a]), pack_block(value[a:b], row[a:b])
+
+
 def partition_bits(amount: float, each: float) -> int:
     """log2 of how many partitions of about ``each`` hold ``amount``."""
     return int(np.clip(np.ceil(np.log2(max(1.0, amount / each))), 4, 20))
@@ -137,55 +145,72 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64(doc_id, text).alias("k"), doc_id.alias("doc_id"), text.alias("text"))
 
 
-SKETCH = "block long, row int, k long, doc_id long, n long, s1 long, s2 long, p int, data binary"
+SKETCH = "block long, row int, k long, doc_id long, n long, s1 long, s2 long, here long, p int, data binary"
+#: Row number of an entry whose documents are counted already.
+_COUNTED = (1 << 32) - 1
 
 
 def sketch(docs: DataFrame, bits: int) -> DataFrame:
-    """Two kinds of rows: one a document (p is null) with its set's size and
-    two order-free hashes of the set, and the blocks of shingles."""
+    """Two kinds of rows: one a document (p is null) with its set's size, two
+    order-free hashes of the set and how many of its shingles another
+    document of the block has; and the blocks' distinct shingles."""
     names = [c.split()[0] for c in SKETCH.split(", ")]
-    types = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.binary()]
+    types = [pa.int64(), pa.int32(), *[pa.int64()] * 6, pa.int32(), pa.binary()]
 
     def table(height: int, **cols) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [cols[c] if isinstance(cols.get(c), pa.Array) else pa.array(cols[c], t) if c in cols else pa.nulls(height, t)
-             for c, t in zip(names, types)], names=names)
+            [pa.array(cols[c], t) if c in cols else pa.nulls(height, t) for c, t in zip(names, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        block = task << 32
-        deal = Dealer(bits, 32)
-
-        def flush() -> pa.RecordBatch:
-            parts = list(deal.blocks())
-            return table(len(parts), block=[block] * len(parts), p=[p for p, _ in parts], data=[d for _, d in parts])
+        block = TaskContext.get().partitionId() << 32
+        ids: list[pa.Array] = []
+        sets: list[tuple[np.ndarray, ...]] = []
+        n = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            size, s1, s2 = (np.concatenate([x[i] for x in sets]) for i in (0, 1, 2))
+            value = np.concatenate([x[3] for x in sets])
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.argsort(value)
+            value, row = value[order], row[order]
+            begin = runs(value)
+            times = np.diff(np.append(begin, len(value)))
+            here = np.bincount(row[np.repeat(times > 1, times)], minlength=len(size))
+            value, row = value[begin], np.where(times > 1, _COUNTED, row[begin])
+            known = pa.concat_tables([pa.table([x[0], x[1]], names=["k", "doc_id"]) for x in ids]).combine_chunks()
+            yield table(len(size), block=np.full(len(size), block), row=np.arange(len(size)),
+                        k=known["k"].combine_chunks(), doc_id=known["doc_id"].combine_chunks(), n=size, s1=s1, s2=s2, here=here)
+            parts = list(dealt_blocks(value, row, bits, 32))
+            yield table(len(parts), block=[block] * len(parts), p=[p for p, _ in parts], data=[d for _, d in parts])
+            ids.clear()
+            sets.clear()
 
         for batch in batches:
             for a, b in row_slices(batch["text"]):
                 part = batch.slice(a, b - a)
                 row, value = shingles(part["text"])
                 size = np.bincount(row, minlength=b - a)
+                end = np.cumsum(size)
                 sums = []
                 for salt in (1, 2):
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix(value + np.uint64(salt << 60)), dtype=np.uint64)])
-                    end = np.cumsum(size)
                     sums.append((total[end] - total[end - size]).view(np.int64))
-                yield table(b - a, block=np.full(b - a, block), row=np.arange(b - a) + deal.docs, k=part["k"],
-                            doc_id=part["doc_id"], n=size, s1=sums[0], s2=sums[1])
-                deal.add(row, value, b - a)
-                if deal.n >= _BLOCK:
-                    yield flush()
-                    block += 1
-        if deal.n:
-            yield flush()
+                ids.append((part["k"], part["doc_id"]))
+                sets.append((size, *sums, value))
+                n += len(value)
+                if n >= _BLOCK:
+                    yield from flush()
+                    block, n = block + 1, 0
+        if ids:
+            yield from flush()
 
     return docs.mapInArrow(run, SKETCH)
 
 
 def shared_counts(sketches: DataFrame) -> DataFrame:
     """(block, row, shared): how many of a document's shingles occur in
-    another document too (or collide with one on the bits kept; too many is
-    harmless)."""
+    another block too, beside those counted in its own (or collide with one
+    on the bits kept; too many is harmless)."""
     def reduce(table: pa.Table) -> pa.Table:
         blocks = table["block"].to_pylist()
         found = [unpack_block(d.as_py()) for d in table["data"]]
@@ -195,7 +220,9 @@ def shared_counts(sketches: DataFrame) -> DataFrame:
         order = np.argsort(value)
         begin = runs(value[order])
         size = np.diff(np.append(begin, len(value)))
-        hit = order[np.repeat(size > 1, size)]
+        counted = np.maximum.reduceat(row[order], begin) == _COUNTED if len(begin) else np.zeros(0, bool)
+        hit = order[np.repeat((size > 1) | counted, size)]
+        hit = hit[row[hit] != _COUNTED]
         out = []
         for i, block in enumerate(blocks):
             counts = np.bincount(row[hit[which[hit] == i]])
@@ -218,166 +245,182 @@ def shared_counts(sketches: DataFrame) -> DataFrame:
             .groupBy("block").applyInArrow(total, "block long, row int, shared long"))
 
 
-def weighted_symbols(reps: DataFrame, bits: int) -> DataFrame:
-    """(k, n, symbol, df, weight) for every set of ``reps`` (k, text): the
-    groups of its shingles that occur in exactly the same df > 1 sets."""
-    schema = "p int, ks binary, ns binary, data binary"
+_SETS = "k long, n long, set array<struct<df: bigint, symbol: bigint, weight: bigint>>"
 
-    def deal_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        deal, ks, ns = Dealer(bits, HASH_BITS), [], []
+
+def weighted_symbols(reps: DataFrame, bits: int) -> DataFrame:
+    """(k, n, set) for every row of ``reps`` (k, text) that shares a shingle:
+    the groups of its shingles that occur in exactly the same df > 1 sets,
+    each a symbol with the number of shingles as weight."""
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, n = TaskContext.get().partitionId() << 32, [], 0
 
         def flush() -> pa.RecordBatch:
-            k, n = np.concatenate(ks), np.concatenate(ns)
-            out = []
-            for p, data in deal.blocks():
-                out.append((p, k.astype("<i8").tobytes(), n.astype("<i8").tobytes(), data))
-            ks.clear()
-            ns.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                names=["p", "ks", "ns", "data"])
+            k, size, value = (np.concatenate([x[i] for x in parts]) for i in range(3))
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.argsort(value, kind="stable")
+            data = squeeze(k, size, steps(value[order]), row[order].astype(np.uint32))
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())],
+                                              names=["block", "data"])
 
         for batch in batches:
             for a, b in row_slices(batch["text"]):
                 row, value = shingles(batch["text"].slice(a, b - a))
-                ks.append(batch["k"].slice(a, b - a).to_numpy(zero_copy_only=False))
-                ns.append(np.bincount(row, minlength=b - a))
-                deal.add(row, value, b - a)
-                if deal.n >= _BLOCK // 4:
+                parts.append((batch["k"].slice(a, b - a).to_numpy(zero_copy_only=False),
+                              np.bincount(row, minlength=b - a), value))
+                n += len(value)
+                if n >= _BLOCK:
                     yield flush()
-        if deal.n:
+                    block, n = block + 1, 0
+        if parts:
             yield flush()
 
-    def reduce(table: pa.Table) -> pa.Table:
-        value, k, n = [], [], []
-        for r in table.to_pylist():
-            v, row = unpack_block(r["data"])
-            value.append(v)
-            k.append(np.frombuffer(r["ks"], "<i8")[row])
-            n.append(np.frombuffer(r["ns"], "<i8")[row])
-        value, k, n = np.concatenate(value), np.concatenate(k), np.concatenate(n)
-        order = np.lexsort((k, value))
-        value, k, n = value[order], k[order], n[order]
-        begin = runs(value)
-        df = np.diff(np.append(begin, len(value)))
-        # one hash of the sorted documents of each shingle
-        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(k.view(np.uint64)), dtype=np.uint64)])
-        name = mix(total[begin + df] - total[begin] + df.astype(np.uint64))
-        keep = df > 1
-        each = np.repeat(keep, df)
-        name_of, df_of, k, n = np.repeat(name, df)[each], np.repeat(df, df)[each], k[each], n[each]
-        order = np.lexsort((k, name_of))
-        name_of, df_of, k, n = name_of[order], df_of[order], k[order], n[order]
-        head = runs(fold(name_of, k.view(np.uint64)))
-        return pa.table({"k": k[head], "n": n[head], "symbol": name_of[head].view(np.int64), "df": df_of[head],
-                         "weight": np.diff(np.append(head, len(k)))})
-
-    return (reps.mapInArrow(deal_out, schema).groupBy("p")
-            .applyInArrow(reduce, "k long, n long, symbol long, df long, weight long")
-            .groupBy("k", "n", "symbol", "df").agg(F.sum("weight").alias("weight")))
-
-
-class _Node:
-    """A symbol on a path. ``tail`` is the one set that goes on below, not
-    yet spread into nodes; ``ends`` are sets that end here; ``least`` is the
-    smallest size and ``rest`` the largest remaining weight below; ``any``
-    is one of the sets below and ``mixed`` whether several components are."""
-
-    __slots__ = ("symbol", "weight", "children", "tail", "ends", "least", "rest", "any", "mixed")
-
-    def __init__(self, symbol: int, weight: int, doc: int):
-        self.symbol, self.weight, self.children, self.tail, self.ends = symbol, weight, {}, None, []
-        self.least, self.rest, self.any, self.mixed = 1 << 62, 0, doc, False
-
-
-def tree_links(sizes: list[int], sets: list[list[tuple[int, int]]], percent: int = PERCENT,
-               labels: list[int] | None = None) -> list[tuple[int, int]]:
-    """Pairs of rows that link, enough of them to connect every two rows that
-    all links connect. ``sets`` are lists of (symbol, weight); ``sizes`` are
-    the whole sets' sizes, symbols of no other row included. Rows of equal
-    ``labels`` count as connected from the start."""
-    share: dict[int, int] = {}
-    for s in sets:
-        for symbol, _ in s:
-            share[symbol] = share.get(symbol, 0) + 1
-    place = {symbol: i for i, symbol in enumerate(sorted((c for c in share if share[c] > 1),
-                                                         key=lambda c: (-share[c], c)))}
-    paths = [sorted((place[c], w) for c, w in s if c in place) for s in sets]
-    parent = list(range(len(sets)))
+    def read(data: bytes) -> tuple[np.ndarray, ...]:
+        k, size, step, row = expand(data)
+        value = np.cumsum(step, dtype=np.uint64)
+        return k, size, row.astype(np.int64), value, runs(value)
 
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    if labels is not None:
-        first: dict[int, int] = {}
-        for i, label in enumerate(labels):
-            parent[i] = first.setdefault(label, i)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for number, data in zip(batch["block"].to_pylist(), batch["data"]):
+                k, _, row, value, begin = read(data.as_py())
+                if not len(value):
+                    continue
+                held = np.add.reduceat(mix(k.view(np.uint64))[row], begin)
+                count = np.diff(np.append(begin, len(value))).astype(np.uint32)
+                value = value[begin]
+                part = (value >> np.uint64(HASH_BITS - bits)).astype(np.int64)
+                cut = runs(part)
+                out += [(int(part[a]), number, squeeze(steps(value[a:b]), held[a:b], count[a:b]))
+                        for a, b in zip(cut, np.append(cut[1:], len(part)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary()))],
+                names=["p", "block", "data"])
+
+    def tell(table: pa.Table) -> pa.Table:
+        parts = [expand(d.as_py()) for d in table["data"]]
+        value = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
+        held, count = np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]).astype(np.int64)
+        order = np.argsort(value, kind="stable")
+        begin = runs(value[order])
+        size = np.diff(np.append(begin, len(value)))
+        df = np.add.reduceat(count[order], begin)
+        name = mix(np.add.reduceat(held[order], begin) + df.astype(np.uint64))
+        names, dfs = np.empty(len(value), np.uint64), np.empty(len(value), np.uint32)
+        names[order], dfs[order] = np.repeat(np.where(df > 1, name, 0), size), np.repeat(df, size)
+        cut = np.cumsum([len(x[0]) for x in parts])[:-1]
+        return pa.table({"block": table["block"], "p": table["p"],
+                         "data": pa.array([squeeze(a, b) for a, b in zip(np.split(names, cut), np.split(dfs, cut))], pa.binary())})
+
+    def join(mine: pa.Table, told: pa.Table) -> pa.Table:
+        k, size, row, value, begin = read(mine["data"][0].as_py())
+        got = [expand(d) for _, d in sorted(zip(told["p"].to_pylist(), told["data"].to_pylist()))]
+        name = np.concatenate([x[0] for x in got]) if got else np.zeros(0, np.uint64)
+        df = np.concatenate([x[1] for x in got]).astype(np.int64) if got else np.zeros(0, np.int64)
+        each = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(value))))
+        keep = df[each] > 1
+        each, row = each[keep], row[keep]
+        order = np.lexsort((name[each], row))
+        each, row = each[order], row[order]
+        head = np.ones(len(each), bool)
+        head[1:] = (row[1:] != row[:-1]) | (name[each[1:]] != name[each[:-1]])
+        first = np.flatnonzero(head)
+        weight = np.diff(np.append(first, len(each)))
+        row, each = row[first], each[first]
+        here, at = np.unique(row, return_index=True)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(at, len(row)), pa.int32()),
+            pa.StructArray.from_arrays([pa.array(df[each]), pa.array(name[each].view(np.int64)), pa.array(weight, pa.int64())],
+                                       names=["df", "symbol", "weight"]))
+        return pa.table({"k": pa.array(k[here], pa.int64()), "n": pa.array(size[here], pa.int64()), "set": lists})
+
+    stored = written(reps.mapInArrow(gather, "block long, data binary"), "jaccard-sets")
+    told = stored.mapInArrow(ask, "p int, block long, data binary").groupBy("p").applyInArrow(
+        tell, "block long, p int, data binary")
+    return stored.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(join, _SETS)
+
+
+def tree_links(size: np.ndarray, owner: np.ndarray, symbol: np.ndarray, weight: np.ndarray,
+               percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs of rows that link, enough of them to connect every two rows that
+    all links connect. Row ``owner[i]`` holds ``symbol[i]`` of ``weight[i]``
+    (the same in all rows); ``size`` are the whole sets' sizes, what no other
+    row holds included."""
+    m = len(size)
+    _, name, share = np.unique(symbol, return_inverse=True, return_counts=True)
+    keep = share[name] > 1
+    rank = np.empty(len(share), np.int64)
+    rank[np.argsort(-share, kind="stable")] = np.arange(len(share))
+    owner, weight, symbol = owner[keep], weight[keep], rank[name[keep]]
+    order = np.lexsort((symbol, owner))
+    owner, weight, symbol = owner[order], weight[order], symbol[order]
+    begin = np.searchsorted(owner, np.arange(m + 1))
+    path = [symbol[a:b].tolist() for a, b in zip(begin, begin[1:])]
+    rows = np.array(sorted(range(m), key=path.__getitem__), np.int64)  # the tree: equal starts are neighbours
+    place = np.empty(m, np.int64)
+    place[rows] = np.arange(m)
+    done = np.concatenate([[0], np.cumsum(weight)])
+    total = done[begin[1:]] - done[begin[:-1]]
+    width = len(share) + 1
+    code = owner * width + symbol
+    by = np.argsort(symbol, kind="stable")
+    holder, held = owner[by], weight[by].astype(float)
+    post = np.searchsorted(symbol[by], np.arange(width + 1))
+    label = np.arange(m)
     links: list[tuple[int, int]] = []
-    root = _Node(-1, 0, 0)
     both = 100 + percent
-    # smaller sets first: a walk's bound then has the tree's sizes on its side
-    for x in sorted(range(len(sets)), key=lambda i: (sizes[i], i)):
-        path, size = paths[x], sizes[x]
-        mine = dict(path)
-        at = [p for p, _ in path]
-        left = [0] * (len(path) + 1)
-        for i in range(len(path) - 1, -1, -1):
-            left[i] = left[i + 1] + path[i][1]
-
-        def links_with(y: int, overlap: int) -> None:
-            if both * overlap >= percent * (size + sizes[y]) and find(x) != find(y):
-                parent[find(x)] = find(y)
-                links.append((x, y))
-
-        stack = [(node, 0) for node in root.children.values() if node.symbol not in mine]
-        stack += [(node, 0) for node in root.children.values() if node.symbol in mine]
-        while stack:
-            node, overlap = stack.pop()
-            if not node.mixed and find(node.any) == find(x):
-                continue
-            overlap += mine.get(node.symbol, 0)
-            most = overlap + min(left[bisect_right(at, node.symbol)], node.rest)
-            if both * most < percent * (size + node.least):
-                continue
-            for y in node.ends:
-                links_with(y, overlap)
-            if node.tail is not None:
-                y, i = node.tail
-                links_with(y, overlap + sum(mine.get(p, 0) for p, _ in paths[y][i:]))
-            near = []
-            for child in node.children.values():
-                (near if child.symbol in mine else stack).append((child, overlap))
-            stack += near
-        # store x
-        node, i = root, 0
-        while True:
-            node.least = min(node.least, size)
-            node.rest = max(node.rest, left[i])
-            node.mixed = node.mixed or (node is not root and find(node.any) != find(x))
-            if node.tail is not None:
-                y, j = node.tail
-                node.tail = None
-                if j < len(paths[y]):
-                    child = _Node(*paths[y][j], y)
-                    child.least = sizes[y]
-                    child.rest = sum(w for _, w in paths[y][j + 1:])
-                    child.tail = (y, j + 1)
-                    node.children[child.symbol] = child
-                else:
-                    node.ends.append(y)
-            if i == len(path):
-                node.ends.append(x)
-                break
-            child = node.children.get(path[i][0])
-            if child is None:
-                child = _Node(*path[i], x)
-                child.least, child.rest, child.tail = size, left[i + 1], (x, i + 1)
-                node.children[child.symbol] = child
-                break
-            node, i = child, i + 1
+
+    def added(symbols: list[int]) -> np.ndarray:
+        """Weight that each row holds of some symbols."""
+        if not symbols:
+            return np.zeros(m)
+        first, last = post[symbols], post[np.array(symbols) + 1]
+        n = last - first
+        at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.bincount(holder[at], held[at], m)
+
+    def leaf(y: int, overlap: np.ndarray, active: np.ndarray) -> None:
+        active = active[(place[active] > place[y]) & (label[active] != label[y])]
+        found = active[both * overlap[active] >= percent * (size[active] + size[y])]
+        for group in np.unique(label[found]):
+            links.append((int(y), int(found[label[found] == group][0])))
+            label[label == group] = label[y]
+
+    stack = [(0, m, 0, np.zeros(m), np.arange(m))]
+    while stack:
+        lo, hi, depth, overlap, active = stack.pop()
+        here = rows[lo:hi]
+        active = active[place[active] >= lo]
+        if (label[here] == label[here[0]]).all():
+            active = active[label[active] != label[here[0]]]
+        if not len(active):
+            continue
+        first, last = path[rows[lo]], path[rows[hi - 1]]
+        if hi - lo == 1:
+            leaf(rows[lo], overlap + added(first[depth:]), active)
+            continue
+        end = depth
+        while end < min(len(first), len(last)) and first[end] == last[end]:
+            end += 1
+        if end > depth:
+            overlap = overlap + added(first[depth:end])
+        rest = total[here].max() - (done[begin[rows[lo]] + end] - done[begin[rows[lo]]])
+        if end:
+            after = np.searchsorted(code, active * width + first[end - 1], side="right")
+            rest = np.minimum(rest, done[begin[active + 1]] - done[after])
+        active = active[both * (overlap[active] + rest) >= percent * (size[active] + size[here].min())]
+        at = lo
+        while at < hi and len(path[rows[at]]) == end:  # sets that end here
+            leaf(rows[at], overlap, active)
+            at += 1
+        while at < hi:
+            to, nxt = at + 1, path[rows[at]][end]
+            while to < hi and path[rows[to]][end] == nxt:
+                to += 1
+            stack.append((at, to, end, overlap, active))
+            at = to
     return links
 
 
@@ -395,26 +438,70 @@ def prefix_symbols(symbols: list[tuple[int, int, int]], n: int, percent: int = P
     return out
 
 
-def _link_shards(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) labels that the shards of ``members`` (shard, k, label, n, set)
-    link. A shard over SHARD_ROWS rows is cut into blocks by hash and every
-    pair of blocks is a task of its own."""
-    size = (members.groupBy("shard").agg(F.count(F.lit(1)).alias("_n"))
-            .select(F.col("shard").alias("_s"), F.ceil(F.col("_n") / F.lit(SHARD_ROWS)).cast("int").alias("_blocks")))
-    cut = members.join(size, members["shard"] == size["_s"]).withColumn(
-        "_i", F.pmod(F.xxhash64("k"), F.col("_blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_j")
-    dealt = cut.select("*", other).select(
-        "shard", F.least("_i", "_j").alias("i"), F.greatest("_i", "_j").alias("j"), "label", "n", "set")
+def _parts(rows: list[list[int]]) -> list[list[int]]:
+    """Rows that shared shards connect, by row number; single ones left out."""
+    parent = list(range(len(rows)))
 
-    def walk(table: pa.Table) -> pa.Table:
-        label, n = table["label"].to_pylist(), table["n"].to_pylist()
-        sets = [[(s["symbol"], s["weight"]) for s in x] for x in table["set"].to_pylist()]
-        links = tree_links(n, sets, percent, label)
-        return pa.table({"a": pa.array([label[x] for x, _ in links], pa.int64()),
-                         "b": pa.array([label[y] for _, y in links], pa.int64())})
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    seen: dict[int, int] = {}
+    for x, shards in enumerate(rows):
+        for s in shards:
+            parent[find(x)] = find(seen.setdefault(s, x))
+    out: dict[int, list[int]] = {}
+    for x in range(len(rows)):
+        out.setdefault(find(x), []).append(x)
+    return [p for p in out.values() if len(p) > 1]
+
+
+def _link_shards(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) sets that the shards of ``prefixes`` (k, shard) link. A shard
+    over SHARD_ROWS sets is cut into blocks by hash and every pair of blocks
+    is a task of its own; the others go to buckets."""
+    size = prefixes.groupBy("shard").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    total = size.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("m")).first()
+    sets_n = sets.count()
+    buckets = int(np.clip(sets_n // SHARD_ROWS, 1, max(1, total["m"])))
+    member = prefixes.join(size, "shard").withColumn(
+        "_blocks", F.ceil(F.col("_n") / F.lit(SHARD_ROWS)).cast("int"))
+    bucket = F.pmod(F.xxhash64("shard", F.lit(3)), F.lit(buckets))
+    small = member.filter("_blocks = 1").groupBy("k", bucket.alias("group")).agg(F.collect_list("shard").alias("shards"))
+    i = F.pmod(F.xxhash64("k"), F.col("_blocks")).cast("int")
+    large = (member.filter("_blocks > 1")
+             .select("k", "shard", i.alias("_i"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_j"))
+             .select("k", F.struct("shard", F.least("_i", "_j").alias("i"), F.greatest("_i", "_j").alias("j")).alias("g"),
+                     F.array("shard").alias("shards")))
+    kind = "struct<shard: bigint, i: int, j: int>"
+    dealt = (small.select("k", F.struct(F.col("group").alias("shard"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+                          .cast(kind).alias("g"), "shards")
+             .unionByName(large.select("k", F.col("g").cast(kind).alias("g"), "shards"))
+             .join(sets, "k"))
 
-    return dealt.groupBy("shard", "i", "j").applyInArrow(walk, "a long, b long")
+    def walk(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        k, n = table["k"].to_numpy(), table["n"].to_numpy()
+        lists = table["set"].chunk(0) if table["set"].num_chunks else pa.array([], table["set"].type)
+        count = np.diff(lists.offsets.to_numpy())
+        flat = lists.flatten()
+        owner = np.repeat(np.arange(len(k)), count)
+        symbol, weight = flat.field("symbol").to_numpy(), flat.field("weight").to_numpy()
+        first = np.cumsum(count) - count
+        a, b = [], []
+        for part in _parts(table["shards"].to_pylist()):
+            rows = np.array(part)
+            at = np.arange(count[rows].sum()) + np.repeat(first[rows] - (np.cumsum(count[rows]) - count[rows]), count[rows])
+            local = np.repeat(np.arange(len(rows)), count[rows])
+            for x, y in tree_links(n[rows], local, symbol[at], weight[at], percent):
+                a.append(k[rows[x]])
+                b.append(k[rows[y]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.select("g.shard", "g.i", "g.j", "k", "n", "set", "shards").groupBy("shard", "i", "j").applyInArrow(
+        walk, "a long, b long")
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -424,50 +511,36 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     keyed = _keyed(docs)
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     sketches = written(sketch(keyed, partition_bits(size, 8e6)), "jaccard")
-    rows = sketches.filter("p is null").select("block", "row", "k", "doc_id", "n", "s1", "s2")
+    rows = sketches.filter("p is null").select("block", "row", "k", "doc_id", "n", "s1", "s2", "here")
     shared = shared_counts(sketches).withColumnsRenamed({"block": "_b", "row": "_r"})
     alive = written(
-        rows.join(shared, (rows["block"] == shared["_b"]) & (rows["row"] == shared["_r"]))
-        .filter((F.col("n") > 0) & (100 * F.col("shared") >= percent * F.col("n")))
+        rows.join(shared, (rows["block"] == shared["_b"]) & (rows["row"] == shared["_r"]), "left")
+        .filter((F.col("n") > 0) & (100 * (F.col("here") + F.coalesce("shared", F.lit(0))) >= percent * F.col("n")))
         .select("k", "doc_id", "n", "s1", "s2"), "alive")
     # one row for each distinct set
     classes = written(alive.groupBy("s1", "s2", "n").agg(F.min("k").alias("rep"), F.min("doc_id").alias("least")),
                       "classes")
     reps = classes.select("rep", "n")
     tokens = reps.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    texts = (keyed.join(reps.select(F.col("rep").alias("k")), "k", "left_semi").dropDuplicates(["k"])
+    # both sides are shuffled at any size: the sets grow with the documents
+    texts = (keyed.join(reps.select(F.col("rep").alias("k")).hint("merge"), "k", "left_semi").dropDuplicates(["k"])
              .select("k", "text"))
-    symbols = weighted_symbols(texts, partition_bits(tokens, 1e6))
-    sets = written(symbols.groupBy("k", "n").agg(
-        F.collect_list(F.struct("df", "symbol", "weight")).alias("set")), "sets")
+    sets = written(weighted_symbols(texts, partition_bits(tokens, 1e6)), "sets")
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, shard, last = [], [], []
+            k, shard = [], []
             for key, n, s in zip(batch["k"].to_pylist(), batch["n"].to_pylist(), batch["set"].to_pylist()):
                 found = prefix_symbols([(x["df"], x["symbol"], x["weight"]) for x in s], n, percent)
                 k += [key] * len(found)
                 shard += found
-                last += [False] * (len(found) - 1) + [True] if found else []
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(shard, pa.int64()),
-                                              pa.array(last, pa.bool_())], names=["k", "shard", "last"])
-
-    prefixes = written(sets.mapInArrow(prefix, "k long, shard long, last boolean"), "prefixes")
-    first = prefixes.filter("last").select("k", "shard").join(sets, "k").withColumn("label", F.col("k"))
-    round1 = components(_link_shards(first, percent))
-    # second round: by the labels of the first, only shards with several of them
-    label = written(
-        prefixes.join(round1.withColumnRenamed("node", "k"), "k", "left")
-        .select("k", "shard", F.coalesce("root", "k").alias("label")), "labels")
-    several = (label.groupBy("shard").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-               .filter("lo <> hi").select("shard"))
-    second = label.join(several, "shard", "left_semi").join(sets, "k")
-    round2 = components(_link_shards(second, percent))
-    one = classes.join(round1.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "s1", "s2", "n", "least", F.coalesce("root", "rep").alias("label"))
-    two = one.join(round2.select(F.col("node").alias("label"), F.col("root").alias("end")), "label", "left").select(
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(shard, pa.int64())], names=["k", "shard"])
+
+    prefixes = written(sets.mapInArrow(prefix, "k long, shard long"), "prefixes")
+    roots = components(_link_shards(prefixes, sets, percent))
+    two = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("s1").alias("_1"), F.col("s2").alias("_2"), F.col("n").alias("_n"), "least",
-        F.coalesce("end", "label").alias("end"))
+        F.coalesce("root", "rep").alias("end"))
     ids = two.groupBy("end").agg(F.min("least").alias("component")).join(two.drop("least"), "end").select(
         "_1", "_2", "_n", "end", "component")
     return (rows.join(ids, (rows["s1"] == ids["_1"]) & (rows["s2"] == ids["_2"]) & (rows["n"] == ids["_n"])

@@ -22,14 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.jaccard import HASH_BITS, partition_bits
 from quarry.llm.store import written
-from quarry.llm.vec import LOWER, buffer_of, fold, prefix_hash, runs, span_hash, text_slices, word_spans
+from quarry.llm.vec import (LOWER, buffer_of, expand, fold, prefix_hash, runs, span_hash, squeeze, steps, text_slices,
+                            word_spans)
 
 #: Counts up to this one are discounted.
 MAX_DISCOUNT = 5
@@ -43,32 +43,6 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-# --- arrays as compressed byte planes -------------------------------------------------
-
-def squeeze(*arrays: np.ndarray) -> bytes:
-    """Integer or float arrays as compressed byte planes."""
-    parts = []
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        parts.append(np.array([len(a), ord(a.dtype.kind), a.dtype.itemsize], "<i8").tobytes())
-        parts.append(a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
-
-
-def expand(data: bytes) -> list[np.ndarray]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
-    while at < len(raw):
-        n, kind, width = np.frombuffer(raw, "<i8", 3, at)
-        planes = np.frombuffer(raw, np.uint8, int(n * width), at + 24).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).view(np.dtype(f"{chr(kind)}{width}")).ravel())
-        at += 24 + int(n * width)
-    return out
-
-
-def steps(sorted_values: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_values, prepend=np.uint64(0))
-
-
 # --- blocks ---------------------------------------------------------------------------
 
 @dataclass

@@ -30,10 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.jaccard import partition_bits
-from quarry.llm.katz import expand, squeeze, steps
 from quarry.llm.store import written
 from quarry.llm.suffix import common_prefixes, suffix_array
-from quarry.llm.vec import buffer_of, prefix_hash, runs, span_hash, text_slices
+from quarry.llm.vec import buffer_of, expand, prefix_hash, runs, span_hash, squeeze, steps, text_slices
 
 LENGTH = 50
 GRAM = 16
@@ -43,7 +42,7 @@ WINDOW = SIDE + 1
 ANCHOR_BITS = 46
 COPY_BITS = 40
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 _SLICE = 1 << 20
 _LAST = 2 ** 63 - 1
 _TOP = np.uint64(2 ** 64 - 1)
@@ -274,16 +273,20 @@ def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.n
     place = np.arange(len(flat)) + which
     s[place] = flat.astype(np.int32) + 2
     s[end + np.arange(len(size))] = 1
-    sa = suffix_array(s, 258)
-    common = common_prefixes(s, sa, LENGTH)
+    sa = suffix_array(s, 258, LENGTH)
+    starts = np.flatnonzero(np.arange(len(flat)) + LENGTH <= end[which])
+    # only where a string begins can one be held in common
+    common = np.zeros(len(s), np.int64)
+    common[place[starts]] = common_prefixes(s, sa, LENGTH, place[starts])
     holder = np.full(len(s), _LAST)
-    whole = np.arange(len(flat)) + LENGTH <= end[which]
-    holder[place[whole]] = doc[which[whole]]
+    holder[place[starts]] = doc[which[starts]]
     begin = np.flatnonzero(common[sa] < LENGTH)
     least = np.minimum.reduceat(holder[sa], begin)
-    out = np.empty(len(s), np.int64)
-    out[sa] = np.repeat(least, np.diff(np.append(begin, len(s))))
-    return np.where(whole, out[place], _LAST)
+    shared = np.empty(len(s), np.int64)
+    shared[sa] = np.repeat(least, np.diff(np.append(begin, len(s))))
+    out = np.full(len(flat), _LAST)
+    out[starts] = shared[place[starts]]
+    return out
 
 
 def _answer(waiting: pa.Table, sent: pa.Table) -> pa.Table:
@@ -328,12 +331,13 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _finish(mine: pa.Table, drops: pa.Table) -> pa.Table:
     t = _Text(mine["meta"][0].as_py(), mine["text"][0].as_py())
-    mark = np.zeros(len(t.buf) + 1, np.int32)
+    start, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for d in drops["data"]:
         step, n = expand(d.as_py())
-        start = np.cumsum(step.astype(np.int64))
-        mark += np.bincount(start, minlength=len(mark)).astype(np.int32)
-        mark -= np.bincount(start + n, minlength=len(mark)).astype(np.int32)
+        start.append(np.cumsum(step.astype(np.int64)))
+        end.append(start[-1] + n)
+    mark = np.bincount(np.concatenate(start), minlength=len(t.buf) + 1).astype(np.int32)
+    mark -= np.bincount(np.concatenate(end), minlength=len(t.buf) + 1).astype(np.int32)
     gone = np.cumsum(mark[:-1], dtype=np.int32) > 0
     first = gone.copy()
     first[1:] &= ~gone[:-1]
@@ -362,7 +366,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     stored = written(store_blocks(docs), "repeat-blocks")
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    bits = partition_bits(size, 3.2e7)
+    bits = partition_bits(size, 1.6e7)
     found = written(stored.mapInArrow(_deal_anchors(bits), "p int, block long, docs binary, data binary")
                     .groupBy("p").applyInArrow(_find, _FOUND), "repeat-anchors")
     sent = (stored.groupBy("block").cogroup(found.filter(F.col("kind") == _SEND).groupBy("block"))

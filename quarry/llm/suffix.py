@@ -7,7 +7,8 @@ from the sorted leftmost smaller suffixes then places all others. Inducing
 runs bucket by bucket; within a bucket whole waves of entries are handled at
 once, so Python's part is proportional to the alphabet and not the text.
 Names, which can be many, are written as digits for the recursion, so the
-alphabet stays small; the string still shrinks by a third each time.
+alphabet stays small; the string still shrinks by a third each time. Short
+strings of names end the recursion: they are ordered by doubling.
 """
 
 from __future__ import annotations
@@ -18,20 +19,22 @@ from quarry.llm.vec import mix, powers
 
 #: Reduced strings with at most this many names keep them as symbols.
 MAX_ALPHABET = 1 << 9
+#: Strings of at most this many names are ordered without recursion.
+SHORT = 1 << 20
 
 
 def _deal(sa: np.ndarray, ptr: np.ndarray, s: np.ndarray, at: np.ndarray, down: bool) -> None:
     """Put suffixes ``at``, in order, at the next free places of their buckets."""
     ch = s[at]
     order = np.argsort(ch, kind="stable")
-    ch = ch[order]
+    at, ch = at[order], ch[order]
     count = np.bincount(ch, minlength=len(ptr))
-    within = np.arange(len(at)) - (np.cumsum(count) - count)[ch]
+    within = np.arange(len(at), dtype=np.int64)
     if down:
-        sa[ptr[ch] - within] = at[order]
+        sa[(ptr + np.cumsum(count) - count)[ch] - within] = at
         ptr -= count
     else:
-        sa[ptr[ch] + within] = at[order]
+        sa[(ptr - np.cumsum(count) + count)[ch] + within] = at
         ptr += count
 
 
@@ -85,16 +88,18 @@ def _types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one; the last one is."""
     n = len(s)
     step = np.ones(n, np.int8)
-    step[:-1] = np.sign(s[1:].astype(np.int32) - s[:-1].astype(np.int32))
+    np.sign(s[1:].astype(np.int32) - s[:-1].astype(np.int32), out=step[:-1], casting="unsafe")
     decided = np.where(step != 0, np.arange(n), n)
     nearest = np.minimum.accumulate(decided[::-1])[::-1]  # equal symbols go as the first that differs
     return step[nearest] > 0
 
 
-def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
+def suffix_array(s: np.ndarray, k: int, depth: int | None = None) -> np.ndarray:
     """Suffix array of ``s``, symbols 0 to k - 1, whose last one is 0 and
-    occurs nowhere else."""
+    occurs nowhere else. With ``depth``, suffixes that agree on that many
+    symbols may stand in any order."""
     n = len(s)
+    s = s.astype(np.uint16) if k <= 1 << 16 else s
     if n == 1:
         return np.zeros(1, np.int32)
     smaller = _types(s)
@@ -124,27 +129,48 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
         if count == len(lms):
             lms = by_rank
         else:
-            lms = lms[_order(names, count)]
+            lms = lms[_order(names, count, depth)]
     return _induce(s, smaller, lms, k)
 
 
-def _order(names: np.ndarray, count: int) -> np.ndarray:
-    """Order of the suffixes of the string of names (its last name, 0, is unique)."""
+def _order(names: np.ndarray, count: int, depth: int | None) -> np.ndarray:
+    """Order of the suffixes of the string of names (its last name, 0, is
+    unique; a name stands for at least one symbol)."""
+    if len(names) <= SHORT:
+        return _by_doubling(names, depth)
     if count <= MAX_ALPHABET:
-        return suffix_array(names.astype(np.int32), count)
+        return suffix_array(names, count, depth)
     base = int(np.ceil(np.sqrt(count))) + 1
     digits = np.empty(2 * len(names) + 1, np.int32)
     digits[0:-1:2] = names // base + 1
     digits[1:-1:2] = names % base + 1
     digits[-1] = 0
-    sa = suffix_array(digits, base + 2)
+    sa = suffix_array(digits, base + 2, depth and 2 * depth)
     return sa[(sa % 2 == 0) & (sa < len(digits) - 1)] // 2
 
 
-def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each place of the text, the length (``most`` at most) that its
-    suffix has in common with the one before it in the array: the permuted
-    common prefixes, all places at once by halving steps on span hashes."""
+def _by_doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
+    """Ranks of twice as many names each time, until all differ (or depth)."""
+    n = len(names)
+    rank, reach = names.astype(np.int64), 1
+    while True:
+        key = rank * (n + 1)
+        key[:n - reach] += rank[reach:] + 1
+        order = np.argsort(key)
+        key = key[order]
+        new = np.ones(n, bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[order] = np.cumsum(new) - 1
+        reach *= 2
+        if new.all() or reach >= n or (depth and reach >= depth):
+            return order
+
+
+def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray | None = None) -> np.ndarray:
+    """For each place of the text (or each of ``places``), the length,
+    ``most`` at most, that its suffix has in common with the one before it in
+    the array: the permuted common prefixes, all places at once, by halving
+    steps on span hashes."""
     n = len(s)
     before = np.zeros(n, np.int64)
     before[sa[1:]] = sa[:-1]
@@ -152,14 +178,16 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     p, q = powers(n + 1)
     h = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(np.arange(int(s.max(initial=0)) + 1, dtype=np.uint64) + np.uint64(977))[s] * p[:-1], out=h[1:])
-    out = np.zeros(n, np.int64)
-    here = np.arange(n)
+    a = np.arange(n) if places is None else places.astype(np.int64)
+    b = before[a]
+    out = np.zeros(len(a), np.int64)
     step = 1 << (int(most).bit_length() - 1)
     while step:
-        a, b = here + out, before + out
-        ok = (out + step <= most) & (a + step <= n) & (b + step <= n)
-        a, b = a[ok], b[ok]
-        same = (h[a + step] - h[a]) * q[a] == (h[b + step] - h[b]) * q[b]
-        out[np.flatnonzero(ok)[same]] += step
+        ok = np.flatnonzero((out + step <= most) & (np.maximum(a, b) + step <= n))
+        x, y = a[ok], b[ok]
+        same = ok[(h[x + step] - h[x]) * q[x] == (h[y + step] - h[y]) * q[y]]
+        out[same] += step
+        a[same] += step
+        b[same] += step
         step //= 2
     return out

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_helpers import tuples
-from quarry.llm import katz
+from quarry.llm import katz, vec
 
 
 class Brute:
@@ -108,5 +108,5 @@ def test_discounts_are_shares(counts):
 
 def test_squeeze_round_trip():
     arrays = [np.array([3, 1, 2 ** 63], np.uint64), np.zeros(0, np.uint32), np.array([1.5, -2.0]), np.array([-1, 5])]
-    for a, b in zip(arrays, katz.expand(katz.squeeze(*arrays))):
+    for a, b in zip(arrays, vec.expand(vec.squeeze(*arrays))):
         assert a.dtype == b.dtype and (a == b).all()

@@ -46,11 +46,14 @@ def test_suffix_array_and_common_prefixes(text, times):
 
 def test_names_beyond_the_alphabet_are_digits(monkeypatch):
     monkeypatch.setattr(suffix, "MAX_ALPHABET", 3)
+    monkeypatch.setattr(suffix, "SHORT", 2)
     rng = random.Random(6)
-    for _ in range(60):
-        s = [rng.randint(1, 9) for _ in range(rng.randint(1, 90))] * 2 + [0]
+    for _ in range(150):
+        s = [rng.randint(1, rng.choice([2, 9])) for _ in range(rng.randint(1, 90))] * rng.randint(1, 4) + [0]
         got = suffix.suffix_array(np.array(s, np.int32), 10).tolist()
         assert got == sorted(range(len(s)), key=lambda i: s[i:])
+        some = suffix.suffix_array(np.array(s, np.int32), 10, 5).tolist()
+        assert sorted(some) == sorted(got) and [s[i:i + 5] for i in some] == [s[i:i + 5] for i in got]
 
 
 @pytest.mark.parametrize("block,shard", [(8 << 20, 2 << 20), (3000, 400)])

@@ -5,13 +5,14 @@ chunk 0 holds the first ones, and the chunks of a key end to end are its
 whole sorted list. The caller chooses the size; it is the same for all keys
 and at any amount of data.
 
-Equal values are counted first (a partial aggregate), so what is ranked is
-one row per key and distinct value, and a key's rows never meet as such.
+A key that fits one list is grouped as such. Of the others, equal values are
+counted first (a partial aggregate), so what is ranked is one row per key and
+distinct value, and a large key's rows never meet as such.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +29,9 @@ def ranked_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """(keys..., value, _n, _start): each distinct value of a key, how often
     it occurs and how many of the key's values sort before it (nulls first)."""
     pairs = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    most = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
+    most = df.count()  # no key has more distinct values than there are rows
+    if most > RANK_ROWS:
+        most = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
     order = F.col(value).asc_nulls_first()
     if most <= RANK_ROWS:
         before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -56,8 +59,6 @@ def ranked_runs(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def value_chunks(df: DataFrame, keys: list[str], value: str, out: str, chunk_rows: int) -> DataFrame:
     """(keys..., chunk, out): sorted lists of ``chunk_rows`` values, the last
     one of a key shorter."""
-    if chunk_rows < 1:
-        raise ValueError("chunk_rows must be positive")
     size = F.lit(int(chunk_rows))
     first, last = F.floor(F.col("_start") / size), F.floor((F.col("_start") + F.col("_n") - 1) / size)
     cut = ranked_runs(df, keys, value).withColumn("chunk", F.explode(F.sequence(first, last)))
@@ -68,6 +69,36 @@ def value_chunks(df: DataFrame, keys: list[str], value: str, out: str, chunk_row
     return cut.groupBy(*keys, "chunk").agg(lists.alias(out))
 
 
+def list_with_nulls(value: str, dtype: str, present: Column | None = None) -> Column:
+    """Aggregate: ``value`` (of SQL type ``dtype``) over the rows where
+    ``present`` holds (all rows when None) as a sorted list, nulls first
+    (``collect_list`` leaves them out, so they are counted apart)."""
+    v = F.col(value)
+    lst = F.sort_array(F.collect_list(v if present is None else F.when(present, v)))
+    n_null = F.count_if(v.isNull() if present is None else (present & v.isNull())).cast("int")
+    return F.when(n_null == 0, lst).otherwise(F.concat(F.array_repeat(F.lit(None).cast(dtype), n_null), lst))
+
+
+def large_keys(df: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame | None:
+    """The keys that need more than one list; None if there are none."""
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
+    if df.count() <= chunk_rows:
+        return None
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows).select(*keys)
+    return None if large.isEmpty() else large
+
+
+def split_by(df: DataFrame, large: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of the other keys, rows of the ``large`` keys); null keys equal."""
+    marks = large.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)])
+    same = None
+    for i, k in enumerate(keys):
+        e = df[k].eqNullSafe(marks[f"_l{i}"])
+        same = e if same is None else (same & e)
+    return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi")
+
+
 def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
                   out: str = "values", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """A7 / groupByKey: ``(keys..., chunk, out)`` where ``out`` lists the
@@ -79,4 +110,15 @@ def grouped_lists(df: DataFrame, keys: str | list[str], values: str | list[str],
     keys = [keys] if isinstance(keys, str) else list(keys)
     values = [values] if isinstance(values, str) else list(values)
     v = F.col(values[0]) if len(values) == 1 else F.struct(*values)
-    return value_chunks(df.select(*keys, v.alias("_v")), keys, "_v", out, chunk_rows)
+    src = df.select(*keys, v.alias("_v"))
+    dtype = src.schema["_v"].dataType.simpleString()
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(list_with_nulls("_v", dtype).alias(out)).select(
+            *keys, F.lit(0).cast("long").alias("chunk"), out)
+
+    large = large_keys(src, keys, chunk_rows)
+    if large is None:
+        return whole(src)
+    small, big = split_by(src, large, keys)
+    return whole(small).unionByName(value_chunks(big, keys, "_v", out, chunk_rows))

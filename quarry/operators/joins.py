@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.chunks import CHUNK_ROWS, grouped_lists
+from quarry.operators.chunks import CHUNK_ROWS, large_keys, list_with_nulls, split_by, value_chunks
 
 #: Rows of a key that are never worth splitting.
 MIN_HOT_ROWS = 10_000
@@ -43,8 +43,11 @@ def join_split(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     on = [on] if isinstance(on, str) else list(on)
     spark = right.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = right.count()
+    if total <= MIN_HOT_ROWS:
+        return left.join(right, on, how)
     counts = right.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max(MIN_HOT_ROWS, -(-right.count() // (2 * parts)))
+    limit = max(MIN_HOT_ROWS, -(-total // (2 * parts)))
     hot = counts.filter(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts"))
     rows = hot.collect()  # at most 2 * parts
     if not rows:
@@ -72,12 +75,28 @@ def cogroup(left: DataFrame, right: DataFrame, on: str | list[str],
     chunk, are its whole lists.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    a = grouped_lists(left, keys, left_values, "left", chunk_rows)
-    b = grouped_lists(right, keys, right_values, "right", chunk_rows)
-    ltype, rtype = (d.schema[c].dataType.simpleString() for d, c in ((a, "left"), (b, "right")))
-    both = (a.withColumn("right", F.lit(None).cast(rtype))
-            .unionByName(b.withColumn("left", F.lit(None).cast(ltype))))
+    lv, rv = ([v] if isinstance(v, str) else list(v) for v in (left_values, right_values))
+    a = left.select(*keys, (F.col(lv[0]) if len(lv) == 1 else F.struct(*lv)).alias("_l"))
+    b = right.select(*keys, (F.col(rv[0]) if len(rv) == 1 else F.struct(*rv)).alias("_r"))
+    ltype, rtype = a.schema["_l"].dataType.simpleString(), b.schema["_r"].dataType.simpleString()
+
+    def whole(x: DataFrame, y: DataFrame) -> DataFrame:
+        tagged = (x.select(*keys, F.lit(0).alias("_side"), "_l", F.lit(None).cast(rtype).alias("_r"))
+                  .unionByName(y.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(ltype).alias("_l"), "_r")))
+        return tagged.groupBy(*keys).agg(
+            list_with_nulls("_l", ltype, F.col("_side") == 0).alias("left"),
+            list_with_nulls("_r", rtype, F.col("_side") == 1).alias("right")).select(
+            *keys, F.lit(0).cast("long").alias("chunk"), "left", "right")
+
+    found = [x for x in (large_keys(a, keys, chunk_rows), large_keys(b, keys, chunk_rows)) if x is not None]
+    if not found:
+        return whole(a, b)
+    large = found[0] if len(found) == 1 else found[0].unionByName(found[1]).distinct()
+    (a, big_a), (b, big_b) = split_by(a, large, keys), split_by(b, large, keys)
+    x = value_chunks(big_a, keys, "_l", "left", chunk_rows).withColumn("right", F.lit(None).cast(f"array<{rtype}>"))
+    y = value_chunks(big_b, keys, "_r", "right", chunk_rows).withColumn("left", F.lit(None).cast(f"array<{ltype}>"))
     # one row of each side at most: grouping treats null keys as equal
-    return both.groupBy(*keys, "chunk").agg(
-        F.coalesce(F.any_value("left", F.lit(True)), F.array().cast(ltype)).alias("left"),
-        F.coalesce(F.any_value("right", F.lit(True)), F.array().cast(rtype)).alias("right"))
+    cut = x.unionByName(y).groupBy(*keys, "chunk").agg(
+        F.coalesce(F.any_value("left", F.lit(True)), F.array().cast(f"array<{ltype}>")).alias("left"),
+        F.coalesce(F.any_value("right", F.lit(True)), F.array().cast(f"array<{rtype}>")).alias("right"))
+    return whole(a, b).unionByName(cut)

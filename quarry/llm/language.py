@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.store import written
-from quarry.llm.vec import LOWER, buffer_of, text_slices
+from quarry.llm.vec import buffer_of, text_slices
+from quarry.operators.joins import join_split
 
 #: Trigrams are hashed into this many cells, languages are the most declared
 #: ones up to MAX_LANGUAGES: together they bound the model that tasks carry.
@@ -188,10 +189,10 @@ def fuse(scored: DataFrame, languages: list[str], min_posterior: float = MIN_POS
         return _counts(scored, [column], languages, "_n").select(
             column, F.when(F.col(column) == "", none).otherwise(likely).alias(name))
 
-    # values are joined in by their own frequency-free tables; a value or host with a
-    # third of all rows is a skewed join side that the engine splits
-    joined = (scored.join(priors, ["host", "domain"]).join(given("declared", "_declared"), "declared")
-              .join(given("suffix", "_suffix"), "suffix"))
+    # a host or suffix may hold a third of all rows: their rows are dealt over several tasks;
+    # declarations are codes of two or three letters, at most 18,278 of them
+    joined = (join_split(given("suffix", "_suffix"), join_split(priors, scored, ["host", "domain"]), "suffix")
+              .join(F.broadcast(given("declared", "_declared")), "declared"))
     log_post = F.zip_with(
         F.zip_with("ll", "_prior", lambda t, p: t * TEMPER + F.log(p)),
         F.zip_with("_declared", "_suffix", lambda a, b: a + b), lambda a, b: a + b)

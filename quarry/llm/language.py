@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.store import written
+from quarry.llm.store import boxed, unboxed, written
 from quarry.llm.vec import buffer_of, text_slices
 from quarry.operators.joins import join_split
 
@@ -236,7 +236,6 @@ def with_language(docs: DataFrame, pages: DataFrame, min_posterior: float = MIN_
     repeated."""
     name = F.xxhash64(docs["doc_id"].cast("long"), docs["text"], docs["lang"], docs["source"])
     found = identify(evidence_of_documents(docs, name).unionByName(evidence_of_pages(pages)), min_posterior)
-    kept = (found.filter("kind = 'document' and kept").groupBy("id").agg(F.min("language").alias("_language"))
-            .withColumnRenamed("id", "_name"))
-    return docs.join(kept, name == kept["_name"]).select(
-        *[(F.col("_language").alias(c) if c == "lang" else docs[f"`{c}`"]) for c in docs.columns])
+    kept = (found.filter("kind = 'document' and kept").groupBy("id").agg(F.min("language").alias("language"))
+            .withColumnRenamed("id", "key"))
+    return unboxed(boxed(docs, name).join(kept, "key"), docs.columns, lang=F.col("language"))

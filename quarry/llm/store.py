@@ -2,42 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
-
-from quarry.session import table_path, work_path
-
-_ROOT = Path(__file__).resolve().parents[2]
-_sent: set[str] = set()
+from quarry.session import send_code, table_path, work_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _send_code(spark)
+    send_code(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _send_code(spark: SparkSession) -> None:
-    """Give the Python workers of a local session this package, unless they
-    start where they find it. A cluster gets it by deployment (--py-files)."""
-    sc = spark.sparkContext
-    if not sc.master.startswith("local[") or sc.applicationId in _sent:
-        return
-    _sent.add(sc.applicationId)
-    java = sc._jvm.java.lang.System
-    known = (java.getenv("PYTHONPATH") or "").split(os.pathsep) + [java.getProperty("user.dir")]
-    if any(k and Path(k).resolve() == _ROOT for k in known):
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="quarry-code-"), "quarry_code.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted((_ROOT / "quarry").rglob("*.py")):
-            z.write(f, f.relative_to(_ROOT))
-    sc.addPyFile(path)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under ``spark.checkpoint.dir`` and read back, so a
     lost executor never makes later stages compute it again."""
@@ -45,3 +20,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = work_path(spark, f"llm-{name}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def boxed(docs: DataFrame, key: Column) -> DataFrame:
+    """(key, doc): every row as one struct beside its key, so that no column
+    of the rows, whatever its name, meets an operator's own."""
+    return docs.select(key.alias("key"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
+
+
+def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The rows' columns again, some of them with another value."""
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col("doc").getField(c).alias(c) for c in columns])

@@ -22,7 +22,9 @@ def hostile(spark):
     """Documents with nulls, empty, very long and repeated texts, ties, and
     extra columns whose names helpers might use."""
     df = spark.createDataFrame(HOSTILE, DOCS)
-    return df.select("*", *[F.lit(1).alias(c) for c in ("k", "row", "block", "p", "line", "id", "shard", "word count")])
+    return df.select("*", *[F.lit(1).alias(c) for c in (
+        "k", "row", "block", "p", "line", "id", "shard", "word count", "key", "doc", "gone", "left", "n", "language", "_1",
+        "a.b")])
 
 
 @pytest.fixture

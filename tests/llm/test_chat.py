@@ -46,6 +46,12 @@ def test_nulls_repeats_and_empty(spark):
     assert said(spark, []) == []
 
 
+def test_other_columns_do_not_matter(spark):
+    rows = spark.createDataFrame(turns(1, "a") + turns(2, "a", "b"), SCHEMA).selectExpr(
+        "*", "1 as part", "2 as n", "3 as p1", "'x' as n_turns", "4 as _c", "5 as `a.b`")
+    assert [r.conv_id for r in chat.format_chats(rows).collect()] == [2]
+
+
 def test_plan_stays_native(spark):
     rows = spark.createDataFrame(turns(1, "a", "b"), SCHEMA)
     plan = chat.format_chats(rows)._jdf.queryExecution().toString()

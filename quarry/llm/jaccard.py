@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.components import components
-from quarry.llm.store import written
+from quarry.llm.store import boxed, unboxed, written
 from quarry.llm.vec import (LOWER, SLICE_BYTES, buffer_of, expand, fold, mix, prefix_hash, runs, span_hash, squeeze, steps,
                             text_slices, window_hash, word_spans)
 
@@ -46,6 +46,10 @@ WORDS = 5
 PERCENT = 75
 SHARD_ROWS = 4000
 HASH_BITS = 52
+#: Bits of a hash beside its partition's that decide whether a shingle may occur
+#: elsewhere. A partition gets about a million, so one in fifty is taken to by chance,
+#: at any size; that only lets a few more documents through to the exact steps.
+KEPT_BITS = 26
 _BLOCK = 1_500_000
 _MAX_ROWS = (1 << (64 - HASH_BITS)) - 1
 
@@ -97,32 +101,6 @@ def unpack_block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(step, dtype=np.uint64), row.astype(np.int64)
 
 
-class Dealer:
-    """Collects shingles of many slices and gives them out by partition."""
-
-    def __init__(self, bits: int, keep_bits: int):
-        self.bits, self.keep = bits, keep_bits
-        self.values: list[np.ndarray] = []
-        self.rows: list[np.ndarray] = []
-        self.n = 0
-        self.docs = 0
-
-    def add(self, row: np.ndarray, value: np.ndarray, docs: int) -> None:
-        self.values.append(value)
-        self.rows.append(row + self.docs)
-        self.n += len(value)
-        self.docs += docs
-
-    def blocks(self) -> Iterator[tuple[int, bytes]]:
-        """(partition, block): partition by the leading ``bits``, of the rest
-        the next ``keep_bits``."""
-        value = np.concatenate(self.values) if self.values else np.zeros(0, np.uint64)
-        row = np.concatenate(self.rows) if self.rows else np.zeros(0, np.int64)
-        order = np.argsort(value)
-        yield from dealt_blocks(value[order], row[order], self.bits, self.keep)
-        self.__init__(self.bits, self.keep)
-
-
 def dealt_blocks(value: np.ndarray, row: np.ndarray, bits: int, keep_bits: int) -> Iterator[tuple[int, bytes]]:
     """(partition, block) of ascending values: partition by the leading
     ``bits``, of the rest the next ``keep_bits``."""
@@ -180,7 +158,7 @@ def sketch(docs: DataFrame, bits: int) -> DataFrame:
             known = pa.concat_tables([pa.table([x[0], x[1]], names=["k", "doc_id"]) for x in ids]).combine_chunks()
             yield table(len(size), block=np.full(len(size), block), row=np.arange(len(size)),
                         k=known["k"].combine_chunks(), doc_id=known["doc_id"].combine_chunks(), n=size, s1=s1, s2=s2, here=here)
-            parts = list(dealt_blocks(value, row, bits, 32))
+            parts = list(dealt_blocks(value, row, bits, KEPT_BITS))
             yield table(len(parts), block=[block] * len(parts), p=[p for p, _ in parts], data=[d for _, d in parts])
             ids.clear()
             sets.clear()
@@ -465,7 +443,8 @@ def _link_shards(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFram
     size = prefixes.groupBy("shard").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     total = size.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("m")).first()
     sets_n = sets.count()
-    buckets = int(np.clip(sets_n // SHARD_ROWS, 1, max(1, total["m"])))
+    # so many that a bucket has about 10 * SHARD_ROWS memberships at most
+    buckets = int(np.clip(max(sets_n // SHARD_ROWS, total["n"] // (10 * SHARD_ROWS)), 1, max(1, total["m"])))
     member = prefixes.join(size, "shard").withColumn(
         "_blocks", F.ceil(F.col("_n") / F.lit(SHARD_ROWS)).cast("int"))
     bucket = F.pmod(F.xxhash64("shard", F.lit(3)), F.lit(buckets))
@@ -569,11 +548,11 @@ def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the one of the smallest doc_id (a null id counts as smallest)."""
     found = written(groups(docs, percent).filter("end is not null"), "groups")
     first = found.groupBy("end").agg(F.min(F.struct("doc_id", "k")).alias("_first"))
-    mark = written(found.join(first, "end").groupBy(F.col("k").alias("_k")).agg(
-        F.min(F.col("_first")["k"] != F.col("k")).alias("_gone"), F.count(F.lit(1)).alias("_rows")), "marks")
-    keyed = docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit(""))))
-    left = keyed.join(mark, F.col("_key") == F.col("_k"), "left").filter(~F.coalesce("_gone", F.lit(False)))
-    if not mark.filter("_rows > 1 and not _gone").isEmpty():  # identical rows: one of them
-        again = Window.partitionBy("_key").orderBy("_k")
-        left = left.withColumn("_at", F.row_number().over(again)).filter("_rows is null or _at = 1")
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    mark = written(found.join(first, "end").groupBy(F.col("k").alias("key")).agg(
+        F.min(F.col("_first")["k"] != F.col("k")).alias("gone"), F.count(F.lit(1)).alias("n")), "marks")
+    key = F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"].cast("string"), F.lit("")))
+    left = boxed(docs, key).join(mark, "key", "left").filter(~F.coalesce("gone", F.lit(False)))
+    if not mark.filter("n > 1 and not gone").isEmpty():  # identical rows: one of them
+        again = Window.partitionBy("key").orderBy("n")
+        left = left.withColumn("at", F.row_number().over(again)).filter("n is null or at = 1")
+    return unboxed(left, docs.columns)

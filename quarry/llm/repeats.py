@@ -6,21 +6,24 @@ string's worth of grams. Every 50-byte string holds an anchor, the same one
 wherever it stands; an anchor with the bytes up to 50 around it (its
 neighbourhood) holds every such string.
 
-1. Anchors are dealt by hash. An anchor of one document only is done; where
-   all documents agree on the whole neighbourhood, they are copies of one
-   entry, and all but the smallest id lose it.
-2. Where neighbourhoods differ, one copy of each goes to the anchor's shard.
-   The shard's suffix array is made by induced sorting (``suffix.py``), and
-   runs of suffixes with 50 bytes in common, by the permuted common prefixes,
-   are the strings that neighbourhoods share; each takes the smallest
-   document id of its run.
-3. Documents drop the bytes of strings whose smallest id is below their own.
+1. Documents are stored in blocks. A block posts each neighbourhood that it
+   holds once, however many of its documents do, with their smallest id.
+   Partitions of the anchors' hashes answer: nothing (one document only);
+   the smallest id of all, where every neighbourhood of the anchor is the
+   same, a copy; or a number, where neighbourhoods differ.
+2. One copy of each neighbourhood that differs goes to its partition. Its
+   suffix array is made by induced sorting (``suffix.py``), and runs of
+   suffixes with 50 bytes in common, by the permuted common prefixes, are the
+   strings that neighbourhoods share; each takes the smallest document id of
+   its run.
+3. Blocks drop the bytes of strings whose smallest id is below the document's.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 from quarry.llm.jaccard import partition_bits
 from quarry.llm.store import written
 from quarry.llm.suffix import common_prefixes, suffix_array
-from quarry.llm.vec import buffer_of, expand, prefix_hash, runs, span_hash, squeeze, steps, text_slices
+from quarry.llm.vec import buffer_of, expand, mix, prefix_hash, runs, span_hash, squeeze, steps, text_slices
 
 LENGTH = 50
 GRAM = 16
@@ -41,7 +44,7 @@ SIDE = LENGTH - GRAM
 WINDOW = SIDE + 1
 ANCHOR_BITS = 46
 COPY_BITS = 40
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 1 << 20
 _SLICE = 1 << 20
 _LAST = 2 ** 63 - 1
@@ -82,7 +85,8 @@ def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     at = np.flatnonzero((g == _slide(np.concatenate([pad, least, pad]), np.maximum, 0)[:m]) & (g != _TOP))
     row = text[at]
     lo, hi = np.maximum(at - SIDE, starts[row]), np.minimum(at + LENGTH, ends[row])
-    return at, g[at] >> np.uint64(64 - ANCHOR_BITS), span_hash(h, lo, hi) >> np.uint64(64 - COPY_BITS)
+    # least values crowd near zero: hashed again, they spread over the partitions
+    return at, mix(g[at]) >> np.uint64(64 - ANCHOR_BITS), span_hash(h, lo, hi) >> np.uint64(64 - COPY_BITS)
 
 
 class _Text:
@@ -138,129 +142,154 @@ def store_blocks(docs: DataFrame) -> DataFrame:
     return src.mapInArrow(run, _STORED)
 
 
-def _deal_anchors(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, meta, data in zip(batch["block"].to_pylist(), batch["meta"], batch["text"]):
-                t = _Text(meta.as_py(), data.as_py())
-                place, gram, copy = [], [], []
-                for a, b in t.slices():
-                    base = t.starts[a]
-                    at, g, c = anchors(t.buf[base:t.ends[b - 1] + 1], t.starts[a:b] - base, t.ends[a:b] - base)
-                    place.append(at + base)
-                    gram.append(g)
-                    copy.append(c)
-                place, gram, copy = np.concatenate(place), np.concatenate(gram), np.concatenate(copy)
-                order = np.argsort(gram)
-                gram = gram[order]
-                part = (gram >> np.uint64(ANCHOR_BITS - bits)).astype(np.int64)
-                begin = runs(part)
-                docs = squeeze(np.diff(t.order, prepend=0), (t.ends - t.starts).astype(np.uint64))
-                rows = [(int(part[a]), number, docs, squeeze(steps(gram[a:b]), copy[order[a:b]],
-                                                             place[order[a:b]].astype(np.uint32)))
-                        for a, b in zip(begin, np.append(begin[1:], len(part)))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], k) for i, k in
-                     enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["p", "block", "docs", "data"])
-    return run
-
-
-_FOUND = "kind int, p int, block long, data binary"
-#: kinds of rows of a partition's finding: bytes to drop, neighbourhoods to send, and
-#: the places that wait for the shard's answer
-_DROP, _SEND, _WAIT = 0, 1, 2
+@dataclass
+class _Found:
+    """A block's anchors in order of gram, neighbourhood and document order:
+    ``place`` and the bytes ``left`` and ``right`` of it, ``own`` order of the
+    document; ``head`` marks the first of equal neighbourhoods."""
+
+    gram: np.ndarray
+    copy: np.ndarray
+    place: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    own: np.ndarray
+    head: np.ndarray
+
+    @staticmethod
+    def of(t: _Text) -> _Found:
+        place, gram, copy = [], [], []
+        for a, b in t.slices():
+            base = t.starts[a]
+            at, g, c = anchors(t.buf[base:t.ends[b - 1] + 1], t.starts[a:b] - base, t.ends[a:b] - base)
+            place.append(at + base)
+            gram.append(g)
+            copy.append(c)
+        place, gram, copy = np.concatenate(place), np.concatenate(gram), np.concatenate(copy)
+        row = np.searchsorted(t.starts, place, side="right") - 1
+        left = np.minimum(place - t.starts[row], SIDE)
+        right = np.minimum(t.ends[row] - place, LENGTH)
+        own = t.order[row]
+        order = np.lexsort((own, copy, gram))
+        order = order[(left + right >= LENGTH)[order]]  # others hold no string
+        gram, copy = gram[order], copy[order]
+        head = np.ones(len(gram), bool)
+        head[1:] = (gram[1:] != gram[:-1]) | (copy[1:] != copy[:-1])
+        return _Found(gram, copy, place[order], left[order], right[order], own[order], head)
+
+
+_ROWS = "kind int, p int, block long, data binary"
+#: kinds of rows: a partition's answer to a block and what it knows of its numbered
+#: neighbourhoods; a block's bytes to drop, places that wait for the sorting, a copy of a
+#: neighbourhood, and the numbers it wants; the answer to that
+_TELL, _INFO, _DROP, _WAIT, _SEND, _WANT, _HELD = range(7)
 
 
 def _table(rows: list[tuple]) -> pa.Table:
     kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
     return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                    names=[c.split()[0] for c in _FOUND.split(", ")])
-
-
-def _drops(p: int, block: np.ndarray, numbers: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[tuple]:
-    """Rows with the byte ranges to drop from each block."""
-    order = np.lexsort((start, block))
-    block, start, end = block[order], start[order], end[order]
-    begin = runs(block)
-    return [(_DROP, p, int(numbers[block[a]]), squeeze(np.diff(start[a:b], prepend=0).astype(np.uint32),
-                                                       (end - start)[a:b].astype(np.uint8)))
-            for a, b in zip(begin, np.append(begin[1:], len(block)))]
-
-
-def _find(table: pa.Table) -> pa.Table:
-    p = table["p"][0].as_py()
-    numbers = np.array(table["block"].to_pylist(), np.int64)
-    gram, copy, place, doc, block, left, right = [], [], [], [], [], [], []
-    for i, (d, data) in enumerate(zip(table["docs"], table["data"])):
-        ids, size = expand(d.as_py())
-        ids, size = np.cumsum(ids), size.astype(np.int64)
-        starts = np.cumsum(size + 1) - size - 1
-        g, c, at = expand(data.as_py())
-        at = at.astype(np.int64)
-        row = np.searchsorted(starts, at, side="right") - 1
-        gram.append(np.cumsum(g, dtype=np.uint64))
-        copy.append(c)
-        place.append(at)
-        doc.append(ids[row])
-        block.append(np.full(len(at), i, np.int32))
-        left.append(np.minimum(at - starts[row], SIDE).astype(np.uint8))
-        right.append(np.minimum(starts[row] + size[row] - at, LENGTH).astype(np.uint8))
-    gram, doc = np.concatenate(gram), np.concatenate(doc)
-    order = np.argsort(gram)
-    begin = runs(gram[order])
+                    names=[c.split()[0] for c in _ROWS.split(", ")])
+
+
+def _cuts(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, begin, end) of each run."""
+    begin = runs(sorted_values)
+    return [(int(sorted_values[a]), a, b) for a, b in zip(begin, np.append(begin[1:], len(sorted_values)))]
+
+
+def _ask(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, meta, text in zip(batch["block"].to_pylist(), batch["meta"], batch["text"]):
+                f = _Found.of(_Text(meta.as_py(), text.as_py()))
+                first = np.flatnonzero(f.head)
+                if not len(first):
+                    continue
+                last = np.append(first[1:], len(f.head)) - 1
+                least, several = f.own[first], (f.own[last] > f.own[first]).astype(np.uint8)
+                gram, copy = f.gram[first], f.copy[first]
+                rows = [(0, p, number, squeeze(steps(gram[a:b]), copy[a:b], least[a:b], several[a:b]))
+                        for p, a, b in _cuts(gram >> np.uint64(ANCHOR_BITS - bits))]
+                yield from _table(rows).to_batches()
+    return run
+
+
+def _tell(table: pa.Table) -> pa.Table:
+    p, blocks = table["p"][0].as_py(), table["block"].to_pylist()
+    parts = [expand(d.as_py()) for d in table["data"]]
+    cut = np.cumsum([len(x[0]) for x in parts])[:-1]
+    gram = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
+    copy, least, several = (np.concatenate([x[i] for x in parts]) for i in (1, 2, 3))
+    del parts
+    order = np.lexsort((least, copy, gram))
+    gram, copy, least, several = gram[order], copy[order], least[order], several[order]
+    begin = runs(gram)
     size = np.diff(np.append(begin, len(gram)))
-    least = np.minimum.reduceat(doc[order], begin)
-    live = order[np.repeat(least < np.maximum.reduceat(doc[order], begin), size)]
-    gram, doc = gram[live], doc[live]
-    copy, place, block, left, right = (np.concatenate(x)[live] for x in (copy, place, block, left, right))
-    wide = (left.astype(np.int64) + right) >= LENGTH
-    gram, doc, copy, place, block, left, right = (x[wide] for x in (gram, doc, copy, place, block, left, right))
-    if not len(gram):
-        return _table([])
-    order = np.lexsort((doc, copy, gram))
-    gram, doc, copy, place, block, left, right = (x[order] for x in (gram, doc, copy, place, block, left, right))
+    low, high = np.minimum.reduceat(least, begin), np.maximum.reduceat(least, begin)
+    live = (low < high) | np.maximum.reduceat(several, begin).astype(bool)
     head = np.ones(len(gram), bool)
-    head[1:] = gram[1:] != gram[:-1]
-    group = np.cumsum(head) - 1
-    kind = head.copy()
-    kind[1:] |= copy[1:] != copy[:-1]
-    variant = np.cumsum(kind) - 1
-    mixed = (np.bincount(group, kind) > 1)[group]
-    out = []
-    first = doc[np.flatnonzero(head)][group]  # of an unmixed group the smallest id, as ids are in order
-    gone = ~mixed & (doc > first)
-    if gone.any():
-        out += _drops(p, block[gone], numbers, (place - left)[gone], (place + right)[gone])
-    if mixed.any():
-        at = np.flatnonzero(kind & mixed)  # each variant's copy with the smallest id
-        number = np.zeros(variant[-1] + 1, np.int64)
-        number[variant[at]] = np.arange(len(at))
-        order = np.lexsort((place[at], block[at]))
-        begin = runs(block[at[order]])
-        for a, b in zip(begin, np.append(begin[1:], len(order))):
-            x = at[order[a:b]]
-            out.append((_SEND, p, int(numbers[block[x[0]]]), squeeze(
-                number[variant[x]].astype(np.uint32), place[x].astype(np.uint32), left[x], right[x])))
-        m = np.flatnonzero(mixed)
-        out.append((_WAIT, p, None, squeeze(
-            numbers, np.diff(group[at], prepend=group[at[0]]).astype(np.uint32), doc[at], (left[at] + right[at]).astype(np.uint8),
-            number[variant[m]].astype(np.uint32), block[m].astype(np.uint32), place[m].astype(np.uint32), left[m],
-            np.diff(doc[m], prepend=0))))
-    return _table(out)
+    head[1:] = (gram[1:] != gram[:-1]) | (copy[1:] != copy[:-1])
+    mixed = live & (np.add.reduceat(head.astype(np.int64), begin) > 1)
+    code = np.repeat(np.where(mixed, 2, live.astype(np.int64)), size).astype(np.uint8)
+    in_mixed = code == 2
+    number = np.cumsum(head & in_mixed) - 1  # of each neighbourhood that differs from others of its anchor
+    value = np.where(in_mixed, 2 * number + head, np.repeat(low, size))  # odd: this block sends it
+    back_code, back_value = np.empty_like(code), np.empty_like(value)
+    back_code[order], back_value[order] = code, value
+    rows = [(_TELL, p, b, squeeze(c, v[c > 0])) for b, c, v in
+            zip(blocks, np.split(back_code, cut), np.split(back_value, cut))]
+    own = np.flatnonzero(head & in_mixed)
+    group = np.repeat(np.arange(len(size)), size)[own]
+    rows.append((_INFO, p, None, squeeze(np.diff(group, prepend=group[:1]).astype(np.uint32), least[own])))
+    return _table(rows)
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Byte ranges, overlapping ones put together."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    first = np.flatnonzero(new)
+    end = end[np.append(first[1:], len(new)) - 1] if len(new) else end
+    return squeeze(np.diff(start[first], prepend=0).astype(np.uint32), (end - start[first]).astype(np.uint32))
 
 
-def _send(mine: pa.Table, wanted: pa.Table) -> pa.Table:
-    """Neighbourhoods of a block that shards ask for."""
-    rows = []
-    if len(wanted):
+def _local(bits: int):
+    def run(mine: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(told):
+            return _table([])
+        number = mine["block"][0].as_py()
         t = _Text(mine["meta"][0].as_py(), mine["text"][0].as_py())
-        for r in wanted.to_pylist():
-            variant, place, left, right = expand(r["data"])
-            size = left.astype(np.int64) + right
-            flat = t.buf[np.arange(size.sum()) + np.repeat(place - left.astype(np.int64) - (np.cumsum(size) - size), size)]
-            rows.append((0, r["p"], None, squeeze(variant, size.astype(np.uint8), flat)))
-    return _table(rows)
+        f = _Found.of(t)
+        got = [expand(d) for _, d in sorted(zip(told["p"].to_pylist(), told["data"].to_pylist()))]
+        code = np.concatenate([x[0] for x in got])
+        value = np.zeros(len(code), np.int64)
+        value[code > 0] = np.concatenate([x[1] for x in got])
+        which = np.cumsum(f.head) - 1
+        code_of, value_of = code[which], value[which]
+        rows = []
+        gone = (code_of == 1) & (f.own > value_of)
+        if gone.any():
+            rows.append((_DROP, None, number, _ranges((f.place - f.left)[gone], (f.place + f.right)[gone])))
+        at = np.flatnonzero(code_of == 2)
+        part = (f.gram[at] >> np.uint64(ANCHOR_BITS - bits)).astype(np.int64)
+        for p, a, b in _cuts(part):
+            x = at[a:b]
+            name = value_of[x] >> 1
+            # the places wait here, in order of number
+            order = np.argsort(name, kind="stable")
+            x, name = x[order], name[order]
+            rows.append((_WAIT, p, number, squeeze(np.diff(name, prepend=0).astype(np.uint32), f.place[x].astype(np.uint32),
+                                                   f.left[x].astype(np.uint8), f.right[x].astype(np.uint8))))
+            rows.append((_WANT, p, number, squeeze(np.diff(np.unique(name), prepend=0).astype(np.uint32))))
+            y = x[f.head[x] & (value_of[x] & 1 == 1)]
+            if len(y):
+                size = f.left[y] + f.right[y]
+                flat = t.buf[np.arange(size.sum()) + np.repeat((f.place - f.left)[y] - (np.cumsum(size) - size), size)]
+                rows.append((_SEND, p, number, squeeze((value_of[y] >> 1).astype(np.uint32), size.astype(np.uint8), flat)))
+        return _table(rows)
+    return run
 
 
 def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -289,19 +318,25 @@ def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.n
     return out
 
 
-def _answer(waiting: pa.Table, sent: pa.Table) -> pa.Table:
-    """Sort a shard's neighbourhoods and say which bytes the waiting places drop."""
-    if not len(waiting):
+def _answer(table: pa.Table) -> pa.Table:
+    """Sort a partition's neighbourhoods; for each block that wants some, the
+    smallest holder of every string of them."""
+    kinds = table["kind"].to_pylist()
+    rows = {k: [(b, d.as_py()) for x, b, d in zip(kinds, table["block"].to_pylist(), table["data"]) if x == k]
+            for k in (_INFO, _SEND, _WANT)}
+    step, doc = expand(rows[_INFO][0][1]) if rows[_INFO] else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    if not len(doc):
         return _table([])
-    p = waiting["p"][0].as_py()
-    numbers, step, doc, size, variant, block, place, left, own = expand(waiting["data"][0].as_py())
-    group, size = np.cumsum(step), size.astype(np.int64)
+    group, size = np.cumsum(step, dtype=np.int64), np.zeros(len(doc), np.int64)
+    sent = [expand(d) for _, d in rows[_SEND]]
+    for v, n, _ in sent:
+        size[v] = n
     end = np.cumsum(size)
     flat = np.zeros(int(end[-1]), np.uint8)
-    for d in sent["data"]:
-        v, n, text = expand(d.as_py())
+    for v, n, text in sent:
         n = n.astype(np.int64)
         flat[np.arange(n.sum()) + np.repeat((end - size)[v] - (np.cumsum(n) - n), n)] = text
+    del sent
     holder = np.empty(len(flat), np.int64)
     a = 0
     while a < len(size):  # whole groups at a time
@@ -310,32 +345,51 @@ def _answer(waiting: pa.Table, sent: pa.Table) -> pa.Table:
         x, y = end[a] - size[a], end[b - 1]
         holder[x:y] = smallest_holder(flat[x:y], size[a:b], doc[a:b])
         a = b
-    # a place drops the strings of its neighbourhood that a smaller id holds
-    variant, own, place = variant.astype(np.int64), np.cumsum(own), place.astype(np.int64)
-    out = []
-    for a in range(0, len(variant), 50_000):
-        v = variant[a:a + 50_000]
-        starts = np.arange(WINDOW)
-        ok = starts < (size[v] - LENGTH + 1)[:, None]
-        gone = ok & (holder[np.minimum((end - size)[v][:, None] + starts, len(holder) - 1)] < own[a:a + 50_000, None])
-        edge = np.diff(gone.astype(np.int8), axis=1, prepend=0, append=0)
-        row, x = np.nonzero(edge == 1)
-        _, y = np.nonzero(edge == -1)
-        base = (place[a:a + 50_000] - left[a:a + 50_000].astype(np.int64))[row]
-        out += _drops(p, block[a:a + 50_000][row].astype(np.int64), numbers, base + x, base + y - 1 + LENGTH)
+    out, p = [], table["p"][0].as_py()
+    for block, data in rows[_WANT]:
+        v = np.cumsum(expand(data)[0], dtype=np.int64)
+        n = size[v] - LENGTH + 1
+        out.append((_HELD, p, block, squeeze(n.astype(np.uint8), holder[
+            np.arange(n.sum()) + np.repeat((end - size)[v] - (np.cumsum(n) - n), n)])))
     return _table(out)
 
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _finish(mine: pa.Table, drops: pa.Table) -> pa.Table:
+def _shared_ranges(t: _Text, wait: bytes, held: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges that waiting places drop: strings a smaller id holds."""
+    step, place, left, right = expand(wait)
+    n, holder = expand(held)
+    place, left = place.astype(np.int64), left.astype(np.int64)
+    name = np.cumsum(step, dtype=np.int64)
+    which = np.cumsum(np.append(0, name[1:] != name[:-1]))  # the wanted numbers, in order
+    begin = np.cumsum(n.astype(np.int64)) - n
+    own = t.order[np.searchsorted(t.starts, place, side="right") - 1]
+    starts = np.arange(WINDOW)
+    ok = starts < n[which][:, None]
+    gone = ok & (holder[np.minimum(begin[which][:, None] + starts, max(len(holder) - 1, 0))] < own[:, None])
+    edge = np.diff(gone.astype(np.int8), axis=1, prepend=0, append=0)
+    row, x = np.nonzero(edge == 1)
+    _, y = np.nonzero(edge == -1)
+    base = (place - left)[row]
+    return base + x, base + y - 1 + LENGTH
+
+
+def _finish(mine: pa.Table, rows: pa.Table) -> pa.Table:
     t = _Text(mine["meta"][0].as_py(), mine["text"][0].as_py())
     start, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for d in drops["data"]:
+    of = {k: {} for k in (_DROP, _WAIT, _HELD)}
+    for kind, p, d in zip(rows["kind"].to_pylist(), rows["p"].to_pylist(), rows["data"]):
+        of[kind][p] = d
+    for d in of[_DROP].values():
         step, n = expand(d.as_py())
-        start.append(np.cumsum(step.astype(np.int64)))
+        start.append(np.cumsum(step, dtype=np.int64))
         end.append(start[-1] + n)
+    for p, d in of[_WAIT].items():
+        a, b = _shared_ranges(t, d.as_py(), of[_HELD][p].as_py())
+        start.append(a)
+        end.append(b)
     mark = np.bincount(np.concatenate(start), minlength=len(t.buf) + 1).astype(np.int32)
     mark -= np.bincount(np.concatenate(end), minlength=len(t.buf) + 1).astype(np.int32)
     gone = np.cumsum(mark[:-1], dtype=np.int32) > 0
@@ -367,11 +421,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     stored = written(store_blocks(docs), "repeat-blocks")
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     bits = partition_bits(size, 1.6e7)
-    found = written(stored.mapInArrow(_deal_anchors(bits), "p int, block long, docs binary, data binary")
-                    .groupBy("p").applyInArrow(_find, _FOUND), "repeat-anchors")
-    sent = (stored.groupBy("block").cogroup(found.filter(F.col("kind") == _SEND).groupBy("block"))
-            .applyInArrow(_send, _FOUND))
-    answers = (found.filter(F.col("kind") == _WAIT).groupBy("p").cogroup(sent.groupBy("p"))
-               .applyInArrow(_answer, _FOUND))
-    drops = found.filter(F.col("kind") == _DROP).unionByName(answers)
-    return stored.groupBy("block").cogroup(drops.groupBy("block")).applyInArrow(_finish, SCHEMA)
+    told = written(stored.mapInArrow(_ask(bits), _ROWS).groupBy("p").applyInArrow(_tell, _ROWS), "repeat-anchors")
+    kind = F.col("kind")
+    local = written(stored.groupBy("block").cogroup(told.filter(kind == _TELL).groupBy("block"))
+                    .applyInArrow(_local(bits), _ROWS), "repeat-places")
+    held = (told.filter(kind == _INFO).unionByName(local.filter(kind.isin(_SEND, _WANT)))
+            .groupBy("p").applyInArrow(_answer, _ROWS))
+    rows = local.filter(kind.isin(_DROP, _WAIT)).unionByName(held)
+    return stored.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(_finish, SCHEMA)

@@ -268,8 +268,10 @@ def _matcher(seeds: Items, min_score: float):
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all their columns, that hold no copy of an item;
     decided row by row in the scan, so ids may be null or repeated."""
-    out = docs
     text = docs.columns.index("text")
+    # by position: names may hold dots, which the engine's Arrow map does not take
+    out = docs.select(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    schema = out.schema
     for items in blocks(benchmark):
         seeds = items.seeds(gram_documents(docs, items))
 
@@ -280,5 +282,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float
                     keep = np.ones(b - a, bool)
                     keep[find(part.column(text), seeds, min_score)[0]] = False
                     yield part.filter(pa.array(keep))
-        out = out.mapInArrow(run, docs.schema)
-    return out
+        out = out.mapInArrow(run, schema)
+    return out.toDF(*docs.columns)

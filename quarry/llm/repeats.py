@@ -51,14 +51,15 @@ _LAST = 2 ** 63 - 1
 _TOP = np.uint64(2 ** 64 - 1)
 
 
-def _slide(x: np.ndarray, op, fill: int) -> np.ndarray:
-    """``op`` (minimum or maximum) over every WINDOW values, in two scans of
-    blocks of that size."""
-    n = len(x)
-    blocks = np.concatenate([x, np.full(-n % WINDOW, fill, np.uint64)]).reshape(-1, WINDOW)
-    ahead = op.accumulate(blocks, axis=1).ravel()
-    back = np.ascontiguousarray(op.accumulate(blocks[:, ::-1], axis=1)[:, ::-1]).ravel()
-    return op(back[:n - WINDOW + 1], ahead[WINDOW - 1:n])
+def _slide(x: np.ndarray, op) -> np.ndarray:
+    """``op`` (minimum or maximum) over every WINDOW values, by windows of
+    twice the length each time and two that overlap at the end."""
+    n, out, width = len(x), x, 1
+    while 2 * width <= WINDOW:
+        out = op(out[:len(out) - width], out[width:])
+        width *= 2
+    rest = WINDOW - width
+    return op(out[:n - WINDOW + 1], out[rest:rest + n - WINDOW + 1]) if rest else out
 
 
 def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,12 +78,12 @@ def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     gap[ends] = True
     m = n - GRAM + 1
     g[(text[GRAM - 1:n] != text[:m]) | gap[GRAM - 1:n]] = _TOP
-    least = _slide(g, np.minimum, 2 ** 64 - 1)
+    least = _slide(g, np.minimum)
     k = len(least)
     inside = (text[LENGTH - 1:LENGTH - 1 + k] == text[:k]) & ~gap[LENGTH - 1:LENGTH - 1 + k]
     least = np.where(inside, least, np.uint64(0))
     pad = np.zeros(WINDOW - 1, np.uint64)
-    at = np.flatnonzero((g == _slide(np.concatenate([pad, least, pad]), np.maximum, 0)[:m]) & (g != _TOP))
+    at = np.flatnonzero((g == _slide(np.concatenate([pad, least, pad]), np.maximum)[:m]) & (g != _TOP))
     row = text[at]
     lo, hi = np.maximum(at - SIDE, starts[row]), np.minimum(at + LENGTH, ends[row])
     # least values crowd near zero: hashed again, they spread over the partitions
@@ -306,7 +307,7 @@ def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.n
     starts = np.flatnonzero(np.arange(len(flat)) + LENGTH <= end[which])
     # only where a string begins can one be held in common
     common = np.zeros(len(s), np.int64)
-    common[place[starts]] = common_prefixes(s, sa, LENGTH, place[starts])
+    common[place[starts]] = common_prefixes(s, sa, LENGTH, place[starts], exact=False)
     holder = np.full(len(s), _LAST)
     holder[place[starts]] = doc[which[starts]]
     begin = np.flatnonzero(common[sa] < LENGTH)

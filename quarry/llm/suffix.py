@@ -166,11 +166,12 @@ def _by_doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
             return order
 
 
-def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray | None = None) -> np.ndarray:
+def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray | None = None,
+                    exact: bool = True) -> np.ndarray:
     """For each place of the text (or each of ``places``), the length,
     ``most`` at most, that its suffix has in common with the one before it in
     the array: the permuted common prefixes, all places at once, by halving
-    steps on span hashes."""
+    steps on span hashes. Without ``exact``, lengths below ``most`` are 0."""
     n = len(s)
     before = np.zeros(n, np.int64)
     before[sa[1:]] = sa[:-1]
@@ -181,7 +182,7 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray
     a = np.arange(n) if places is None else places.astype(np.int64)
     b = before[a]
     out = np.zeros(len(a), np.int64)
-    step = 1 << (int(most).bit_length() - 1)
+    step = 1 << (int(most).bit_length() - 1) if exact else most
     while step:
         ok = np.flatnonzero((out + step <= most) & (np.maximum(a, b) + step <= n))
         x, y = a[ok], b[ok]
@@ -189,5 +190,5 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int, places: np.ndarray
         out[same] += step
         a[same] += step
         b[same] += step
-        step //= 2
+        step = step // 2 if exact else 0
     return out

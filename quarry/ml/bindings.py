@@ -28,7 +28,10 @@ def _als_ratings(spark, sf_dir):
         (F.col("l_suppkey") + far).alias("user"), (F.col("l_partkey") + far).alias("item"),
         F.col("l_quantity").cast("float").alias("rating"))
     dense, _, _ = recommend.with_dense_ids(r, "user", "item")
-    return dense.select(F.col("user_ix").alias("userId"), F.col("item_ix").alias("movieId"), "rating")
+    # written once: splits, fitting and scoring all read the same rows in the same places
+    path = work_path(spark, "ratings")
+    dense.select(F.col("user_ix").alias("userId"), F.col("item_ix").alias("movieId"), "rating").write.parquet(path)
+    return spark.read.schema("userId int, movieId int, rating float").parquet(path)
 
 
 def _points(spark, sf_dir):

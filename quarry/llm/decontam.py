@@ -1,11 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
-
-The benchmark is taken in blocks of bounded size. For a block, one pass over
-the documents counts in how many of them each of its word trigrams occurs;
-an item's seeds are its rarer half (and whatever is rare outright), so an
-item copied into very many documents still has seeds. A second pass joins
-documents to items on seed hits, groups a pair's hits by diagonal, and
-aligns the words around each group with the item's words. The local
+"""Benchmark decontamination: word pair seeds, then Smith-Waterman.
+
+The benchmark is taken in blocks of bounded size. A pair is two neighbouring
+words of an item; a document holds it if they stand there side by side or
+with one word between. Any alignment that scores enough holds so many pairs
+of its item (:func:`quota`) that some of them are in every choice of pairs
+that leaves out fewer: an item's seeds are all but its most frequent ones,
+which one pass over the documents counts. So no copy is lost, however often
+an item is copied and whatever an edit leaves of it. A second pass joins
+documents to items on seed hits, takes the places where enough of them are
+close together, and aligns the words around with the item's words. The local
 alignment score, as a share of the score of a full copy, decides; word
 edits, insertions and cuts lower it gradually.
 """
@@ -20,14 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.vec import LOWER, buffer_of, prefix_hash, runs, span_hash, text_slices, window_hash
+from quarry.llm.vec import LOWER, buffer_of, fold, prefix_hash, runs, span_hash, text_slices
 
-SEED_WORDS = 3
-#: Grams of at most this many documents are seeds whatever their rank in the item.
-RARE_DOCUMENTS = 5
+#: Words from one of a pair to the other, in a document.
+STEPS = (1, 2)
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
-MIN_HITS = 2
 MIN_ITEM_WORDS = 5
 #: Words of the benchmark that the driver and every task hold at a time.
 BLOCK_WORDS = 1_000_000
@@ -49,16 +50,31 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return (span_hash(prefix_hash(LOWER[buf]), a, b), np.searchsorted(starts, a, side="right") - 1, len(starts))
 
 
-def grams_of(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, word positions) of the trigrams that lie within one text."""
-    g = window_hash(words, SEED_WORDS)
-    inside = np.flatnonzero(row[:len(g)] == row[SEED_WORDS - 1:][:len(g)])
-    return g[inside], inside
+def pairs_of(words: np.ndarray, row: np.ndarray, step: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, word positions) of the words ``step`` apart that lie within one text."""
+    inside = np.flatnonzero(row[:-step] == row[step:])
+    return fold(words[inside], words[inside + step]), inside
+
+
+def quota(size: np.ndarray, min_score: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, hits, reach) for items of ``size`` words: how many of an item's
+    pairs any alignment scoring ``min_score`` holds, how many of them are
+    asked for, and the most words of a document that it covers.
+
+    Of c item words in an alignment u are unmatched, and i words are put in
+    between; 2(c - u) - u - i is at least the score T. Matched neighbours
+    number c - 1 - 2u at least, of which at most i / 2 have two or more words
+    between them. What is left is least at T / 2 - 1 - u / 2 with u at most
+    (2n - T) / 3, which is (2T - n) / 3 - 1: a third of the item at half of a
+    full score. At lower scores no number is certain and one is asked for."""
+    least = np.ceil(MATCH * size * min_score - 1e-9).astype(np.int64)
+    pairs = np.maximum(1, -((size + 3 - 2 * least) // 3))
+    return pairs, (pairs + 2) // 3, np.maximum(3 * size - least, 1)
 
 
 @dataclass
 class Items:
-    """A block of benchmark items: words end to end, and their grams in order
+    """A block of benchmark items: words end to end, and their pairs in order
     of hash (``gram``) with the item and place of each."""
 
     item_id: list
@@ -74,40 +90,51 @@ class Items:
         words, row, n = words_of(pa.array(texts, pa.string()))
         size = np.bincount(row, minlength=n)
         first = np.cumsum(size) - size
-        g, at = grams_of(words, row)
+        g, at = pairs_of(words, row)
         long_enough = size[row[at]] >= MIN_ITEM_WORDS
         g, at = g[long_enough], at[long_enough]
         order = np.argsort(g, kind="stable")
         g, at = g[order], at[order]
         return Items(ids, words, first, size, g, row[at], at - first[row[at]])
 
-    def seeds(self, documents: np.ndarray) -> Items:
-        """Only the grams that are seeds, given each gram's document count."""
-        keep = documents <= RARE_DOCUMENTS
-        order = np.lexsort((self.gram, documents, self.item))
+    def seeds(self, counts: np.ndarray, min_score: float) -> Items:
+        """Only the pairs that are seeds, given how often each one occurs: so
+        many of an item's rarest that an alignment's pairs can't be all others."""
+        order = np.lexsort((self.gram, counts, self.item))
         rank = np.empty(len(order), np.int64)
         sorted_items = self.item[order]
         begin = runs(sorted_items)
         rank[order] = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
-        keep |= 2 * rank < np.bincount(self.item, minlength=len(self.size))[self.item]
+        pairs, hits, _ = quota(self.size, min_score)
+        keep = (rank < (self.size - 1 - pairs + hits)[self.item]) & (counts > 0)
         return Items(self.item_id, self.words, self.first, self.size,
                      self.gram[keep], self.item[keep], self.place[keep])
 
 
-def gram_documents(docs: DataFrame, items: Items) -> np.ndarray:
-    """Documents that hold each gram of the block (aligned with ``items.gram``)."""
+def _known(grams: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """A table over the leading bits of hashes that tells most others apart."""
+    bits = min(max(16, int(len(grams)).bit_length() + 4), 26)
+    shift = np.uint64(64 - bits)
+    table = np.zeros(1 << bits, bool)
+    table[grams >> shift] = True
+    return table, shift
+
+
+def occurrences(docs: DataFrame, items: Items) -> np.ndarray:
+    """How often documents hold each pair of the block (aligned with ``items.gram``)."""
     known = np.unique(items.gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(known), np.int64)
+        table, shift = _known(known)
         for batch in batches:
             for a, b in text_slices(batch["text"]):
                 words, row, _ = words_of(batch["text"].slice(a, b - a))
-                g, at = grams_of(words, row)
-                where = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                hit = known[where] == g
-                pair = np.unique(row[at[hit]] * len(known) + where[hit])
-                total += np.bincount(pair % len(known), minlength=len(known))
+                for step in STEPS:
+                    g, _ = pairs_of(words, row, step)
+                    g = g[table[g >> shift]]
+                    where = np.minimum(np.searchsorted(known, g), len(known) - 1)
+                    total += np.bincount(where[known[where] == g], minlength=len(known))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["gram", "n"])
 
@@ -150,36 +177,47 @@ def find(texts: pa.Array, seeds: Items, min_score: float) -> tuple[np.ndarray, .
     at or over ``min_score``, the best alignment of each."""
     empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, float, np.int64, np.int64, np.int64))
     words, row, n = words_of(texts)
-    g, at = grams_of(words, row)
-    lo, hi = np.searchsorted(seeds.gram, g), np.searchsorted(seeds.gram, g, side="right")
-    count = hi - lo
-    if not count.any():
+    table, shift = _known(seeds.gram)
+    found = []
+    for step in STEPS:
+        g, at = pairs_of(words, row, step)
+        maybe = np.flatnonzero(table[g >> shift])
+        g, at = g[maybe], at[maybe]
+        lo, hi = np.searchsorted(seeds.gram, g), np.searchsorted(seeds.gram, g, side="right")
+        count = hi - lo
+        which = np.arange(count.sum()) + np.repeat(lo - (np.cumsum(count) - count), count)
+        found.append((np.repeat(at, count), seeds.item[which]))
+    at, item = (np.concatenate(x) for x in zip(*found))
+    if not len(at):
+        return empty
+    order = np.lexsort((at, item, row[at]))
+    at, item = at[order], item[order]
+    _, asked, reach = quota(seeds.size, min_score)
+    # a hit counts if it and the next ones asked for are no further apart than an alignment reaches
+    pair = row[at] * len(seeds.size) + item
+    other = np.arange(len(at)) + asked[item] - 1
+    last = np.minimum(other, len(at) - 1)
+    full = (other < len(at)) & (pair[last] == pair) & (at[last] - at < reach[item])
+    cover = np.zeros(len(at) + 1, np.int64)
+    np.add.at(cover, np.flatnonzero(full), 1)
+    np.add.at(cover, last[full] + 1, -1)
+    live = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+    at, item, pair = at[live], item[live], pair[live]
+    if not len(at):
         return empty
-    at = np.repeat(at, count)
-    which = np.arange(count.sum()) + np.repeat(lo - (np.cumsum(count) - count), count)
-    item, diagonal = seeds.item[which], at - seeds.place[which]
-    order = np.lexsort((diagonal, item, row[at]))
-    at, item, diagonal = at[order], item[order], diagonal[order]
     doc = row[at]
-    # a new group of hits where the pair changes or the diagonal jumps by the item's length
+    # a new group of hits where the pair changes or no alignment reaches over the gap
     jump = np.ones(len(at), bool)
-    jump[1:] = ((doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-                | (diagonal[1:] - diagonal[:-1] > seeds.size[item[1:]]))
+    jump[1:] = (pair[1:] != pair[:-1]) | (at[1:] - at[:-1] >= reach[item[1:]])
     begin = np.flatnonzero(jump)
     hits = np.diff(np.append(begin, len(at)))
     last = begin + hits - 1
-    grams = np.maximum(seeds.size[item[begin]] - SEED_WORDS + 1, 1)
-    enough = hits >= np.minimum(MIN_HITS, grams)
-    begin, hits, last = begin[enough], hits[enough], last[enough]
-    if not len(begin):
-        return empty
     doc, item = doc[begin], item[begin]
     size = seeds.size[item]
-    slack = size // 4 + 4
     text_first = np.searchsorted(row, doc)
     text_end = np.searchsorted(row, doc, side="right")
-    a = np.maximum(diagonal[begin] - slack, text_first)
-    b = np.minimum(diagonal[last] + size + slack, text_end)
+    a = np.maximum(at[begin] - reach[item], text_first)
+    b = np.minimum(at[last] + 1 + reach[item], text_end)
     best, first, stop = np.zeros(len(a)), np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
     by_width = np.argsort(b - a, kind="stable")
     k = 0
@@ -247,7 +285,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     out = None
     for items in blocks(benchmark):
-        seeds = items.seeds(gram_documents(src, items))
+        seeds = items.seeds(occurrences(src, items), min_score)
         found = src.mapInArrow(_matcher(seeds, min_score), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else src.sparkSession.createDataFrame([], SCHEMA)
@@ -273,7 +311,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float
     out = docs.select(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     schema = out.schema
     for items in blocks(benchmark):
-        seeds = items.seeds(gram_documents(docs, items))
+        seeds = items.seeds(occurrences(docs, items), min_score)
 
         def run(batches: Iterator[pa.RecordBatch], seeds: Items = seeds) -> Iterator[pa.RecordBatch]:
             for batch in batches:

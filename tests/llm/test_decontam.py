@@ -76,3 +76,40 @@ def test_hostile_and_empty(spark, hostile, no_documents):
     assert decontam.contaminated(no_documents, bench).count() == 0
     assert decontam.contaminated(hostile, bench.limit(0)).count() == 0
     assert decontam.without_contaminated(hostile, bench.limit(0)).count() == hostile.count()
+
+
+def test_edited_copies_of_frequent_items_equal_brute_force(spark):
+    rng = random.Random(7)
+    items = [words(rng, n, 400) for n in (24, 5, 6, 9, 31, 40)]
+
+    def edited(w, rate):
+        out = []
+        for x in w:
+            kind = rng.random()
+            if kind < rate:
+                out += rng.choice([["changed"], [], [x, "put"], [x, "put", "in"]])
+            else:
+                out.append(x)
+        return out
+
+    base = items[0]
+    texts = [base] * 50 + [[("changed" if i in (3, 8, 13, 18) else x) for i, x in enumerate(base)]]
+    texts += [[("changed" if i % 3 == 2 else x) for i, x in enumerate(base)]] * 8  # no trigram is left
+    texts += [[y for x in base for y in (x, "put")]] * 8  # no two words side by side
+    texts += [w for w in items[1:] for _ in range(20)]
+    texts += [edited(w, rate) for w in items for rate in (0.1, 0.2, 0.3, 0.4, 0.6) for _ in range(6)]
+    texts += [w[:len(w) // 2 + 1] for w in items]
+    texts = [words(rng, 12, 400) + t + words(rng, 12, 400) for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
+    want = {}
+    for i, t in enumerate(texts):
+        for j, w in enumerate(items):
+            score = score_of(t, w) / (2 * len(w))
+            if score >= 0.5:
+                want[i, j] = score
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert got == want
+    assert sum(s < 0.9 for s in want.values()) > 60
+    left = {r.doc_id for r in decontam.without_contaminated(docs, bench).collect()}
+    assert left == set(range(len(texts))) - {i for i, _ in want}

@@ -23,11 +23,14 @@ from quarry.llm.store import boxed, unboxed, written
 from quarry.llm.vec import buffer_of, text_slices
 from quarry.operators.joins import join_split
 
-#: Trigrams are hashed into this many cells, languages are the most declared
-#: ones up to MAX_LANGUAGES: together they bound the model that tasks carry.
+#: Trigrams are hashed into this many cells.
 CELLS = 1 << 14
-MAX_LANGUAGES = 64
-MIN_SHARE = 0.001
+#: A language with counts in at most this many cells is kept as a list of them.
+SPARSE_CELLS = CELLS // 8
+#: Languages up to which what goes with declarations is sent to every task.
+_BROADCAST_LANGUAGES = 512
+_FLUSH_LANGUAGES = 64
+_SCORES = 4 << 20
 #: Trigrams of a text overlap, so their likelihood counts as this much evidence.
 TEMPER = 1 / 8
 SMOOTH_HOST, SMOOTH_DOMAIN, SMOOTH_GLOBAL = 20.0, 50.0, 1.0
@@ -73,20 +76,12 @@ def _code(c: Column) -> Column:
 
 
 def languages_of(evidence: DataFrame) -> list[str]:
-    """The declared codes of at least MIN_SHARE of the rows, most frequent
-    first, MAX_LANGUAGES at most (a bound of the model, given as such)."""
-    total = F.sum("n").over(_everything())
-    rows = (evidence.filter(F.col("declared") != "").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("share", F.col("n") / total).filter(F.col("share") >= MIN_SHARE)
-            .orderBy(F.desc("n"), "declared").limit(MAX_LANGUAGES).collect())
+    """Every declared code, in order, however rare: codes have two or three
+    letters, so they are at most 18,278."""
+    rows = evidence.filter(F.col("declared") != "").select("declared").distinct().collect()
     return sorted(r["declared"] for r in rows)
 
 
-def _everything():
-    from pyspark.sql import Window
-    return Window.partitionBy(F.lit(1))
-
-
 def trigram_cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(cell, row) of every byte trigram of the lower-cased letters, runs of
     other characters taken as one space."""
@@ -104,43 +99,101 @@ def trigram_cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ((cell[own] * np.uint32(0x27D4EB2F)) >> np.uint32(18)).astype(np.int64), row[:len(cell)][own]
 
 
-def trigram_counts(evidence: DataFrame, languages: list[str]) -> np.ndarray:
-    """Counts (languages x CELLS) over all rows that declare a language."""
+def trigram_counts(evidence: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language index, cell, count) of the cells over all rows that declare
+    a language; cells without a count are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(languages) * CELLS, np.int64)
+        total: dict[int, np.ndarray] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, n in total.items():
+                at = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(lang * CELLS + at), pa.array(n[at])], names=["cell", "n"])
+            total.clear()
+
         for batch in batches:
             code = np.array([index.get(x, -1) for x in batch["declared"].to_pylist()], np.int64)
             for a, b in text_slices(batch["text"]):
                 cell, row = trigram_cells(batch["text"].slice(a, b - a))
-                lang = code[a:b][row]
-                total += np.bincount((lang * CELLS + cell)[lang >= 0], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+                some, local = np.unique(code[a:b], return_inverse=True)
+                lang = local[row]
+                for k in range(0, len(some), _FLUSH_LANGUAGES):
+                    now = some[k:k + _FLUSH_LANGUAGES]
+                    here = (lang >= k) & (lang < k + len(now))
+                    n = np.bincount((lang[here] - k) * CELLS + cell[here], minlength=len(now) * CELLS).reshape(-1, CELLS)
+                    for i, x in enumerate(now.tolist()):
+                        if x >= 0:
+                            total[x] = total[x] + n[i] if x in total else n[i].copy()
+                    if len(total) > _FLUSH_LANGUAGES:
+                        yield from flush()
+        yield from flush()
 
     index = {x: i for i, x in enumerate(languages)}
-    out = np.zeros(len(languages) * CELLS)
-    if languages:
-        rows = (evidence.select("text", "declared").mapInArrow(run, "cell long, n long")
-                .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
-        out[rows["cell"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
-    return out.reshape(len(languages), CELLS)
-
-
-def text_scores(evidence: DataFrame, languages: list[str], counts: np.ndarray) -> DataFrame:
+    if not languages:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    rows = (evidence.select("text", "declared").mapInArrow(run, "cell long, n long")
+            .groupBy("cell").agg(F.sum("n").alias("n")).toPandas())
+    at = rows["cell"].to_numpy(np.int64)
+    return at // CELLS, at % CELLS, rows["n"].to_numpy(np.int64)
+
+
+class Likelihoods:
+    """log P(cell | language) with half a count for every cell. Languages with
+    counts in many cells are columns of a table; for the others only cells
+    with counts are listed, as what they add to a cell without."""
+
+    def __init__(self, k: int, counts: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        lang, cell, n = counts
+        total = np.bincount(lang, n, minlength=k) + 0.5 * CELLS
+        filled = np.bincount(lang, minlength=k)
+        self.k = k
+        self.none = np.log(0.5 / total)
+        self.dense, self.sparse = np.flatnonzero(filled > SPARSE_CELLS), np.flatnonzero(filled <= SPARSE_CELLS)
+        place = np.zeros(k, np.int64)
+        place[self.dense], place[self.sparse] = np.arange(len(self.dense)), np.arange(len(self.sparse))
+        many = filled[lang] > SPARSE_CELLS
+        table = np.full((CELLS, len(self.dense)), 0.5)
+        table[cell[many], place[lang[many]]] += n[many]
+        self.table = np.log(table / total[self.dense]).astype(np.float32)
+        order = np.flatnonzero(~many)
+        order = order[np.argsort(cell[order], kind="stable")]
+        self.begin = np.searchsorted(cell[order], np.arange(CELLS + 1))
+        self.which = place[lang[order]].astype(np.int32)
+        self.more = np.log(n[order] * 2.0 + 1).astype(np.float32)
+
+    def __call__(self, cell: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """Log likelihoods (rows x languages) of texts, given the cells of each."""
+        out = np.zeros((rows, self.k))
+        for j, lang in enumerate(self.dense):
+            out[:, lang] = np.bincount(row, self.table[cell, j], minlength=rows)
+        if len(self.sparse):
+            out[:, self.sparse] = np.bincount(row, minlength=rows)[:, None] * self.none[self.sparse]
+            hit = np.flatnonzero(self.begin[cell + 1] > self.begin[cell])
+            for k in range(0, len(hit), 1 << 16):
+                at = hit[k:k + (1 << 16)]
+                size = self.begin[cell[at] + 1] - self.begin[cell[at]]
+                where = np.arange(size.sum()) + np.repeat(self.begin[cell[at]] - (np.cumsum(size) - size), size)
+                first = row[at[0]]
+                to = (np.repeat(row[at], size) - first) * len(self.sparse) + self.which[where]
+                new = np.bincount(to, self.more[where], minlength=(row[at[-1]] - first + 1) * len(self.sparse))
+                out[first:row[at[-1]] + 1, self.sparse] += new.reshape(-1, len(self.sparse))
+        return out
+
+
+def text_scores(evidence: DataFrame, languages: list[str], counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """``evidence`` without its text, with ``ll`` (log likelihood of the text
     under every language), ``n`` trigrams and ``best`` language by text."""
-    logp = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * CELLS)).astype(np.float32)
-    table = np.ascontiguousarray(logp.T)
     k = len(languages)
+    likely = Likelihoods(k, counts)
+    most = max(1, _SCORES // max(1, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in text_slices(batch["text"]):
+            pieces = ((c, min(c + most, b)) for a, b in text_slices(batch["text"]) for c in range(a, b, most))
+            for a, b in pieces:
                 part = batch.slice(a, b - a)
                 cell, row = trigram_cells(part["text"])
-                ll = np.zeros((b - a, k))
-                for j in range(k):
-                    ll[:, j] = np.bincount(row, table[cell, j], minlength=b - a)
+                ll = likely(cell, row, b - a)
                 n = np.bincount(row, minlength=b - a)
                 best = ll.argmax(axis=1) if k else np.zeros(b - a, np.int64)
                 names = [languages[i] if m else "" for i, m in zip(best, n)] if k else [""] * (b - a)
@@ -155,10 +208,12 @@ def text_scores(evidence: DataFrame, languages: list[str], counts: np.ndarray) -
              "ll array<double>, n long, best string")
 
 
-def _counts(scored: DataFrame, keys: list[str], languages: list[str], name: str) -> DataFrame:
-    """One row per key: rows per language by text, in the order of languages."""
-    return scored.groupBy(*keys).agg(
-        F.array(*[F.count_if(F.col("best") == x).cast("double") for x in languages]).alias(name))
+def _counts(tally: DataFrame, keys: list[str], languages: Column, name: str) -> DataFrame:
+    """One row per key: rows per language by text, in the order of languages;
+    ``tally`` has the number of rows per key and best language."""
+    found = tally.groupBy(*keys, "best").agg(F.sum("n").cast("double").alias("n")).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("_m"))
+    return found.select(*keys, F.transform(languages, lambda x: F.coalesce(F.try_element_at("_m", x), F.lit(0.0))).alias(name))
 
 
 def _shares(own: Column, above: Column, weight: float) -> Column:
@@ -170,39 +225,41 @@ def _shares(own: Column, above: Column, weight: float) -> Column:
 def fuse(scored: DataFrame, languages: list[str], min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """(kind, id, language, posterior, text_language, declared, kept)."""
     k = len(languages)
-    whole = scored.agg(*[F.count_if(F.col("best") == x).alias(f"_{i}") for i, x in enumerate(languages)],
-                       F.count(F.lit(1)).alias("all")).first()
-    rows = sum(whole[f"_{i}"] for i in range(k))
-    globe = [(whole[f"_{i}"] + SMOOTH_GLOBAL) / (rows + SMOOTH_GLOBAL * k) for i in range(k)]
-    hosts = _counts(scored, ["host", "domain"], languages, "_host")
-    domains = hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("_host")[i]) for i in range(k)]).alias("_domain"))
+    names = F.array(*[F.lit(x) for x in languages])
+    whole = {r["best"]: r["n"] for r in scored.groupBy("best").agg(F.count(F.lit(1)).alias("n")).collect()}
+    whole = [whole.get(x, 0) for x in languages]
+    globe = [(n + SMOOTH_GLOBAL) / (sum(whole) + SMOOTH_GLOBAL * k) for n in whole]
+    tally = scored.groupBy("host", "domain", "best").agg(F.count(F.lit(1)).alias("n"))
+    hosts = _counts(tally, ["host", "domain"], names, "_host")
+    domains = _counts(tally, ["domain"], names, "_domain")
     priors = hosts.join(domains, "domain").select(
         "host", "domain",
         _shares(F.col("_host"), _shares(F.col("_domain"), F.array(*[F.lit(g) for g in globe]), SMOOTH_DOMAIN),
                 SMOOTH_HOST).alias("_prior"))
-    totals = F.array(*[F.lit(float(whole[f"_{i}"])) for i in range(k)])
+    totals = F.array(*[F.lit(float(n)) for n in whole])
 
     def given(column: str, name: str) -> DataFrame:
         # P(value | language) with half a row for every pair; no value is no evidence
         likely = F.zip_with(F.col("_n"), totals, lambda c, t: F.log((c + 0.5) / (t + 0.5 * k)))
-        none = F.array(*[F.lit(0.0)] * k)
-        return _counts(scored, [column], languages, "_n").select(
+        none = F.array_repeat(F.lit(0.0), k)
+        counted = scored.groupBy(column, "best").agg(F.count(F.lit(1)).alias("n"))
+        return _counts(counted, [column], names, "_n").select(
             column, F.when(F.col(column) == "", none).otherwise(likely).alias(name))
 
     # a host or suffix may hold a third of all rows: their rows are dealt over several tasks;
-    # declarations are codes of two or three letters, at most 18,278 of them
-    joined = (join_split(given("suffix", "_suffix"), join_split(priors, scored, ["host", "domain"]), "suffix")
-              .join(F.broadcast(given("declared", "_declared")), "declared"))
+    # declarations are sent to every task unless there are very many languages
+    joined = join_split(given("suffix", "_suffix"), join_split(priors, scored, ["host", "domain"]), "suffix")
+    declared = given("declared", "_declared")
+    joined = (joined.join(F.broadcast(declared), "declared") if k <= _BROADCAST_LANGUAGES
+              else join_split(declared, joined, "declared"))
     log_post = F.zip_with(
         F.zip_with("ll", "_prior", lambda t, p: t * TEMPER + F.log(p)),
         F.zip_with("_declared", "_suffix", lambda a, b: a + b), lambda a, b: a + b)
-    top = F.array_max(F.col("_lp"))
-    mass = F.aggregate(F.col("_lp"), F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max(F.col("_lp"))))
-    names = F.array(*[F.lit(x) for x in languages])
-    best = F.element_at(names, F.array_position(F.col("_lp"), top).cast("int"))
+    mass = F.aggregate(F.col("_lp"), F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top")))
+    best = F.element_at(names, F.array_position(F.col("_lp"), F.col("_top")).cast("int"))
     some = F.col("n") > 0
     text_fits = F.array_max("ll") >= F.col("n") * F.lit(float(np.log(1 / CELLS)))
-    return (joined.withColumn("_lp", log_post)
+    return (joined.withColumn("_lp", log_post).withColumn("_top", F.array_max("_lp"))
             .select("kind", "id", F.when(some, best).alias("language"),
                     F.when(some, 1 / mass).otherwise(0.0).alias("posterior"),
                     F.when(some, F.col("best")).alias("text_language"), "declared",

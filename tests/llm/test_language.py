@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from quarry.llm import language
@@ -70,3 +71,29 @@ def test_nothing_declared_and_empty(spark, no_documents, corpus):
     out = language.identify(language.evidence_of_documents(undeclared)).collect()
     assert [(r.id, r.language, r.kept) for r in out] == [(1, None, False)]
     assert language.with_language(no_documents, corpus[1].limit(0)).count() == 0
+
+
+def test_every_declared_language_counts(spark):
+    rng = random.Random(3)
+    odd = {f"{a}{b}": [chr(0x0900 + 40 * i + rng.randrange(40)) * 2 + chr(0x0900 + 40 * i + rng.randrange(40)) for _ in range(8)]
+           for i, (a, b) in enumerate((a, b) for a in "qxyz" for b in "abcdefghijklmnopqr")}
+    rows = [(i, say(rng, "en", 25), "en", "s", 1) for i in range(2500)]
+    rows += [(5000 + i, " ".join(rng.choice(w) for _ in range(30)), x, "s", 1) for i, (x, w) in enumerate(list(odd.items()) * 2)]
+    rows += [(9000, say(rng, "en", 30), "zz", "s", 1)]  # declared by mistake
+    docs = spark.createDataFrame(rows, DOCS)
+    pages = spark.createDataFrame([], PAGES)
+    left = {r.doc_id: r.lang for r in language.with_language(docs, pages).collect()}
+    assert left == {r[0]: r[2] for r in rows} | {9000: "en"}
+
+
+def test_likelihoods_equal_the_table():
+    rng = np.random.default_rng(4)
+    counts = rng.integers(0, 4, (6, language.CELLS)) * (rng.random((6, language.CELLS)) < np.array([[.9, .5, .01, .1, .0, .3]]).T)
+    lang, cell = np.nonzero(counts)
+    likely = language.Likelihoods(6, (lang, cell, counts[lang, cell]))
+    assert len(likely.dense) == 3 and len(likely.sparse) == 3
+    row = np.sort(rng.integers(0, 900, 200_000))
+    at = rng.integers(0, language.CELLS, 200_000)
+    logp = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * language.CELLS))
+    want = np.stack([np.bincount(row, logp[j, at], minlength=900) for j in range(6)], axis=1)
+    assert np.allclose(likely(at, row, 900), want, rtol=1e-5)

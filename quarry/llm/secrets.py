@@ -4,9 +4,10 @@ character class, with an allow list.
 Base kinds are found leftmost and without overlap, each kind on its own.
 The entropy kind looks at candidate strings (runs of token characters of at
 least a window's length), decides each run's character class, slides a
-window over it with counts updated by one character in and one out, and
+windows over it with counts updated by one character in and one out, and
 merges the windows over the class's threshold into spans. Runs on the allow
-list, and spans already inside a base span, add nothing.
+list, placeholders, and spans already inside a base span, add nothing; what
+stands beside a placeholder in a path is looked at on its own.
 """
 
 from __future__ import annotations
@@ -29,20 +30,25 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: class -> (characters of a run, window, bits per character that a window must reach)
+#: class -> (characters of a run, windows, bits per character that a window must reach)
 CLASSES = (
-    ("hex", re.compile(r"[0-9a-fA-F]+"), 20, 3.0),
-    ("base36", re.compile(r"[0-9a-z]+|[0-9A-Z]+"), 20, 3.6),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 24, 4.0),
+    ("hex", re.compile(r"[0-9a-fA-F]+"), (20,), 3.0),
+    ("base36", re.compile(r"[0-9a-z]+|[0-9A-Z]+"), (20,), 3.6),
+    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), (20, 24), 4.0),
 )
-#: Runs that look random and are none: plain words (also joined by - _ /), UUIDs,
-#: placeholders, and counting sequences.
+#: Plain words, also joined by - _ /. A word long enough for a window is one
+#: only if no window of it reaches more bits than words do.
+WORDS = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]*)(?:[-_/=+](?:[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,4}))*")
+LONG_WORD, WORD_BITS = re.compile(r"[A-Za-z]{20,}"), 4.0
+#: Other runs that look random and are none: numbers and UUIDs.
 ALLOW = (
-    re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]*)(?:[-_/=+](?:[A-Z]?[a-z]*|[A-Z]*|[0-9]{1,4}))*"),
     re.compile(r"[0-9]+"),
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(r"(?i).*(?:example|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh).*"),
 )
+#: Placeholders and counting sequences. One takes its segment of a path with it,
+#: but of a segment longer than any key only itself.
+PLACEHOLDER = re.compile(r"example|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh", re.ASCII | re.IGNORECASE)
+MAX_SEGMENT = 64
 ORDER = {"assign": 0, "access": 1, "hex": 2, "entropy": 3}
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
           "spans string, n_entropy long")
@@ -85,19 +91,56 @@ def window_spans(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
+def stretches(run: str) -> Iterator[tuple[int, int]]:
+    """Parts of ``run`` that are left beside its placeholders."""
+    at = 0
+    for m in PLACEHOLDER.finditer(run):
+        a, b = run.rfind("/", 0, m.start()), run.find("/", m.end())
+        a, b = a + 1, len(run) if b < 0 else b
+        if b - a > MAX_SEGMENT:
+            a, b = m.span()
+        while a > 0 and run[a - 1] == "/":
+            a -= 1
+        while b < len(run) and run[b] == "/":
+            b += 1
+        if at < a:
+            yield at, a
+        at = max(at, b)
+    if at < len(run):
+        yield at, len(run)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def random_spans(run: str) -> list[tuple[int, int]]:
+    """Spans of high entropy of a run without placeholders."""
+    if any(p.fullmatch(run) for p in ALLOW):
+        return []
+    if WORDS.fullmatch(run):
+        return [(m.start() + a, m.start() + b) for m in LONG_WORD.finditer(run)
+                for a, b in window_spans(m.group(), 20, WORD_BITS)]
+    for _, chars, windows, bits in CLASSES:
+        if chars.fullmatch(run):
+            return merged([x for w in windows if len(run) >= w for x in window_spans(run, w, bits)])
+    return []
+
+
 def entropy_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans of high entropy outside the base spans."""
     out = []
     for m in CANDIDATE.finditer(text):
-        run, at = m.group(), m.start()
-        if any(p.fullmatch(run) for p in ALLOW):
-            continue
-        for _, chars, window, bits in CLASSES:
-            if chars.fullmatch(run):
-                if len(run) >= window:
-                    out += [(at + a, at + b, "entropy") for a, b in window_spans(run, window, bits)
-                            if not any(s <= at + a and at + b <= e for s, e, _ in base)]
-                break
+        for x, y in stretches(m.group()):
+            at = m.start() + x
+            out += [(at + a, at + b, "entropy") for a, b in random_spans(m.group()[x:y])
+                    if not any(s <= at + a and at + b <= e for s, e, _ in base)]
     return out
 
 

@@ -53,6 +53,24 @@ def test_entropy_adds_and_the_allow_list_suppresses():
     assert found("token=aB3dE6gH9jK2mN5pQ8sT1vW4yZ7b") == []  # inside a base span
 
 
+def test_entropy_of_short_runs_paths_blobs_and_letters():
+    found = lambda t: [t[a:b] for a, b, _ in secrets.entropy_spans(t, secrets.base_spans(t))]
+    assert found("key aB3dE5gH7jK9mN1pQ2rS end") == ["aB3dE5gH7jK9mN1pQ2rS"]
+    key = "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0fL+rU"
+    assert found(f"see /srv/example/{key} end") == [key]
+    assert found(f"see {key}/example/{key} end") == [key, key]
+    assert found("see /srv/example/plain-words-of-some-length end") == []
+    assert found("see /example/123e4567-e89b-12d3-a456-426614174000 end") == []
+    blob = "".join(key[i:] + key[:i] for i in range(20))
+    got = found(f"{blob}XxXx{blob}")
+    assert got == [blob, blob]
+    assert found("id qzxvkjwpbmdfhgtyrcnlsaoe end") == ["qzxvkjwpbmdfhgtyrcnlsaoe"]
+    assert found("id QZXVKJWPBMDFHGTYRCNLSAOE end") == ["QZXVKJWPBMDFHGTYRCNLSAOE"]
+    for word in ("Rindfleischetikettierungsueberwachungsaufgabenuebertragungsgesetz", "internationalization-misunderstandings",
+                 "antidisestablishmentarianism", "incomprehensibilities", "electroencephalographically"):
+        assert found(f"a {word} b") == []
+
+
 def test_rows(spark, hostile, no_documents):
     out = secrets.secret_scan(hostile).collect()
     assert len(out) == hostile.count()

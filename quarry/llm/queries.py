@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, decontam, jaccard, katz, language, lines, packing, quality, repeats, secrets
+from quarry.llm import (
+    chat, codes, decontam, jaccard, katz, language, lines, packing, quality, repeats, secrets, sketch, whitening)
 from quarry.llm.store import table
 
 
@@ -58,8 +59,24 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketch.document_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next", "in_edited", "in_next")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256", "label")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_format, op3_secret_scan, op4_ngram_jaccard, op5_katz_scores, op6_language_id, op7_decontamination,
-    op8_best_fit_packing, op9_quality_rules, op10_suffix_array_dedup)}
+    op8_best_fit_packing, op9_quality_rules, op10_suffix_array_dedup, op11_embedding_whitening,
+    op12_document_fingerprints, op13_vector_codes)}
 
 ORACLE_SQL = {"op2_chat_format": chat.ORACLE}

@@ -54,3 +54,43 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
         raise OSError(f"can't move the new result to {base}")
     if fs.exists(_fs(spark, old)[1]):
         fs.delete(_fs(spark, old)[1], True)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """One small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that readers see whole or not at all; False, and
+    nothing changed, if there is one already."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        return False
+    _, new = _fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(new, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(new, target):
+        fs.delete(new, False)
+        return False
+    return True

@@ -13,6 +13,8 @@ from quarry.session import table_path, work_path
 from quarry.sources.streams import lines_stream, messages_stream, table_stream
 from quarry.streaming import jobs
 from quarry.streaming.audit import read_audit, run_audited
+from quarry.streaming.delivery import run_once_only
+from quarry.streaming.tables import run_rows_and_counts, run_update
 
 query = B.query
 
@@ -147,3 +149,58 @@ def batch_distinct_words(spark, sf_dir):
     """Number of distinct words in each micro-batch."""
     per_batch = jobs.batch_word_count(spark, _doc_lines_stream(spark, sf_dir), "batch_distinct")
     return per_batch.groupBy("batch_id").agg(F.count(F.lit(1)).alias("distinct_keys"))
+
+
+@query("delivered_once", "SELECT event_id, event_type AS message FROM events")
+def delivered_once(spark, sf_dir):
+    """Two deliveries that overlap in a third of the messages, the second
+    one after a restart; every message comes out once."""
+    landing, out = work_path(spark, "landing"), work_path(spark, "once")
+    ev = B._t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("message"))
+    third = F.pmod("event_id", F.lit(3))
+    got = None
+    for delivery in (third < 2, third > 0):
+        ev.filter(delivery).write.mode("append").json(landing)
+        got = run_once_only(spark, messages_stream(spark, landing, schema=ev.schema), "once", key="event_id", out=out)
+    return got
+
+
+def _landed_texts(spark, sf_dir, files=6):
+    folder = work_path(spark, "texts")
+    B._t(spark, sf_dir, "documents").select("text").repartition(files).write.text(folder)
+    return lines_stream(spark, folder, max_files_per_trigger=max(files // 3, 1))
+
+
+@query("running_counts_changes", B.ORACLE_SQL["word_count_nonempty"])
+def running_counts_changes(spark, sf_dir):
+    """T1 in update mode: a batch writes the words it changed, in the buckets
+    they fall in; three batches, a merge of layers after two."""
+    counts = jobs.running_word_count(_landed_texts(spark, sf_dir))
+    return run_update(spark, counts, "running_counts_changes", ["word"], merge_after=2).read(spark)
+
+
+@query("rows_and_counts", f"""
+SELECT 'row' AS kind, value, count(*) AS n FROM ({B.SQL_LINES}) GROUP BY value
+UNION ALL
+SELECT 'word', word, count(*) FROM (SELECT unnest(string_split(value, ' ')) AS word FROM ({B.SQL_LINES}))
+WHERE word <> '' GROUP BY word
+""")
+def rows_and_counts(spark, sf_dir):
+    """T5 from one read: the lines themselves and running word counts, both
+    of the same committed batches."""
+    def counts(batch):
+        return jobs.running_word_count(batch)
+
+    both = run_rows_and_counts(spark, _landed_texts(spark, sf_dir), "rows_and_counts", lambda b: b.select("value"), counts,
+                               ["word"], merge_after=2)
+    lines = both.read_rows(spark).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    words = both.read_totals(spark).select(F.lit("word").alias("kind"), F.col("word").alias("value"), F.col("count").alias("n"))
+    return lines.select(F.lit("row").alias("kind"), "value", "n").unionByName(words)
+
+
+@query("stream_timed", "SELECT event_id, event_type AS message FROM events")
+def stream_timed(spark, sf_dir):
+    """Raw messages under a processing-time trigger, stopped when all
+    that is there has been processed."""
+    msgs = jobs.raw_messages(_event_payloads(spark, sf_dir), keep=["event_id"])
+    return jobs.run_until_idle(spark, msgs, "stream_timed", "1 second")

@@ -113,6 +113,19 @@ def run_append(spark: SparkSession, df: DataFrame, name: str, trigger: str = "av
     return read_output(spark, out, df.schema)
 
 
+def run_until_idle(spark: SparkSession, df: DataFrame, name: str, trigger: str = "5 seconds",
+                   out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run an append-mode stream under a processing-time trigger until it
+    has processed all that has arrived, then stop it between two batches."""
+    out, ckpt = output_places(spark, name, out, checkpoint)
+    q = start_query(df, "append", "parquet", None, trigger, ckpt, out)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return read_output(spark, out, df.schema)
+
+
 def overwrite_each_batch(path: str):
     """``foreachBatch`` function that replaces ``path`` with each batch
     (complete-mode results: every batch is the whole current state, and a

@@ -3,12 +3,10 @@ event flattening."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.lineage.documents import schema_field_rows
-from quarry.session import send_code
+from quarry.lineage.schema_tree import document_fields
 
 
 def latest_per_key(df: DataFrame, key, order: list[str], values: list[str]) -> DataFrame:
@@ -42,26 +40,23 @@ def schema_facet(catalog: DataFrame, registry_url: str, subject: str = "subject"
     return catalog.select(subject, "schemaVersion", doc.alias("facet"))
 
 
-FIELDS = "array<struct<name: string, type: string, description: string>>"
-
-
 def schema_fields(catalog: DataFrame, schema_col: str = "schema",
                   keys: tuple[str, ...] = ("subject", "schemaVersion")) -> DataFrame:
     """L1: flatten Avro schema documents to ``(keys..., name, type, description)``.
 
-    Each document is one small JSON text, read whole where its row is (see
-    :func:`quarry.lineage.documents.schema_field_rows` for the rules): no
-    depth limit and no shuffle. Descriptions default to ``""``.
+    A row for each leaf field, under its dotted name. A field's union stands
+    for its first branch that is not null; records are descended into to any
+    depth, whether written in place or named elsewhere in the document;
+    arrays, maps, enums, fixed and primitive types are leaves, and so is a
+    record inside itself. A root that is no record is one row ``value``
+    without description; other descriptions default to ``""``. A null
+    document has no fields, one that is no JSON is an error. Equal documents
+    are worked out once (see :mod:`quarry.lineage.schema_tree`).
     """
-    send_code(catalog.sparkSession)
-
-    @F.pandas_udf(FIELDS)
-    def fields(documents: pd.Series) -> pd.Series:
-        return documents.map(lambda d: [dict(zip(("name", "type", "description"), r))
-                                        for r in schema_field_rows(d if isinstance(d, str) else None)])
-
-    return (catalog.select(*keys, F.explode(fields(F.col(schema_col))).alias("_f"))
-            .select(*keys, "_f.name", "_f.type", "_f.description"))
+    rows = catalog.select(*keys, F.sha2(F.col(schema_col), 256).alias("_doc"))
+    documents = catalog.select(F.sha2(F.col(schema_col), 256).alias("doc"), F.col(schema_col).alias("schema")).distinct()
+    found = document_fields(documents)
+    return rows.join(found, F.col("_doc") == F.col("doc")).select(*keys, "name", "type", "description")
 
 
 def lineage_fields(events: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quarry import operators as op
 from quarry.functions.text import token_count
 from quarry.plans import catalog, composed
-from quarry.schemas import MOVIE, MOVIE_STRINGS, PRODUCT_MESSAGE, RATING
+from quarry.schemas import MOVIE, MOVIE_STRINGS, PRODUCT_MESSAGE, RATING, SCHEMA_CATALOG
 from quarry.sources.files import parse_records, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -417,6 +417,79 @@ def product_flat(spark, sf_dir):
     return flatten_struct(dec, "m", keep=["message_id"])
 
 
+# a product message's schema in two versions: the second widens id and price,
+# drops the promotion code and adds a rating and a channel
+_PRODUCT_V1 = {"type": "record", "name": "Message", "fields": [
+    {"name": "creationDate", "type": ["null", "string"]}, {"name": "id", "type": ["null", "int"]},
+    {"name": "product", "type": ["null", {"type": "record", "name": "Product", "fields": [
+        {"name": "productName", "type": ["null", "string"]}, {"name": "color", "type": ["null", "string"]},
+        {"name": "price", "type": ["null", "int"]}, {"name": "promotionCode", "type": ["null", "string"]}]}]}]}
+_PRODUCT_V2 = {"type": "record", "name": "Message", "fields": [
+    {"name": "creationDate", "type": ["null", "string"]}, {"name": "id", "type": ["null", "long"]},
+    {"name": "product", "type": ["null", {"type": "record", "name": "Product", "fields": [
+        {"name": "productName", "type": ["null", "string"]}, {"name": "color", "type": ["null", "string"]},
+        {"name": "price", "type": ["null", "double"]}, {"name": "rating", "type": ["null", "double"]}]}]},
+    {"name": "channel", "type": ["null", "string"]}]}
+
+
+def _product_catalog(spark):
+    import json
+    return spark.createDataFrame([("product-value", 101, 1, "AVRO", json.dumps(_PRODUCT_V1)),
+                                  ("product-value", 258, 2, "AVRO", json.dumps(_PRODUCT_V2)),
+                                  ("other-value", 9, 1, "AVRO", '"string"')], SCHEMA_CATALOG)
+
+
+def _framed_products(ev: DataFrame) -> DataFrame:
+    """One framed message per event: version 1, version 2, and every third
+    one with something wrong."""
+    from quarry.lineage.writers import frame
+    name, day = F.col("event_type").alias("productName"), F.date_format("ts", "dd-MM-yyyy HH:mm:ss").alias("creationDate")
+    eid, color = F.col("event_id"), F.col("props").alias("color")
+    v1 = F.to_json(F.struct(day, eid.cast("int").alias("id"), F.struct(
+        name, color, F.floor("value").cast("int").alias("price"), F.col("user_id").cast("string").alias("promotionCode")).alias("product")))
+    v2 = F.to_json(F.struct(day, (eid + 5_000_000_000).alias("id"), F.struct(
+        name, color, F.col("value").alias("price"), (F.col("user_id") / 4).alias("rating")).alias("product"),
+        F.lit("web").alias("channel")))
+    kind = F.pmod(eid, F.lit(12))
+    payload = F.encode(F.when(F.pmod(eid, F.lit(3)) == 0, v1).otherwise(v2), "UTF-8")
+    sid = F.when(F.pmod(eid, F.lit(3)) == 0, 101).when(kind == 8, 999).otherwise(258)
+    value = (F.when(kind == 2, F.encode(F.lit("abc"), "UTF-8")).when(kind == 5, frame(F.encode(F.lit('{"id": '), "UTF-8"), F.lit(258)))
+             .when(kind == 11, F.lit(None).cast("binary")).otherwise(frame(payload, sid)))
+    return ev.select(eid.cast("string").alias("message_id"), value.alias("value"))
+
+
+@query("product_versions", """
+SELECT CAST(event_id AS VARCHAR) AS message_id, 1 AS schema_version, strftime(ts, '%d-%m-%Y %H:%M:%S') AS creationDate,
+       event_id AS id, event_type AS productName, props AS color, CAST(floor(value) AS DOUBLE) AS price,
+       CAST(user_id AS VARCHAR) AS promotionCode, CAST(NULL AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS channel
+FROM events WHERE event_id % 3 = 0
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), 2, strftime(ts, '%d-%m-%Y %H:%M:%S'), event_id + 5000000000, event_type, props, value,
+       NULL, user_id / 4.0, 'web'
+FROM events WHERE event_id % 3 = 1
+""")
+def product_versions(spark, sf_dir):
+    """Messages of two schema versions in one table, each decoded
+    by the id in its header; what can't be is left out."""
+    from quarry.lineage.writers import accepted, decode_by_writer, live_writers
+    framed = _framed_products(op.spread(_t(spark, sf_dir, "events")))
+    writers = live_writers(_product_catalog(spark), ["product-value"])
+    return accepted(decode_by_writer(framed, writers, keep=["message_id"]), ["message_id"])
+
+
+@query("product_rejects", """
+SELECT CASE event_id % 12 WHEN 2 THEN 'no header' WHEN 5 THEN 'malformed payload' WHEN 8 THEN 'unknown schema id'
+       ELSE 'no payload' END AS reject, CAST(CASE event_id % 12 WHEN 5 THEN 258 WHEN 8 THEN 999 END AS BIGINT) AS schema_id, count(*) AS n
+FROM events WHERE event_id % 3 = 2 GROUP BY ALL
+""")
+def product_rejects(spark, sf_dir):
+    """What the reject table holds, by reason and schema id."""
+    from quarry.lineage.writers import decode_by_writer, live_writers, rejected
+    framed = _framed_products(op.spread(_t(spark, sf_dir, "events")))
+    writers = live_writers(_product_catalog(spark), ["product-value"])
+    return rejected(decode_by_writer(framed, writers)).groupBy("reject", "schema_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------- J: joins
 
 @query("inner_join", """

@@ -204,3 +204,28 @@ def stream_timed(spark, sf_dir):
     that is there has been processed."""
     msgs = jobs.raw_messages(_event_payloads(spark, sf_dir), keep=["event_id"])
     return jobs.run_until_idle(spark, msgs, "stream_timed", "1 second")
+
+
+@query("product_versions_stream", B.ORACLE_SQL["product_versions"])
+def product_versions_stream(spark, sf_dir):
+    """The same messages as a stream; version 2 is registered only
+    after the first run, whose rejects are decoded again then."""
+    from quarry.lineage.writers import accepted, decode_by_writer, live_writers, read_accepted, read_rejects, run_by_writer
+    landing, out = work_path(spark, "framed"), work_path(spark, "versions")
+    framed = B._framed_products(B._t(spark, sf_dir, "events"))
+    known = {"v": 1}
+    keep = {"message_id": "string"}
+
+    def catalog(session):
+        return B._product_catalog(session).filter(F.col("schemaVersion") <= known["v"])
+
+    for half in (0, 1):
+        framed.filter(F.pmod(F.col("message_id").cast("long"), F.lit(2)) == half).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(framed.schema).parquet(landing)
+        run_by_writer(spark, stream, "versions", catalog, ["product-value"], keep=list(keep), out=out)
+        known["v"] = 2
+    writers = live_writers(catalog(spark), ["product-value"])
+    again = decode_by_writer(read_rejects(spark, out, keep).filter(F.col("reject") == "unknown schema id"), writers, keep=list(keep))
+    written = read_accepted(spark, out, writers, keep).withColumn("reject", F.lit(None).cast("string"))
+    columns = ["message_id", "schema_version", "message", "reject"]
+    return accepted(written.select(columns).unionByName(again.select(columns)), list(keep))

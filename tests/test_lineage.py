@@ -81,3 +81,50 @@ def test_roots_names_and_unions():
         {"name": "me", "type": ["null", "Outer"]}, {"name": "none", "type": ["null"]}]}
     assert [r[:2] for r in schema_field_rows(json.dumps(spaced))] == [
         ("p.x", "int"), ("q.x", "int"), ("r.x", "int"), ("me", "record"), ("none", "union")]
+
+
+DEEP = {"type": "long"}
+for _i in reversed(range(12)):
+    DEEP = {"type": "record", "name": f"L{_i}", "fields": [
+        {"name": "x", "type": "int"}, {"name": "d", "type": ["null", DEEP], "doc": f"level {_i}"}]}
+LINKED = {"type": "record", "name": "Node", "namespace": "a.b", "fields": [
+    {"name": "value", "type": "string"}, {"name": "next", "type": ["null", "Node"], "doc": "the rest"},
+    {"name": "pair", "type": {"type": "record", "name": "Pair", "fields": [
+        {"name": "left", "type": "a.b.Node"}, {"name": "right", "type": ["null", "Pair"]}, {"name": "n", "type": ["null"]}]}},
+    {"name": "again", "type": "Pair"}, {"name": "wrapped", "type": {"type": {"type": {"type": "int", "logicalType": "date"}}}},
+    {"name": "m", "type": {"type": "map", "values": "Pair"}}, {"name": "e", "type": {"type": "enum", "name": "c.E", "symbols": []}},
+    {"name": "f", "type": ["null", "c.E"]}, {"name": "empty", "type": {"type": "record", "name": "Nothing", "fields": []}}]}
+
+
+def fields_of(spark, documents):
+    rows = [(f"s{i}", i, 1, "AVRO", d) for i, d in enumerate(documents)]
+    cat = spark.createDataFrame(rows, "subject string, schemaId int, schemaVersion int, schemaType string, schema string")
+    got = {f"s{i}": [] for i in range(len(documents))}
+    for r in schema_fields(cat).collect():
+        got[r.subject].append((r.name, r.type, r.description))
+    return [sorted(got[f"s{i}"]) for i in range(len(documents))]
+
+
+def test_walk_equals_one_document_at_a_time(spark):
+    documents = [json.dumps(d) for d in (PRODUCT_SCHEMA, OTHER, DEEP, LINKED, ["null", "string"], [], {"type": "array", "items": OTHER},
+                                         {"type": {"type": "string"}}, {"type": "fixed", "name": "F", "size": 4}, "long")]
+    documents += ["  bytes \n", "\n " + json.dumps(OTHER, indent=2), None, json.dumps(OTHER)]
+    assert fields_of(spark, documents) == [sorted(schema_field_rows(d)) for d in documents]
+
+
+def test_records_named_in_arrays_and_later_are_followed(spark):
+    doc = {"type": "record", "name": "R", "fields": [
+        {"name": "list", "type": {"type": "array", "items": {"type": "record", "name": "Item", "fields": [{"name": "x", "type": "int"}]}}},
+        {"name": "one", "type": ["null", "Item"]}, {"name": "later", "type": "Late"},
+        {"name": "late", "type": {"type": "record", "name": "Late", "fields": [{"name": "y", "type": "long"}]}}]}
+    assert fields_of(spark, [json.dumps(doc)]) == [[
+        ("late.y", "long", ""), ("later.y", "long", ""), ("list", "array", ""), ("one.x", "int", "")]]
+
+
+def test_schema_walk_runs_no_python(spark):
+    plan = schema_fields(_catalog(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_catalogue_has_no_fields(spark):
+    assert schema_fields(_catalog(spark).limit(0)).collect() == []

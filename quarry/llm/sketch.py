@@ -16,7 +16,7 @@ from quarry.llm.store import written
 
 SHINGLE_WORDS = 5
 #: Share of all hashes that a sketch retains.
-FRACTION = 1 / 8
+FRACTION = 1 / 4
 _SPACE = " \t\n\x0b\f\r"
 _HASHES = "array<bigint>"
 

@@ -124,20 +124,21 @@ def document_fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFr
     document is followed by itself. An empty table gives an empty result;
     other columns are not read.
     """
-    # both joins read the same columns of ``rows``, so its shuffle is made once
-    keyed = _keyed(docs)
-    words = F.col("words")
-    rows = keyed.withColumn("words", word_hashes(F.col("text"))).select(
-        *KEY, "text", sketch(words, fraction).alias("hashes"), whole_hash(words).alias("whole"))
-    sent = (rows.join(followers(keyed), KEY)
+    # both joins read the same columns of ``rows``, so the texts are shuffled once; hashing a text
+    # again where it meets its follower takes less than shuffling its sketch with it
+    rows, words = _keyed(docs), F.col("words")
+    sent = (rows.join(followers(rows), KEY)
+            .withColumn("words", word_hashes(F.col("text")))
             .select(*[F.col("to").getField(k).alias(k) for k in KEY],
-                    F.struct(F.substring("text", F.lit(1), F.col("half")).alias("beginning"), "hashes", "whole").alias("next"))
+                    F.struct(F.substring("text", F.lit(1), F.col("half")).alias("beginning"),
+                             sketch(words, fraction).alias("hashes"), whole_hash(words).alias("whole")).alias("next"))
             .groupBy(*KEY).agg(F.any_value("next").alias("next")))
     n, half = F.length("text"), F.expr("length(text) div 2")
     both = (rows.join(sent, KEY)
             .withColumn("edited_text", F.concat(F.substring("text", F.lit(1), n - half), F.col("next.beginning")))
-            .withColumn("words", word_hashes(F.col("edited_text")))
-            .withColumn("edited_hashes", sketch(words, fraction)).withColumn("edited_whole", whole_hash(words)))
+            .withColumn("words", word_hashes(F.col("text"))).withColumn("edited_words", word_hashes(F.col("edited_text")))
+            .withColumns({"hashes": sketch(words, fraction), "whole": whole_hash(words),
+                          "edited_hashes": sketch(F.col("edited_words"), fraction), "edited_whole": whole_hash(F.col("edited_words"))}))
     h, e, x = F.col("hashes"), F.col("edited_hashes"), F.col("next.hashes")
     return both.select(
         F.when(~F.col("missing"), F.col("key")).alias("doc_id"), "text", "edited_text", n.cast("long").alias("n_chars"),

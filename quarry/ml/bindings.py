@@ -51,8 +51,9 @@ def als_rmse(spark, sf_dir):
     20 %: it is the root of the mean squared error of the predictions, and
     no row outside the test part is scored."""
     r = _als_ratings(spark, sf_dir)
-    _, pred, metrics = recommend.als_fit_score(r, 0.8, seed=42, max_iter=5, reg=0.01)
-    train, test = (x.count() for x in r.randomSplit([0.8, 0.2], 42))
+    parts = recommend.split_once(r, [0.8, 0.2], seed=42)
+    _, pred, metrics = recommend.als_fit_score(r, seed=42, parts=parts, max_iter=5, reg=0.01)
+    train, test = (x.count() for x in parts)
     root = F.lit(recommend.rmse(pred))
     return metrics.select(F.lit(train + test).cast("long").alias("n_ratings"),
                           _close(F.col("rmse"), root).alias("root_of_mse"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.sampling import tagged_split
 from quarry.session import work_path
 
 
@@ -57,10 +58,22 @@ def rmse(predictions: DataFrame, label: str = "rating", prediction: str = "predi
     return ev.evaluate(predictions)
 
 
-def als_fit_score(ratings: DataFrame, train_weight: float = 0.8, seed: int = 42, **als_args):
-    """M1 + M2: seeded 0.8 / 0.2 split, fit on the first part, score the
-    held-out part. Returns (model, predictions, metrics frame)."""
-    train, test = ratings.randomSplit([train_weight, 1 - train_weight], seed)
+def split_once(ratings: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:
+    """The parts of a seeded split (see :func:`quarry.operators.tagged_split`)
+    of rows that are dealt and written once, and read by every use."""
+    tagged = tagged_split(ratings, weights, seed, "_split")
+    path = work_path(ratings.sparkSession, "split")
+    tagged.write.partitionBy("_split").parquet(path)
+    whole = ratings.sparkSession.read.schema(tagged.schema).parquet(path)
+    return [whole.filter(F.col("_split") == i).drop("_split") for i in range(len(weights))]
+
+
+def als_fit_score(ratings: DataFrame, train_weight: float = 0.8, seed: int = 42,
+                  parts: list[DataFrame] | None = None, **als_args):
+    """M1 + M2: seeded 0.8 / 0.2 split (or the ``parts`` given), fit on the
+    first part, score the held-out part. Returns (model, predictions, metrics
+    frame)."""
+    train, test = parts or split_once(ratings, [train_weight, 1 - train_weight], seed)
     model = fit_als(train, seed=seed, **als_args)
     pred = model.transform(test)
     label = als_args.get("rating", "rating")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.hot import frequent_keys
 from quarry.session import work_path
 
 #: Values in a list, unless the caller asks for another size.
@@ -83,18 +84,16 @@ def large_keys(df: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame | N
     """The keys that need more than one list; None if there are none."""
     if chunk_rows < 1:
         raise ValueError("chunk_rows must be positive")
-    if df.count() <= chunk_rows:
-        return None
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk_rows).select(*keys)
-    return None if large.isEmpty() else large
+    _, _, large = frequent_keys(df.select(*keys), keys, lambda rows: chunk_rows)
+    return None if large is None or large.isEmpty() else large.select(*keys)
 
 
 def split_by(df: DataFrame, large: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of the other keys, rows of the ``large`` keys); null keys equal."""
-    marks = large.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)])
+    marks = large.select(*[F.col(f"`{k}`").alias(f"_l{i}") for i, k in enumerate(keys)])
     same = None
     for i, k in enumerate(keys):
-        e = df[k].eqNullSafe(marks[f"_l{i}"])
+        e = df[f"`{k}`"].eqNullSafe(marks[f"_l{i}"])
         same = e if same is None else (same & e)
     return df.join(marks, same, "left_anti"), df.join(marks, same, "left_semi")
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.chunks import CHUNK_ROWS, large_keys, list_with_nulls, split_by, value_chunks
+from quarry.operators.hot import ERROR, MOST_TRACKED, frequent_keys
 
 #: Rows of a key that are never worth splitting.
 MIN_HOT_ROWS = 10_000
@@ -33,26 +35,28 @@ def join_split(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     of a left join, or a side that meets an aggregate.
 
     A key is hot if it has more than half of what a task gets on average, so
-    there are at most two hot keys for each task; only they are broadcast.
-    Their rows in ``right`` are salted by a hash of their content, and the
-    ``left`` rows of the key (few, such as the one row of an aggregate) are
-    repeated for every salt.
+    there are at most two hot keys for each task; only they are broadcast. One
+    pass over ``right`` names them (see :mod:`quarry.operators.hot`). Their rows
+    in ``right`` are salted by a hash of their content, and the ``left`` rows
+    of the key (few, such as the one row of an aggregate) are repeated for
+    every salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("join_split does inner and left joins")
     on = [on] if isinstance(on, str) else list(on)
     spark = right.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = right.count()
-    if total <= MIN_HOT_ROWS:
-        return left.join(right, on, how)
-    counts = right.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    limit = max(MIN_HOT_ROWS, -(-total // (2 * parts)))
-    hot = counts.filter(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts"))
-    rows = hot.collect()  # at most 2 * parts
-    if not rows:
+    tracked = 16 * parts
+
+    def above(rows: int) -> int:  # no lower than what the largest sketch can tell
+        return max(MIN_HOT_ROWS, -(-rows // (2 * parts)), int(ERROR * rows / MOST_TRACKED))
+
+    _, limit, hot = frequent_keys(right.select(*on), on, above, tracked)
+    rows = hot.dropna(subset=on).select(*on, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_salts")).collect() if hot else []
+    if not rows:  # there are at most 2 * parts
         return left.join(right, on, how)
-    small = F.broadcast(spark.createDataFrame(rows, hot.schema))
+    kinds = [right.schema[c] for c in on]
+    small = F.broadcast(spark.createDataFrame(rows, T.StructType([*kinds, T.StructField("_salts", T.IntegerType())])))
     salt = F.pmod(F.xxhash64(*[right[c] for c in right.columns]), F.coalesce("_salts", F.lit(1))).cast("int")
     big = right.join(small, on, "left").withColumn("_salt", salt).drop("_salts").withColumn("_here", F.lit(True))
     few = (left.join(small, on, "left")

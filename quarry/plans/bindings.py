@@ -885,18 +885,21 @@ def _flags(df: DataFrame, **checks) -> DataFrame:
 
 
 @query("sample", """
-SELECT count(*) AS n_rows, true AS each_once, true AS within_bounds FROM lineitem
+SELECT count(*) AS n_rows, true AS each_once, true AS within_bounds, true AS same_elsewhere FROM lineitem
 """)
 def sample(spark, sf_dir):
-    """Half of the line items, seeded. Every row comes once at most, and
-    the share is within six standard deviations of one half."""
+    """Half of the line items, seeded. Every row comes once at most, the
+    share is within six standard deviations of one half, and the table dealt
+    to other partitions gives the same rows."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     s = op.sample_fraction(li, 0.5, seed=7).withColumn("taken", F.lit(1))
-    both = li.withColumn("taken", F.lit(0)).unionByName(s).groupBy("l_orderkey", "l_linenumber").agg(
-        F.count_if(F.col("taken") == 0).alias("rows"), F.sum("taken").alias("taken"))
-    t = both.agg(F.sum("rows").alias("n"), F.sum("taken").alias("k"), F.max(F.col("taken") - F.col("rows")).alias("over"))
+    again = op.sample_fraction(li.repartition(13, "l_linenumber", "l_orderkey"), 0.5, seed=7).withColumn("taken", F.lit(2))
+    both = li.withColumn("taken", F.lit(0)).unionByName(s).unionByName(again).groupBy("l_orderkey", "l_linenumber").agg(
+        *[F.count_if(F.col("taken") == k).alias(c) for k, c in enumerate(("rows", "taken", "again"))])
+    t = both.agg(F.sum("rows").alias("n"), F.sum("taken").alias("k"), F.max(F.col("taken") - F.col("rows")).alias("over"),
+                 F.every(F.col("taken") == F.col("again")).alias("same"))
     return _flags(t, n_rows=F.col("n"), each_once=F.col("over") <= 0,
-                  within_bounds=F.abs(F.col("k") - F.col("n") / 2) <= 3 * F.sqrt("n"))
+                  within_bounds=F.abs(F.col("k") - F.col("n") / 2) <= 3 * F.sqrt("n"), same_elsewhere=F.col("same"))
 
 
 @query("sample_n", "SELECT CAST(3 AS BIGINT) AS n_rows, true AS of_the_table")
@@ -908,19 +911,40 @@ def sample_n(spark, sf_dir):
     return found.agg(F.count(F.lit(1)).alias("n_rows"), F.every(F.coalesce("here", F.lit(False))).alias("of_the_table"))
 
 
+@query("sample_many", """
+SELECT CAST(40000 AS BIGINT) AS n_rows, true AS of_the_table, true AS multiplicity_within_bounds FROM lineitem LIMIT 1
+""")
+def sample_many(spark, sf_dir):
+    """X2 with many draws: exactly 40,000 line items with replacement, all of
+    the table, and pairs of equal draws within six standard deviations of
+    their expected number."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    drawn = op.sample_n_with_replacement(li, 40_000, seed=11).withColumn("drawn", F.lit(1))
+    t = li.withColumn("drawn", F.lit(0)).unionByName(drawn).groupBy("l_orderkey", "l_linenumber").agg(
+        F.count_if(F.col("drawn") == 0).alias("rows"), F.sum("drawn").alias("times")).agg(
+        F.sum("times").alias("n"), F.sum("rows").alias("all"), F.every((F.col("rows") > 0) | (F.col("times") == 0)).alias("own"),
+        F.sum(F.col("times") * (F.col("times") - 1) / 2).alias("pairs"), F.sum(F.pow("rows", F.lit(2))).alias("sq"))
+    expected = F.col("n") * (F.col("n") - 1) / 2 * F.col("sq") / F.pow("all", F.lit(2))
+    return _flags(t, n_rows=F.col("n"), of_the_table=F.col("own"),
+                  multiplicity_within_bounds=F.abs(F.col("pairs") - expected) <= 6 * F.sqrt(expected) + 1)
+
+
 @query("split", """
-SELECT count(*) AS n_rows, true AS complete_and_disjoint, true AS within_bounds FROM lineitem
+SELECT count(*) AS n_rows, true AS complete_and_disjoint, true AS within_bounds, true AS same_elsewhere FROM lineitem
 """)
 def split(spark, sf_dir):
-    """0.8 / 0.2 split, tagged: every row of the table in one part."""
+    """0.8 / 0.2 split, tagged: every row of the table in one part, which
+    is the same one when the table is dealt to other partitions."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     parts = op.tagged_split(li, [0.8, 0.2], seed=7)
-    both = li.withColumn("split", F.lit(-1)).unionByName(parts).groupBy("l_orderkey", "l_linenumber").agg(
-        F.count_if(F.col("split") < 0).alias("rows"), F.count_if(F.col("split") >= 0).alias("dealt"),
-        F.count_if(F.col("split") == 1).alias("second"))
-    t = both.agg(F.sum("rows").alias("n"), F.every(F.col("rows") == F.col("dealt")).alias("ok"), F.sum("second").alias("k"))
+    again = op.tagged_split(li.repartition(13, "l_linenumber", "l_orderkey"), [0.8, 0.2], seed=7).withColumn("split", F.col("split") + 2)
+    both = li.withColumn("split", F.lit(-1)).unionByName(parts).unionByName(again).groupBy("l_orderkey", "l_linenumber").agg(
+        F.count_if(F.col("split") < 0).alias("rows"), F.count_if(F.col("split").between(0, 1)).alias("dealt"),
+        F.count_if(F.col("split") == 1).alias("second"), F.count_if(F.col("split") == 3).alias("second_again"))
+    t = both.agg(F.sum("rows").alias("n"), F.every(F.col("rows") == F.col("dealt")).alias("ok"), F.sum("second").alias("k"),
+                 F.every(F.col("second") == F.col("second_again")).alias("same"))
     return _flags(t, n_rows=F.col("n"), complete_and_disjoint=F.col("ok"),
-                  within_bounds=F.abs(F.col("k") - F.col("n") * 0.2) <= 3 * F.sqrt("n"))
+                  within_bounds=F.abs(F.col("k") - F.col("n") * 0.2) <= 3 * F.sqrt("n"), same_elsewhere=F.col("same"))
 
 
 @query("persisted", "SELECT count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem")

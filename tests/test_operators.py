@@ -158,3 +158,34 @@ def test_persisted_and_spread(spark, nums):
     assert op.spread(grouped) is grouped and not jobs.getJobIdsForGroup("spread")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert op.coalesce_to(many, 2).rdd.getNumPartitions() == 2
+
+
+@pytest.mark.parametrize("bound", [60_000, 2_000, 30])
+def test_frequent_keys_are_counted_exactly(spark, bound):
+    from quarry.operators import hot
+    df = spark.range(120_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 10 == 1, -1).otherwise(F.col("id") % 3001).alias("a"))
+    rows, limit, keys = hot.frequent_keys(df, ["a"], lambda n: bound)
+    want = {r["a"]: r["n"] for r in df.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") > bound).collect()}
+    assert (rows, limit) == (120_000, bound)
+    assert ({r["a"]: r["_n"] for r in keys.collect()} if keys is not None else {}) == want
+    assert bool(want) == (bound < 60_000)
+
+
+def test_no_hot_keys_no_second_pass(spark):
+    from quarry.operators import hot
+    df = spark.range(50_000).select((F.col("id") % 10_000).alias("k"))
+    assert hot.frequent_keys(df, ["k"], lambda n: 10_000)[2] is None
+    assert hot.frequent_keys(df.limit(0), ["k"], lambda n: 0)[2] is None
+
+
+def test_join_split_on_several_and_structured_keys(spark, monkeypatch):
+    from quarry.operators import joins
+    monkeypatch.setattr(joins, "MIN_HOT_ROWS", 50)
+    right = spark.range(3_000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("a"), F.lit("z").alias("b"),
+                                      F.struct(F.when(F.col("id") % 5 > 0, F.lit(1))).alias("s"), "id")
+    for on in (["a", "b"], ["s"]):
+        left = right.groupBy(*on).agg(F.count("*").alias("n"))
+        got = op.join_split(left, right.select(*on, "id"), on)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, left.join(right.select(*on, "id"), on).collect()))
+        assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()

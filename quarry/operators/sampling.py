@@ -16,8 +16,9 @@ from quarry.session import work_path
 
 #: Copies of one row that a single task numbers.
 COPIES = 100_000
-#: Hash buckets that draws are dealt to, and how many of them form a group.
-BUCKETS, GROUP = 2 ** 20, 2 ** 10
+#: Rows of a hash bucket that draws are dealt to, as long as there are at most
+#: so many buckets; how many of them form a group.
+BUCKET_ROWS, MOST_BUCKETS, GROUP = 64, 2 ** 20, 2 ** 10
 #: Places of a bucket that are looked up together.
 SEGMENT = 2 ** 16
 
@@ -81,18 +82,18 @@ def sample_n_with_replacement(df: DataFrame, n: int, seed: int) -> DataFrame:
     """
     spark = df.sparkSession
     cols = df.columns
-    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(BUCKETS)).cast("int")
+    buckets = min(-(-df.count() // BUCKET_ROWS), MOST_BUCKETS)
+    if buckets == 0 or n <= 0:
+        return df.limit(0)
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(buckets)).cast("int")
     path = work_path(spark, "sample-buckets")
     df.select(bucket.alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).write.parquet(path)
     sizes = spark.read.schema("_b int, _n long").parquet(path).withColumn("_g", F.expr(f"_b div {GROUP}").cast("int"))
-    groups = sizes.groupBy("_g").agg(F.sum("_n").alias("_n")).orderBy("_g").collect()  # BUCKETS / GROUP at most
-    if not groups or n <= 0:
-        return df.limit(0)
+    groups = sizes.groupBy("_g").agg(F.sum("_n").alias("_n")).orderBy("_g").collect()  # MOST_BUCKETS / GROUP at most
     total = sum(g["_n"] for g in groups)
     share = np.random.default_rng(seed).multinomial(n, [g["_n"] / total for g in groups])
     drawn = spark.createDataFrame([(g["_g"], g["_n"], int(k)) for g, k in zip(groups, share) if k], "_g int, _of long, _k long")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    draws = drawn.repartition(min(len(groups), parts), "_g").select("_g", "_of", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_i")).select(
+    draws = drawn.repartition("_g").select("_g", "_of", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_k"))).alias("_i")).select(
         "_g", F.least(F.floor(_uniform(seed, "_g", "_i") * F.col("_of")), F.col("_of") - 1).cast("long").alias("_at"))
 
     # a group's buckets begin at the sums of those before; the last one to begin before a draw is its bucket

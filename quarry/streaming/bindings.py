@@ -165,18 +165,24 @@ def delivered_once(spark, sf_dir):
     return got
 
 
-def _landed_texts(spark, sf_dir, files=6):
+def _landings(spark, sf_dir, thirds=3):
+    """After each third of the documents has landed: the folder's lines as a
+    stream."""
     folder = work_path(spark, "texts")
-    B._t(spark, sf_dir, "documents").select("text").repartition(files).write.text(folder)
-    return lines_stream(spark, folder, max_files_per_trigger=max(files // 3, 1))
+    docs = B._t(spark, sf_dir, "documents").select("doc_id", "text")
+    for k in range(thirds):
+        docs.filter(F.pmod("doc_id", F.lit(thirds)) == k).select("text").write.mode("append").option("compression", "zstd").parquet(folder)
+        yield text_lines(spark.readStream.schema("text string").parquet(folder), "text")
 
 
 @query("running_counts_changes", B.ORACLE_SQL["word_count_nonempty"])
 def running_counts_changes(spark, sf_dir):
     """T1 in update mode: a batch writes the words it changed, in the buckets
-    they fall in; three batches, a merge of layers after two."""
-    counts = jobs.running_word_count(_landed_texts(spark, sf_dir))
-    return run_update(spark, counts, "running_counts_changes", ["word"], merge_after=2).read(spark)
+    they fall in; three runs to one table, a merge of layers after two."""
+    out, table = work_path(spark, "changes"), None
+    for lines in _landings(spark, sf_dir):
+        table = run_update(spark, jobs.running_word_count(lines), "running_counts_changes", ["word"], out=out, merge_after=2)
+    return table.read(spark)
 
 
 @query("rows_and_counts", f"""
@@ -188,11 +194,10 @@ WHERE word <> '' GROUP BY word
 def rows_and_counts(spark, sf_dir):
     """T5 from one read: the lines themselves and running word counts, both
     of the same committed batches."""
-    def counts(batch):
-        return jobs.running_word_count(batch)
-
-    both = run_rows_and_counts(spark, _landed_texts(spark, sf_dir), "rows_and_counts", lambda b: b.select("value"), counts,
-                               ["word"], merge_after=2)
+    out, both = work_path(spark, "both"), None
+    for lines in _landings(spark, sf_dir):
+        both = run_rows_and_counts(spark, lines, "rows_and_counts", lambda b: b.select("value"), jobs.running_word_count,
+                                   ["word"], out=out, merge_after=2)
     lines = both.read_rows(spark).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     words = both.read_totals(spark).select(F.lit("word").alias("kind"), F.col("word").alias("value"), F.col("count").alias("n"))
     return lines.select(F.lit("row").alias("kind"), "value", "n").unionByName(words)

@@ -72,7 +72,7 @@ class ChangeTable:
         layer = f"{version:012d}-{kind}-{uuid.uuid4().hex[:8]}"
         target = f"{self._data}/layer={layer}"
         parts = min(self.buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        rows.repartition(parts, "bucket").write.partitionBy("bucket").parquet(target)
+        rows.repartition(parts, "bucket").write.option("compression", "zstd").partitionBy("bucket").parquet(target)
         return layer, [int(n.partition("=")[2]) for n in folders.names(rows.sparkSession, target) if n.startswith("bucket=")]
 
     def _rows(self, spark: SparkSession, layers: dict[str, list[str]]) -> DataFrame:
@@ -206,7 +206,7 @@ class RowsAndCounts:
             return
         batch = batch.persist()
         try:
-            rows(batch).write.mode("overwrite").parquet(f"{self.out}/rows/batch={number}")
+            rows(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.out}/rows/batch={number}")
             totals = self.totals.added(changes(batch), number, self._last(spark, number)["totals"])
         finally:
             batch.unpersist()

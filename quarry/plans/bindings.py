@@ -514,6 +514,22 @@ def left_join(spark, sf_dir):
     return op.join_split(c, o, "c_custkey", "left")
 
 
+@query("bucketed_join", """
+SELECT l_orderkey, l_linenumber, p_name, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey
+""")
+def bucketed_join(spark, sf_dir):
+    """J1 J2 on tables bucketed and sorted by the key: no shuffle in the join."""
+    import uuid
+
+    from quarry.session import work_path
+    from quarry.sources.sinks import write_bucketed
+    run, buckets = uuid.uuid4().hex[:12], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), "l_quantity")
+    sides = [write_bucketed(df, f"quarry_{name}_{run}", ["p_partkey"], buckets, work_path(spark, f"bucketed-{name}"))
+             for name, df in (("lineitem", li), ("part", _t(spark, sf_dir, "part").select("p_partkey", "p_name")))]
+    return op.join_by_key(sides[0], sides[1], "p_partkey", strategy="merge").select("l_orderkey", "l_linenumber", "p_name", "l_quantity")
+
+
 @query("right_join", """
 SELECT l.l_orderkey, l.l_linenumber, p.p_partkey, p.p_name
 FROM part p RIGHT JOIN lineitem l ON p.p_partkey = l.l_partkey + 50
@@ -957,12 +973,14 @@ def persisted(spark, sf_dir):
         "n_rows", "total")
 
 
-@query("coalesce_to", "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS partitions FROM lineitem")
+@query("coalesce_to", "SELECT count(*) AS n_rows, true AS at_most_half FROM lineitem")
 def coalesce_to(spark, sf_dir):
-    """Partitions put together without a shuffle."""
-    li = op.coalesce_to(_t(spark, sf_dir, "lineitem").select("l_linenumber"), 1)
-    return li.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("partitions"))
+    """Half as many partitions as the scan has, without a shuffle."""
+    li = _t(spark, sf_dir, "lineitem").select("l_linenumber")
+    before = li.rdd.getNumPartitions()
+    half = op.coalesce_to(li, max(before // 2, 1))
+    return half.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("n_rows"), (F.count(F.lit(1)) <= max(before // 2, 1)).alias("at_most_half"))
 
 
 # --------------------------- P14, P22, L1, L4, L5: nested documents of rows
@@ -979,10 +997,11 @@ def nested_fields(spark, sf_dir):
 SELECT o_orderkey, l_linenumber, l_quantity FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def exploded_structs(spark, sf_dir):
-    """An order's lines as an array of structs, one row per element again."""
-    li = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
-    o = _t(spark, sf_dir, "orders").select("o_orderkey").join(li, "o_orderkey")
+    """An order's lines as arrays of structs (a chunk of a thousand lines
+    each), one row per element again."""
+    li = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    lists = op.grouped_lists(li, "o_orderkey", ["l_linenumber", "l_quantity"], "lines", chunk_rows=1000)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey").join(lists, "o_orderkey")
     return o.select("o_orderkey", F.explode("lines").alias("l")).select("o_orderkey", "l.l_linenumber", "l.l_quantity")
 
 
@@ -1017,17 +1036,21 @@ def schema_fields_q(spark, sf_dir):
 
 
 @query("schema_facet", """
+WITH docs AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN '["null","string"]' ELSE
+    '{"type":"record","name":"P","fields":[{"name":"k' || p_partkey || '","type":["null","long"],"doc":"' || p_brand ||
+    '"},{"name":"box","type":{"type":"record","name":"Box","fields":[{"name":"size","type":"int"},' ||
+    '{"name":"tags","type":{"type":"array","items":"string"}}]}},{"name":"spare","type":["null","Box"]}]}' END AS doc
+  FROM part)
 SELECT 'part-' || p_partkey AS subject, 1 AS schemaVersion,
        '{"schemaRegistryUrl":"http://registry:8081","subject":"part-' || p_partkey || '","schemaId":' || p_partkey ||
-       ',"schemaVersion":1,"schemaType":"AVRO","schema":"' || p_brand || '"}' AS facet
-FROM part
+       ',"schemaVersion":1,"schemaType":"AVRO","schema":"' || replace(doc, '"', chr(92) || '"') || '"}' AS facet
+FROM docs
 """)
 def schema_facet_q(spark, sf_dir):
-    """L4: one facet document per catalogue row."""
+    """L4: one facet document per catalogue row, the schema document in it."""
     from quarry.lineage.catalog import schema_facet
-    rows = _schema_catalog(spark, sf_dir).drop("schema")
-    brand = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("schemaId"), F.col("p_brand").alias("schema"))
-    return schema_facet(rows.join(brand, "schemaId"), "http://registry:8081")
+    return schema_facet(_schema_catalog(spark, sf_dir), "http://registry:8081")
 
 
 @query("lineage_fields", """
@@ -1036,12 +1059,13 @@ SELECT 'orders' AS namespace, CAST(o_orderkey AS VARCHAR) AS dataset, CAST(l_lin
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def lineage_fields_q(spark, sf_dir):
-    """Run events with an order as input dataset and its lines as fields."""
+    """Run events with an order as input dataset and its lines as fields,
+    an event for each thousand of them."""
     from quarry.lineage.catalog import lineage_fields
-    field = F.struct(F.col("l_linenumber").cast("string").alias("name"), F.col("l_returnflag").alias("type"),
-                     F.col("l_linestatus").alias("description"))
-    li = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(field).alias("fields"))
-    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")).join(li, "l_orderkey")
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("string").alias("name"),
+                                              F.col("l_returnflag").alias("type"), F.col("l_linestatus").alias("description"))
+    lists = op.grouped_lists(li, "l_orderkey", ["name", "type", "description"], "fields", chunk_rows=1000)
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")).join(lists, "l_orderkey")
     return lineage_fields(o.select(F.array(F.struct(
         F.lit("orders").alias("namespace"), F.col("l_orderkey").cast("string").alias("name"),
         F.struct(F.struct("fields").alias("schema")).alias("facets"))).alias("inputs")))

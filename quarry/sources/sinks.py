@@ -34,6 +34,21 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", num_files: int
     replace(df.sparkSession, path, w.save)
 
 
+def write_bucketed(df: DataFrame, table: str, by: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """K1: a catalogue table dealt by a hash of ``by`` into ``buckets`` files,
+    each sorted by it; replaces a table of that name. Two tables with the same
+    buckets and keys of the same types join and group on them without a
+    shuffle. Size the buckets as a task's work. All rows of one key are in one
+    bucket: where a key is hot, join with ``join_split`` instead."""
+    spark = df.sparkSession
+    w = (df.repartition(buckets, *[F.col(f"`{c}`") for c in by]).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, *by).sortBy(*by))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return spark.table(table)
+
+
 def save_model(model, path: str) -> None:
     """K4: persist a fitted Spark ML model, replacing an older copy."""
     model.write().overwrite().save(path)

@@ -14,12 +14,13 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.lineage.catalog import latest_schema
 from quarry.lineage.documents import schema_field_rows
+from quarry.sources import folders
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -72,8 +73,7 @@ def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
 def compact_audit(spark: SparkSession, audit_path: str, out: str, num_files: int = 1) -> DataFrame:
     """The events of an audit table in ``num_files`` files at ``out`` (an
     event is a small file of its own until then)."""
-    from quarry.sources.folders import replace
-    replace(spark, out, lambda new: read_audit(spark, audit_path).coalesce(num_files).write.parquet(new))
+    folders.replace(spark, out, lambda new: read_audit(spark, audit_path).coalesce(num_files).write.parquet(new))
     return read_audit(spark, out)
 
 
@@ -91,8 +91,8 @@ def run_audited(spark: SparkSession, stream: DataFrame, job: str, source_name: s
     ``catalog`` gives the schema catalogue, asked anew for every batch, and
     ``subject`` the entry of this stream. RUNNING rows are keyed by the query
     id that the checkpoint holds and the batch id: replays replace their row,
-    and several jobs may share an audit table. The batch is written once and its size read
-    back from the written files, so its plan is not evaluated twice.
+    and several jobs may share an audit table. A batch's records are counted
+    by the job that writes them.
     """
     from quarry.streaming.jobs import output_places, trigger_kwargs
     from quarry.session import work_path
@@ -120,10 +120,11 @@ def run_audited(spark: SparkSession, stream: DataFrame, job: str, source_name: s
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         target = f"{data_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-        n = batch.sparkSession.read.schema(batch.schema).parquet(target).count()
+        seen = Observation()
+        batch.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+        n = seen.get["n"]
         if not query_id:  # written before the first batch starts
-            query_id.append(json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"])
+            query_id.append(json.loads(folders.read_text(batch.sparkSession, f"{checkpoint}/metadata").splitlines()[-1])["id"])
         event(batch.sparkSession, "RUNNING", f"batch-{query_id[0]}-{batch_id:012d}", batch.schema, int(batch_id), int(n))
 
     try:

@@ -296,3 +296,21 @@ def test_catalogue_version_between_batches_shows(spark):
     running = sorted((e.batch_id, e.registry.schemaVersion, [(f.name, f.description) for f in e.fields], e.namespace)
                      for e in read_audit(spark, args["audit_path"]).collect() if e.event_type == "RUNNING")
     assert running == [(0, 1, [("f0", "d0")], "spaces"), (1, 2, [("f0", "d0"), ("f1", "d1")], "spaces")]
+
+
+def test_audit_counts_while_writing(spark, monkeypatch):
+    """No batch is counted by a job of its own or read back."""
+    from pyspark.sql import DataFrame
+    src = tempfile.mkdtemp()
+    _land(src, "a.txt", MESSAGES)
+
+    def refused(self):
+        raise AssertionError("counted apart")
+
+    stream = lines_stream(spark, src)
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(1)), "count", refused)
+        m.setattr(DataFrame, "count", refused)
+        _, audit = run_audited(spark, stream, "counted", "texts", src)
+    running = [r for r in read_audit(spark, audit).collect() if r.event_type == "RUNNING"]
+    assert [r.record_count for r in running] == [len(MESSAGES)]

@@ -7,7 +7,7 @@ least a window's length), decides each run's character class, slides a
 windows over it with counts updated by one character in and one out, and
 merges the windows over the class's threshold into spans. Runs on the allow
 list, placeholders, and spans already inside a base span, add nothing; what
-stands beside a placeholder in a path is looked at on its own.
+stands beside a placeholder is looked at on its own.
 """
 
 from __future__ import annotations
@@ -45,10 +45,11 @@ ALLOW = (
     re.compile(r"[0-9]+"),
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
 )
-#: Placeholders and counting sequences. One takes its segment of a path with it,
-#: but of a segment longer than any key only itself.
-PLACEHOLDER = re.compile(r"example|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh", re.ASCII | re.IGNORECASE)
-MAX_SEGMENT = 64
+#: Placeholders and counting sequences. They are no secret, but what stands
+#: beside them, in a run of any length, may be one.
+PLACEHOLDER = re.compile(r"example|placeholder|changeme|dummy|x{4,}|0123456789|abcdefgh", re.ASCII | re.IGNORECASE)
+#: The example key of public documentation, as a whole run.
+DOCUMENTED = re.compile(r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY")
 ORDER = {"assign": 0, "access": 1, "hex": 2, "entropy": 3}
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
           "spans string, n_entropy long")
@@ -92,16 +93,16 @@ def window_spans(run: str, window: int, bits: float) -> list[tuple[int, int]]:
 
 
 def stretches(run: str) -> Iterator[tuple[int, int]]:
-    """Parts of ``run`` that are left beside its placeholders."""
+    """Parts of ``run`` that are left beside its placeholders, without what
+    joins them to these."""
+    if DOCUMENTED.fullmatch(run):
+        return
     at = 0
     for m in PLACEHOLDER.finditer(run):
-        a, b = run.rfind("/", 0, m.start()), run.find("/", m.end())
-        a, b = a + 1, len(run) if b < 0 else b
-        if b - a > MAX_SEGMENT:
-            a, b = m.span()
-        while a > 0 and run[a - 1] == "/":
+        a, b = m.span()
+        while a > at and run[a - 1] in "/_=-":
             a -= 1
-        while b < len(run) and run[b] == "/":
+        while b < len(run) and run[b] in "/_=-":
             b += 1
         if at < a:
             yield at, a

@@ -1,7 +1,10 @@
 import hashlib
 import math
+import random
 import re
+import string
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,7 +51,9 @@ def test_entropy_adds_and_the_allow_list_suppresses():
     assert found("key aB3dE6gH9jK2mN5pQ8sT1vW4yZ7b end") == [(4, 32, "entropy")]
     assert found("id 123e4567-e89b-12d3-a456-426614174000 end") == []
     assert found("see donaudampfschifffahrtsgesellschaft/kapitaen/muetze end") == []
-    assert found("example-aB3dE6gH9jK2mN5pQ8sT1vW4yZ7b") == []
+    assert found("example-placeholder-changeme/dummy_0123456789xxxxxxxx-abcdefgh") == []
+    assert found("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+    assert found("example-aB3dE6gH9jK2mN5pQ8sT1vW4yZ7b") == [(8, 36, "entropy")]
     assert found("aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1") == []
     assert found("token=aB3dE6gH9jK2mN5pQ8sT1vW4yZ7b") == []  # inside a base span
 
@@ -71,6 +76,20 @@ def test_entropy_of_short_runs_paths_blobs_and_letters():
         assert found(f"a {word} b") == []
 
 
+@pytest.mark.parametrize("before, after", [("example_", ""), ("", "-EXAMPLE"), ("dummy/", "/placeholder"), ("XXXX", ""), ("", "changeme")])
+def test_a_placeholder_hides_nothing_beside_it(before, after):
+    rng = random.Random(3)
+    for n in range(20, 201):
+        key = "aB" + "".join(rng.choices(string.ascii_letters + string.digits, k=n - 3)) + "9"
+        alone = [(a, b) for a, b, _ in secrets.entropy_spans(key, [])]
+        if secrets.PLACEHOLDER.search(key):
+            continue
+        beside = [(a - len(before), b - len(before)) for a, b, _ in secrets.entropy_spans(before + key + after, [])]
+        assert beside == alone, key
+        if n >= 44:
+            assert alone
+
+
 def test_rows(spark, hostile, no_documents):
     out = secrets.secret_scan(hostile).collect()
     assert len(out) == hostile.count()

@@ -10,7 +10,8 @@ an item is copied and whatever an edit leaves of it. A second pass joins
 documents to items on seed hits, takes the places where enough of them are
 close together, and aligns the words around with the item's words. The local
 alignment score, as a share of the score of a full copy, decides; word
-edits, insertions and cuts lower it gradually.
+edits, insertions and cuts lower it gradually. Items of under five words have
+too few pairs to tell an edited copy by; they are found as whole sequences.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.vec import LOWER, buffer_of, fold, prefix_hash, runs, span_hash, text_slices
+from quarry.llm.vec import LOWER, buffer_of, fold, prefix_hash, runs, span_hash, text_slices, window_hash
 
 #: Words from one of a pair to the other, in a document.
 STEPS = (1, 2)
@@ -84,6 +85,8 @@ class Items:
     gram: np.ndarray
     item: np.ndarray
     place: np.ndarray
+    #: for items of under MIN_ITEM_WORDS words: their number of words, hashes in order, items
+    short: list[tuple[int, np.ndarray, np.ndarray]]
 
     @staticmethod
     def of(ids: list, texts: list) -> Items:
@@ -95,7 +98,14 @@ class Items:
         g, at = g[long_enough], at[long_enough]
         order = np.argsort(g, kind="stable")
         g, at = g[order], at[order]
-        return Items(ids, words, first, size, g, row[at], at - first[row[at]])
+        short = []
+        for k in range(1, MIN_ITEM_WORDS):
+            which = np.flatnonzero(size == k)
+            if len(which):
+                h = window_hash(words, k)[first[which]]
+                by_hash = np.argsort(h, kind="stable")
+                short.append((k, h[by_hash], which[by_hash]))
+        return Items(ids, words, first, size, g, row[at], at - first[row[at]], short)
 
     def seeds(self, counts: np.ndarray, min_score: float) -> Items:
         """Only the pairs that are seeds, given how often each one occurs: so
@@ -108,7 +118,7 @@ class Items:
         pairs, hits, _ = quota(self.size, min_score)
         keep = (rank < (self.size - 1 - pairs + hits)[self.item]) & (counts > 0)
         return Items(self.item_id, self.words, self.first, self.size,
-                     self.gram[keep], self.item[keep], self.place[keep])
+                     self.gram[keep], self.item[keep], self.place[keep], self.short)
 
 
 def _known(grams: np.ndarray) -> tuple[np.ndarray, np.uint64]:
@@ -172,11 +182,39 @@ def align(windows: np.ndarray, filled: np.ndarray, items: np.ndarray, sizes: np.
     return best, end
 
 
-def find(texts: pa.Array, seeds: Items, min_score: float) -> tuple[np.ndarray, ...]:
+def find(texts: pa.Array, seeds: Items, min_score: float, alone: bool = False) -> tuple[np.ndarray, ...]:
     """(row, item index, score, first word, end word, seed hits) of the pairs
-    at or over ``min_score``, the best alignment of each."""
+    at or over ``min_score``, the best alignment of each. Short items give
+    their first whole copy and the number of copies; with ``alone`` only
+    where the text has no other words."""
+    words, row, _ = words_of(texts)
+    return tuple(np.concatenate(x) for x in zip(_aligned(words, row, seeds, min_score), _whole(words, row, seeds, alone)))
+
+
+def _whole(words: np.ndarray, row: np.ndarray, seeds: Items, alone: bool) -> tuple[np.ndarray, ...]:
+    """Copies of short items."""
+    found = [np.zeros((5, 0), np.int64)]
+    for k, known, which in seeds.short:
+        h = window_hash(words, k)
+        at = np.flatnonzero(row[:len(h)] == row[k - 1:k - 1 + len(h)])
+        if alone:
+            size = np.bincount(row)
+            at = at[size[row[at]] == k]
+        lo, hi = np.searchsorted(known, h[at]), np.searchsorted(known, h[at], side="right")
+        count = hi - lo
+        item = which[np.arange(count.sum()) + np.repeat(lo - (np.cumsum(count) - count), count)]
+        at = np.repeat(at, count)
+        order = np.lexsort((at, item, row[at]))
+        at, item = at[order], item[order]
+        head = runs(row[at] * len(seeds.size) + item)
+        first = at[head] - np.searchsorted(row, row[at[head]])
+        found.append(np.stack([row[at[head]], item[head], first, first + k, np.diff(np.append(head, len(at)))]))
+    doc, item, first, stop, hits = np.concatenate(found, axis=1)
+    return doc, item, np.ones(len(doc)), first, stop, hits
+
+
+def _aligned(words: np.ndarray, row: np.ndarray, seeds: Items, min_score: float) -> tuple[np.ndarray, ...]:
     empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, float, np.int64, np.int64, np.int64))
-    words, row, n = words_of(texts)
     table, shift = _known(seeds.gram)
     found = []
     for step in STEPS:
@@ -275,7 +313,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_S
     """One row per document row and benchmark item it holds a copy of, exact
     or edited: the alignment's share of a full copy's score, the words
     ``first_word`` to ``end_word`` (exclusive) of the document that it
-    covers, and the seed hits behind it.
+    covers, and the seed hits behind it. An item of one to four words is
+    found only whole and unchanged (score 1, n_seeds its number of copies).
 
     A null or empty text holds nothing; a null doc_id stays null; repeated
     document rows each give their rows; repeated items match each; equal
@@ -305,7 +344,9 @@ def _matcher(seeds: Items, min_score: float):
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all their columns, that hold no copy of an item;
-    decided row by row in the scan, so ids may be null or repeated."""
+    decided row by row in the scan, so ids may be null or repeated. A phrase
+    of one to four words condemns a document only if it has no other words.
+    Null and empty texts stay; without documents or items nothing changes."""
     text = docs.columns.index("text")
     # by position: names may hold dots, which the engine's Arrow map does not take
     out = docs.select(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)])
@@ -318,7 +359,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float
                 for a, b in text_slices(batch.column(text)):
                     part = batch.slice(a, b - a)
                     keep = np.ones(b - a, bool)
-                    keep[find(part.column(text), seeds, min_score)[0]] = False
+                    keep[find(part.column(text), seeds, min_score, alone=True)[0]] = False
                     yield part.filter(pa.array(keep))
         out = out.mapInArrow(run, schema)
     return out.toDF(*docs.columns)

@@ -15,7 +15,10 @@ neighbourhood) holds every such string.
    suffix array is made by induced sorting (``suffix.py``), and runs of
    suffixes with 50 bytes in common, by the permuted common prefixes, are the
    strings that neighbourhoods share; each takes the smallest document id of
-   its run.
+   its run. An anchor with more different neighbourhoods than one sort should
+   hold is not sorted: its 50-byte strings are dealt anew by their own hashes,
+   each once a block with the block's smallest document, and partitions of
+   these hashes answer the smallest of all.
 3. Blocks drop the bytes of strings whose smallest id is below the document's.
 """
 
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 from quarry.llm.jaccard import partition_bits
 from quarry.llm.store import written
 from quarry.llm.suffix import common_prefixes, suffix_array
-from quarry.llm.vec import buffer_of, expand, mix, prefix_hash, runs, span_hash, squeeze, steps, text_slices
+from quarry.llm.vec import buffer_of, expand, fold, mix, prefix_hash, runs, span_hash, squeeze, steps, text_slices
 
 LENGTH = 50
 GRAM = 16
@@ -46,6 +49,8 @@ ANCHOR_BITS = 46
 COPY_BITS = 40
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 1 << 20
+#: Different neighbourhoods of one anchor that are sorted together.
+MOST_SORTED = SHARD_BYTES // (LENGTH + SIDE)
 _SLICE = 1 << 20
 _LAST = 2 ** 63 - 1
 _TOP = np.uint64(2 ** 64 - 1)
@@ -182,8 +187,9 @@ class _Found:
 _ROWS = "kind int, p int, block long, data binary"
 #: kinds of rows: a partition's answer to a block and what it knows of its numbered
 #: neighbourhoods; a block's bytes to drop, places that wait for the sorting, a copy of a
-#: neighbourhood, and the numbers it wants; the answer to that
-_TELL, _INFO, _DROP, _WAIT, _SEND, _WANT, _HELD = range(7)
+#: neighbourhood, and the numbers it wants; the answer to that; strings of anchors that are
+#: not sorted, with the places they come from, and their smallest documents
+_TELL, _INFO, _DROP, _WAIT, _SEND, _WANT, _HELD, _STRINGS, _PLACES, _LEAST = range(10)
 
 
 def _table(rows: list[tuple]) -> pa.Table:
@@ -215,34 +221,36 @@ def _ask(bits: int):
     return run
 
 
-def _tell(table: pa.Table) -> pa.Table:
-    p, blocks = table["p"][0].as_py(), table["block"].to_pylist()
-    parts = [expand(d.as_py()) for d in table["data"]]
-    cut = np.cumsum([len(x[0]) for x in parts])[:-1]
-    gram = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
-    copy, least, several = (np.concatenate([x[i] for x in parts]) for i in (1, 2, 3))
-    del parts
-    order = np.lexsort((least, copy, gram))
-    gram, copy, least, several = gram[order], copy[order], least[order], several[order]
-    begin = runs(gram)
-    size = np.diff(np.append(begin, len(gram)))
-    low, high = np.minimum.reduceat(least, begin), np.maximum.reduceat(least, begin)
-    live = (low < high) | np.maximum.reduceat(several, begin).astype(bool)
-    head = np.ones(len(gram), bool)
-    head[1:] = (gram[1:] != gram[:-1]) | (copy[1:] != copy[:-1])
-    mixed = live & (np.add.reduceat(head.astype(np.int64), begin) > 1)
-    code = np.repeat(np.where(mixed, 2, live.astype(np.int64)), size).astype(np.uint8)
-    in_mixed = code == 2
-    number = np.cumsum(head & in_mixed) - 1  # of each neighbourhood that differs from others of its anchor
-    value = np.where(in_mixed, 2 * number + head, np.repeat(low, size))  # odd: this block sends it
-    back_code, back_value = np.empty_like(code), np.empty_like(value)
-    back_code[order], back_value[order] = code, value
-    rows = [(_TELL, p, b, squeeze(c, v[c > 0])) for b, c, v in
-            zip(blocks, np.split(back_code, cut), np.split(back_value, cut))]
-    own = np.flatnonzero(head & in_mixed)
-    group = np.repeat(np.arange(len(size)), size)[own]
-    rows.append((_INFO, p, None, squeeze(np.diff(group, prepend=group[:1]).astype(np.uint32), least[own])))
-    return _table(rows)
+def _tell(most: int):
+    def run(table: pa.Table) -> pa.Table:
+        p, blocks = table["p"][0].as_py(), table["block"].to_pylist()
+        parts = [expand(d.as_py()) for d in table["data"]]
+        cut = np.cumsum([len(x[0]) for x in parts])[:-1]
+        gram = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
+        copy, least, several = (np.concatenate([x[i] for x in parts]) for i in (1, 2, 3))
+        del parts
+        order = np.lexsort((least, copy, gram))
+        gram, copy, least, several = gram[order], copy[order], least[order], several[order]
+        begin = runs(gram)
+        size = np.diff(np.append(begin, len(gram)))
+        low, high = np.minimum.reduceat(least, begin), np.maximum.reduceat(least, begin)
+        live = (low < high) | np.maximum.reduceat(several, begin).astype(bool)
+        head = np.ones(len(gram), bool)
+        head[1:] = (gram[1:] != gram[:-1]) | (copy[1:] != copy[:-1])
+        different = np.add.reduceat(head.astype(np.int64), begin)
+        code = np.repeat(np.where(live & (different > 1), np.where(different > most, 3, 2), live.astype(np.int64)), size).astype(np.uint8)
+        in_mixed = code == 2
+        number = np.cumsum(head & in_mixed) - 1  # of each neighbourhood that differs from others of its anchor
+        value = np.where(in_mixed, 2 * number + head, np.repeat(low, size))  # odd: this block sends it
+        back_code, back_value = np.empty_like(code), np.empty_like(value)
+        back_code[order], back_value[order] = code, value
+        rows = [(_TELL, p, b, squeeze(c, v[c > 0])) for b, c, v in
+                zip(blocks, np.split(back_code, cut), np.split(back_value, cut))]
+        own = np.flatnonzero(head & in_mixed)
+        group = np.repeat(np.arange(len(size)), size)[own]
+        rows.append((_INFO, p, None, squeeze(np.diff(group, prepend=group[:1]).astype(np.uint32), least[own])))
+        return _table(rows)
+    return run
 
 
 def _ranges(start: np.ndarray, end: np.ndarray) -> bytes:
@@ -289,10 +297,57 @@ def _local(bits: int):
                 size = f.left[y] + f.right[y]
                 flat = t.buf[np.arange(size.sum()) + np.repeat((f.place - f.left)[y] - (np.cumsum(size) - size), size)]
                 rows.append((_SEND, p, number, squeeze((value_of[y] >> 1).astype(np.uint32), size.astype(np.uint8), flat)))
+        at = np.flatnonzero(code_of == 3)
+        if len(at):
+            at = at[np.argsort(f.place[at], kind="stable")]
+            places = f.place[at], f.left[at], f.right[at]
+            rows.append((_PLACES, None, number, squeeze(np.diff(places[0], prepend=0).astype(np.uint32),
+                                                        places[1].astype(np.uint8), places[2].astype(np.uint8))))
+            (first, second, least), _, _ = _strings(t, *places)
+            rows += [(_STRINGS, p, number, squeeze(steps(first[a:b]), second[a:b], least[a:b]))
+                     for p, a, b in _cuts(first >> np.uint64(64 - bits) if bits else np.zeros(len(first), np.uint64))]
         return _table(rows)
     return run
 
 
+def _strings(t: _Text, place: np.ndarray, left: np.ndarray, right: np.ndarray):
+    """((hash, other hash, smallest document) of the different strings of
+    these neighbourhoods in order of hash, and for every string of every
+    neighbourhood, which of them it is and where it starts)."""
+    count = left + right - LENGTH + 1
+    start = np.arange(count.sum()) + np.repeat(place - left - (np.cumsum(count) - count), count)
+    start = np.unique(start)  # neighbourhoods overlap
+    h = prefix_hash(t.buf)
+    half = start + LENGTH // 2
+    first = span_hash(h, start, start + LENGTH)
+    second = (fold(span_hash(h, start, half), span_hash(h, half, start + LENGTH)) >> np.uint64(32)).astype(np.uint32)
+    own = t.order[np.searchsorted(t.starts, start, side="right") - 1]
+    order = np.lexsort((own, second, first))
+    first, second = first[order], second[order]
+    head = np.ones(len(order), bool)
+    head[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(head) - 1
+    return (first[head], second[head], own[order][head]), which, start
+
+
+def _least(table: pa.Table) -> pa.Table:
+    """The smallest document of every string, for each block that has it."""
+    blocks = table["block"].to_pylist()
+    parts = [expand(d.as_py()) for d in table["data"]]
+    cut = np.cumsum([len(x[0]) for x in parts])[:-1]
+    first = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts])
+    second, least = (np.concatenate([x[i] for x in parts]) for i in (1, 2))
+    order = np.lexsort((least, second, first))
+    head = np.ones(len(order), bool)
+    head[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+    begin = np.flatnonzero(head)
+    answer = np.empty(len(order), np.int64)
+    answer[order] = np.repeat(least[order][begin], np.diff(np.append(begin, len(order))))
+    p = table["p"][0].as_py()
+    return _table([(_LEAST, p, b, squeeze(x)) for b, x in zip(blocks, np.split(answer, cut))])
+
+
 def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """For each start in ``flat`` (neighbourhoods end to end) of a string of
     LENGTH bytes within its neighbourhood, the smallest ``doc`` of the
@@ -380,7 +435,7 @@ def _shared_ranges(t: _Text, wait: bytes, held: bytes) -> tuple[np.ndarray, np.n
 def _finish(mine: pa.Table, rows: pa.Table) -> pa.Table:
     t = _Text(mine["meta"][0].as_py(), mine["text"][0].as_py())
     start, end = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    of = {k: {} for k in (_DROP, _WAIT, _HELD)}
+    of = {k: {} for k in (_DROP, _WAIT, _HELD, _PLACES, _LEAST)}
     for kind, p, d in zip(rows["kind"].to_pylist(), rows["p"].to_pylist(), rows["data"]):
         of[kind][p] = d
     for d in of[_DROP].values():
@@ -391,6 +446,13 @@ def _finish(mine: pa.Table, rows: pa.Table) -> pa.Table:
         a, b = _shared_ranges(t, d.as_py(), of[_HELD][p].as_py())
         start.append(a)
         end.append(b)
+    for d in of[_PLACES].values():
+        step, left, right = (x.astype(np.int64) for x in expand(d.as_py()))
+        _, which, begin = _strings(t, np.cumsum(step), left, right)
+        least = np.concatenate([expand(of[_LEAST][p].as_py())[0] for p in sorted(of[_LEAST])])
+        gone = begin[least[which] < t.order[np.searchsorted(t.starts, begin, side="right") - 1]]
+        start.append(gone)
+        end.append(gone + LENGTH)
     mark = np.bincount(np.concatenate(start), minlength=len(t.buf) + 1).astype(np.int32)
     mark -= np.bincount(np.concatenate(end), minlength=len(t.buf) + 1).astype(np.int32)
     gone = np.cumsum(mark[:-1], dtype=np.int32) > 0
@@ -417,16 +479,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     is larger than all others; rows of equal id take nothing from each other;
     an empty table gives an empty result; other columns are not read.
     Neighbourhoods are told apart by 86 bits of hash, the strings that they
-    share by sorting.
+    share by sorting; strings of an anchor with over MOST_SORTED different
+    neighbourhoods by 96 bits of hash.
     """
     stored = written(store_blocks(docs), "repeat-blocks")
     size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     bits = partition_bits(size, 1.6e7)
-    told = written(stored.mapInArrow(_ask(bits), _ROWS).groupBy("p").applyInArrow(_tell, _ROWS), "repeat-anchors")
+    told = written(stored.mapInArrow(_ask(bits), _ROWS).groupBy("p").applyInArrow(_tell(MOST_SORTED), _ROWS), "repeat-anchors")
     kind = F.col("kind")
     local = written(stored.groupBy("block").cogroup(told.filter(kind == _TELL).groupBy("block"))
                     .applyInArrow(_local(bits), _ROWS), "repeat-places")
     held = (told.filter(kind == _INFO).unionByName(local.filter(kind.isin(_SEND, _WANT)))
             .groupBy("p").applyInArrow(_answer, _ROWS))
-    rows = local.filter(kind.isin(_DROP, _WAIT)).unionByName(held)
+    least = local.filter(kind == _STRINGS).groupBy("p").applyInArrow(_least, _ROWS)
+    rows = local.filter(kind.isin(_DROP, _WAIT, _PLACES)).unionByName(held).unionByName(least)
     return stored.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(_finish, SCHEMA)

@@ -56,9 +56,10 @@ def test_names_beyond_the_alphabet_are_digits(monkeypatch):
         assert sorted(some) == sorted(got) and [s[i:i + 5] for i in some] == [s[i:i + 5] for i in got]
 
 
-@pytest.mark.parametrize("block,shard", [(8 << 20, 2 << 20), (3000, 400)])
-def test_removed_bytes_equal_all_strings(spark, monkeypatch, block, shard):
+@pytest.mark.parametrize("block,shard,most", [(8 << 20, 2 << 20, 10_000), (3000, 400, 10_000), (3000, 400, 3), (8 << 20, 400, 1)])
+def test_removed_bytes_equal_all_strings(spark, monkeypatch, block, shard, most):
     monkeypatch.setattr(repeats, "BLOCK_BYTES", block)
+    monkeypatch.setattr(repeats, "MOST_SORTED", most)
     monkeypatch.setattr(repeats, "SHARD_BYTES", shard)
     rng = random.Random(block)
     base = ["".join(rng.choice("abé") for _ in range(400)) for _ in range(4)]
@@ -80,3 +81,19 @@ def test_hostile_rows(spark, hostile, no_documents):
     rows = [(r.doc_id, r.text) for r in hostile.collect()]
     assert tuples(repeats.remove_repeats(hostile)) == brute(rows)
     assert repeats.remove_repeats(no_documents).count() == 0
+
+
+def test_a_phrase_in_every_document_between_different_text(spark, monkeypatch):
+    """Its anchor has as many neighbourhoods as there are documents; some
+    share more than the phrase."""
+    monkeypatch.setattr(repeats, "MOST_SORTED", 100)
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 50_000)
+    rng = random.Random(9)
+    rows = []
+    for i in range(3_000):
+        a, b = ("".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(2))
+        if i % 7 == 0:
+            a = rows[i // 2][1][:60] if i else a
+        rows.append((i, a + "cookies help us." + b[:rng.choice([5, 30, 60])]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert tuples(repeats.remove_repeats(docs)) == brute(rows)

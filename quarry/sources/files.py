@@ -83,7 +83,9 @@ def parse_records(lines: DataFrame, schema: T.StructType, sep: str = "@",
     """S3: split delimited lines into typed records.
 
     ``mode="failfast"``: a wrong field count or a bad number fails the job
-    (with or without ANSI mode). ``mode="permissive"``: such lines are left
+    (with or without ANSI mode). Every line that Spark reads is checked, which
+    may be more than a later ``limit`` returns: the optimizer takes the limit
+    after the check. ``mode="permissive"``: such lines are left
     out; :func:`rejected_records` gives them.
     """
     n = len(schema.fields)

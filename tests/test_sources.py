@@ -45,7 +45,7 @@ def test_parse_records_modes(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert sorted(r.value for r in rejected_records(lines, RATING, sep="::").collect()) == ["2::x::3.0::5", "bad"]
-    good = parse_records(lines.limit(1), RATING, sep="::", mode="failfast")
+    good = parse_records(spark.createDataFrame([("1::10::4.5::100",)], "value string"), RATING, sep="::", mode="failfast")
     assert [tuple(r) for r in good.collect()] == [(1, 10, 4.5, 100)] and good.schema == RATING
 
 

@@ -224,14 +224,14 @@ def rejected(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return decoded.filter(F.col("reject").isNotNull()).select(*(keep or []), "value", "schema_id", "reject")
 
 
-def run_by_writer(spark: SparkSession, stream: DataFrame, name: str, catalog: Callable[[SparkSession], DataFrame],
-                  subjects: list[str] | None = None, value: str = "value", keep: list[str] | None = None, codec: str = "json",
-                  trigger: str = "availableNow", out: str | None = None, checkpoint: str | None = None) -> str:
-    """Decode a stream of framed messages until its input is consumed; the
-    result folder. Each micro-batch asks the catalogue for the live versions,
-    is decoded once and writes ``accepted/batch_id=n`` and
-    ``rejects/batch_id=n``, which a replay replaces. Read them with
-    :func:`read_accepted` and :func:`read_rejects`."""
+def start_by_writer(spark: SparkSession, stream: DataFrame, name: str, catalog: Callable[[SparkSession], DataFrame],
+                    subjects: list[str] | None = None, value: str = "value", keep: list[str] | None = None, codec: str = "json",
+                    trigger: str | None = "availableNow", out: str | None = None, checkpoint: str | None = None):
+    """Start decoding a stream of framed messages; (result folder, query).
+    Each micro-batch asks the catalogue for the live versions, is decoded once
+    and writes ``accepted/batch_id=n`` and ``rejects/batch_id=n``, which a
+    replay replaces. Read them with :func:`read_accepted` and
+    :func:`read_rejects`."""
     out, checkpoint = output_places(spark, name, out, checkpoint)
 
     def per_batch(batch: DataFrame, number: int) -> None:
@@ -244,8 +244,16 @@ def run_by_writer(spark: SparkSession, stream: DataFrame, name: str, catalog: Ca
         finally:
             decoded.unpersist()
 
-    (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
-     .trigger(**trigger_kwargs(trigger)).start().awaitTermination())
+    query = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
+             .trigger(**trigger_kwargs(trigger)).start())
+    return out, query
+
+
+def run_by_writer(spark: SparkSession, stream: DataFrame, name: str, catalog: Callable[[SparkSession], DataFrame],
+                  subjects: list[str] | None = None, **options) -> str:
+    """:func:`start_by_writer`, until the available input is consumed."""
+    out, query = start_by_writer(spark, stream, name, catalog, subjects, **options)
+    query.awaitTermination()
     return out
 
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from quarry.schemas import PRODUCT_MESSAGE
 from quarry.session import work_path
 from quarry.sources.streams import kafka_stream, lines_stream, messages_stream, socket_stream
+from quarry.lineage.writers import start_by_writer
 from quarry.streaming import jobs
 from quarry.streaming.audit import run_audited
+from quarry.streaming.tables import start_rows_and_counts, start_update
 
 
 def kafka_word_count_job(spark: SparkSession, servers: str, topic: str, group: str,
@@ -29,6 +31,34 @@ def kafka_word_count_job(spark: SparkSession, servers: str, topic: str, group: s
     return q1, w.start()
 
 
+def rows_and_counts_job(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str,
+                        trigger: str | None = "5 seconds", name: str = "rows-and-counts"):
+    """The same two results from one read of the stream, always of the same
+    batches and restartable between any two writes; (results, query). For a
+    topic, pass ``kafka_stream(...)``."""
+    def counts(batch: DataFrame) -> DataFrame:
+        return jobs.running_word_count(jobs.raw_messages(batch), "message")
+
+    return start_rows_and_counts(spark, stream, name, jobs.raw_messages, counts, ["word"], trigger=trigger, out=out,
+                                 checkpoint=checkpoint)
+
+
+def running_word_changes_job(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str,
+                             trigger: str | None = "5 seconds", buckets: int = 32):
+    """Running word counts whose batches write only the words they changed;
+    (table, query)."""
+    counts = jobs.running_word_count(jobs.raw_messages(stream), "message")
+    return start_update(spark, counts, "running-word-changes", ["word"], trigger=trigger, out=out, checkpoint=checkpoint, buckets=buckets)
+
+
+def products_by_writer_job(spark: SparkSession, stream: DataFrame, catalog, subjects: list[str], out: str, checkpoint: str,
+                           codec: str = "avro", trigger: str | None = "5 seconds", keep: list[str] | None = None):
+    """Product messages, each decoded under the schema id in its header, and
+    a reject table; (result folder, query)."""
+    return start_by_writer(spark, stream, "products-by-writer", catalog, subjects, keep=keep, codec=codec, trigger=trigger,
+                           out=out, checkpoint=checkpoint)
+
+
 def kafka_product_job(spark: SparkSession, servers: str, topic: str, group: str, schema,
                       out: str, checkpoint: str, codec: str = "avro", header_bytes: int = 5,
                       trigger: str = "5 seconds"):

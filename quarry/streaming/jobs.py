@@ -189,16 +189,20 @@ def stream_word_count(spark: SparkSession, lines: DataFrame, scope: str = "runni
 
 
 def start_pair(first: DataFrame, second: DataFrame, spark: SparkSession, name: str,
-               trigger: str | None = "availableNow", timeout: float | None = 600):
-    """T5: two queries over one source (raw append + running complete),
+               trigger: str | None = "availableNow", timeout: float | None = 600,
+               out: str | None = None, checkpoint: str | None = None):
+    """T5: two queries over one source (raw append + running complete) into
+    ``out``/raw and ``out``/counts, going on where earlier ones to the same
+    ``out`` ended (:mod:`quarry.streaming.tables` has both from one read);
     then wait until either ends (queries that ended before do not count).
     Raises the failure of the one that ended, or ``TimeoutError`` with both
     still running. Returns (outputs, queries)."""
-    out1, out2 = work_path(spark, f"{name}-raw"), work_path(spark, f"{name}-counts")
+    (out1, ckpt1), (out2, ckpt2) = (
+        output_places(spark, f"{name}-{k}", f"{out.rstrip('/')}/{k}" if out else None, f"{checkpoint.rstrip('/')}/{k}" if checkpoint else None)
+        for k in ("raw", "counts"))
     spark.streams.resetTerminated()
-    q1 = start_query(first, "append", "parquet", None, trigger, work_path(spark, f"{name}-c1"), out1)
-    w2 = (second.writeStream.outputMode("complete")
-          .option("checkpointLocation", work_path(spark, f"{name}-c2"))
+    q1 = start_query(first, "append", "parquet", None, trigger, ckpt1, out1)
+    w2 = (second.writeStream.outputMode("complete").option("checkpointLocation", ckpt2)
           .foreachBatch(overwrite_each_batch(out2)))
     tk = trigger_kwargs(trigger)
     q2 = (w2.trigger(**tk) if tk else w2).start()

@@ -166,15 +166,22 @@ class ChangeTable:
                 folders.delete(spark, f"{self._data}/{name}")
 
 
-def run_update(spark: SparkSession, aggregate: DataFrame, name: str, keys: list[str], trigger: str = "availableNow",
-               out: str | None = None, checkpoint: str | None = None, buckets: int = 32, merge_after: int = 8) -> ChangeTable:
-    """T1 / T2 without rewriting the result: run a streaming aggregation by
-    ``keys`` in update mode into a :class:`ChangeTable` at ``out`` until the
-    available input is consumed."""
+def start_update(spark: SparkSession, aggregate: DataFrame, name: str, keys: list[str], trigger: str | None = "availableNow",
+                 out: str | None = None, checkpoint: str | None = None, buckets: int = 32, merge_after: int = 8):
+    """T1 / T2 without rewriting the result: start a streaming aggregation by
+    ``keys`` in update mode into a :class:`ChangeTable` at ``out``. Returns
+    (table, query)."""
     out, checkpoint = output_places(spark, name, out, checkpoint)
     table = ChangeTable(out, aggregate.schema, keys, buckets, merge_after)
-    (aggregate.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-     .foreachBatch(lambda batch, n: table.upsert(batch, n)).trigger(**trigger_kwargs(trigger)).start().awaitTermination())
+    query = (aggregate.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(lambda batch, n: table.upsert(batch, n)).trigger(**trigger_kwargs(trigger)).start())
+    return table, query
+
+
+def run_update(spark: SparkSession, aggregate: DataFrame, name: str, keys: list[str], **places) -> ChangeTable:
+    """:func:`start_update`, until the available input is consumed."""
+    table, query = start_update(spark, aggregate, name, keys, **places)
+    query.awaitTermination()
     return table
 
 
@@ -226,14 +233,21 @@ class RowsAndCounts:
         return self.totals._rows(spark, self._last(spark)["totals"]["layers"]).drop("bucket")
 
 
-def run_rows_and_counts(spark: SparkSession, stream: DataFrame, name: str, rows: Callable[[DataFrame], DataFrame],
-                        changes: Callable[[DataFrame], DataFrame], keys: list[str], trigger: str = "availableNow",
-                        out: str | None = None, checkpoint: str | None = None, buckets: int = 32,
-                        merge_after: int = 8) -> RowsAndCounts:
-    """Run a stream into :class:`RowsAndCounts` until the available input is
-    consumed; a run to the same ``out`` goes on where the last one ended."""
+def start_rows_and_counts(spark: SparkSession, stream: DataFrame, name: str, rows: Callable[[DataFrame], DataFrame],
+                          changes: Callable[[DataFrame], DataFrame], keys: list[str], trigger: str | None = "availableNow",
+                          out: str | None = None, checkpoint: str | None = None, buckets: int = 32, merge_after: int = 8):
+    """Start a stream into :class:`RowsAndCounts`; a run to the same ``out``
+    goes on where the last one ended. Returns (results, query)."""
     out, checkpoint = output_places(spark, name, out, checkpoint)
     both = RowsAndCounts(out, name, rows(stream).schema, changes(stream).schema, keys, buckets, merge_after)
-    (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda b, n: both.write(b, n, rows, changes))
-     .trigger(**trigger_kwargs(trigger)).start().awaitTermination())
+    query = (stream.writeStream.option("checkpointLocation", checkpoint)
+             .foreachBatch(lambda b, n: both.write(b, n, rows, changes)).trigger(**trigger_kwargs(trigger)).start())
+    return both, query
+
+
+def run_rows_and_counts(spark: SparkSession, stream: DataFrame, name: str, rows: Callable[[DataFrame], DataFrame],
+                        changes: Callable[[DataFrame], DataFrame], keys: list[str], **places) -> RowsAndCounts:
+    """:func:`start_rows_and_counts`, until the available input is consumed."""
+    both, query = start_rows_and_counts(spark, stream, name, rows, changes, keys, **places)
+    query.awaitTermination()
     return both

@@ -219,3 +219,29 @@ def test_run_until_idle_under_a_processing_time_trigger(spark):
     land(src, "a.txt", LINES)
     got = jobs.run_until_idle(spark, lines_stream(spark, src, max_files_per_trigger=1), "idle", "200 milliseconds")
     assert got.count() == len(LINES)
+
+
+def test_two_queries_go_on_in_the_same_place(spark):
+    src, out = tempfile.mkdtemp(), work_path(spark, "pair")
+    for i, some in enumerate((LINES[:2], LINES[2:])):
+        land(src, f"{i}.txt", some)
+        s = lines_stream(spark, src)
+        (raw, counts), queries = jobs.start_pair(jobs.raw_messages(s), jobs.running_word_count(s), spark, "pair", out=out)
+        for q in queries:
+            q.awaitTermination()
+    assert raw == out + "/raw" and spark.read.parquet(raw).count() == len(LINES)
+    assert content(spark.read.parquet(counts)) == expected(LINES)
+
+
+def test_jobs_over_any_stream(spark):
+    from quarry.streaming import apps
+    src = tempfile.mkdtemp()
+    land(src, "a.txt", LINES)
+    stream = lines_stream(spark, src)
+    both, q = apps.rows_and_counts_job(spark, stream, work_path(spark, "o"), work_path(spark, "c"), "availableNow")
+    q.awaitTermination()
+    assert sorted(r.message for r in both.read_rows(spark).collect()) == sorted(LINES)
+    assert content(both.read_totals(spark)) == expected(LINES)
+    t, q = apps.running_word_changes_job(spark, stream, work_path(spark, "o"), work_path(spark, "c"), "availableNow")
+    q.awaitTermination()
+    assert content(t.read(spark)) == expected(LINES)

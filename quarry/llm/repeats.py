@@ -11,8 +11,9 @@ neighbourhood) holds every such string.
    Partitions of the anchors' hashes answer: nothing (one document only);
    the smallest id of all, where every neighbourhood of the anchor is the
    same, a copy; or a number, where neighbourhoods differ.
-2. One copy of each neighbourhood that differs goes to its partition. Its
-   suffix array is made by induced sorting (``suffix.py``), and runs of
+2. One copy of each neighbourhood that differs goes to its partition. Those
+   that share neither side's nearer half with another of their anchor share no
+   string; of the others, the suffix array is made by induced sorting (``suffix.py``), and runs of
    suffixes with 50 bytes in common, by the permuted common prefixes, are the
    strings that neighbourhoods share; each takes the smallest document id of
    its run. An anchor with more different neighbourhoods than one sort should
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 from quarry.llm.jaccard import partition_bits
 from quarry.llm.store import written
 from quarry.llm.suffix import common_prefixes, suffix_array
-from quarry.llm.vec import buffer_of, expand, fold, mix, prefix_hash, runs, span_hash, squeeze, steps, text_slices
+from quarry.llm.vec import (buffer_of, expand, fold, mix, powers, prefix_hash, runs, span_hash, squeeze, steps,
+                            text_slices)
 
 LENGTH = 50
 GRAM = 16
@@ -48,10 +50,13 @@ WINDOW = SIDE + 1
 ANCHOR_BITS = 46
 COPY_BITS = 40
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 1 << 20
-#: Different neighbourhoods of one anchor that are sorted together.
-MOST_SORTED = SHARD_BYTES // (LENGTH + SIDE)
-_SLICE = 1 << 20
+SHARD_BYTES = 1 << 19
+#: Different neighbourhoods of one anchor that are sorted together: a megabyte of them.
+MOST_SORTED = (1 << 20) // (LENGTH + SIDE)
+#: Bytes hashed at a time: their hashes stay in the cache of a core.
+_SLICE = 1 << 17
+#: Where ranges of the bytes of a string before its anchor begin.
+_EDGES = (0, WINDOW // 2 + 1, WINDOW)
 _LAST = 2 ** 63 - 1
 _TOP = np.uint64(2 ** 64 - 1)
 
@@ -75,7 +80,7 @@ def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     if n < LENGTH:
         return np.zeros(0, np.int64), none, none
     h = prefix_hash(buf)
-    g = span_hash(h, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
+    g = mix((h[GRAM:] - h[:-GRAM]) * powers(n + 1)[1][:n - GRAM + 1])  # span_hash of every gram
     text = np.zeros(n + 1, np.int32)
     text[ends[ends < n] + 1] = 1
     text = np.cumsum(text, dtype=np.int32)  # of each byte; a gap belongs to the text before it
@@ -121,7 +126,7 @@ _STORED = "block long, meta binary, text binary"
 def store_blocks(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, total = TaskContext.get().partitionId() << 32, [], 0
-        press = zstandard.ZstdCompressor(level=6)
+        press = zstandard.ZstdCompressor(level=3)
 
         def flush() -> pa.RecordBatch:
             ids = [x for p in parts for x in p[0]]
@@ -176,8 +181,16 @@ class _Found:
         left = np.minimum(place - t.starts[row], SIDE)
         right = np.minimum(t.ends[row] - place, LENGTH)
         own = t.order[row]
-        order = np.lexsort((own, copy, gram))
-        order = order[(left + right >= LENGTH)[order]]  # others hold no string
+        order = np.flatnonzero(left + right >= LENGTH)  # others hold no string
+        # one number holds the gram and the copy's first bits; only equal ones need the rest
+        key = gram[order] << np.uint64(64 - ANCHOR_BITS) | copy[order] >> np.uint64(COPY_BITS + ANCHOR_BITS - 64)
+        by_key = np.argsort(key)
+        order, key = order[by_key], key[by_key]
+        equal = np.append(key[1:] == key[:-1], False)[:len(key)]
+        equal[1:] |= equal[:-1].copy()
+        at = np.flatnonzero(equal)
+        some = order[at]
+        order[at] = some[np.lexsort((own[some], copy[some], key[at]))]
         gram, copy = gram[order], copy[order]
         head = np.ones(len(gram), bool)
         head[1:] = (gram[1:] != gram[:-1]) | (copy[1:] != copy[:-1])
@@ -296,7 +309,8 @@ def _local(bits: int):
             if len(y):
                 size = f.left[y] + f.right[y]
                 flat = t.buf[np.arange(size.sum()) + np.repeat((f.place - f.left)[y] - (np.cumsum(size) - size), size)]
-                rows.append((_SEND, p, number, squeeze((value_of[y] >> 1).astype(np.uint32), size.astype(np.uint8), flat)))
+                rows.append((_SEND, p, number, squeeze((value_of[y] >> 1).astype(np.uint32), f.left[y].astype(np.uint8),
+                                                       f.right[y].astype(np.uint8), flat)))
         at = np.flatnonzero(code_of == 3)
         if len(at):
             at = at[np.argsort(f.place[at], kind="stable")]
@@ -317,10 +331,15 @@ def _strings(t: _Text, place: np.ndarray, left: np.ndarray, right: np.ndarray):
     count = left + right - LENGTH + 1
     start = np.arange(count.sum()) + np.repeat(place - left - (np.cumsum(count) - count), count)
     start = np.unique(start)  # neighbourhoods overlap
-    h = prefix_hash(t.buf)
-    half = start + LENGTH // 2
-    first = span_hash(h, start, start + LENGTH)
-    second = (fold(span_hash(h, start, half), span_hash(h, half, start + LENGTH)) >> np.uint64(32)).astype(np.uint32)
+    first, second = np.empty(len(start), np.uint64), np.empty(len(start), np.uint32)
+    for a, b in t.slices():
+        x, y = np.searchsorted(start, (t.starts[a], t.ends[b - 1]))
+        if x < y:  # other slices are not hashed
+            h = prefix_hash(t.buf[t.starts[a]:t.ends[b - 1]])
+            at = start[x:y] - t.starts[a]
+            half, end = at + LENGTH // 2, at + LENGTH
+            first[x:y] = span_hash(h, at, end)
+            second[x:y] = fold(span_hash(h, at, half), span_hash(h, half, end)) >> np.uint64(32)
     own = t.order[np.searchsorted(t.starts, start, side="right") - 1]
     order = np.lexsort((own, second, first))
     first, second = first[order], second[order]
@@ -374,6 +393,42 @@ def smallest_holder(flat: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.n
     return out
 
 
+def may_share(flat: np.ndarray, group: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which neighbourhoods (end to end in ``flat``, in order of group, with
+    ``left`` bytes before the anchor's place and ``right`` from there) may hold
+    a string that another of their group holds: a string that starts from ``a``
+    to ``b`` - 1 bytes before the anchor has all that starts ``a`` bytes before
+    it and ends where one that starts ``b`` - 1 bytes before it does."""
+    out, place = np.zeros(len(group), bool), np.cumsum(left + right) - right
+    for a, b in zip(_EDGES, _EDGES[1:]):
+        before, after = a, LENGTH - b + 1
+        at = np.flatnonzero((left >= before) & (right >= after))
+        start, key, x = place[at] - before, np.empty(len(at), np.uint64), 0
+        while x < len(at):
+            y = max(x + 1, int(np.searchsorted(start, start[x] + _SLICE)))
+            h, own = prefix_hash(flat[start[x]:start[y - 1] + before + after]), start[x:y] - start[x]
+            key[x:y] = fold(group[at[x:y]].astype(np.uint64), span_hash(h, own, own + before + after))
+            x = y
+        order = np.argsort(key)
+        key = key[order]
+        twice = np.append(key[1:] == key[:-1], False)[:len(at)]
+        twice[1:] |= twice[:-1].copy()
+        out[at[order[twice]]] = True
+    return out
+
+
+def _sorted_holders(flat: np.ndarray, group: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """:func:`smallest_holder` over whole groups, some at a time."""
+    end, holder, a = np.cumsum(size), np.empty(len(flat), np.int64), 0
+    while a < len(size):
+        b = int(np.searchsorted(end, end[a] - size[a] + SHARD_BYTES, side="right"))
+        b = int(np.searchsorted(group, group[min(max(b - 1, a), len(size) - 1)], side="right"))
+        x, y = end[a] - size[a], end[b - 1]
+        holder[x:y] = smallest_holder(flat[x:y], size[a:b], doc[a:b])
+        a = b
+    return holder
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Sort a partition's neighbourhoods; for each block that wants some, the
     smallest holder of every string of them."""
@@ -383,24 +438,21 @@ def _answer(table: pa.Table) -> pa.Table:
     step, doc = expand(rows[_INFO][0][1]) if rows[_INFO] else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
     if not len(doc):
         return _table([])
-    group, size = np.cumsum(step, dtype=np.int64), np.zeros(len(doc), np.int64)
+    group, left, right = np.cumsum(step, dtype=np.int64), *np.zeros((2, len(doc)), np.int64)
     sent = [expand(d) for _, d in rows[_SEND]]
-    for v, n, _ in sent:
-        size[v] = n
+    for v, m, n, _ in sent:
+        left[v], right[v] = m, n
+    size = left + right
     end = np.cumsum(size)
     flat = np.zeros(int(end[-1]), np.uint8)
-    for v, n, text in sent:
-        n = n.astype(np.int64)
+    for v, _, _, text in sent:
+        n = size[v]
         flat[np.arange(n.sum()) + np.repeat((end - size)[v] - (np.cumsum(n) - n), n)] = text
     del sent
-    holder = np.empty(len(flat), np.int64)
-    a = 0
-    while a < len(size):  # whole groups at a time
-        b = int(np.searchsorted(end, end[a] - size[a] + SHARD_BYTES, side="right"))
-        b = int(np.searchsorted(group, group[min(max(b - 1, a), len(size) - 1)], side="right"))
-        x, y = end[a] - size[a], end[b - 1]
-        holder[x:y] = smallest_holder(flat[x:y], size[a:b], doc[a:b])
-        a = b
+    some = may_share(flat, group, left, right)
+    inside = np.repeat(some, size)
+    holder = np.repeat(doc, size)  # of the others, their own document
+    holder[inside] = _sorted_holders(flat[inside], group[some], size[some], doc[some])
     out, p = [], table["p"][0].as_py()
     for block, data in rows[_WANT]:
         v = np.cumsum(expand(data)[0], dtype=np.int64)

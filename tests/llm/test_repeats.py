@@ -97,3 +97,39 @@ def test_a_phrase_in_every_document_between_different_text(spark, monkeypatch):
         rows.append((i, a + "cookies help us." + b[:rng.choice([5, 30, 60])]))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert tuples(repeats.remove_repeats(docs)) == brute(rows)
+
+
+def test_sift_keeps_every_neighbourhood_that_shares_a_string():
+    rng = random.Random(3)
+    word = lambda n: bytes(rng.choice(b"ab") for _ in range(n))
+    gram, rows = b"0123456789abcdef", []
+    for group in range(40):
+        for _ in range(rng.randint(1, 5)):
+            a, b = word(rng.randint(0, 34)), word(rng.randint(0, 34))
+            if rows and rows[-1][0] == group and rng.random() < 0.7:
+                n = rng.randint(0, 34)  # n bytes before the gram and the rest after it, at times one fewer
+                n, m = n, 34 - n - rng.randint(0, 1)
+                a, b = a[n:] + rows[-1][1][max(0, len(rows[-1][1]) - n):], rows[-1][2][:m] + b[m:]
+            rows.append((group, a[-34:], b[:34]))
+    rows = [r for r in rows if len(r[1]) + len(r[2]) >= 34]
+    text = [a + gram + b for _, a, b in rows]
+    strings = [{(g, t[i:i + 50]) for i in range(len(t) - 49)} for (g, _, _), t in zip(rows, text)]
+    shares = [any(x & y for j, y in enumerate(strings) if j != i) for i, x in enumerate(strings)]
+    kept = repeats.may_share(np.frombuffer(b"".join(text), np.uint8), np.array([r[0] for r in rows]),
+                             np.array([len(r[1]) for r in rows]), np.array([16 + len(r[2]) for r in rows]))
+    assert sum(shares) > 20 and all(k for k, x in zip(kept, shares) if x)
+    assert not kept.all()
+
+
+def test_only_slices_that_hold_dealt_strings_are_hashed(monkeypatch):
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"abcdef ") for _ in range(900)) for _ in range(400)]
+    meta = repeats.squeeze(np.arange(400), np.zeros(400, np.uint8), np.full(400, 900, np.uint64))
+    t = repeats._Text(meta, repeats.zstandard.ZstdCompressor().compress(b"".join(x + b" " for x in texts)))
+    hashed, one = [], repeats.prefix_hash
+    monkeypatch.setattr(repeats, "_SLICE", 9000)
+    monkeypatch.setattr(repeats, "prefix_hash", lambda x: hashed.append(len(x)) or one(x))
+    place = t.starts[[5, 7, 300]] + 100
+    (_, _, least), which, start = repeats._strings(t, place, np.full(3, 34), np.full(3, 50))
+    assert len(start) == 3 * 35 and least[which].tolist() == np.repeat([5, 7, 300], 35).tolist()
+    assert sum(hashed) <= 2 * 9000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
@@ -39,6 +41,20 @@ def with_dense_ids(ratings: DataFrame, user: str = "userId", item: str = "movieI
     return ratings.join(users, user).join(items, item), users, items
 
 
+#: Blocks of a side that ALS is given at least; both sides' together make BLOCKS squared.
+LEAST_BLOCKS, BLOCKS = 5, 10
+
+
+def als_blocks(ratings: DataFrame, user: str, item: str) -> tuple[int, int]:
+    """(user blocks, item blocks). In every iteration an item's factors travel
+    to nearly all user blocks and a user's to nearly all item blocks, so the
+    side with fewer factors gets fewer blocks. BLOCKS each, ALS's default, is
+    right for sides of equal size."""
+    n, m = ratings.agg(F.approx_count_distinct(user), F.approx_count_distinct(item)).first()
+    users = min(max(round(BLOCKS * math.sqrt(max(n, 1) / max(m, 1))), LEAST_BLOCKS), BLOCKS ** 2 // LEAST_BLOCKS)
+    return users, BLOCKS ** 2 // users
+
+
 def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId", rating: str = "rating",
             rank: int = 10, max_iter: int = 5, reg: float = 0.01, seed: int = 42,
             cold_start: str = "drop", checkpoint_interval: int = 10):
@@ -46,9 +62,10 @@ def fit_als(ratings: DataFrame, user: str = "userId", item: str = "movieId", rat
     removes predictions for users/items unseen in training, so metrics stay
     defined; ``"nan"`` keeps them. Iteration lineage is cut every
     ``checkpoint_interval`` iterations into the session's checkpoint folder."""
+    user_blocks, item_blocks = als_blocks(ratings, user, item)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item,
               ratingCol=rating, coldStartStrategy=cold_start, seed=seed,
-              checkpointInterval=checkpoint_interval)
+              checkpointInterval=checkpoint_interval, numUserBlocks=user_blocks, numItemBlocks=item_blocks)
     return als.fit(ratings)
 
 

@@ -35,6 +35,20 @@ def test_als_rmse_is_sqrt_of_mse(spark):
     assert pred.filter(F.isnan("prediction")).count() == 0
 
 
+def test_als_side_with_fewer_factors_gets_fewer_blocks(spark, monkeypatch):
+    few_users = spark.createDataFrame([(u, i, float(u + i)) for u in range(4) for i in range(80)],
+                                      "userId int, movieId int, rating float")
+    flipped = few_users.selectExpr("movieId AS userId", "userId AS movieId", "rating")
+    given, whole = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **args: given.append(args) or whole(**args))
+    for r in (few_users, flipped):
+        m = recommend.fit_als(r, max_iter=2)
+        assert (m.userFactors.count(), m.itemFactors.count()) in ((4, 80), (80, 4))
+    assert [(g["numUserBlocks"], g["numItemBlocks"]) for g in given] == [(5, 20), (20, 5)]
+    assert recommend.als_blocks(few_users.filter("movieId < 4"), "userId", "movieId") == (10, 10)
+    assert recommend.als_blocks(few_users.limit(0), "userId", "movieId") == (10, 10)
+
+
 def test_regressions(spark):
     rows = [(float(x % 2), [float(x), float(x % 3), 1.0]) for x in range(40)]
     df = spark.createDataFrame(rows, "label double, a array<double>").select("label", to_vector("a").alias("features"))
